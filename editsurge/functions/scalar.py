@@ -29,7 +29,6 @@ SCORE_EPSILON = 0.0001
 # Category prefixes removed from category titles (any case).
 CATEGORY_PREFIXES = ["Category:", "Категория:", "Kategorie:", "Catégorie:"]
 
-_EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
 def _c(x) -> Column:
@@ -45,7 +44,7 @@ def blank(c) -> Column:
 def parse_epoch(c) -> Column:
     """X-01: epoch number -> timestamp; above 10^10 it is milliseconds."""
     c = _c(c)
-    epoch = F.expr(_EPOCH_NTZ)
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return (F.when(c > F.lit(10_000_000_000), F.timestamp_add("MILLISECOND", c, epoch))
             .otherwise(F.timestamp_add("SECOND", c, epoch)))
 

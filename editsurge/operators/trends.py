@@ -37,6 +37,16 @@ def effective_after(start: Column) -> Column:
     return (F.col("ts") >= start) | (F.col("classified_at") >= start)
 
 
+def prune_from(edits: DataFrame, start: Column) -> DataFrame:
+    """Partition pruning on a stored edit table partitioned by ``eff_date``
+    (the day of the effective time).  ts <= effective time, so the bound is
+    valid for ts windows and effective-time windows alike.  A derived edit
+    view without the column is returned unchanged."""
+    if "eff_date" in edits.columns:
+        return edits.filter(F.col("eff_date") >= F.to_date(start))
+    return edits
+
+
 def explode_topics(edits: DataFrame, *keep: str) -> DataFrame:
     """J-01: one row per (edit, topic) like ARRAY JOIN; empty lists vanish,
     a topic listed twice gives two rows."""
@@ -55,7 +65,7 @@ def known_topic_ids(df: DataFrame, col: str = "topic_id") -> DataFrame:
 
 def _unpivot(df: DataFrame, id_cols: list[str], prefix: str, value: str) -> DataFrame:
     """Per-period count columns -> (period, value) rows, zero counts dropped."""
-    pairs = ", ".join(f"'{p}', {prefix}{i}" for i, p in enumerate(PERIODS))
+    pairs = ", ".join(f"'{p}', CAST({prefix}{i} AS BIGINT)" for i, p in enumerate(PERIODS))
     return (df.select(*id_cols, F.expr(f"stack({len(PERIODS)}, {pairs}) AS (period, {value})"))
               .filter(F.col(value) > 0))
 
@@ -67,7 +77,8 @@ def trend_counts(edits: DataFrame, as_of: str, periods: list[str] | None = None)
     periods = periods or PERIODS
     widest = max(periods, key=lambda p: PERIOD_HOURS[p])
     eff = effective_time()
-    e = (edits.filter(effective_after(window_start(as_of, widest)))
+    start = window_start(as_of, widest)
+    e = (prune_from(edits, start).filter(effective_after(start))
               .select(eff.alias("eff"), F.explode("topics.topic_id").alias("topic_id")))
     aggs = [F.count_if(F.col("eff") >= window_start(as_of, p)).cast("int").alias(f"c{PERIODS.index(p)}")
             for p in PERIODS if p in periods]
@@ -85,7 +96,7 @@ def daily_topic_counts(edits: DataFrame, as_of: str, days: int = BASELINE_LOOKBA
     """A-02: count per (topic, day of ts) within the lookback; the window
     test uses the effective time, the day uses ts."""
     start = ts_lit(as_of) - F.expr(f"INTERVAL {max(1, days)} DAYS")
-    return (edits.filter(effective_after(start))
+    return (prune_from(edits, start).filter(effective_after(start))
                  .select(to_day("ts").alias("day"), F.explode("topics.topic_id").alias("topic_id"))
                  .groupBy("topic_id", "day").agg(F.count("*").alias("daily_count")))
 
@@ -165,14 +176,20 @@ def article_counts(edits: DataFrame, as_of: str, topics: DataFrame | None = None
     passes at most 3 * 50 rows)."""
     periods = periods or PERIODS
     widest = max(periods, key=lambda p: PERIOD_HOURS[p])
-    e = (edits.filter(F.col("ts") >= window_start(as_of, widest))
+    start = window_start(as_of, widest)
+    e = (prune_from(edits, start).filter(F.col("ts") >= start)
               .select("article_id", "title", "ts",
                       F.explode(F.array_distinct(F.col("topics.topic_id"))).alias("topic_id")))
     if topics is not None:
         e = e.join(F.broadcast(topics.select("topic_id").distinct()), "topic_id", "left_semi")
     aggs = [F.count_if(F.col("ts") >= window_start(as_of, p)).alias(f"c{PERIODS.index(p)}")
             for p in PERIODS if p in periods]
-    agg = e.groupBy("topic_id", "article_id").agg(*aggs, F.min("title").alias("title"))
+    # Hash pre-aggregate with the title in the key (fixed-width buffers, map
+    # side combine), then fold titles per article on the small result.
+    pre = e.groupBy("topic_id", "article_id", "title").agg(*aggs)
+    agg = pre.groupBy("topic_id", "article_id").agg(
+        *[F.sum(f"c{PERIODS.index(p)}").alias(f"c{PERIODS.index(p)}") for p in PERIODS if p in periods],
+        F.min("title").alias("title"))
     for i, p in enumerate(PERIODS):
         if p not in periods:
             agg = agg.withColumn(f"c{i}", F.lit(0))
@@ -198,19 +215,27 @@ def topic_info(edits: DataFrame, topic_ids: DataFrame | None = None) -> DataFram
     text are skipped; when nothing usable exists the value is '' (the
     reference's argMaxIf default), and callers fall back with F-15.  Ties on
     time go to the larger text so the result is repeatable.
-    ``topic_ids`` must be small (a top-N list); it is broadcast.
+
+    Two stages: a hash aggregate by (topic, name, path) with partial
+    aggregation keeps only the newest time of each distinct label pair, so
+    the struct-max stage (a sort aggregate) sees a handful of rows per topic
+    however many edits a topic has.  ``topic_ids`` must be small (a top-N
+    list); it is broadcast.
     """
     t = explode_topics(edits.select(effective_time().alias("eff"), "topics"), "eff")
     if topic_ids is not None:
         t = t.join(F.broadcast(known_topic_ids(topic_ids)), "topic_id", "left_semi")
     name_ok = (F.col("name") != "") & ~is_placeholder_name("name")
     path_ok = (F.col("path") != "") & ~is_placeholder_path("path")
-    return (t.groupBy("topic_id")
-             .agg(F.max(F.when(name_ok, F.struct("eff", "name"))).alias("n"),
-                  F.max(F.when(path_ok, F.struct("eff", "path"))).alias("p"))
-             .select(F.col("topic_id").cast("int").alias("topic_id"),
-                     F.coalesce(F.col("n.name"), F.lit("")).alias("name"),
-                     F.coalesce(F.col("p.path"), F.lit("")).alias("path")))
+    labels = (t.groupBy("topic_id", "name", "path")
+               .agg(F.max(F.when(name_ok, F.col("eff"))).alias("name_eff"),
+                    F.max(F.when(path_ok, F.col("eff"))).alias("path_eff")))
+    return (labels.groupBy("topic_id")
+                  .agg(F.max(F.when(F.col("name_eff").isNotNull(), F.struct("name_eff", "name"))).alias("n"),
+                       F.max(F.when(F.col("path_eff").isNotNull(), F.struct("path_eff", "path"))).alias("p"))
+                  .select(F.col("topic_id").cast("int").alias("topic_id"),
+                          F.coalesce(F.col("n.name"), F.lit("")).alias("name"),
+                          F.coalesce(F.col("p.path"), F.lit("")).alias("path")))
 
 
 def with_topic_info(trends: DataFrame, info: DataFrame) -> DataFrame:
@@ -220,29 +245,67 @@ def with_topic_info(trends: DataFrame, info: DataFrame) -> DataFrame:
                   .withColumn("path", F.coalesce("path", F.lit(""))))
 
 
+def trend_rollup(edits: DataFrame, as_of: str, days: int = BASELINE_LOOKBACK_DAYS) -> DataFrame:
+    """A-01 + A-03 in one scan: per (period, topic) the window count and the
+    topic's baseline (average over days with edits in the lookback).
+
+    Stage 1 is a daily rollup by (topic, day) with partial aggregation, so
+    the shuffle carries one row per topic and day per task; stage 2 folds the
+    small rollup per topic.  Columns: period, topic_id, edit_count,
+    baseline_daily.
+    """
+    lookback = ts_lit(as_of) - F.expr(f"INTERVAL {max(1, days)} DAYS")
+    widest = ts_lit(as_of) - F.expr(f"INTERVAL {max(PERIOD_HOURS.values())} HOURS")
+    lowest = F.least(lookback, widest)
+    e = (prune_from(edits, lowest).filter(effective_after(lowest))
+              .select(effective_time().alias("eff"), to_day("ts").alias("day"),
+                      F.explode("topics.topic_id").alias("topic_id")))
+    daily = (e.groupBy("topic_id", "day")
+              .agg(F.count_if(F.col("eff") >= lookback).alias("daily_count"),
+                   *[F.count_if(F.col("eff") >= window_start(as_of, p)).alias(f"c{i}")
+                     for i, p in enumerate(PERIODS)]))
+    per_topic = (daily.groupBy("topic_id")
+                      .agg(F.avg(F.when(F.col("daily_count") > 0, F.col("daily_count"))).cast("float")
+                            .alias("baseline_daily"),
+                           *[F.sum(f"c{i}").cast("int").alias(f"c{i}") for i in range(len(PERIODS))]))
+    out = _unpivot(per_topic, ["topic_id", "baseline_daily"], "c", "edit_count")
+    return out.select("period", F.col("topic_id").cast("int").alias("topic_id"),
+                      F.col("edit_count").cast("int").alias("edit_count"),
+                      F.coalesce("baseline_daily", F.lit(0.0).cast("float")).alias("baseline_daily"))
+
+
 def scored_topics(edits: DataFrame, as_of: str, baselines: DataFrame | None = None,
                   top_n: int = TOP_TOPICS, min_score: float = MIN_SCORE_TO_REPORT,
-                  min_change: float = MIN_CHANGE_TO_REPORT) -> DataFrame:
-    """A-01 -> W-03 -> J-18 -> J-17 -> A-04 -> F-07 for all periods at once."""
+                  min_change: float = MIN_CHANGE_TO_REPORT,
+                  lookback_days: int = BASELINE_LOOKBACK_DAYS) -> DataFrame:
+    """A-01 -> W-03 -> J-18 -> J-17 -> A-04 -> F-07 for all periods at once.
+
+    With no stored ``baselines`` the baseline comes from the same scan as
+    the counts (trend_rollup).  Topic names come from one more scan of the
+    edit history.  The result holds at most 3 * top_n rows.
+    """
     if baselines is None:
-        baselines = recalculate_baselines(edits, as_of)
-    top = top_topics(trend_counts(edits, as_of), top_n)
-    info = topic_info(edits, top)
-    scored = anomaly(with_baseline(top, baselines).join(F.broadcast(info), "topic_id", "left"))
+        counts = trend_rollup(edits, as_of, lookback_days)
+    else:
+        counts = with_baseline(trend_counts(edits, as_of), baselines)
+    top = top_topics(counts, top_n)
+    scored = anomaly(top.join(topic_info(edits), "topic_id", "left"))
     scored = scored.withColumn("topic_name", display_name(F.coalesce("name", F.lit("")), "topic_id"))
     return reportable(scored, min_score, min_change)
 
 
 def trends_report(edits: DataFrame, as_of: str, baselines: DataFrame | None = None,
-                  top_n: int = TOP_TOPICS, articles_n: int = TOP_ARTICLES_REPORT) -> DataFrame:
+                  top_n: int = TOP_TOPICS, articles_n: int = TOP_ARTICLES_REPORT,
+                  lookback_days: int = BASELINE_LOOKBACK_DAYS) -> DataFrame:
     """A-10 flattened: one row per (period, reported topic, top article).
 
     A reported topic with no article in the window keeps one row with null
     article fields (quirk Q1).  score_rank orders topics by score desc.
+    Every input scan runs once: counts+baselines, topic names, articles.
+    The article side is top-N per topic (bounded by topics x 3 x N rows).
     """
-    scored = scored_topics(edits, as_of, baselines, top_n)
-    keys = scored.select("period", "topic_id")
-    arts = top_articles(article_counts(edits, as_of, keys), articles_n)
+    scored = scored_topics(edits, as_of, baselines, top_n, lookback_days=lookback_days)
+    arts = top_articles(article_counts(edits, as_of), articles_n)
     w = Window.partitionBy("period").orderBy(F.desc("anomaly_score"), F.asc("topic_id"))
     topics = scored.withColumn("score_rank", F.row_number().over(w))
     out = topics.join(arts, ["period", "topic_id"], "left")

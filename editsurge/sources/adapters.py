@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 from editsurge import schemas as S
 from editsurge.sources.tables import read_table
 
-EPOCH_NTZ = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+
+def _epoch_ntz() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
 
 # Fixed values of the fixture: event type -> primary topic id (1..5), and the
 # wiki picked by user_id mod 3.
@@ -37,13 +40,13 @@ def ts_lit(value) -> Column:
 def trunc_second(ts) -> Column:
     """Drop the sub-second part of a TIMESTAMP_NTZ without a time zone."""
     ts = F.col(ts) if isinstance(ts, str) else ts
-    micros = F.timestamp_diff("MICROSECOND", EPOCH_NTZ, ts)
+    micros = F.timestamp_diff("MICROSECOND", _epoch_ntz(), ts)
     return F.timestamp_add("MICROSECOND", -F.pmod(micros, F.lit(1_000_000)), ts)
 
 
 def epoch_micros(ts) -> Column:
     ts = F.col(ts) if isinstance(ts, str) else ts
-    return F.timestamp_diff("MICROSECOND", EPOCH_NTZ, ts)
+    return F.timestamp_diff("MICROSECOND", _epoch_ntz(), ts)
 
 
 def max_ts(df: DataFrame, col: str = "ts") -> str:
