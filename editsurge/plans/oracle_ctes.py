@@ -101,3 +101,117 @@ def anomaly_sql(src: str) -> str:
 
 def with_ctes(*parts: str) -> str:
     return "WITH " + ",\n".join(p.strip() for p in parts)
+
+# recent changes (FIXTURES 3.2) and the raw edits F-01 + F-02 keep.
+RECENT = r"""
+ev_raw AS (SELECT event_id AS n, user_id, event_type, value, ts FROM events),
+clock AS (SELECT max(date_trunc('second', ts)) AS as_of FROM events),
+rc AS (
+  SELECT n AS src_n, CASE WHEN n % 40 = 0 THEN NULL ELSE n END AS id,
+    CASE WHEN n % 10 <= 6 THEN 'edit' WHEN n % 10 = 7 THEN 'EDIT' WHEN n % 10 = 8 THEN 'new' ELSE NULL END AS type,
+    CASE WHEN n % 6 = 0 THEN 1 ELSE 0 END AS namespace,
+    'Article ' || CAST(n % 97 + 1 AS VARCHAR) AS title, 'user-' || CAST(user_id AS VARCHAR) AS "user",
+    user_id % 10 = 0 AS bot, n % 3 = 0 AS minor,
+    CAST(n % 5000 AS INTEGER) AS len_old, CAST(n % 5000 AS INTEGER) + CAST(floor(value) AS INTEGER) AS len_new,
+    CASE WHEN n % 33 = 0 THEN '' ELSE CASE user_id % 3 WHEN 0 THEN 'enwiki' WHEN 1 THEN 'ruwiki' ELSE 'dewiki' END END AS wiki,
+    CASE WHEN n % 2 = 0 THEN epoch_us(ts) // 1000000 ELSE epoch_us(ts) // 1000 END AS "timestamp",
+    CASE WHEN n % 9 = 0 THEN NULL ELSE n % 97 + 1 END AS page_id
+  FROM ev_raw
+),
+rcr AS (
+  SELECT rc.*, CASE
+    WHEN id IS NULL OR title IS NULL OR "user" IS NULL THEN 'missing_field'
+    WHEN wiki IS NULL OR trim(wiki) = '' OR lower(wiki) NOT IN ('enwiki', 'ruwiki') THEN 'wiki_not_allowed'
+    WHEN type IS NOT NULL AND lower(type) NOT IN ('edit') THEN 'type_not_allowed'
+    WHEN coalesce(namespace, 0) NOT IN (0) THEN 'namespace_not_allowed' END AS reason
+  FROM rc
+),
+mapped AS (
+  SELECT sha256(concat_ws(':', wiki, CAST(id AS VARCHAR))) AS event_id, id AS wiki_edit_id,
+    coalesce(page_id, 0) AS page_id, title, wiki, "user",
+    coalesce(bot, false) AS is_bot, coalesce(minor, false) AS is_minor, coalesce(type = 'new', false) AS is_new,
+    coalesce(len_old, 0) AS old_length, coalesce(len_new, 0) AS new_length,
+    CASE WHEN "timestamp" > 10000000000 THEN TIMESTAMP '1970-01-01' + to_milliseconds("timestamp")
+         ELSE TIMESTAMP '1970-01-01' + to_seconds("timestamp") END AS "timestamp",
+    reason
+  FROM rcr
+),
+raw AS (SELECT * EXCLUDE (reason) FROM mapped WHERE reason IS NULL)
+"""
+
+CLEAN_CAT = r"trim(regexp_replace({c}, '^(Category|Категория|Kategorie|Catégorie):', '', 'i'))"
+PREFIX = "CASE lang WHEN 'de' THEN 'Kategorie:' WHEN 'fr' THEN 'Catégorie:' ELSE 'Category:' END"
+
+DIMS = r"""
+art AS (
+  SELECT doc_id AS article_id, lang || 'wiki' AS wiki, doc_id AS page_id, 'Doc ' || CAST(doc_id AS VARCHAR) AS title,
+    substring(text, 1, 4000) AS extract, clock.as_of - to_hours(CAST(doc_id % 9 AS BIGINT)) AS last_enriched_at
+  FROM documents, clock
+),
+stored_cats AS (
+  SELECT doc_id AS article_id, """ + CLEAN_CAT.format(c="raw") + r""" AS name FROM (
+    SELECT doc_id, unnest(CASE WHEN doc_id % 4 = 0 THEN [""" + PREFIX + r""" || source, 'Legacy'] ELSE [""" + PREFIX + r""" || source] END) AS raw
+    FROM documents)
+),
+links AS (SELECT page_id, regexp_extract_all(html, 'href="/([^"]*)"', 1) AS links FROM pages),
+resp AS (
+  SELECT d.lang || 'wiki' AS wiki, 'Article ' || CAST(d.doc_id AS VARCHAR) AS title, d.doc_id AS r_page_id,
+    trim(d.text) AS r_extract,
+    list_transform(list_filter([""" + PREFIX.replace("lang", "d.lang") + r""" || d.source, """ + PREFIX.replace("lang", "d.lang") + r""" || ' Lang ' || upper(d.lang)],
+                   lambda c: c IS NOT NULL AND c <> ''), lambda c: """ + CLEAN_CAT.format(c="c") + r""") AS r_categories,
+    list_filter(coalesce(l.links, []::VARCHAR[]), lambda x: x IS NOT NULL AND x <> '') AS r_links
+  FROM documents d LEFT JOIN links l ON d.doc_id = l.page_id
+)
+"""
+
+REFRESH = r"""
+j AS (
+  SELECT raw.*, art.article_id AS a_article_id, art.title AS a_title, art.extract AS a_extract, art.last_enriched_at AS a_last
+  FROM raw LEFT JOIN art ON raw.wiki = art.wiki AND raw.page_id = art.page_id AND raw.page_id > 0
+),
+j2 AS (SELECT j.*, (a_article_id IS NULL OR a_last < clock.as_of - to_hours(4)) AS stale FROM j, clock),
+firsts AS (SELECT wiki, page_id, min({'t': "timestamp", 'e': event_id}) AS f FROM j2 WHERE stale AND page_id > 0 GROUP BY 1, 2),
+j3 AS (
+  SELECT j2.*, stale AND (j2.page_id <= 0 OR firsts.f IS NULL OR {'t': j2."timestamp", 'e': j2.event_id} = firsts.f) AS calls
+  FROM j2 LEFT JOIN firsts ON j2.wiki = firsts.wiki AND j2.page_id = firsts.page_id
+),
+r0 AS (SELECT j3.*, resp.r_page_id, resp.r_extract, resp.r_categories, resp.r_links
+       FROM j3 LEFT JOIN resp ON j3.wiki = resp.wiki AND j3.title = resp.title),
+r AS (
+  SELECT r0.*,
+    CASE WHEN page_id > 0 THEN page_id ELSE coalesce(r_page_id, 0) END AS resolved_page_id,
+    CASE WHEN stale AND r_page_id IS NULL THEN 'Page not found: ' || title
+         WHEN stale AND (CASE WHEN page_id > 0 THEN page_id ELSE coalesce(r_page_id, 0) END) <= 0 THEN 'Wikipedia API did not return valid PageId' END AS error,
+    CASE WHEN stale THEN title ELSE a_title END AS article_title,
+    CASE WHEN stale THEN (CASE WHEN r_extract IS NULL OR r_extract = '' THEN r_extract ELSE substring(r_extract, 1, 4000) END) ELSE a_extract END AS article_extract,
+    CASE WHEN calls THEN r_links ELSE []::VARCHAR[] END AS linked_articles
+  FROM r0
+),
+newa AS (
+  SELECT wiki, resolved_page_id AS page_id,
+    arg_max({'title': article_title, 'extract': article_extract}, {'t': "timestamp", 'e': event_id}) AS v
+  FROM r WHERE stale AND error IS NULL GROUP BY 1, 2
+),
+m AS (SELECT art.article_id AS o_id, art.wiki AS o_wiki, art.page_id AS o_page_id, art.title AS o_title, art.extract AS o_extract,
+             art.last_enriched_at AS o_last, newa.wiki, newa.page_id, newa.v.title AS title, newa.v.extract AS extract
+      FROM art FULL OUTER JOIN newa ON art.wiki = newa.wiki AND art.page_id = newa.page_id),
+ups AS (
+  SELECT o_id AS article_id, o_wiki AS wiki, o_page_id AS page_id, coalesce(title, o_title) AS title,
+    CASE WHEN wiki IS NOT NULL THEN extract ELSE o_extract END AS extract,
+    CASE WHEN wiki IS NOT NULL THEN (SELECT as_of FROM clock) ELSE o_last END AS last_enriched_at
+  FROM m WHERE o_id IS NOT NULL
+  UNION ALL
+  SELECT (SELECT max(article_id) FROM art) + row_number() OVER (ORDER BY wiki, page_id) AS article_id, wiki, page_id, title, extract,
+    (SELECT as_of FROM clock) AS last_enriched_at
+  FROM m WHERE o_id IS NULL
+),
+incoming AS (
+  SELECT ups.article_id, unnest(r.r_categories) AS name
+  FROM r JOIN ups ON r.wiki = ups.wiki AND r.resolved_page_id = ups.page_id WHERE r.calls AND r.error IS NULL
+),
+inc AS (SELECT DISTINCT article_id, name FROM incoming WHERE trim(name) <> ''),
+new_cats AS (
+  SELECT article_id, name FROM stored_cats WHERE article_id NOT IN (SELECT article_id FROM inc)
+  UNION ALL SELECT article_id, name FROM inc
+)
+"""

@@ -31,7 +31,7 @@ def register(name: str, sql: str | None = None):
 
 def _load_all() -> None:
     # Importing the modules runs their @register decorators.
-    from editsurge.plans import serving_queries, trend_queries  # noqa: F401
+    from editsurge.plans import ingest_queries, serving_queries, trend_queries  # noqa: F401
 
 
 def queries() -> dict[str, QueryFn]:

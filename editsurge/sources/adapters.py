@@ -303,3 +303,34 @@ def commands_from_events(events: DataFrame) -> DataFrame:
         F.when(kind == "invalidate", F.concat(F.lit("v3:trends:"), period)).alias("cache_key"),
         trunc_second("ts").alias("requested_at"),
     )
+
+
+def page_responses_from_documents(documents: DataFrame, pages: DataFrame) -> DataFrame:
+    """Captured page-API responses keyed by (wiki, title).
+
+    One per document: title 'Article {doc_id}', page id = doc_id, extract =
+    the whole text, raw category titles (one per source and one per
+    language, with the language's prefix), links = local hrefs of the page
+    with the same id (none when there is no such page)."""
+    pre = _category_prefix(F.col("lang"))
+    d = documents.select(
+        F.concat(F.col("lang"), F.lit("wiki")).alias("wiki"),
+        F.concat(F.lit("Article "), F.col("doc_id").cast("string")).alias("title"),
+        F.col("doc_id").alias("page_id"),
+        F.col("text").alias("extract"),
+        F.array(F.concat(pre, F.col("source")), F.concat(pre, F.lit(" Lang "), F.upper("lang"))).alias("raw_categories"))
+    links = links_from_pages(pages)
+    return d.join(links, "page_id", "left").select(
+        "wiki", "title", "page_id", "extract", "raw_categories",
+        F.coalesce(F.col("links"), F.array().cast("array<string>")).alias("raw_links"))
+
+
+def stored_categories_from_documents(documents: DataFrame) -> DataFrame:
+    """Category rows already stored per article: the cleaned source
+    category, plus 'Legacy' for every fourth document."""
+    from editsurge.functions.scalar import clean_category
+    pre = _category_prefix(F.col("lang"))
+    names = F.when(F.col("doc_id") % 4 == 0, F.array(F.concat(pre, F.col("source")), F.lit("Legacy"))) \
+             .otherwise(F.array(F.concat(pre, F.col("source"))))
+    return documents.select(F.col("doc_id").alias("article_id"), F.explode(names).alias("raw")) \
+                    .select("article_id", clean_category("raw").alias("name"))
