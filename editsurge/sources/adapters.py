@@ -227,20 +227,29 @@ def class_graph(customer: DataFrame, nation: DataFrame, region: DataFrame) -> tu
 
     Customers are items: C{key} -P31-> N{nation}; every 7th customer is a
     human (P31 Q5) with occupation N{nation}, except every 14th, which has
-    none.  Nations are subclasses of regions, regions of ROOT, ROOT of R0,
-    which closes a cycle.  sitelinks = customers below the class.
+    none.  Every 11th customer also has two extra P31 claims: 'n{nation}'
+    (the same class in another case) and Q{100 + key mod 4} (a class with
+    no label).  Nations are subclasses of regions, regions of ROOT, ROOT of
+    R0, which closes a cycle.  sitelinks = customers below the class.
     """
+    spark = customer.sparkSession
     c = customer.select("c_custkey", "c_nationkey")
-    human = c.c_custkey % 7 == 0
-    cq = F.concat(F.lit("C"), F.col("c_custkey").cast("string"))
+    k = F.col("c_custkey")
+    human = k % 7 == 0
+    cq = F.concat(F.lit("C"), k.cast("string"))
     nq = F.concat(F.lit("N"), F.col("c_nationkey").cast("string"))
-    item_edges = c.select(
-        cq.alias("child"),
-        F.explode(F.when(human & (F.col("c_custkey") % 14 == 0), F.array(F.struct(F.lit("P31").alias("prop"), F.lit("Q5").alias("parent"))))
-                  .when(human, F.array(F.struct(F.lit("P31").alias("prop"), F.lit("Q5").alias("parent")),
-                                       F.struct(F.lit("P106").alias("prop"), nq.alias("parent"))))
-                  .otherwise(F.array(F.struct(F.lit("P31").alias("prop"), nq.alias("parent"))))).alias("e"),
-    ).select("child", "e.prop", "e.parent")
+
+    def e(prop, parent):
+        return F.struct(F.lit(prop).alias("prop"), parent.alias("parent"))
+
+    base = (F.when(human & (k % 14 == 0), F.array(e("P31", F.lit("Q5"))))
+             .when(human, F.array(e("P31", F.lit("Q5")), e("P106", nq)))
+             .otherwise(F.array(e("P31", nq))))
+    extra = F.when(k % 11 == 0, F.array(e("P31", F.concat(F.lit("n"), F.col("c_nationkey").cast("string"))),
+                                        e("P31", F.concat(F.lit("Q"), (k % 4 + 100).cast("string"))))) \
+             .otherwise(F.array().cast("array<struct<prop:string,parent:string>>"))
+    item_edges = c.select(cq.alias("child"), F.explode(F.concat(base, extra)).alias("e")) \
+                  .select("child", "e.prop", "e.parent")
     n = nation.select("n_nationkey", "n_name", "n_regionkey")
     nation_edges = n.select(F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("child"),
                             F.lit("P279").alias("prop"),
@@ -248,8 +257,8 @@ def class_graph(customer: DataFrame, nation: DataFrame, region: DataFrame) -> tu
     r = region.select("r_regionkey", "r_name")
     region_edges = r.select(F.concat(F.lit("R"), F.col("r_regionkey").cast("string")).alias("child"),
                             F.lit("P279").alias("prop"), F.lit("ROOT").alias("parent"))
-    root_edge = region.limit(1).select(F.lit("ROOT").alias("child"), F.lit("P279").alias("prop"),
-                                       F.lit("R0").alias("parent"))
+    root_edge = spark.range(1).select(F.lit("ROOT").alias("child"), F.lit("P279").alias("prop"),
+                                      F.lit("R0").alias("parent"))
     edges = item_edges.unionByName(nation_edges).unionByName(region_edges).unionByName(root_edge)
 
     per_nation = c.groupBy("c_nationkey").agg(F.count("*").alias("k"))
@@ -271,6 +280,38 @@ def class_graph(customer: DataFrame, nation: DataFrame, region: DataFrame) -> tu
     return edges, nodes
 
 
+def labels_from_nodes(nodes: DataFrame) -> DataFrame:
+    """Entity labels (id, lang, label): the node labels in English."""
+    return nodes.select(F.col("qid").alias("id"), F.lit("en").alias("lang"), "label")
+
+
+def items_from_customers(customer: DataFrame) -> DataFrame:
+    """Articles to classify: one per customer, English."""
+    return customer.select(F.col("c_custkey").alias("article_id"), F.col("c_name").alias("title"),
+                           F.lit("en").alias("lang"))
+
+
+def topics_fixture(spark: SparkSession) -> DataFrame:
+    """Stored topics: the first five default topics with ids 1..5."""
+    from editsurge.operators.classify import DEFAULT_TOPICS
+    rows = [(i + 1, n, f"Root/{n}") for i, n in enumerate(DEFAULT_TOPICS[:5])]
+    return spark.createDataFrame(rows, "topic_id int, name string, path string")
+
+
+def article_topics_from_customers(customer: DataFrame) -> DataFrame:
+    """Stored article-topic links: every 13th customer has two (ids key mod 7
+    + 1 at 0.9 and key mod 5 + 1 at 0.4), every 17th one to a missing topic."""
+    k = F.col("c_custkey")
+
+    def link(tid, conf):
+        return F.struct(tid.cast("int").alias("topic_id"), F.lit(conf).cast("float").alias("confidence"))
+
+    links = (F.when(k % 13 == 0, F.array(link(k % 7 + 1, 0.9), link(k % 5 + 1, 0.4)))
+              .when(k % 17 == 0, F.array(link(F.lit(99), 0.95))))
+    return customer.filter(links.isNotNull()).select(k.alias("article_id"), F.explode(links).alias("l")) \
+                   .select("article_id", "l.topic_id", "l.confidence")
+
+
 def qid_mapping_from_customers(customer: DataFrame, as_of: str) -> DataFrame:
     """(wiki, title) -> qid cache rows; every 10th is a negative entry."""
     k = F.col("c_custkey")
