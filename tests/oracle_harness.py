@@ -82,7 +82,9 @@ def compare(spark, sf_dir, names=None, verbose=True):
             continue
         t1 = time.time()
         if name not in sqls:
-            results[name] = ("rows-only", f"{len(srows)} rows")
+            results[name] = ("rows-only", f"{len(srows)} rows {t1 - t0:.1f}s")
+            if verbose:
+                print(name, *results[name], flush=True)
             continue
         try:
             dcols, drows = duck_rows(con, sqls[name])
