@@ -17,16 +17,15 @@ def read_recent_changes(spark: SparkSession, path: str, streaming: bool = False,
     with the raw text in ``_corrupt_record`` (a struct of nulls otherwise),
     so a caller can route them to a bad-records table instead of losing
     them; without it they are dropped."""
-    schema = S.RECENT_CHANGE
-    if quarantine:
-        schema = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType())])
     reader = spark.readStream if streaming else spark.read
-    reader = reader.schema(schema)
     if quarantine:
-        df = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
-    else:
-        df = reader.option("mode", "DROPMALFORMED").json(path)
-    return df
+        # Parse text lines with from_json (PERMISSIVE): a bad line keeps its
+        # raw text in _corrupt_record, a good line leaves it null.
+        schema = T.StructType(S.RECENT_CHANGE.fields + [T.StructField("_corrupt_record", T.StringType())])
+        opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+        lines = reader.text(path)
+        return lines.select(F.from_json("value", schema, opts).alias("r")).select("r.*")
+    return reader.schema(S.RECENT_CHANGE).option("mode", "DROPMALFORMED").json(path)
 
 
 def decode_sse(text: DataFrame, col: str = "value") -> DataFrame:
