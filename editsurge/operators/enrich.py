@@ -22,10 +22,18 @@ EXTRACT_MAX = 4000
 
 def join_articles(edits: DataFrame, articles: DataFrame) -> DataFrame:
     """J-02: left lookup of the article by (wiki, page_id), only for
-    page_id > 0.  Article columns are prefixed with ``a_``."""
+    page_id > 0.  Article columns are prefixed with ``a_``.
+
+    Edits without a page id (the feed sends 0 when it is missing, possibly
+    a large share of all edits) bypass the join instead of hashing to one
+    shuffle key; they get null article columns and are unioned back."""
     a = articles.select(*[F.col(c).alias(f"a_{c}") for c in articles.columns])
-    cond = ((edits.wiki == a.a_wiki) & (edits.page_id == a.a_page_id) & (edits.page_id > 0))
-    return edits.join(a, cond, "left")
+    has_page = F.coalesce(F.col("page_id") > 0, F.lit(False))
+    keyed = edits.filter(has_page)
+    joined = keyed.join(a, (keyed.wiki == a.a_wiki) & (keyed.page_id == a.a_page_id), "left")
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in a.schema.fields]
+    rest = edits.filter(~has_page).select("*", *nulls)
+    return joined.unionByName(rest)
 
 
 def needs_refresh(as_of: str, hours: int = ARTICLE_CACHE_HOURS):
