@@ -117,12 +117,10 @@ def number_rows(df: DataFrame, order: list[str], start: int, name: str) -> DataF
 
 
 def upsert_articles(articles: DataFrame, refreshed: DataFrame, as_of: str) -> DataFrame:
-    """J-06 + X-23: article table after the batch.  By (wiki, page_id):
-    existing rows take the new title, extract and last_enriched_at (their
-    id stays); new keys get ids max(id) + row_number over the new keys.
-
-    The new-key numbering is an unpartitioned window over the batch's new
-    articles only (a dimension delta), not over the table."""
+    """J-06: article table after the batch.  By (wiki, page_id): existing
+    rows take the new title, extract and last_enriched_at (their id stays);
+    new keys get ids max(id) + 1, 2, ... in (wiki, page_id) order
+    (number_rows: distributed sort, no single-task window)."""
     new = (refreshed.filter(F.col("_stale") & F.col("error").isNull())
                     .groupBy("wiki", F.col("resolved_page_id").alias("page_id"))
                     .agg(F.max_by(F.struct(F.col("article_title").alias("title"),
@@ -142,6 +140,22 @@ def upsert_articles(articles: DataFrame, refreshed: DataFrame, as_of: str) -> Da
     return kept.unionByName(fresh)
 
 
+def with_audit(before: DataFrame, after: DataFrame, key: list[str], tracked: list[str], as_of: str) -> DataFrame:
+    """X-23: audit columns of an upserted table.  created_at is kept for
+    existing keys and set to as_of on insert; updated_at moves to as_of when
+    a tracked column changed (null-safe compare), else it is kept.
+    ``before`` must carry created_at and updated_at."""
+    b = before.select(*key, *[F.col(c).alias(f"b_{c}") for c in tracked], "created_at", "updated_at")
+    j = after.join(b, key, "left")
+    changed = F.lit(False)
+    for c in tracked:
+        changed = changed | ~F.col(c).eqNullSafe(F.col(f"b_{c}"))
+    new = F.col("created_at").isNull()
+    return j.select(*after.columns,
+                    F.when(new, ts_lit(as_of)).otherwise(F.col("created_at")).alias("created_at"),
+                    F.when(new | changed, ts_lit(as_of)).otherwise(F.col("updated_at")).alias("updated_at"))
+
+
 def category_delta(stored: DataFrame, incoming: DataFrame) -> DataFrame:
     """J-09 + U-02: per article, names to remove (stored, not incoming) and
     names to add (incoming, not stored); blank names ignored, names

@@ -310,3 +310,7 @@ resolved AS (
 
 def with_recursive(*parts: str) -> str:
     return "WITH RECURSIVE " + ",\n".join(p.strip() for p in parts)
+
+
+# GRAPH without its own clock, for plans that already define one.
+GRAPH_NO_CLOCK = GRAPH.replace("clock AS (SELECT max(date_trunc('second', ts)) AS as_of FROM events),\n", "")

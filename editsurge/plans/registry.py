@@ -31,8 +31,9 @@ def register(name: str, sql: str | None = None):
 
 def _load_all() -> None:
     # Importing the modules runs their @register decorators.
-    from editsurge.plans import (classify_queries, ingest_queries, ops_queries,  # noqa: F401
-                                 serving_queries, source_queries, stream_queries, trend_queries)
+    from editsurge.plans import (classify_queries, extra_queries, ingest_queries,  # noqa: F401
+                                 ops_queries, serving_queries, source_queries, stream_queries,
+                                 trend_queries)
 
 
 def queries() -> dict[str, QueryFn]:
