@@ -11,7 +11,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -20,7 +19,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from editsurge.operators import serving as sv  # noqa: E402
 from editsurge.operators import trends as tr  # noqa: E402
-from editsurge.session import get_spark  # noqa: E402
+from editsurge.session import ensure_checkpoint_dir, get_spark  # noqa: E402
 from editsurge.sources.adapters import edits_bench, max_ts  # noqa: E402
 from editsurge.sources.sinks import write_edit_events  # noqa: E402
 from editsurge.sources.tables import read_table  # noqa: E402
@@ -44,30 +43,40 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = get_spark(f"local[{cpus}]", app="editsurge-bench", shuffle_partitions=int(cpus) * 2,
                       extra={"spark.driver.memory": "16g"})
-    scratch = tempfile.mkdtemp(prefix="editsurge-bench-")
+    scratch = os.path.join(ensure_checkpoint_dir(spark), f"bench-{int(time.time())}")
     table = os.path.join(scratch, "edit_events")
 
     li = read_table(spark, sf_dir, "lineitem")
     part = read_table(spark, sf_dir, "part")
     orders = read_table(spark, sf_dir, "orders")
-    q = {}
-    q["ingest_edits"] = _time(lambda: write_edit_events(edits_bench(li, part, orders), table))
+    cold, warm = {}, {}
+    # The load runs twice into two tables (cold, then warm); queries read
+    # the second.
+    cold["ingest_edits"] = _time(lambda: write_edit_events(edits_bench(li, part, orders), table + "_cold"))
+    warm["ingest_edits"] = _time(lambda: write_edit_events(edits_bench(li, part, orders), table))
     edits = spark.read.parquet(table)
     as_of = max_ts(edits)
     kw = dict(lookback_days=LOOKBACK_DAYS)
-    q["trends_report"] = _time(lambda: _run(tr.trends_report(edits, as_of, **kw)))
-    q["trend_aggregation"] = _time(lambda: _run(tr.trend_counts(edits, as_of)))
-    q["recalculate_baselines"] = _time(lambda: _run(tr.recalculate_baselines(edits, as_of, LOOKBACK_DAYS)))
-    q["top_articles"] = _time(lambda: _run(tr.top_articles(tr.article_counts(edits, as_of), 20)))
-    q["topic_info"] = _time(lambda: _run(tr.topic_info(edits)))
-    q["trends_api"] = _time(lambda: _run(sv.trends_response(edits, as_of, "Last7Days", **kw)))
-    q["cluster_topics"] = _time(lambda: _run(sv.clusters(edits, as_of, "Last7Days")))
-    q["topic_detail"] = _time(lambda: _run(sv.topic_detail(edits, as_of, 7, "Last7Days", **kw)))
-    q["topic_activity_stats"] = _time(lambda: _run(sv.topic_stats(edits)))
-    total = sum(q.values())
+    plans = {
+        "trends_report": lambda: tr.trends_report(edits, as_of, **kw),
+        "trend_aggregation": lambda: tr.trend_counts(edits, as_of),
+        "recalculate_baselines": lambda: tr.recalculate_baselines(edits, as_of, LOOKBACK_DAYS),
+        "top_articles": lambda: tr.top_articles(tr.article_counts(edits, as_of), 20),
+        "topic_info": lambda: tr.topic_info(edits),
+        "trends_api": lambda: sv.trends_response(edits, as_of, "Last7Days", **kw),
+        "cluster_topics": lambda: sv.clusters(edits, as_of, "Last7Days"),
+        "topic_detail": lambda: sv.topic_detail(edits, as_of, 7, "Last7Days", **kw),
+        "topic_activity_stats": lambda: sv.topic_stats(edits),
+    }
+    # Each query runs twice: the first (cold: JIT, codegen, file listing)
+    # is kept as cold_total, the second (warm) is the reported time.
+    for name, build in plans.items():
+        cold[name] = _time(lambda: _run(build()))
+        warm[name] = _time(lambda: _run(build()))
     rows = edits.count()
-    print(json.dumps({"metric": "total_query_seconds", "value": round(total, 3), "unit": "sec",
-                      "queries": {k: round(v, 3) for k, v in q.items()},
+    print(json.dumps({"metric": "total_query_seconds", "value": round(sum(warm.values()), 3), "unit": "sec",
+                      "queries": {k: round(v, 3) for k, v in warm.items()},
+                      "cold_total": round(sum(cold.values()), 3),
                       "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
                       "edit_rows": rows, "cpus": int(cpus),
                       "shuffle_partitions": int(cpus) * 2}))

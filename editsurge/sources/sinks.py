@@ -44,22 +44,26 @@ def with_eff_date(df: DataFrame) -> DataFrame:
 
 
 def write_edit_events(df: DataFrame, path: str, partition_by_day: bool = False,
-                      mode: str = "append") -> None:
+                      mode: str = "append", num_files: int | None = None) -> None:
     """S-05 (batch part): validate and append classified edits to Parquet.
 
-    With ``partition_by_day`` the table is partitioned by ``eff_date`` and
-    rows are clustered by effective time inside each file, so trailing
-    windows prune partitions and row groups.  Each day's rows are hashed to
-    one writer per day (``repartition(eff_date)``); on a cluster, where a
-    day holds far more data, add a second key or rely on
-    ``spark.sql.files.maxRecordsPerFile``.
+    Rows are range-partitioned by effective time (``num_files`` ranges,
+    default ``spark.sql.shuffle.partitions``): the write runs in parallel
+    even when the input is one file, a large day is split over many
+    writers instead of one, and every file covers its own time range, so
+    the Parquet min/max statistics let trailing-window scans skip old row
+    groups.  With ``partition_by_day`` the table is also partitioned by
+    ``eff_date`` (day of the effective time) for directory pruning.
     """
     out = valid_edits(df)
+    spark = df.sparkSession
+    n = num_files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    eff = effective_time()
     if partition_by_day:
-        out = with_eff_date(out).repartition("eff_date").sortWithinPartitions("eff_date", effective_time())
+        out = with_eff_date(out).repartitionByRange(n, "eff_date", eff).sortWithinPartitions("eff_date", eff)
         out.write.mode(mode).partitionBy("eff_date").parquet(path)
     else:
-        out.sortWithinPartitions(effective_time()).write.mode(mode).parquet(path)
+        out.repartitionByRange(n, eff).sortWithinPartitions(eff).write.mode(mode).parquet(path)
 
 
 def write_baselines(df: DataFrame, path: str) -> None:
