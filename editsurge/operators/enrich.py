@@ -72,31 +72,40 @@ def refresh(edits: DataFrame, articles: DataFrame, responses: DataFrame, as_of:
     refreshes.  Missing response -> 'Page not found: {title}'; page id still
     <= 0 -> 'Wikipedia API did not return valid PageId'.
     The first-edit test uses an aggregate joined back (no window), so a hot
-    article is split by partial aggregation and AQE's skew join.
+    article is combined map side; only stale edits with a page id take part
+    in that join, only stale edits look up responses, and fresh edits pass
+    through without any shuffle.
     """
-    j = join_articles(edits, articles).withColumn("_stale", needs_refresh(as_of, hours))
-    first = (j.filter(F.col("_stale") & (F.col("page_id") > 0))
-              .groupBy("wiki", "page_id")
-              .agg(F.min(F.struct("timestamp", "event_id")).alias("_first")))
-    j = j.join(first, ["wiki", "page_id"], "left")
-    is_first = F.col("_first").isNull() | (F.struct("timestamp", "event_id") == F.col("_first"))
-    caller = F.col("_stale") & ((F.col("page_id") <= 0) | is_first)
-    j = j.withColumn("_calls", caller)
+    j = join_articles(edits, articles).withColumn(
+        "_stale", F.coalesce(needs_refresh(as_of, hours), F.lit(True)))
+    has_page = F.coalesce(F.col("page_id") > 0, F.lit(False))
+    keyed = j.filter(F.col("_stale") & has_page)
+    first = (keyed.groupBy("wiki", "page_id")
+                  .agg(F.min(F.struct("timestamp", "event_id")).alias("_first")))
+    keyed = (keyed.join(first, ["wiki", "page_id"], "left")
+                  .withColumn("_calls", F.struct("timestamp", "event_id") == F.col("_first")))
+    first_type = first.schema["_first"].dataType
+    unkeyed = (j.filter(F.col("_stale") & ~has_page)
+                .withColumn("_first", F.lit(None).cast(first_type)).withColumn("_calls", F.lit(True)))
     r = parse_page_responses(responses)
-    # Responses are looked up for calling rows and for the refreshed article
-    # of later rows alike; the join key is (wiki, title).
-    j = j.join(r, ["wiki", "title"], "left")
-    page_id = F.when(F.col("page_id") > 0, F.col("page_id")).otherwise(F.coalesce("r_page_id", F.lit(0).cast("long")))
+    stale = keyed.unionByName(unkeyed).join(r, ["wiki", "title"], "left")
+    r_nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in r.schema.fields if f.name not in ("wiki", "title")]
+    fresh = (j.filter(~F.col("_stale"))
+              .withColumn("_first", F.lit(None).cast(first_type)).withColumn("_calls", F.lit(False))
+              .select("*", *r_nulls))
+    j = stale.unionByName(fresh)
+    page_id = F.when(has_page, F.col("page_id")).otherwise(F.coalesce("r_page_id", F.lit(0).cast("long")))
     err = (F.when(F.col("_stale") & F.col("r_page_id").isNull(), F.concat(F.lit("Page not found: "), F.col("title")))
             .when(F.col("_stale") & (page_id <= 0), F.lit("Wikipedia API did not return valid PageId")))
     refreshed = F.col("_stale")
+    no_links = F.array().cast("array<string>")
     return j.select(
         "*",
         page_id.alias("resolved_page_id"),
         err.alias("error"),
         F.when(refreshed, F.col("title")).otherwise(F.col("a_title")).alias("article_title"),
         F.when(refreshed, truncate_extract("r_extract", EXTRACT_MAX)).otherwise(F.col("a_extract")).alias("article_extract"),
-        F.when(F.col("_calls"), F.col("r_links")).otherwise(F.array().cast("array<string>")).alias("linked_articles"),
+        F.when(F.col("_calls"), F.coalesce(F.col("r_links"), no_links)).otherwise(no_links).alias("linked_articles"),
     )
 
 

@@ -105,14 +105,22 @@ def notification_fanout(notes: DataFrame) -> DataFrame:
 def page_of(df: DataFrame, order_cols, page: int = 1, page_size: int = 50, partition_cols=None) -> DataFrame:
     """W-07: one page of an ordered list plus total_count, total_pages =
     ceil(total / size), has_next and has_previous.  Page and size are
-    clamped to >= 1.  ``partition_cols`` pages each group separately."""
+    clamped to >= 1.  ``partition_cols`` pages each group separately.
+
+    Totals come from an aggregate (partial per task), and the ranking
+    keeps only ``row_number <= page * size`` rows per group, which Spark
+    plans as a WindowGroupLimit before the shuffle, so a large group never
+    moves more than one page-end of rows per task."""
     page, size = max(1, int(page)), max(1, int(page_size))
-    parts = partition_cols or []
-    w = Window.partitionBy(*parts).orderBy(*order_cols)
-    wall = Window.partitionBy(*parts)
+    parts = list(partition_cols or [])
     lo, hi = (page - 1) * size, page * size
-    x = (df.withColumn("_rn", F.row_number().over(w)).withColumn("total_count", F.count("*").over(wall)))
-    x = x.filter((F.col("_rn") > lo) & (F.col("_rn") <= hi))
+    w = Window.partitionBy(*parts).orderBy(*order_cols)
+    ranked = df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= hi).filter(F.col("_rn") > lo)
+    if parts:
+        totals = df.groupBy(*parts).agg(F.count("*").alias("total_count"))
+        x = ranked.join(totals, parts)
+    else:
+        x = ranked.withColumn("total_count", F.lit(df.count()))  # one scalar
     total_pages = F.ceil(F.col("total_count") / F.lit(float(size))).cast("int")
     return x.select(*[c for c in df.columns], F.col("_rn").alias("row_number"), "total_count",
                     F.lit(page).alias("page"), F.lit(size).alias("page_size"),

@@ -115,12 +115,12 @@ up AS (SELECT topic_id, coalesce(new_name, name) AS name, path FROM m WHERE topi
   UNION ALL SELECT (SELECT max(topic_id) FROM topics) + row_number() OVER (ORDER BY path), new_name, path FROM m WHERE topic_id IS NULL)""") + """
 SELECT row_number() OVER (ORDER BY path, name) AS position, topic_id, name, path FROM up""")
 def q_topic_dictionary(spark, sf_dir):
-    """W-06: all topics ordered by path, then name (a small dimension, so
-    one ordered window is fine)."""
-    from pyspark.sql import Window
+    """W-06: all topics ordered by path, then name, numbered by a
+    distributed range sort (no single-task window)."""
+    from editsurge.operators.enrich import number_rows
     res, topics, *_ = _resolved(spark, sf_dir)
     up = cl.upsert_topics(topics, res.select("name", "path"))
-    return up.select(F.row_number().over(Window.orderBy("path", "name")).alias("position"), "topic_id", "name", "path")
+    return number_rows(up.select("topic_id", "name", "path"), ["path", "name"], 0, "position")
 
 
 @register("replace_article_topics", with_recursive(G50, TF, """
