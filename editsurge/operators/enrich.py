@@ -215,13 +215,22 @@ def enrich(edits: DataFrame, articles: DataFrame, categories: DataFrame, respons
     """The whole enrichment step for a batch of raw edits.
 
     Returns enriched edits, errors (event_id, error), the article table
-    after the upsert and the category table after replacement."""
+    after the upsert, the category table after replacement, the category
+    delta, and the two change sets a stream appends to its logs:
+    ``article_changes`` (upserted rows of the refreshed articles) and
+    ``category_sets`` (article_id, names) for every refreshed article."""
     r = refresh(edits, articles, responses, as_of, hours)
     upserted = upsert_articles(articles, r, as_of)
-    incoming = (r.filter(F.col("_calls") & F.col("error").isNull())
-                 .join(upserted.select("article_id", F.col("wiki").alias("wiki"), F.col("page_id").alias("resolved_page_id")),
-                       ["wiki", "resolved_page_id"])
-                 .select("article_id", F.explode("r_categories").alias("name")))
+    refreshed_keys = (r.filter(F.col("_stale") & F.col("error").isNull())
+                       .select("wiki", F.col("resolved_page_id").alias("page_id")).distinct())
+    changes = upserted.join(refreshed_keys, ["wiki", "page_id"], "left_semi")
+    callers = (r.filter(F.col("_calls") & F.col("error").isNull())
+                .join(upserted.select("article_id", F.col("wiki").alias("wiki"), F.col("page_id").alias("resolved_page_id")),
+                      ["wiki", "resolved_page_id"]))
+    incoming = callers.select("article_id", F.explode("r_categories").alias("name"))
+    sets = (callers.select("article_id", F.explode_outer("r_categories").alias("name"))
+                   .groupBy("article_id")
+                   .agg(F.array_sort(F.array_distinct(F.filter(F.collect_list("name"), lambda x: F.trim(x) != ""))).alias("names")))
     cats = replace_categories(categories, incoming)
     return {
         "enriched": to_enriched(r, upserted, cats, as_of),
@@ -229,4 +238,31 @@ def enrich(edits: DataFrame, articles: DataFrame, categories: DataFrame, respons
         "articles": upserted,
         "categories": cats,
         "category_delta": category_delta(categories, incoming),
+        "article_changes": changes,
+        "category_sets": sets,
     }
+
+
+def latest_articles(base: DataFrame, changes: DataFrame | None) -> DataFrame:
+    """W-05: the article table as base rows plus appended change rows, the
+    newest per (wiki, page_id) by last_enriched_at winning (aggregate, so a
+    hot key is combined map side)."""
+    if changes is None:
+        return base
+    cols = base.columns
+    allr = base.select(*cols).unionByName(changes.select(*cols))
+    return (allr.groupBy("wiki", "page_id")
+                .agg(F.max_by(F.struct(*[c for c in cols if c not in ("wiki", "page_id")]),
+                              F.struct("last_enriched_at", "article_id")).alias("v"))
+                .select("wiki", "page_id", "v.*").select(*cols))
+
+
+def latest_categories(base: DataFrame, sets: DataFrame | None) -> DataFrame:
+    """Category table as base rows plus appended per-article sets
+    (article_id, names, version); the highest version per article wins."""
+    if sets is None:
+        return base
+    b = base.groupBy("article_id").agg(F.collect_list("name").alias("names")).withColumn("version", F.lit(0).cast("long"))
+    allr = b.unionByName(sets.select("article_id", "names", F.col("version").cast("long")))
+    latest = allr.groupBy("article_id").agg(F.max_by("names", "version").alias("names"))
+    return latest.select("article_id", F.explode("names").alias("name"))

@@ -164,7 +164,7 @@ def q_parse_page_response(spark, sf_dir):
     src = _page_bodies(spark, sf_dir).withColumnRenamed("page_id", "page_key")
     p = rp.parse_page_response(src)
     return p.select("page_key", "error", "page_id", F.md5("extract").alias("extract_md5"), "categories",
-                    F.size("linked_articles").alias("n_links"))
+                    F.when(F.col("linked_articles").isNotNull(), F.size("linked_articles")).alias("n_links"))
 
 
 @register("parse_qid_response", """

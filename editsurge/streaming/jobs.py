@@ -266,19 +266,32 @@ def start_notifications(spark: SparkSession, tick_path: str, table_path: str, ou
 
 def start_enrich_stream(spark: SparkSession, raw_topic: str, dims: dict, out_path: str, error_path: str,
                         checkpoint: str, as_of_fn=None, trigger: dict | None = None):
-    """T-02: raw edits -> enrichment against the article table, re-read per
-    micro-batch (a stream-static join) -> enriched records and errors."""
+    """T-02: raw edits -> enrichment against the article table -> enriched
+    records and errors.  The dimension tables are read per micro-batch
+    (stream-static joins) as base table + the change logs this job appends
+    (``dims['article_log']``, ``dims['category_log']``), newest version per
+    key, so an article refreshed in one batch is fresh for the next."""
     from editsurge.operators import enrich as en
     s = read_topic_stream(spark, raw_topic, S.RAW_EDIT).select("r.*")
+    art_log = dims.get("article_log") or os.path.join(out_path + "_article_log")
+    cat_log = dims.get("category_log") or os.path.join(out_path + "_category_log")
+
+    def _read_opt(path):
+        try:
+            return spark.read.parquet(path)
+        except Exception:  # noqa: BLE001 - the log does not exist before the first batch
+            return None
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        arts = spark.read.parquet(dims["articles"])
-        cats = spark.read.parquet(dims["categories"])
+        arts = en.latest_articles(spark.read.parquet(dims["articles"]), _read_opt(art_log))
+        cats = en.latest_categories(spark.read.parquet(dims["categories"]), _read_opt(cat_log))
         resp = spark.read.parquet(dims["responses"])
         as_of = as_of_fn() if as_of_fn else tr_as_of(batch.withColumnRenamed("timestamp", "ts"))
         out = en.enrich(batch, arts, cats, resp, as_of)
         _write_batch(out["enriched"], out_path, batch_id)
         _write_batch(out["errors"], error_path, batch_id)
+        _write_batch(out["article_changes"], art_log, batch_id)
+        _write_batch(out["category_sets"].withColumn("version", F.lit(batch_id + 1).cast("long")), cat_log, batch_id)
 
     return (s.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
              .trigger(**(trigger or {"processingTime": "5 seconds"})).start())

@@ -112,7 +112,15 @@ if __name__ == "__main__":
     args = sys.argv[1:]
     sf = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     names = [a for a in args if not a.startswith("/")] or None
-    spark = get_spark("local[8]", shuffle_partitions=8)
+    # ORACLE_TZ / ORACLE_ANSI / ORACLE_PARTITIONS emulate a differently
+    # configured driver session (results must not depend on them).
+    import os as _os
+    extra = {}
+    if _os.environ.get("ORACLE_TZ"):
+        extra["spark.sql.session.timeZone"] = _os.environ["ORACLE_TZ"]
+    if _os.environ.get("ORACLE_ANSI"):
+        extra["spark.sql.ansi.enabled"] = _os.environ["ORACLE_ANSI"]
+    spark = get_spark("local[8]", shuffle_partitions=int(_os.environ.get("ORACLE_PARTITIONS", "8")), extra=extra)
     res = compare(spark, sf, names)
     bad = {k: v for k, v in res.items() if v[0] not in ("ok", "rows-only")}
     print(f"SUMMARY ok={sum(v[0] == 'ok' for v in res.values())} rows-only={sum(v[0] == 'rows-only' for v in res.values())} bad={len(bad)}")

@@ -67,3 +67,41 @@ def test_minute_rollup_matches_batch_counts(spark):
     lo = J.trunc_minute(tr.window_start(as_of, "Last7Days"))
     direct = {x.topic_id: x.n for x in e.filter(F.col("m") >= lo).groupBy("topic_id").agg(F.count("*").alias("n")).collect()}
     assert week == direct
+
+
+def test_enrich_stream_refreshes_once_across_batches(spark):
+    """An article refreshed in batch 1 is fresh for batch 2 (no second call,
+    no links), because the stream appends its upserts to a change log."""
+    import datetime as dt
+
+    from editsurge import schemas as S
+    d = J.state_dir(spark, "test-streams", uuid.uuid4().hex)
+    local = d[len("file:"):] if d.startswith("file:") else d   # same folder for os.* calls
+    now = dt.datetime(2024, 1, 30, 12, 0, 0)
+    spark.createDataFrame([(101, "enwiki", 43, "Old", "old", now - dt.timedelta(hours=5))],
+                          "article_id long, wiki string, page_id long, title string, extract string, last_enriched_at timestamp_ntz") \
+         .write.parquet(os.path.join(d, "articles"))
+    spark.createDataFrame([(101, "Gone")], "article_id long, name string").write.parquet(os.path.join(d, "categories"))
+    spark.createDataFrame([("enwiki", "T43", 43, "refreshed", ["Category:C3"], ["L3"])],
+                          "wiki string, title string, page_id long, extract string, raw_categories array<string>, raw_links array<string>") \
+         .write.parquet(os.path.join(d, "responses"))
+    for i in (1, 2):
+        e = spark.createDataFrame([(f"evt-{i}", i, 43, "T43", "enwiki", "u", False, False, False, 1, 2,
+                                    now + dt.timedelta(minutes=i), now)], S.RAW_EDIT)
+        to_topic_records(e, "page_id").write.json(os.path.join(d, "raw", f"part{i}"))
+    # Two files in two sub-folders: read them as two micro-batches.
+    import glob
+    import shutil
+    flat = os.path.join(local, "rawflat")
+    os.makedirs(flat)
+    for i, f in enumerate(sorted(glob.glob(os.path.join(local, "raw", "part*", "*.json")))):
+        shutil.copy(f, os.path.join(flat, f"{i:03d}.json"))
+        os.utime(os.path.join(flat, f"{i:03d}.json"), (1_700_000_000 + i, 1_700_000_000 + i))
+    dims = {k: os.path.join(d, k) for k in ("articles", "categories", "responses")}
+    q = J.start_enrich_stream(spark, flat, dims, os.path.join(d, "out"), os.path.join(d, "err"), os.path.join(d, "ck"),
+                              as_of_fn=lambda: "2024-01-30 12:30:00", trigger={"availableNow": True})
+    import pyspark.sql.streaming  # noqa: F401
+    q.awaitTermination()
+    rows = {r.event_id: r for r in spark.read.parquet(os.path.join(d, "out")).collect()}
+    assert rows["evt-1"].linked_articles == ["L3"] and rows["evt-2"].linked_articles == []
+    assert rows["evt-2"].extract == "refreshed" and rows["evt-2"].categories == ["C3"]
