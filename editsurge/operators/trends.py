@@ -208,19 +208,16 @@ def top_articles(counts: DataFrame, n: int = TOP_ARTICLES_REPORT) -> DataFrame:
                   .filter(F.col("article_rank") <= max(1, n)))
 
 
-def topic_info(edits: DataFrame, topic_ids: DataFrame | None = None) -> DataFrame:
-    """A-06: latest usable name and path per topic by effective time.
-
-    Placeholder names ('topic 5', 'topic5') and paths ('topic-5') and empty
-    text are skipped; when nothing usable exists the value is '' (the
-    reference's argMaxIf default), and callers fall back with F-15.  Ties on
-    time go to the larger text so the result is repeatable.
+def topic_label_state(edits: DataFrame, topic_ids: DataFrame | None = None) -> DataFrame:
+    """A-06 partial state: per topic the newest usable (eff, name) and
+    (eff, path) structs (null when none).  ``max`` over these structs is
+    associative, so states of separate batches merge exactly
+    (merge_label_states) and the report never needs to rescan history.
 
     Two stages: a hash aggregate by (topic, name, path) with partial
     aggregation keeps only the newest time of each distinct label pair, so
-    the struct-max stage (a sort aggregate) sees a handful of rows per topic
-    however many edits a topic has.  ``topic_ids`` must be small (a top-N
-    list); it is broadcast.
+    the struct-max stage sees a handful of rows per topic however many
+    edits a hot topic has.  ``topic_ids`` must be small; it is broadcast.
     """
     t = explode_topics(edits.select(effective_time().alias("eff"), "topics"), "eff")
     if topic_ids is not None:
@@ -230,12 +227,33 @@ def topic_info(edits: DataFrame, topic_ids: DataFrame | None = None) -> DataFram
     labels = (t.groupBy("topic_id", "name", "path")
                .agg(F.max(F.when(name_ok, F.col("eff"))).alias("name_eff"),
                     F.max(F.when(path_ok, F.col("eff"))).alias("path_eff")))
-    return (labels.groupBy("topic_id")
-                  .agg(F.max(F.when(F.col("name_eff").isNotNull(), F.struct("name_eff", "name"))).alias("n"),
-                       F.max(F.when(F.col("path_eff").isNotNull(), F.struct("path_eff", "path"))).alias("p"))
-                  .select(F.col("topic_id").cast("int").alias("topic_id"),
-                          F.coalesce(F.col("n.name"), F.lit("")).alias("name"),
-                          F.coalesce(F.col("p.path"), F.lit("")).alias("path")))
+    return (labels.groupBy(F.col("topic_id").cast("int").alias("topic_id"))
+                  .agg(F.max(F.when(F.col("name_eff").isNotNull(),
+                                    F.struct(F.col("name_eff").alias("eff"), F.col("name").alias("label")))).alias("n"),
+                       F.max(F.when(F.col("path_eff").isNotNull(),
+                                    F.struct(F.col("path_eff").alias("eff"), F.col("path").alias("label")))).alias("p")))
+
+
+def merge_label_states(states: DataFrame) -> DataFrame:
+    """Fold label states (e.g. one per ingested batch) into one per topic."""
+    return states.groupBy("topic_id").agg(F.max("n").alias("n"), F.max("p").alias("p"))
+
+
+def topic_info_from_state(state: DataFrame) -> DataFrame:
+    """A-06 result from a (merged) label state: '' when nothing usable."""
+    return state.select("topic_id", F.coalesce(F.col("n.label"), F.lit("")).alias("name"),
+                        F.coalesce(F.col("p.label"), F.lit("")).alias("path"))
+
+
+def topic_info(edits: DataFrame, topic_ids: DataFrame | None = None) -> DataFrame:
+    """A-06: latest usable name and path per topic by effective time.
+
+    Placeholder names ('topic 5', 'topic5') and paths ('topic-5') and empty
+    text are skipped; when nothing usable exists the value is '' (the
+    reference's argMaxIf default), and callers fall back with F-15.  Ties on
+    time go to the larger text so the result is repeatable.
+    """
+    return topic_info_from_state(topic_label_state(edits, topic_ids))
 
 
 def with_topic_info(trends: DataFrame, info: DataFrame) -> DataFrame:
@@ -277,26 +295,30 @@ def trend_rollup(edits: DataFrame, as_of: str, days: int = BASELINE_LOOKBACK_DAY
 def scored_topics(edits: DataFrame, as_of: str, baselines: DataFrame | None = None,
                   top_n: int = TOP_TOPICS, min_score: float = MIN_SCORE_TO_REPORT,
                   min_change: float = MIN_CHANGE_TO_REPORT,
-                  lookback_days: int = BASELINE_LOOKBACK_DAYS) -> DataFrame:
+                  lookback_days: int = BASELINE_LOOKBACK_DAYS,
+                  label_state: DataFrame | None = None) -> DataFrame:
     """A-01 -> W-03 -> J-18 -> J-17 -> A-04 -> F-07 for all periods at once.
 
     With no stored ``baselines`` the baseline comes from the same scan as
     the counts (trend_rollup).  Topic names come from one more scan of the
-    edit history.  The result holds at most 3 * top_n rows.
+    edit history, or from a maintained ``label_state`` (no history scan).
+    The result holds at most 3 * top_n rows.
     """
     if baselines is None:
         counts = trend_rollup(edits, as_of, lookback_days)
     else:
         counts = with_baseline(trend_counts(edits, as_of), baselines)
     top = top_topics(counts, top_n)
-    scored = anomaly(top.join(topic_info(edits), "topic_id", "left"))
+    info = topic_info(edits) if label_state is None else topic_info_from_state(merge_label_states(label_state))
+    scored = anomaly(top.join(info, "topic_id", "left"))
     scored = scored.withColumn("topic_name", display_name(F.coalesce("name", F.lit("")), "topic_id"))
     return reportable(scored, min_score, min_change)
 
 
 def trends_report(edits: DataFrame, as_of: str, baselines: DataFrame | None = None,
                   top_n: int = TOP_TOPICS, articles_n: int = TOP_ARTICLES_REPORT,
-                  lookback_days: int = BASELINE_LOOKBACK_DAYS) -> DataFrame:
+                  lookback_days: int = BASELINE_LOOKBACK_DAYS,
+                  label_state: DataFrame | None = None) -> DataFrame:
     """A-10 flattened: one row per (period, reported topic, top article).
 
     A reported topic with no article in the window keeps one row with null
@@ -304,7 +326,7 @@ def trends_report(edits: DataFrame, as_of: str, baselines: DataFrame | None = No
     Every input scan runs once: counts+baselines, topic names, articles.
     The article side is top-N per topic (bounded by topics x 3 x N rows).
     """
-    scored = scored_topics(edits, as_of, baselines, top_n, lookback_days=lookback_days)
+    scored = scored_topics(edits, as_of, baselines, top_n, lookback_days=lookback_days, label_state=label_state)
     arts = top_articles(article_counts(edits, as_of), articles_n)
     w = Window.partitionBy("period").orderBy(F.desc("anomaly_score"), F.asc("topic_id"))
     topics = scored.withColumn("score_rank", F.row_number().over(w))

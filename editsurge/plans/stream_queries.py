@@ -14,7 +14,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from editsurge.plans.oracle_ctes import EDITS, with_ctes
+from editsurge.plans.oracle_ctes import EDITS, INFO, with_ctes
 from editsurge.plans.registry import register
 from editsurge.sources import adapters as ad
 from editsurge.sources.sinks import to_topic_records
@@ -58,6 +58,23 @@ def q_stream_ingest(spark, sf_dir):
     return t.groupBy("wiki").agg(F.count("*").alias("edits"), F.countDistinct("event_id").alias("events"))
 
 
+@register("stream_topic_labels", with_ctes(EDITS, "ids AS (SELECT DISTINCT topic_id FROM et WHERE topic_id > 0)",
+                                          INFO.format(ids="ids")) + """
+SELECT topic_id, name, path FROM info""")
+def q_stream_topic_labels(spark, sf_dir):
+    """T-01 + A-06 incremental: the ingest stream appends a topic label
+    state per micro-batch; merging the states gives the same names and
+    paths as a scan of the whole history."""
+    from editsurge.operators import trends as tr
+    d = _scratch(spark, "labels")
+    _edit_topic(spark, sf_dir, os.path.join(d, "topic"))
+    _run(J.start_ingest(spark, os.path.join(d, "topic"), os.path.join(d, "table"), os.path.join(d, "bad"),
+                        os.path.join(d, "ckpt"), AVAILABLE_NOW, max_files_per_trigger=1,
+                        label_state_path=os.path.join(d, "labels")))
+    state = spark.read.parquet(os.path.join(d, "labels")).select("topic_id", "n", "p")
+    return tr.topic_info_from_state(tr.merge_label_states(state))
+
+
 @register("stream_dedup", with_ctes(EDITS) + """
 SELECT wiki, count(*) AS edits FROM e GROUP BY wiki""")
 def q_stream_dedup(spark, sf_dir):

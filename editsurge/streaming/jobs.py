@@ -52,10 +52,14 @@ def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
 
 
 def start_ingest(spark: SparkSession, topic_path: str, table_path: str, quarantine_path: str,
-                 checkpoint: str, trigger: dict | None = None, max_files_per_trigger: int | None = None):
+                 checkpoint: str, trigger: dict | None = None, max_files_per_trigger: int | None = None,
+                 label_state_path: str | None = None):
     """T-01 + S-05: classified-edit records -> validate -> append to the
     edit table; records that fail validation (or do not parse) go to a
-    quarantine table instead of being lost (Q6)."""
+    quarantine table instead of being lost (Q6).  With
+    ``label_state_path`` each batch also appends its topic label state
+    (A-06 partial), so trend cycles read names from the small merged state
+    instead of rescanning the whole edit history."""
     stream = read_topic_stream(spark, topic_path, S.EDIT_EVENTS, max_files_per_trigger)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
@@ -64,6 +68,9 @@ def start_ingest(spark: SparkSession, topic_path: str, table_path: str, quaranti
         bad = invalid_edits(recs).select("_raw")
         _write_batch(good, table_path, batch_id)
         _write_batch(bad, quarantine_path, batch_id)
+        if label_state_path:
+            stored = spark.read.parquet(os.path.join(table_path, f"batch_id={batch_id}"))
+            _write_batch(tr.topic_label_state(stored), label_state_path, batch_id)
 
     w = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
     return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
