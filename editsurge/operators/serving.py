@@ -177,7 +177,10 @@ def topic_detail(edits: DataFrame, as_of: str, topic_id: int, period: str = "Las
         raise ValueError("topic_id must be positive")
     period = norm_period(period)
     spark = edits.sparkSession
-    ask = spark.range(1).select(F.lit(int(topic_id)).alias("topic_id"))
+    # The request as a one-row local table: a key taken from data keeps the
+    # joins below equi-joins (a literal key would be folded into a
+    # nested-loop join).
+    ask = spark.createDataFrame([(int(topic_id),)], "topic_id int")
     d = topic_details(edits, as_of, period, [topic_id], baselines, lookback_days)
     name = F.concat(F.lit("topic-"), F.col("topic_id").cast("string"))
     d = ask.join(d, "topic_id", "left").select(
