@@ -116,9 +116,19 @@ def load_edits(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
     return edits_from_events(events), max_ts(events)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the cluster has
+    cores (e.g. one large single-row-group file), so the work after it runs
+    in parallel.  A scan with enough splits is returned unchanged."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def edits_bench(lineitem: DataFrame, part: DataFrame, orders: DataFrame) -> DataFrame:
     """Bench edits (FIXTURES 3.5): one edit per line item, topic = brand number."""
-    li = lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_shipdate")
+    li = spread(lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_shipdate"))
     p = part.select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand", "p_type")
     o = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     j = li.join(p, "l_partkey").join(o, "l_orderkey")
