@@ -97,8 +97,16 @@ def to_topic_records(df: DataFrame, key: Column | str, value_cols: list[str] | N
     return df.select(key.cast("string").alias("key"), F.to_json(_camel_struct(df, value_cols)).alias("value"))
 
 
-def write_topic(df: DataFrame, path: str, key: Column | str, value_cols: list[str] | None = None) -> None:
-    """S-04 batch: append keyed JSON records to a topic directory (the
-    file-based twin of a Kafka topic; with the connector on the classpath
-    use ``format('kafka')`` on the same (key, value) frame)."""
-    to_topic_records(df, key, value_cols).write.mode("append").json(path)
+def write_topic(df: DataFrame, path: str, key: Column | str, value_cols: list[str] | None = None,
+                kafka_bootstrap: str | None = None) -> None:
+    """S-04 batch: append keyed JSON records to a topic folder (the file
+    twin of a Kafka topic), or with ``kafka_bootstrap`` to the Kafka topic
+    named ``path`` (needs the spark-sql-kafka package; the producer runs
+    with acks=all and idempotence, as the reference's producer does)."""
+    recs = to_topic_records(df, key, value_cols)
+    if kafka_bootstrap:
+        (recs.write.format("kafka").option("kafka.bootstrap.servers", kafka_bootstrap)
+             .option("kafka.acks", "all").option("kafka.enable.idempotence", "true")
+             .option("topic", path).save())
+    else:
+        recs.write.mode("append").json(path)

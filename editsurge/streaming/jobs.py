@@ -36,12 +36,25 @@ def state_dir(spark: SparkSession, *parts: str) -> str:
 
 
 def read_topic_stream(spark: SparkSession, path: str, schema: T.StructType,
-                      max_files_per_trigger: int | None = None) -> DataFrame:
-    """S-03 streaming: keyed JSON records -> (key, record fields...)."""
-    r = spark.readStream.schema(TOPIC_RECORD)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = r.json(path)
+                      max_files_per_trigger: int | None = None,
+                      kafka_bootstrap: str | None = None) -> DataFrame:
+    """S-03 streaming: keyed JSON records -> (key, value, r = parsed record).
+
+    ``path`` is a topic folder of JSON records, or, with
+    ``kafka_bootstrap`` set, a Kafka topic name read from the earliest
+    offset (needs the spark-sql-kafka package on the classpath; then
+    ``maxOffsetsPerTrigger`` bounds a micro-batch)."""
+    if kafka_bootstrap:
+        r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", kafka_bootstrap)
+                  .option("subscribe", path).option("startingOffsets", "earliest"))
+        if max_files_per_trigger:
+            r = r.option("maxOffsetsPerTrigger", max_files_per_trigger)
+        raw = r.load().select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
+    else:
+        r = spark.readStream.schema(TOPIC_RECORD)
+        if max_files_per_trigger:
+            r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+        raw = r.json(path)
     return raw.select("key", "value", parse_record("value", schema).alias("r"))
 
 

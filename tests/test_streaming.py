@@ -100,7 +100,6 @@ def test_enrich_stream_refreshes_once_across_batches(spark):
     dims = {k: os.path.join(d, k) for k in ("articles", "categories", "responses")}
     q = J.start_enrich_stream(spark, flat, dims, os.path.join(d, "out"), os.path.join(d, "err"), os.path.join(d, "ck"),
                               as_of_fn=lambda: "2024-01-30 12:30:00", trigger={"availableNow": True})
-    import pyspark.sql.streaming  # noqa: F401
     q.awaitTermination()
     rows = {r.event_id: r for r in spark.read.parquet(os.path.join(d, "out")).collect()}
     assert rows["evt-1"].linked_articles == ["L3"] and rows["evt-2"].linked_articles == []
