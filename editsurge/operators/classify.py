@@ -80,27 +80,38 @@ def start_nodes(items: DataFrame, edges: DataFrame) -> DataFrame:
 
 def class_closure(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     """J-13 core: (cls, anc) for every class and every ancestor reachable by
-    zero or more P279 steps.  Semi-naive: each round joins only the pairs
-    found in the previous round with the edges and keeps pairs not seen
-    before; a reliable checkpoint per round cuts the lineage.  Cycles end
-    because a pair is never added twice.  Stops when a round adds nothing
-    (one small action per round)."""
+    zero or more P279 steps.
+
+    Semi-naive: each round joins only the pairs found in the previous round
+    with the edges and keeps pairs not seen before (anti-join against the
+    parts so far).  Each round's new pairs are written once as a reliable
+    checkpoint in the shared checkpoint folder, and the closure is the union
+    of those parts, so lineage stays one level deep and nothing is
+    rewritten.  Cycles end because a pair is never added twice; the loop
+    stops when a round adds nothing (one small action per round).
+    """
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
     sub = edges.filter(F.col("prop") == "P279").select("child", "parent").distinct()
     classes = (sub.select(F.col("child").alias("c")).union(sub.select(F.col("parent").alias("c")))
                   .union(edges.filter(F.col("prop").isin("P31", "P106")).select(F.col("parent").alias("c")))
                   .distinct())
-    closure = classes.select(F.col("c").alias("cls"), F.col("c").alias("anc")).checkpoint()
-    delta = closure
+    delta = classes.select(F.col("c").alias("cls"), F.col("c").alias("anc")).checkpoint()
+    parts = [delta]
     for _ in range(max_rounds):
+        seen = parts[0]
+        for p in parts[1:]:
+            seen = seen.unionByName(p)
         step = (delta.join(sub, delta.anc == sub.child)
                      .select("cls", F.col("parent").alias("anc")).distinct())
-        new = step.join(closure, ["cls", "anc"], "left_anti").checkpoint()
+        new = step.join(seen, ["cls", "anc"], "left_anti").checkpoint()
         if new.isEmpty():
             break
-        closure = closure.unionByName(new).checkpoint()
+        parts.append(new)
         delta = new
+    closure = parts[0]
+    for p in parts[1:]:
+        closure = closure.unionByName(p)
     return closure
 
 
