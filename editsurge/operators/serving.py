@@ -32,6 +32,14 @@ def norm_period(period: str) -> str:
     return period if period in PERIOD_HOURS else "Last24Hours"
 
 
+def _info(edits: DataFrame, label_state: DataFrame | None) -> DataFrame:
+    """Topic names: from a maintained label state when given (no history
+    scan), else from the edit history."""
+    if label_state is None:
+        return tr.topic_info(edits)
+    return tr.topic_info_from_state(tr.merge_label_states(label_state))
+
+
 def period_counts(edits: DataFrame, as_of: str, period: str, baselines: DataFrame | None = None,
                   lookback_days: int = tr.BASELINE_LOOKBACK_DAYS) -> DataFrame:
     """(period, topic_id, edit_count, baseline_daily) for one period."""
@@ -50,7 +58,7 @@ def _article_rows(arts: DataFrame) -> DataFrame:
 def trends_response(edits: DataFrame, as_of: str, period: str = "Last24Hours", limit: int = API_LIMIT,
                     min_anomaly_score: float = 0.0, baselines: DataFrame | None = None,
                     lookback_days: int = tr.BASELINE_LOOKBACK_DAYS,
-                    articles_n: int = API_ARTICLES) -> DataFrame:
+                    articles_n: int = API_ARTICLES, label_state: DataFrame | None = None) -> DataFrame:
     """A-11: the API trend list, flattened to one row per (topic, article).
 
     Top max(1, limit) topics by count; the min-score filter runs after the
@@ -61,8 +69,7 @@ def trends_response(edits: DataFrame, as_of: str, period: str = "Last24Hours", l
     top = tr.top_topics(period_counts(edits, as_of, period, baselines, lookback_days), max(1, limit))
     scored = tr.anomaly(top)
     scored = scored.filter(~(F.col("anomaly_score") < F.lit(min_anomaly_score).cast("float")))
-    info = tr.topic_info(edits)
-    scored = scored.join(info, "topic_id", "left")
+    scored = scored.join(_info(edits, label_state), "topic_id", "left")
     name = display_name(F.coalesce("name", F.lit("")), "topic_id")
     scored = scored.select("period", "topic_rank", "topic_id", name.alias("topic_name"),
                            display_path(F.col("path"), name).alias("topic_path"), "edit_count",
@@ -80,20 +87,22 @@ def cluster_label(name, path, topic_id):
     return F.when(blank(src), F.concat(F.lit("topic-"), topic_id.cast("string"))).otherwise(path_head(src))
 
 
-def cluster_members(edits: DataFrame, as_of: str, period: str = "Last24Hours") -> DataFrame:
+def cluster_members(edits: DataFrame, as_of: str, period: str = "Last24Hours",
+                    label_state: DataFrame | None = None) -> DataFrame:
     """Top 50 topics of the period with their cluster label (bounded)."""
     period = norm_period(period)
     top = tr.top_topics(tr.trend_counts(edits, as_of, [period]), CLUSTER_TOPICS)
-    info = tr.topic_info(edits)
+    info = _info(edits, label_state)
     t = top.join(info, "topic_id", "left")
     return t.withColumn("label", cluster_label(F.col("name"), F.col("path"), F.col("topic_id")))
 
 
-def clusters(edits: DataFrame, as_of: str, period: str = "Last24Hours") -> DataFrame:
+def clusters(edits: DataFrame, as_of: str, period: str = "Last24Hours",
+             label_state: DataFrame | None = None) -> DataFrame:
     """A-07: clusters of the top 50 topics by path head; total = sum of
     counts; ordered by total desc (label breaks ties), first 20.
     Columns: cluster_rank, cluster_id, label, total_edits, topic_ids."""
-    m = cluster_members(edits, as_of, period)
+    m = cluster_members(edits, as_of, period, label_state)
     c = (m.groupBy("label")
           .agg(F.sum("edit_count").cast("long").alias("total_edits"),
                F.array_sort(F.collect_set("topic_id")).alias("topic_ids")))
@@ -106,11 +115,12 @@ def clusters(edits: DataFrame, as_of: str, period: str = "Last24Hours") -> DataF
                      F.array_join(F.transform("topic_ids", lambda x: x.cast("string")), ",").alias("topic_ids")))
 
 
-def cluster_articles(edits: DataFrame, as_of: str, period: str = "Last24Hours") -> DataFrame:
+def cluster_articles(edits: DataFrame, as_of: str, period: str = "Last24Hours",
+                     label_state: DataFrame | None = None) -> DataFrame:
     """A-08: per cluster, its five biggest topics x their three top
     articles; an article kept once with its largest count; ten by count."""
     period = norm_period(period)
-    m = cluster_members(edits, as_of, period)
+    m = cluster_members(edits, as_of, period, label_state)
     wt = Window.partitionBy("label").orderBy(F.desc("edit_count"), F.asc("topic_id"))
     lead = (m.withColumn("r", F.row_number().over(wt))
              .filter(F.col("r") <= CLUSTER_TOPICS_WITH_ARTICLES).select("topic_id", "label"))
@@ -128,7 +138,8 @@ def cluster_articles(edits: DataFrame, as_of: str, period: str = "Last24Hours")
 
 def topic_details(edits: DataFrame, as_of: str, period: str = "Last24Hours",
                   topic_ids: list[int] | None = None, baselines: DataFrame | None = None,
-                  lookback_days: int = tr.BASELINE_LOOKBACK_DAYS) -> DataFrame:
+                  lookback_days: int = tr.BASELINE_LOOKBACK_DAYS,
+                  label_state: DataFrame | None = None) -> DataFrame:
     """A-09 for many topics at once (one row per topic).
 
     Counts for the three periods come from one conditional aggregate, the
@@ -153,8 +164,7 @@ def topic_details(edits: DataFrame, as_of: str, period: str = "Last24Hours",
                           .withColumn("baseline_daily", F.coalesce("baseline_daily", F.lit(0.0).cast("float")))
                           .withColumn("period", F.lit(period))
                           .withColumn("edit_count", F.col(f"c_{period}")))
-    info = tr.topic_info(e)
-    d = sel.join(info, "topic_id", "left")
+    d = sel.join(_info(e, label_state), "topic_id", "left")
     name = display_name(F.coalesce("name", F.lit("")), "topic_id")
     return d.select(
         "topic_id", F.lit(period).alias("period"), name.alias("name"), display_path(F.col("path"), name).alias("path"),
@@ -168,7 +178,7 @@ def topic_details(edits: DataFrame, as_of: str, period: str = "Last24Hours",
 
 def topic_detail(edits: DataFrame, as_of: str, topic_id: int, period: str = "Last24Hours",
                  baselines: DataFrame | None = None, lookback_days: int = tr.BASELINE_LOOKBACK_DAYS,
-                 articles_n: int = DETAIL_ARTICLES) -> DataFrame:
+                 articles_n: int = DETAIL_ARTICLES, label_state: DataFrame | None = None) -> DataFrame:
     """A-09: one topic's detail with its top 50 articles, flattened.
 
     The id must be positive.  A topic with no edits at all still gets a row
@@ -181,7 +191,7 @@ def topic_detail(edits: DataFrame, as_of: str, topic_id: int, period: str = "Las
     # joins below equi-joins (a literal key would be folded into a
     # nested-loop join).
     ask = spark.createDataFrame([(int(topic_id),)], "topic_id int")
-    d = topic_details(edits, as_of, period, [topic_id], baselines, lookback_days)
+    d = topic_details(edits, as_of, period, [topic_id], baselines, lookback_days, label_state)
     name = F.concat(F.lit("topic-"), F.col("topic_id").cast("string"))
     d = ask.join(d, "topic_id", "left").select(
         "topic_id", F.lit(period).alias("period"),

@@ -54,10 +54,11 @@ def max_ts(df: DataFrame, col: str = "ts") -> str:
 
     One global aggregate (partial max per task, one row to the driver).
     """
-    row = df.agg(F.max(trunc_second(col)).alias("m")).first()
+    row = df.agg(F.max(col).alias("m")).first()
     m = row["m"] if row else None
     if m is None:
         return "1970-01-01 00:00:00"
+    # Truncating the maximum equals the maximum of truncated values.
     return m.strftime("%Y-%m-%d %H:%M:%S")
 
 

@@ -141,3 +141,14 @@ def test_trailing_window_plan_prunes_and_pushes(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(eff_date" in text
     assert "PushedFilters: [Or(" in text
     assert "ReadSchema: struct<ts:timestamp_ntz,classified_at:timestamp_ntz,topics:array<struct<topic_id:int>>>" in text
+
+
+def test_label_state_gives_same_results(spark, edits):
+    from editsurge.operators import serving as sv
+    half1 = edits.filter(F.col("wiki_edit_id") <= 4)
+    half2 = edits.filter(F.col("wiki_edit_id") > 4)
+    state = tr.topic_label_state(half1).unionByName(tr.topic_label_state(half2))
+    assert sorted(tr.trends_report(edits, AS_OF, label_state=state).collect()) == \
+        sorted(tr.trends_report(edits, AS_OF).collect())
+    assert sorted(sv.trends_response(edits, AS_OF, "LastHour", label_state=state).collect()) == \
+        sorted(sv.trends_response(edits, AS_OF, "LastHour").collect())
