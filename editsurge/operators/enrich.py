@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from editsurge.functions.scalar import clean_category, diff_size, truncate_extract
 from editsurge.sources.adapters import ts_lit
@@ -116,13 +115,23 @@ def max_id(df: DataFrame, col: str) -> int:
 
 
 def number_rows(df: DataFrame, order: list[str], start: int, name: str) -> DataFrame:
-    """Dense ids start+1, start+2, ... in ``order``: a distributed range sort,
-    then per-partition numbering with partition offsets (zipWithIndex), so no
-    single task sees all rows and the ids do not depend on the layout."""
-    ordered = df.orderBy(*order)
-    schema = T.StructType([T.StructField(name, T.LongType())] + ordered.schema.fields)
-    rdd = ordered.rdd.zipWithIndex().map(lambda ri: (start + ri[1] + 1,) + tuple(ri[0]))
-    return df.sparkSession.createDataFrame(rdd, schema)
+    """Dense ids start+1, start+2, ... in ``order`` (keys unique).
+
+    A distributed range sort, then ``monotonically_increasing_id`` (partition
+    index in the upper bits, position in the lower ones), then per-partition
+    offsets from a table of partition sizes.  That table has one row per
+    partition, which bounds both its window and its broadcast.  No single
+    task sees all rows and no row goes through Python."""
+    from pyspark.sql import Window
+    o = (df.orderBy(*order).withColumn("_m", F.monotonically_increasing_id())
+           .withColumn("_p", F.shiftright("_m", 33))
+           .withColumn("_i", F.col("_m").bitwiseAND(F.lit((1 << 33) - 1))))
+    sizes = o.groupBy("_p").agg(F.count("*").alias("_n"))
+    offs = sizes.select("_p", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    out = o.join(F.broadcast(offs), "_p")
+    ident = (F.lit(int(start)) + F.col("_off") + F.col("_i") + 1).cast("long").alias(name)
+    return out.select(ident, *df.columns)
 
 
 def upsert_articles(articles: DataFrame, refreshed: DataFrame, as_of: str) -> DataFrame:
