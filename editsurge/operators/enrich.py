@@ -26,9 +26,14 @@ def join_articles(edits: DataFrame, articles: DataFrame) -> DataFrame:
     Edits without a page id (the feed sends 0 when it is missing, possibly
     a large share of all edits) bypass the join instead of hashing to one
     shuffle key; they get null article columns and are unioned back."""
-    a = articles.select(*[F.col(c).alias(f"a_{c}") for c in articles.columns])
+    articles = articles.select("article_id", "wiki", "page_id", "title", "extract", "last_enriched_at")
     has_page = F.coalesce(F.col("page_id") > 0, F.lit(False))
     keyed = edits.filter(has_page)
+    # Only the articles this batch asks for: a semi-join with the batch's
+    # keys turns the article table into a scan, not a shuffle of the whole
+    # dimension (AQE broadcasts the key side when the batch is small).
+    wanted = articles.join(keyed.select("wiki", "page_id").distinct(), ["wiki", "page_id"], "left_semi")
+    a = wanted.select(*[F.col(c).alias(f"a_{c}") for c in articles.columns])
     joined = keyed.join(a, (keyed.wiki == a.a_wiki) & (keyed.page_id == a.a_page_id), "left")
     nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in a.schema.fields]
     rest = edits.filter(~has_page).select("*", *nulls)
@@ -134,28 +139,38 @@ def number_rows(df: DataFrame, order: list[str], start: int, name: str) -> DataF
     return out.select(ident, *df.columns)
 
 
-def upsert_articles(articles: DataFrame, refreshed: DataFrame, as_of: str) -> DataFrame:
-    """J-06: article table after the batch.  By (wiki, page_id): existing
-    rows take the new title, extract and last_enriched_at (their id stays);
-    new keys get ids max(id) + 1, 2, ... in (wiki, page_id) order
-    (number_rows: distributed sort, no single-task window)."""
+ARTICLE_COLS = ["article_id", "wiki", "page_id", "title", "extract", "last_enriched_at"]
+
+
+def article_delta(articles: DataFrame, refreshed: DataFrame, as_of: str) -> DataFrame:
+    """J-06 delta: the rows a batch changes.  Refreshed keys that exist keep
+    their id and take the new title, extract and last_enriched_at; new keys
+    get ids max(id) + 1, 2, ... in (wiki, page_id) order (number_rows).
+    Only the batch's keys are joined (semi/anti joins against the table),
+    so the article table is scanned, never rebuilt."""
     new = (refreshed.filter(F.col("_stale") & F.col("error").isNull())
                     .groupBy("wiki", F.col("resolved_page_id").alias("page_id"))
                     .agg(F.max_by(F.struct(F.col("article_title").alias("title"),
                                            F.col("article_extract").alias("extract")),
                                   F.struct("timestamp", "event_id")).alias("v"))
                     .select("wiki", "page_id", "v.title", "v.extract"))
-    old = articles.select(*[F.col(c).alias(f"o_{c}") for c in articles.columns])
-    m = old.join(new, (old.o_wiki == new.wiki) & (old.o_page_id == new.page_id), "full_outer")
-    fresh = number_rows(m.filter(F.col("o_article_id").isNull()).select("wiki", "page_id", "title", "extract"),
-                        ["wiki", "page_id"], max_id(articles, "article_id"), "article_id")
-    fresh = fresh.select("article_id", "wiki", "page_id", "title", "extract", ts_lit(as_of).alias("last_enriched_at"))
-    kept = m.filter(F.col("o_article_id").isNotNull()).select(
-        F.col("o_article_id").alias("article_id"), F.col("o_wiki").alias("wiki"), F.col("o_page_id").alias("page_id"),
-        F.coalesce("title", "o_title").alias("title"),
-        F.when(F.col("wiki").isNotNull(), F.col("extract")).otherwise(F.col("o_extract")).alias("extract"),
-        F.when(F.col("wiki").isNotNull(), ts_lit(as_of)).otherwise(F.col("o_last_enriched_at")).alias("last_enriched_at"))
-    return kept.unionByName(fresh)
+    keys = ["wiki", "page_id"]
+    old_ids = articles.select("article_id", *keys).join(new.select(*keys), keys, "left_semi")
+    kept = new.join(old_ids, keys).select(*ARTICLE_COLS[:3], "title", "extract",
+                                          ts_lit(as_of).alias("last_enriched_at"))
+    fresh = number_rows(new.join(articles.select(*keys), keys, "left_anti"), keys,
+                        max_id(articles, "article_id"), "article_id")
+    fresh = fresh.select(*ARTICLE_COLS[:5], ts_lit(as_of).alias("last_enriched_at"))
+    return kept.select(*ARTICLE_COLS).unionByName(fresh.select(*ARTICLE_COLS))
+
+
+def upsert_articles(articles: DataFrame, refreshed: DataFrame, as_of: str,
+                    delta: DataFrame | None = None) -> DataFrame:
+    """J-06: the article table after the batch: rows the batch did not touch
+    plus the batch's delta (key anti-join + union, no full outer join)."""
+    delta = delta if delta is not None else article_delta(articles, refreshed, as_of)
+    rest = articles.select(*ARTICLE_COLS).join(delta.select("wiki", "page_id"), ["wiki", "page_id"], "left_anti")
+    return rest.unionByName(delta)
 
 
 def with_audit(before: DataFrame, after: DataFrame, key: list[str], tracked: list[str], as_of: str) -> DataFrame:
@@ -207,7 +222,12 @@ def to_enriched(refreshed: DataFrame, upserted: DataFrame, categories: DataFrame
     extract and categories come from the (refreshed) article; flags and
     times from the edit."""
     ok = refreshed.filter(F.col("error").isNull() & F.col("resolved_page_id").isNotNull())
-    a = article_categories(upserted, categories).select(
+    # Articles and categories of this batch only (semi-joins push into the
+    # union that forms the upserted table).
+    keys = ok.select("wiki", F.col("resolved_page_id").alias("page_id")).distinct()
+    batch_arts = upserted.join(keys, ["wiki", "page_id"], "left_semi")
+    batch_cats = categories.join(batch_arts.select("article_id"), "article_id", "left_semi")
+    a = article_categories(batch_arts, batch_cats).select(
         F.col("article_id"), F.col("wiki").alias("u_wiki"), F.col("page_id").alias("u_page_id"),
         F.col("title").alias("u_title"), F.col("extract").alias("u_extract"), "categories")
     j = ok.join(a, (ok.wiki == a.u_wiki) & (ok.resolved_page_id == a.u_page_id), "inner")
@@ -229,12 +249,10 @@ def enrich(edits: DataFrame, articles: DataFrame, categories: DataFrame, respons
     ``article_changes`` (upserted rows of the refreshed articles) and
     ``category_sets`` (article_id, names) for every refreshed article."""
     r = refresh(edits, articles, responses, as_of, hours)
-    upserted = upsert_articles(articles, r, as_of)
-    refreshed_keys = (r.filter(F.col("_stale") & F.col("error").isNull())
-                       .select("wiki", F.col("resolved_page_id").alias("page_id")).distinct())
-    changes = upserted.join(refreshed_keys, ["wiki", "page_id"], "left_semi")
+    changes = article_delta(articles, r, as_of)
+    upserted = upsert_articles(articles, r, as_of, changes)
     callers = (r.filter(F.col("_calls") & F.col("error").isNull())
-                .join(upserted.select("article_id", F.col("wiki").alias("wiki"), F.col("page_id").alias("resolved_page_id")),
+                .join(changes.select("article_id", F.col("wiki").alias("wiki"), F.col("page_id").alias("resolved_page_id")),
                       ["wiki", "resolved_page_id"]))
     incoming = callers.select("article_id", F.explode("r_categories").alias("name"))
     sets = (callers.select("article_id", F.explode_outer("r_categories").alias("name"))

@@ -303,6 +303,9 @@ def start_enrich_stream(spark: SparkSession, raw_topic: str, dims: dict, out_pat
             return None
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        # Five outputs come from this batch: keep its rows instead of
+        # re-reading the source for each (recomputed if an executor is lost).
+        batch = batch.persist()
         arts = en.latest_articles(spark.read.parquet(dims["articles"]), _read_opt(art_log))
         cats = en.latest_categories(spark.read.parquet(dims["categories"]), _read_opt(cat_log))
         resp = spark.read.parquet(dims["responses"])
@@ -312,6 +315,7 @@ def start_enrich_stream(spark: SparkSession, raw_topic: str, dims: dict, out_pat
         _write_batch(out["errors"], error_path, batch_id)
         _write_batch(out["article_changes"], art_log, batch_id)
         _write_batch(out["category_sets"].withColumn("version", F.lit(batch_id + 1).cast("long")), cat_log, batch_id)
+        batch.unpersist()
 
     return (s.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
              .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
