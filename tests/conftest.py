@@ -13,7 +13,8 @@ SF_CHECK = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from editsurge.session import ensure_checkpoint_dir, get_spark
-    s = get_spark("local[4]", app="editsurge-tests", shuffle_partitions=8)
+    s = get_spark("local[4]", app="editsurge-tests", shuffle_partitions=8,
+                  extra={"spark.driver.memory": "6g"})
     ensure_checkpoint_dir(s)
     yield s
     s.stop()
