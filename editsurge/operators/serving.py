@@ -151,17 +151,20 @@ def topic_details(edits: DataFrame, as_of: str, period: str = "Last24Hours",
         ids = [int(i) for i in topic_ids]
         e = e.filter(F.arrays_overlap(F.col("topics.topic_id"), F.array(*[F.lit(i) for i in ids])))
     if baselines is None:
-        counts = tr.trend_rollup(e, as_of, lookback_days)
-        base = (tr.recalculate_baselines(e, as_of, lookback_days).select("topic_id", "baseline_daily"))
+        # Counts and baseline from one daily rollup (one scan).
+        wide = tr.topic_rollup(e, as_of, lookback_days)
     else:
-        counts = tr.with_baseline(tr.trend_counts(e, as_of), baselines)
+        counts = tr.trend_counts(e, as_of)
         base = tr.latest_baseline(baselines).select("topic_id", "baseline_daily")
-    pivot = (counts.groupBy("topic_id")
-                   .agg(*[F.max(F.when(F.col("period") == p, F.col("edit_count"))).alias(f"c_{p}") for p in PERIODS]))
+        counts_wide = (counts.groupBy("topic_id")
+                             .agg(*[F.max(F.when(F.col("period") == p, F.col("edit_count"))).alias(f"c{i}")
+                                    for i, p in enumerate(PERIODS)]))
+        wide = counts_wide.join(base, "topic_id", "full_outer")
+    pivot = wide.select("topic_id", "baseline_daily",
+                        *[F.when(F.col(f"c{i}") > 0, F.col(f"c{i}")).alias(f"c_{p}") for i, p in enumerate(PERIODS)])
     if topic_ids is not None:
         pivot = pivot.filter(F.col("topic_id").isin(ids))
-    sel = tr.anomaly(pivot.join(base, "topic_id", "left")
-                          .withColumn("baseline_daily", F.coalesce("baseline_daily", F.lit(0.0).cast("float")))
+    sel = tr.anomaly(pivot.withColumn("baseline_daily", F.coalesce("baseline_daily", F.lit(0.0).cast("float")))
                           .withColumn("period", F.lit(period))
                           .withColumn("edit_count", F.col(f"c_{period}")))
     d = sel.join(_info(e, label_state), "topic_id", "left")

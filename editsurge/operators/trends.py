@@ -263,15 +263,14 @@ def with_topic_info(trends: DataFrame, info: DataFrame) -> DataFrame:
                   .withColumn("path", F.coalesce("path", F.lit(""))))
 
 
-def trend_rollup(edits: DataFrame, as_of: str, days: int = BASELINE_LOOKBACK_DAYS) -> DataFrame:
-    """A-01 + A-03 in one scan: per (period, topic) the window count and the
-    topic's baseline (average over days with edits in the lookback).
+def topic_rollup(edits: DataFrame, as_of: str, days: int = BASELINE_LOOKBACK_DAYS) -> DataFrame:
+    """Per topic, from one scan: the baseline (average over days with edits
+    in the lookback) and the three window counts c0, c1, c2 (LastHour,
+    Last24Hours, Last7Days).
 
     Stage 1 is a daily rollup by (topic, day) with partial aggregation, so
-    the shuffle carries one row per topic and day per task; stage 2 folds the
-    small rollup per topic.  Columns: period, topic_id, edit_count,
-    baseline_daily.
-    """
+    the shuffle carries one row per topic and day per task; stage 2 folds
+    the small rollup per topic."""
     lookback = ts_lit(as_of) - F.expr(f"INTERVAL {max(1, days)} DAYS")
     widest = ts_lit(as_of) - F.expr(f"INTERVAL {max(PERIOD_HOURS.values())} HOURS")
     lowest = F.least(lookback, widest)
@@ -282,14 +281,18 @@ def trend_rollup(edits: DataFrame, as_of: str, days: int = BASELINE_LOOKBACK_DAY
               .agg(F.count_if(F.col("eff") >= lookback).alias("daily_count"),
                    *[F.count_if(F.col("eff") >= window_start(as_of, p)).alias(f"c{i}")
                      for i, p in enumerate(PERIODS)]))
-    per_topic = (daily.groupBy("topic_id")
-                      .agg(F.avg(F.when(F.col("daily_count") > 0, F.col("daily_count"))).cast("float")
-                            .alias("baseline_daily"),
-                           *[F.sum(f"c{i}").cast("int").alias(f"c{i}") for i in range(len(PERIODS))]))
-    out = _unpivot(per_topic, ["topic_id", "baseline_daily"], "c", "edit_count")
-    return out.select("period", F.col("topic_id").cast("int").alias("topic_id"),
-                      F.col("edit_count").cast("int").alias("edit_count"),
-                      F.coalesce("baseline_daily", F.lit(0.0).cast("float")).alias("baseline_daily"))
+    return (daily.groupBy(F.col("topic_id").cast("int").alias("topic_id"))
+                 .agg(F.coalesce(F.avg(F.when(F.col("daily_count") > 0, F.col("daily_count"))).cast("float"),
+                                 F.lit(0.0).cast("float")).alias("baseline_daily"),
+                      *[F.sum(f"c{i}").cast("int").alias(f"c{i}") for i in range(len(PERIODS))]))
+
+
+def trend_rollup(edits: DataFrame, as_of: str, days: int = BASELINE_LOOKBACK_DAYS) -> DataFrame:
+    """A-01 + A-03 in one scan: per (period, topic) the window count and the
+    topic's baseline.  Columns: period, topic_id, edit_count,
+    baseline_daily (topics with no edits in a period are absent from it)."""
+    out = _unpivot(topic_rollup(edits, as_of, days), ["topic_id", "baseline_daily"], "c", "edit_count")
+    return out.select("period", "topic_id", F.col("edit_count").cast("int").alias("edit_count"), "baseline_daily")
 
 
 def scored_topics(edits: DataFrame, as_of: str, baselines: DataFrame | None = None,

@@ -152,3 +152,12 @@ def test_label_state_gives_same_results(spark, edits):
         sorted(tr.trends_report(edits, AS_OF).collect())
     assert sorted(sv.trends_response(edits, AS_OF, "LastHour", label_state=state).collect()) == \
         sorted(sv.trends_response(edits, AS_OF, "LastHour").collect())
+
+
+def test_topic_detail_keeps_baseline_without_recent_edits(spark):
+    from editsurge.operators import serving as sv
+    rows = [edit(i, T0 - dt.timedelta(days=10), [(9, "Old", "Hist > Old")], article=50) for i in range(4)]
+    e = spark.createDataFrame(rows, S.EDIT_EVENTS)
+    d = sv.topic_detail(e, AS_OF, 9, "Last7Days").collect()[0]
+    assert (d.edit_count_last_7_days, d.anomaly_score) == (0, 0.0)
+    assert d.baseline_daily == pytest.approx(4.0) and d.name == "Old"
