@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from editsurge.functions.scalar import clean_category, diff_size, truncate_extract
+from editsurge.session import ensure_checkpoint_dir
 from editsurge.sources.adapters import ts_lit
 
 # Article cache age (hours, allowed 1..168) and extract size.
@@ -248,8 +249,13 @@ def enrich(edits: DataFrame, articles: DataFrame, categories: DataFrame, respons
     delta, and the two change sets a stream appends to its logs:
     ``article_changes`` (upserted rows of the refreshed articles) and
     ``category_sets`` (article_id, names) for every refreshed article."""
-    r = refresh(edits, articles, responses, as_of, hours)
-    changes = article_delta(articles, r, as_of)
+    # The refresh result and the article delta feed every output below.
+    # Writing them once as reliable checkpoints (shared checkpoint folder)
+    # computes each once per batch and keeps every output's plan short,
+    # instead of re-planning and re-running the refresh joins per output.
+    ensure_checkpoint_dir(edits.sparkSession)
+    r = refresh(edits, articles, responses, as_of, hours).checkpoint()
+    changes = article_delta(articles, r, as_of).checkpoint()
     upserted = upsert_articles(articles, r, as_of, changes)
     callers = (r.filter(F.col("_calls") & F.col("error").isNull())
                 .join(changes.select("article_id", F.col("wiki").alias("wiki"), F.col("page_id").alias("resolved_page_id")),
