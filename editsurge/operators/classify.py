@@ -200,7 +200,10 @@ def resolve_topics(articles: DataFrame, article_topics: DataFrame, topics: DataF
     path, confidence, resolution_source."""
     stored = max_confidence_topic(article_topics, topics).select(
         "article_id", F.struct("name", "path", "confidence").alias("stored"))
-    q = lookup_qid(articles, mapping, as_of)
+    # The lookup feeds three branches (hierarchy, label path, cascade):
+    # computed once per batch and kept as a reliable checkpoint.
+    ensure_checkpoint_dir(articles.sparkSession)
+    q = lookup_qid(articles, mapping, as_of).checkpoint()
     items = q.filter(F.col("qid").isNotNull()).select("qid", F.lower(F.trim("lang")).alias("lang"))
     roots = pick_root_topic(class_hierarchy(items, edges, nodes, closure=closure))
     api = api_label_topic(q.filter(F.col("qid_state") != "negative")
