@@ -128,7 +128,8 @@ def q_command_records(spark, sf_dir):
 
 @register("invalidate_snapshots", with_ctes(EDITS, CMD_SQL, """
 counts0 AS (SELECT p.period FROM et, clock, periods p WHERE et.eff >= clock.as_of - to_hours(p.hours) GROUP BY 1),
-snap AS (SELECT 'v3:trends:' || lower(p.period) AS cache_key, p.period, clock.as_of - to_hours(p.hours) AS cached_at
+snap AS (SELECT 'v3:trends:' || lower(p.period) AS cache_key, p.period,
+                CASE WHEN p.period = 'Last24Hours' THEN clock.as_of - to_hours(24) ELSE clock.as_of END AS cached_at
          FROM periods p, clock WHERE p.period IN (SELECT DISTINCT period FROM counts0)),
 ck AS (SELECT unnest(CASE WHEN kind = 'recalculate' THEN ['v3:trends:lasthour', 'v3:trends:last24hours', 'v3:trends:last7days']
                           ELSE [cache_key] END) AS cache_key, requested_at FROM cmds),
@@ -136,11 +137,12 @@ latest AS (SELECT cache_key, max(requested_at) AS requested_at FROM ck GROUP BY
 SELECT cache_key, period FROM snap WHERE cache_key NOT IN (
   SELECT s.cache_key FROM snap s JOIN latest l ON s.cache_key = l.cache_key WHERE l.requested_at >= s.cached_at)""")
 def q_invalidate_snapshots(spark, sf_dir):
-    """J-20: period snapshots (cached at the start of their window) that
-    survive the invalidate and recalculate commands."""
+    """J-20: period snapshots that survive the invalidate and recalculate
+    commands; the 24 h snapshot was cached a day before as_of (so later
+    commands drop it), the others at as_of (no command is newer)."""
     edits, as_of = ad.load_edits(spark, sf_dir)
     periods = tr.trend_counts(edits, as_of).select("period").distinct()
-    hours = F.when(F.col("period") == "LastHour", 1).when(F.col("period") == "Last24Hours", 24).otherwise(168)
+    hours = F.when(F.col("period") == "Last24Hours", 24).otherwise(0)
     snap = periods.select(X.trends_snapshot_key("period").alias("cache_key"), "period",
                           F.timestamp_add("HOUR", -hours, ad.ts_lit(as_of)).alias("cached_at"))
     cmds = ad.commands_from_events(read_table(spark, sf_dir, "events", "event_id", "ts", "event_type"))

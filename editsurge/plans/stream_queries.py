@@ -144,7 +144,10 @@ def q_stream_commands(spark, sf_dir):
     edits, as_of = ad.load_edits(spark, sf_dir)
     from editsurge.operators import snapshots as sn
     from editsurge.operators import trends as tr
-    sn.snapshot_rows(tr.trend_updates(edits, as_of)).write.parquet(os.path.join(d, "snap"))
+    # The 24 h snapshot was cached a day earlier, so later commands drop it.
+    day_old = F.when(F.col("period") == "Last24Hours", F.timestamp_add("HOUR", F.lit(-24), ad.ts_lit(as_of))) \
+               .otherwise(ad.ts_lit(as_of))
+    sn.snapshot_rows(tr.trend_updates(edits, as_of), cached_at=day_old).write.parquet(os.path.join(d, "snap"))
     cmds = ad.commands_from_events(read_table(spark, sf_dir, "events", "event_id", "ts", "event_type"))
     for kind, sub in (("recalculate", "recalc"), ("invalidate", "inval")):
         c = cmds.filter(F.col("kind") == kind).select("topic_id", "cache_key", "requested_at")
