@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from editsurge.functions.scalar import blank
+from editsurge.operators.joins import skew_safe_lookup
 from editsurge.session import ensure_checkpoint_dir
 from editsurge.sources.adapters import ts_lit
 
@@ -55,14 +56,15 @@ def lookup_qid(articles: DataFrame, mapping: DataFrame, as_of: str,
     hit / negative (null qid younger than min(1, cache hours) h) /
     expired (older null) / missing (no entry)."""
     ttl = min(NEGATIVE_TTL_HOURS, cache_hours)
-    m = mapping.select(F.col("wiki").alias("m_wiki"), F.col("title").alias("m_title"), "qid", "cached_at")
+    m = mapping.select(F.col("wiki").alias("_wiki"), F.col("title").alias("_title"), "qid", "cached_at",
+                       F.lit(True).alias("_found"))
     a = articles.withColumn("_wiki", F.concat(F.lower(F.trim("lang")), F.lit("wiki"))) \
                 .withColumn("_title", F.trim("title"))
-    j = a.join(m, (a._wiki == m.m_wiki) & (a._title == m.m_title), "left")
+    j = skew_safe_lookup(a, m, ["_wiki", "_title"])
     age_ok = F.col("cached_at") >= ts_lit(as_of) - F.expr(f"INTERVAL {ttl} HOURS")
-    state = (F.when(F.col("m_wiki").isNull(), "missing").when(F.col("qid").isNotNull(), "hit")
+    state = (F.when(F.col("_found").isNull(), "missing").when(F.col("qid").isNotNull(), "hit")
               .when(age_ok, "negative").otherwise("expired"))
-    return j.withColumn("qid_state", state).drop("m_wiki", "m_title", "_wiki", "_title")
+    return j.withColumn("qid_state", state).drop("_found", "_wiki", "_title")
 
 
 def start_nodes(items: DataFrame, edges: DataFrame) -> DataFrame:

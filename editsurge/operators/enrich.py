@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from editsurge.functions.scalar import clean_category, diff_size, truncate_extract
+from editsurge.operators.joins import skew_safe_lookup
 from editsurge.session import ensure_checkpoint_dir
 from editsurge.sources.adapters import ts_lit
 
@@ -30,13 +31,15 @@ def join_articles(edits: DataFrame, articles: DataFrame) -> DataFrame:
     articles = articles.select("article_id", "wiki", "page_id", "title", "extract", "last_enriched_at")
     has_page = F.coalesce(F.col("page_id") > 0, F.lit(False))
     keyed = edits.filter(has_page)
-    # Only the articles this batch asks for: a semi-join with the batch's
-    # keys turns the article table into a scan, not a shuffle of the whole
-    # dimension (AQE broadcasts the key side when the batch is small).
-    wanted = articles.join(keyed.select("wiki", "page_id").distinct(), ["wiki", "page_id"], "left_semi")
-    a = wanted.select(*[F.col(c).alias(f"a_{c}") for c in articles.columns])
-    joined = keyed.join(a, (keyed.wiki == a.a_wiki) & (keyed.page_id == a.a_page_id), "left")
-    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in a.schema.fields]
+    # Only the articles this batch asks for, salted against hot pages
+    # (skew_safe_lookup); the dimension is scanned, never shuffled whole.
+    a = articles.select(*[F.col(c).alias(f"a_{c}") for c in articles.columns]) \
+                .withColumnRenamed("a_wiki", "wiki").withColumnRenamed("a_page_id", "page_id")
+    joined = (skew_safe_lookup(keyed, a, ["wiki", "page_id"])
+              .withColumn("a_wiki", F.when(F.col("a_article_id").isNotNull(), F.col("wiki")))
+              .withColumn("a_page_id", F.when(F.col("a_article_id").isNotNull(), F.col("page_id"))))
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name)
+             for f in articles.select(*[F.col(c).alias(f"a_{c}") for c in articles.columns]).schema.fields]
     rest = edits.filter(~has_page).select("*", *nulls)
     return joined.unionByName(rest)
 
@@ -93,7 +96,7 @@ def refresh(edits: DataFrame, articles: DataFrame, responses: DataFrame, as_of:
     unkeyed = (j.filter(F.col("_stale") & ~has_page)
                 .withColumn("_first", F.lit(None).cast(first_type)).withColumn("_calls", F.lit(True)))
     r = parse_page_responses(responses)
-    stale = keyed.unionByName(unkeyed).join(r, ["wiki", "title"], "left")
+    stale = skew_safe_lookup(keyed.unionByName(unkeyed), r, ["wiki", "title"])
     r_nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in r.schema.fields if f.name not in ("wiki", "title")]
     fresh = (j.filter(~F.col("_stale"))
               .withColumn("_first", F.lit(None).cast(first_type)).withColumn("_calls", F.lit(False))
