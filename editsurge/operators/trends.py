@@ -344,13 +344,14 @@ def trends_report(edits: DataFrame, as_of: str, baselines: DataFrame | None = No
 
 
 def trend_updates(edits: DataFrame, as_of: str, baselines: DataFrame | None = None,
-                  top_n: int = TOP_TOPICS, articles_n: int = TOP_ARTICLES_REPORT) -> DataFrame:
+                  top_n: int = TOP_TOPICS, articles_n: int = TOP_ARTICLES_REPORT,
+                  label_state: DataFrame | None = None) -> DataFrame:
     """A-10 nested: one TrendUpdate record per period that has topics.
 
     Each record holds at most top_n topics x articles_n articles, so the
     collect_list per period is bounded by the report limits.
     """
-    flat = trends_report(edits, as_of, baselines, top_n, articles_n)
+    flat = trends_report(edits, as_of, baselines, top_n, articles_n, label_state=label_state)
     art = F.when(F.col("article_id").isNotNull(), F.struct(
         F.col("article_rank"), F.col("article_id"), F.col("article_title").alias("title"),
         F.col("article_edits").alias("edit_count"), F.lit(0).alias("unique_editors")))

@@ -170,11 +170,14 @@ def trailing_from_rollup(rollup: DataFrame, as_of: str) -> DataFrame:
 
 
 def start_trend_cycle(spark: SparkSession, tick_path: str, table_path: str, snapshot_path: str,
-                      checkpoint: str, trigger: dict | None = None, baselines_path: str | None = None):
+                      checkpoint: str, trigger: dict | None = None, baselines_path: str | None = None,
+                      label_state_path: str | None = None):
     """T-04 + T-06 + T-12: on every trigger (60 s by default) recompute the
     three periods over the stored edit table and replace each period's
     snapshot (cached_at = calculation time).  The tick stream only paces
-    the job; the work is a batch plan over the table."""
+    the job; the work is a batch plan over the table.  With the stored
+    baselines and the ingest's label state the cycle reads only the
+    trailing windows of the table."""
     ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load() if tick_path == "rate" \
         else spark.readStream.schema(TOPIC_RECORD).json(tick_path)
 
@@ -182,7 +185,8 @@ def start_trend_cycle(spark: SparkSession, tick_path: str, table_path: str, snap
         edits = spark.read.parquet(table_path)
         as_of = tr_as_of(edits)
         base = spark.read.parquet(baselines_path) if baselines_path else None
-        upd = tr.trend_updates(edits, as_of, base)
+        labels = spark.read.parquet(label_state_path) if label_state_path else None
+        upd = tr.trend_updates(edits, as_of, base, label_state=labels)
         sn_rows = sn.snapshot_rows(upd)
         from editsurge.sources.sinks import write_trend_snapshot
         write_trend_snapshot(sn_rows, snapshot_path)
