@@ -46,3 +46,13 @@ def test_feed_to_report(spark):
     assert tr_as_of and all(r.topic_name for r in report)
     counts = tr.trend_counts(stored, tr_as_of).filter(F.col("period") == "Last7Days").agg(F.sum("edit_count")).first()[0]
     assert counts is None or counts > 0
+
+
+def test_command_line_report(spark, tmp_path):
+    from editsurge.__main__ import main
+    out = str(tmp_path / "report")
+    main(["report", "--sf-dir", SF, "--out", out])
+    df = spark.read.parquet(out)
+    assert df.count() > 0 and "anomaly_score" in df.columns
+    main(["topic", "--sf-dir", SF, "--topic-id", "3", "--period", "Last7Days", "--out", str(tmp_path / "t")])
+    assert spark.read.parquet(str(tmp_path / "t")).select("topic_id").distinct().collect()[0][0] == 3
