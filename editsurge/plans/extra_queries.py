@@ -164,3 +164,26 @@ def q_stream_snapshot_warmup(spark, sf_dir):
     s = spark.read.parquet(os.path.join(d, "snap"))
     return s.select("period", "cache_key", F.date_format("cached_at", "yyyy-MM-dd HH:mm:ss").alias("cached_at"),
                     F.size("topics").alias("topics"))
+
+
+from editsurge.plans.trend_queries import TRENDS_REPORT_SQL  # noqa: E402
+
+
+@register("trends_report_maintained", TRENDS_REPORT_SQL)
+def q_trends_report_maintained(spark, sf_dir):
+    """A-10 in production mode: baselines from the stored baseline table
+    (S-07) and topic names from label states built per time slice (as the
+    ingest stream appends them), merged; must equal the flagship."""
+    import datetime as dt
+    d = _scratch(spark, "maintained")
+    edits, as_of = ad.load_edits(spark, sf_dir)
+    end = dt.datetime.strptime(as_of, "%Y-%m-%d %H:%M:%S")
+    cuts = [ad.ts_lit((end - dt.timedelta(days=k)).strftime("%Y-%m-%d %H:%M:%S")) for k in (20, 10)]
+    eff = X.effective_time()
+    slices = [edits.filter(eff < cuts[0]), edits.filter((eff >= cuts[0]) & (eff < cuts[1])), edits.filter(eff >= cuts[1])]
+    for i, part in enumerate(slices):
+        tr.topic_label_state(part).write.mode("overwrite").parquet(os.path.join(d, "labels", f"batch_id={i}"))
+    from editsurge.sources.sinks import write_baselines
+    write_baselines(tr.recalculate_baselines(edits, as_of), os.path.join(d, "baselines"))
+    labels = spark.read.parquet(os.path.join(d, "labels")).select("topic_id", "n", "p")
+    return tr.trends_report(edits, as_of, spark.read.parquet(os.path.join(d, "baselines")), label_state=labels)
