@@ -16,6 +16,10 @@ from editsurge.operators.joins import skew_safe_lookup
 from editsurge.session import ensure_checkpoint_dir
 from editsurge.sources.adapters import ts_lit
 
+# Refresh error texts (missing page: prefix + title; no page id).
+PAGE_NOT_FOUND = "Page not found: "
+NO_PAGE_ID = "Wikipedia API did not return valid PageId"
+
 # Article cache age (hours, allowed 1..168) and extract size.
 ARTICLE_CACHE_HOURS = 4
 EXTRACT_MAX = 4000
@@ -103,8 +107,8 @@ def refresh(edits: DataFrame, articles: DataFrame, responses: DataFrame, as_of:
               .select("*", *r_nulls))
     j = stale.unionByName(fresh)
     page_id = F.when(has_page, F.col("page_id")).otherwise(F.coalesce("r_page_id", F.lit(0).cast("long")))
-    err = (F.when(F.col("_stale") & F.col("r_page_id").isNull(), F.concat(F.lit("Page not found: "), F.col("title")))
-            .when(F.col("_stale") & (page_id <= 0), F.lit("Wikipedia API did not return valid PageId")))
+    err = (F.when(F.col("_stale") & F.col("r_page_id").isNull(), F.concat(F.lit(PAGE_NOT_FOUND), F.col("title")))
+            .when(F.col("_stale") & (page_id <= 0), F.lit(NO_PAGE_ID)))
     refreshed = F.col("_stale")
     no_links = F.array().cast("array<string>")
     return j.select(

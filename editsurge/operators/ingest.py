@@ -14,6 +14,10 @@ DEFAULT_WIKIS = ("enwiki", "ruwiki")
 DEFAULT_NAMESPACES = (0,)
 DEFAULT_TYPES = ("edit",)
 
+# Error texts of the enricher's and the classifier's input checks.
+ENRICH_INPUT_ERRORS = ("Edit event is null", "Title is required", "Wiki is required")
+CLASSIFY_INPUT_ERRORS = ("Edit event is missing required fields", "ArticleId must be positive", "Lang cannot be empty")
+
 # Reject reasons in the order the mapper checks them.
 REJECT_REASONS = ("missing_field", "wiki_not_allowed", "type_not_allowed", "namespace_not_allowed")
 
@@ -73,17 +77,19 @@ def raw_edits(changes: DataFrame, collected_at: str, **filters) -> DataFrame:
 
 def enrich_input_error() -> Column:
     """F-05: reason text for an edit the enricher rejects, else null."""
-    return (F.when(F.col("event_id").isNull(), "Edit event is null")
-             .when(F.col("title").isNull() | (F.col("title") == ""), "Title is required")
-             .when(F.col("wiki").isNull() | (F.col("wiki") == ""), "Wiki is required"))
+    null_event, no_title, no_wiki = ENRICH_INPUT_ERRORS
+    return (F.when(F.col("event_id").isNull(), null_event)
+             .when(F.col("title").isNull() | (F.col("title") == ""), no_title)
+             .when(F.col("wiki").isNull() | (F.col("wiki") == ""), no_wiki))
 
 
 def classify_input_error() -> Column:
     """F-06: reason text for an edit the classifier rejects, else null."""
     lang = language_of_wiki("wiki")
-    return (F.when(blank("wiki") | blank("title"), "Edit event is missing required fields")
-             .when(F.col("article_id") <= 0, "ArticleId must be positive")
-             .when(blank(lang), "Lang cannot be empty"))
+    missing, bad_id, no_lang = CLASSIFY_INPUT_ERRORS
+    return (F.when(blank("wiki") | blank("title"), missing)
+             .when(F.col("article_id") <= 0, bad_id)
+             .when(blank(lang), no_lang))
 
 
 def split_errors(df: DataFrame, error: Column) -> tuple[DataFrame, DataFrame]:

@@ -13,6 +13,14 @@ from pyspark.sql import types as T
 
 from editsurge.functions.scalar import blank, clean_category, entity_id_from_uri, safe_int
 
+# Parser error texts, in the order each parser checks.
+PAGE_ERRORS = ("No pages in response", "Page not found: ")
+QID_ERRORS = ("Wikipedia API response missing pages.", "Wikipedia API returned no pages.",
+              "Wikipedia page not found.", "Wikipedia pageprops not found.",
+              "Wikipedia page does not have wikibase_item.", "Wikipedia returned empty wikibase_item.")
+BINDINGS_ERROR = "SPARQL response missing bindings."
+ENTITY_ERRORS = ("No entities returned from Wikidata.", "Entity not found for title '{title}' on '{wiki}'.")
+
 _TITLES = T.ArrayType(T.StructType([T.StructField("title", T.StringType())]))
 PAGE_RESPONSE = T.StructType([T.StructField("query", T.StructType([T.StructField("pages", T.MapType(
     T.StringType(), T.StructType([
@@ -48,8 +56,8 @@ def parse_page_response(df: DataFrame, body: str = "body", title: str = "title")
     r = F.from_json(F.col(body), PAGE_RESPONSE)
     pages = r["query"]["pages"]
     page = _first_value(pages)
-    err = (F.when(pages.isNull() | (F.size(pages) == 0), F.lit("No pages in response"))
-            .when(page["missing"].isNotNull(), F.concat(F.lit("Page not found: "), F.col(title))))
+    err = (F.when(pages.isNull() | (F.size(pages) == 0), F.lit(PAGE_ERRORS[0]))
+            .when(page["missing"].isNotNull(), F.concat(F.lit(PAGE_ERRORS[1]), F.col(title))))
     cats = F.transform(F.filter(page["categories"], lambda c: c["title"].isNotNull() & (c["title"] != "")),
                        lambda c: clean_category(c["title"]))
     links = F.transform(F.filter(page["links"], lambda c: c["title"].isNotNull() & (c["title"] != "")),
@@ -70,12 +78,11 @@ def parse_qid_response(df: DataFrame, body: str = "body") -> DataFrame:
     pages = r["query"]["pages"]
     page = _first_value(pages)
     item = page["pageprops"]["wikibase_item"]
-    err = (F.when(pages.isNull(), F.lit("Wikipedia API response missing pages."))
-            .when(F.size(pages) == 0, F.lit("Wikipedia API returned no pages."))
-            .when(page["missing"].isNotNull(), F.lit("Wikipedia page not found."))
-            .when(page["pageprops"].isNull(), F.lit("Wikipedia pageprops not found."))
-            .when(item.isNull(), F.lit("Wikipedia page does not have wikibase_item."))
-            .when(blank(item), F.lit("Wikipedia returned empty wikibase_item.")))
+    conds = [pages.isNull(), F.size(pages) == 0, page["missing"].isNotNull(), page["pageprops"].isNull(),
+             item.isNull(), blank(item)]
+    err = F.when(conds[0], F.lit(QID_ERRORS[0]))
+    for cond, text in zip(conds[1:], QID_ERRORS[1:]):
+        err = err.when(cond, F.lit(text))
     return df.select("*", F.when(err.isNull(), item).alias("qid"), err.alias("error"))
 
 
@@ -85,7 +92,7 @@ def parse_class_bindings(df: DataFrame, body: str = "body") -> DataFrame:
     r = F.from_json(F.col(body), CLASS_BINDINGS)
     b = r["results"]["bindings"]
     with_err = df.select("*", b.alias("_b"),
-                         F.when(b.isNull(), F.lit("SPARQL response missing bindings.")).alias("error"))
+                         F.when(b.isNull(), F.lit(BINDINGS_ERROR)).alias("error"))
     rows = with_err.select(*df.columns, "error", F.posexplode_outer("_b").alias("pos", "x"))
     out = rows.select(*df.columns, "error", "pos",
                       entity_id_from_uri(F.col("x")["class"]["value"]).alias("qid"),
@@ -103,8 +110,9 @@ def parse_instance_of(df: DataFrame, body: str = "body", title: str = "title", w
     ents = r["entities"]
     first_key = F.get(F.map_keys(ents), 0)
     ent = _first_value(ents)
-    not_found = F.concat(F.lit("Entity not found for title '"), F.col(title), F.lit("' on '"), F.col(wiki), F.lit("'."))
-    err = (F.when(ents.isNull() | (F.size(ents) == 0) | blank(first_key), F.lit("No entities returned from Wikidata."))
+    template = ENTITY_ERRORS[1].replace("{title}", "%s").replace("{wiki}", "%s")
+    not_found = F.format_string(template, F.col(title), F.col(wiki))
+    err = (F.when(ents.isNull() | (F.size(ents) == 0) | blank(first_key), F.lit(ENTITY_ERRORS[0]))
             .when((first_key == "-1") | ent["missing"].isNotNull(), not_found))
     p31 = F.filter(F.transform(ent["claims"]["P31"], lambda c: c["mainsnak"]["datavalue"]["value"]["id"]),
                    lambda x: ~blank(x))
