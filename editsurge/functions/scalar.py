@@ -26,6 +26,12 @@ PERIOD_HOURS = {"LastHour": 1, "Last24Hours": 24, "Last7Days": 168}
 PERIOD_IDS = {"LastHour": 0, "Last24Hours": 1, "Last7Days": 2}
 SCORE_EPSILON = 0.0001
 
+# Article link base, cache-key prefixes, placeholder topic name.
+ARTICLE_URL_BASE = "https://en.wikipedia.org/wiki/"
+TRENDS_KEY_PREFIX = "v3:trends:"
+TOPIC_KEY_PREFIX = "v2:topic:"
+TOPIC_NAME_PREFIX = "topic-"
+
 # Category prefixes removed from category titles (any case).
 CATEGORY_PREFIXES = ["Category:", "Категория:", "Kategorie:", "Catégorie:"]
 
@@ -82,7 +88,7 @@ def article_url(title) -> Column:
     enc = F.replace(enc, F.lit("+"), F.lit("%20"))
     enc = F.replace(enc, F.lit("*"), F.lit("%2A"))
     enc = F.replace(enc, F.lit("%7E"), F.lit("~"))
-    return F.concat(F.lit("https://en.wikipedia.org/wiki/"), enc)
+    return F.concat(F.lit(ARTICLE_URL_BASE), enc)
 
 
 def cluster_id(label) -> Column:
@@ -132,12 +138,12 @@ def safe_int(s) -> Column:
 
 def trends_snapshot_key(period) -> Column:
     """X-14: v3:trends:{period} in lower case."""
-    return F.lower(F.concat(F.lit("v3:trends:"), _c(period)))
+    return F.lower(F.concat(F.lit(TRENDS_KEY_PREFIX), _c(period)))
 
 
 def topic_snapshot_key(topic_id, period) -> Column:
     """X-14: v2:topic:{id}:{period} in lower case."""
-    return F.lower(F.concat(F.lit("v2:topic:"), _c(topic_id).cast("string"), F.lit(":"), _c(period)))
+    return F.lower(F.concat(F.lit(TOPIC_KEY_PREFIX), _c(topic_id).cast("string"), F.lit(":"), _c(period)))
 
 
 def is_negative_lookup_error(err) -> Column:
@@ -164,7 +170,7 @@ def period_start(as_of, period: str) -> Column:
 
 def display_name(name, topic_id) -> Column:
     """F-15: blank name -> 'topic-{id}'."""
-    return F.when(blank(name), F.concat(F.lit("topic-"), _c(topic_id).cast("string"))).otherwise(_c(name))
+    return F.when(blank(name), F.concat(F.lit(TOPIC_NAME_PREFIX), _c(topic_id).cast("string"))).otherwise(_c(name))
 
 
 def display_path(path, name) -> Column:

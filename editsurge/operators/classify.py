@@ -27,8 +27,10 @@ LABEL_CONFIDENCE = 0.5
 NEGATIVE_TTL_HOURS = 1
 MAPPING_CACHE_HOURS = 24
 HUMAN = "Q5"
-# Instance-of topics start at 0.8, step 0.05 down, floor 0.3.
+# Instance-of topics start at 0.8, step 0.05 down, floor 0.3;
+# their path is this prefix plus the class id.
 INSTANCE_BASE, INSTANCE_STEP, INSTANCE_FLOOR = 0.8, 0.05, 0.3
+INSTANCE_PATH_PREFIX = "Wikidata/P31/"
 # The seven default topics.
 DEFAULT_TOPICS = ["Science", "Technology", "Politics", "Business", "Sports", "Culture", "History"]
 
@@ -177,7 +179,7 @@ def instance_of_topics(items: DataFrame, edges: DataFrame, labels: DataFrame, la
     conf = F.greatest(F.lit(INSTANCE_FLOOR), F.lit(INSTANCE_BASE) - F.col("rank") * F.lit(INSTANCE_STEP))
     return j.select("qid", "rank", "class",
                     F.when(blank("label"), F.col("class")).otherwise(F.col("label")).alias("name"),
-                    F.concat(F.lit("Wikidata/P31/"), F.col("class")).alias("path"),
+                    F.concat(F.lit(INSTANCE_PATH_PREFIX), F.col("class")).alias("path"),
                     F.round(conf, 4).cast("float").alias("confidence"))
 
 

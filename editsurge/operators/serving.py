@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from editsurge.functions.scalar import (PERIOD_HOURS, PERIODS, article_url, blank, cluster_id,
+from editsurge.functions.scalar import (PERIOD_HOURS, PERIODS, TOPIC_NAME_PREFIX, article_url, blank, cluster_id,
                                         direction, display_name, display_path, path_head)
 from editsurge.operators import trends as tr
 
@@ -84,7 +84,7 @@ def cluster_label(name, path, topic_id):
     """A-07 label: path (or name when the path is blank) -> first segment;
     both blank -> topic-{id}."""
     src = F.when(blank(path), name).otherwise(path)
-    return F.when(blank(src), F.concat(F.lit("topic-"), topic_id.cast("string"))).otherwise(path_head(src))
+    return F.when(blank(src), F.concat(F.lit(TOPIC_NAME_PREFIX), topic_id.cast("string"))).otherwise(path_head(src))
 
 
 def cluster_members(edits: DataFrame, as_of: str, period: str = "Last24Hours",
@@ -195,7 +195,7 @@ def topic_detail(edits: DataFrame, as_of: str, topic_id: int, period: str = "Las
     # nested-loop join).
     ask = spark.createDataFrame([(int(topic_id),)], "topic_id int")
     d = topic_details(edits, as_of, period, [topic_id], baselines, lookback_days, label_state)
-    name = F.concat(F.lit("topic-"), F.col("topic_id").cast("string"))
+    name = F.concat(F.lit(TOPIC_NAME_PREFIX), F.col("topic_id").cast("string"))
     d = ask.join(d, "topic_id", "left").select(
         "topic_id", F.lit(period).alias("period"),
         F.coalesce("name", name).alias("name"), F.coalesce("path", name).alias("path"),

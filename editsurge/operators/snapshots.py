@@ -78,7 +78,7 @@ def apply_invalidations(snap: DataFrame, commands: DataFrame) -> DataFrame:
     after the snapshot was cached; a recalculate command drops all three
     trend keys.  Commands are folded to the latest time per key first
     (partial aggregation), then anti-joined."""
-    keys = F.array(*[F.lit(f"v3:trends:{p.lower()}") for p in PERIODS])
+    keys = F.array(*[trends_snapshot_key(F.lit(p)) for p in PERIODS])
     c = commands.select(
         F.explode(F.when(F.col("kind") == "recalculate", keys)
                    .otherwise(F.array(F.col("cache_key")))).alias("cache_key"), "requested_at")
