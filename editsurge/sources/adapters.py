@@ -54,6 +54,8 @@ def max_ts(df: DataFrame, col: str = "ts") -> str:
 
     One global aggregate (partial max per task, one row to the driver).
     """
+    if col == "ts" and "eff_date" in df.columns:
+        df = _newest_partitions(df)
     row = df.agg(F.max(col).alias("m")).first()
     m = row["m"] if row else None
     if m is None:
@@ -62,6 +64,22 @@ def max_ts(df: DataFrame, col: str = "ts") -> str:
     return m.strftime("%Y-%m-%d %H:%M:%S")
 
 
+def _newest_partitions(edits: DataFrame) -> DataFrame:
+    """The eff_date partitions that can hold the newest ts of a stored edit
+    table, found without scanning it all.  ts <= effective time, so a row
+    with ts = T sits in a partition dated on or after day(T).  With m = the
+    newest ts of the newest partition, every ts above m lies in partitions
+    dated day(m) or later: two pruned scans instead of a full one, and the
+    answer is exact."""
+    newest = edits.agg(F.max("eff_date").alias("d")).first()["d"]
+    if newest is None:
+        return edits
+    m = edits.filter(F.col("eff_date") == F.lit(newest)).agg(F.max("ts").alias("m")).first()["m"]
+    if m is None:
+        return edits
+    return edits.filter(F.col("eff_date") >= F.lit(m.date()))
+
+
 # --------------------------------------------------------------------------
 # edits (FIXTURES 3.1)
 # --------------------------------------------------------------------------
