@@ -175,3 +175,16 @@ def test_as_of_on_partitioned_table_is_exact(spark, tmp_path):
     write_edit_events(spark.createDataFrame(rows, S.EDIT_EVENTS), path, partition_by_day=True)
     stored = spark.read.parquet(path)
     assert max_ts(stored) == "2024-01-30 12:00:00" == max_ts(stored.drop("eff_date"))
+
+
+def test_big_day_is_split_across_writers(spark, tmp_path):
+    """Range partitioning by (eff_date, effective time): one day's rows are
+    written by several tasks (files), not one."""
+    import glob
+    from editsurge.sources.sinks import write_edit_events
+    rows = [edit(i, T0 - dt.timedelta(seconds=i), [(1, "a", "a")]) for i in range(4000)]
+    path = str(tmp_path / "t")
+    write_edit_events(spark.createDataFrame(rows, S.EDIT_EVENTS).repartition(4), path, partition_by_day=True, num_files=4)
+    files = glob.glob(str(tmp_path / "t" / "eff_date=2024-01-30" / "*.parquet"))
+    assert len(files) >= 2
+    assert spark.read.parquet(path).count() == 4000
