@@ -82,3 +82,14 @@ def test_number_rows_dense_and_ordered(spark):
     df = spark.range(0, 500).select((F.col("id") * 7 % 500).alias("k"))
     out = en.number_rows(df, ["k"], 10, "nid").orderBy("k").collect()
     assert [r.nid for r in out] == list(range(11, 511))
+
+
+def test_number_rows_repeatable(spark):
+    """The same keys get the same ids when the frame is evaluated again
+    (as after a lost executor), whatever the input partitioning."""
+    df = spark.range(0, 2000).select((F.col("id") * 13 % 2000).alias("k")).repartition(7)
+    a = en.number_rows(df, ["k"], 0, "nid")
+    first = sorted((r.k, r.nid) for r in a.collect())
+    again = sorted((r.k, r.nid) for r in a.collect())
+    other = sorted((r.k, r.nid) for r in en.number_rows(df.repartition(3), ["k"], 0, "nid").collect())
+    assert first == again == other == [(k, k + 1) for k in range(2000)]
