@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from editsurge.llm import bpe
+from editsurge.llm import bpe, secrets, sharding
 from editsurge.llm.common import documents
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -26,3 +26,13 @@ def register(name: str, sql: str | None = None):
 @register("op9_bpe_codec")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@register("op4_secret_scan")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@register("op6_sharding")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.digest(documents(spark, sf_dir, "doc_id", "text"))

@@ -1,0 +1,156 @@
+"""Secret scan with multipart credential linking, in DataFrame functions only.
+
+Base spans come from three patterns.  Beside them weak parts are looked for:
+account identifiers (``ident``), bare mixed-case keys (``key``) and service
+addresses (``endpoint``).  Alone they are ordinary text; they are reported
+only when complementary parts lie in the same scope: an identifier or a key
+needs the other one (weak or base), an address needs both.  A scope reaches
+``SCOPE`` code points around a part and never over a blank line.
+
+The interval join runs as a sweep inside the row: the parts of a text are
+sorted by start, one pass forwards and one backwards carry the nearest part of
+each role, and a blank line resets them.  No pairs are made, nothing is
+shuffled, and the work is linear in the text.
+
+Defined cases: a null or empty text has no spans; offsets are code points, end
+exclusive; repeated rows are scanned each; ties at one start are ordered by
+kind as in ``KINDS``; extra columns are kept by ``scan`` and ``redact``, and an
+input column that is named like an added one is replaced.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+KINDS = ["assign", "access", "hex", "ident", "key", "endpoint"]
+# The three base patterns.
+ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+ACCESS = "AKIA[A-Z0-9]+"
+HEX = "[0-9a-f]{24,}"  # a run of [0-9a-f]+ is maximal, so its least length can stand in the pattern
+ASSIGN_LEAST, ACCESS_LEAST = 6, 20
+
+IDENT = (r"""(?i:access_?key_?id|client_?id|account_?id|user_?name|user|login)["']?\x20*[:=]\x20*["']?"""
+         r"""[A-Za-z0-9_.@-]{4,}""")
+KEY = "[A-Za-z0-9+/]{32,}={0,2}"
+ENDPOINT = r"""(?:https?|wss?|ftps?|sftp|jdbc:[a-z]+|postgres|postgresql|mysql|mongodb|redis|amqp)://[^\s"'<>]{4,}"""
+BLANK_LINE = r"\n[\x20\t\r]*\n"
+SCOPE = 400
+SPAN = "struct<s:int,e:int,k:int>"
+FAR = 1 << 30
+PLACEHOLDER = "[SECRET]"
+
+
+def find(text: Column, pattern: str, kind: int, least: int = 0, group: int = 0) -> Column:
+    """Leftmost non-overlapping matches as array<struct<s, e, k>>.  Splitting at
+    the pattern gives the text between the matches, so the running sum of both
+    lengths is the position.  Matches whose ``group`` is shorter than ``least``
+    are dropped afterwards; they still take their place."""
+    between = F.split(text, pattern, -1)
+    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    checked = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else matches
+    sizes = F.zip_with(
+        between, F.arrays_zip(matches.alias("m"), checked.alias("c")),
+        lambda p, x: F.struct(F.length(p).alias("p"), F.length(x["m"]).alias("m"), F.length(x["c"]).alias("c")))
+    start = lambda acc, x: acc["at"] + x["p"]
+    spans = F.aggregate(
+        sizes, F.struct(F.lit(0).alias("at"), F.lit(None).cast(f"array<{SPAN}>").alias("out")),
+        lambda acc, x: F.struct(
+            (start(acc, x) + F.coalesce(x["m"], F.lit(0))).alias("at"),
+            F.when(x["c"] >= least, F.concat(
+                F.coalesce(acc["out"], F.array().cast(f"array<{SPAN}>")),
+                F.array(F.struct(start(acc, x).alias("s"), (start(acc, x) + x["m"]).alias("e"), F.lit(kind).alias("k")))))
+            .otherwise(acc["out"]).alias("out")),
+        lambda acc: F.coalesce(acc["out"], F.array().cast(f"array<{SPAN}>")))
+    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(f"array<{SPAN}>"))
+
+
+def base_spans(text: Column) -> Column:
+    """All base spans, sorted by start, then kind."""
+    order = lambda a, b: F.when(a["s"] != b["s"], a["s"] - b["s"]).otherwise(a["k"] - b["k"])
+    return F.array_sort(F.concat(find(text, ASSIGN, 0, ASSIGN_LEAST, 2), find(text, ACCESS, 1, ACCESS_LEAST),
+                                 find(text, HEX, 2)), order)
+
+
+def _mixed(text: Column, spans: Column) -> Column:
+    """Key-like spans that hold a digit, a capital and a small letter."""
+    word = lambda x: F.substring(text, x["s"] + 1, x["e"] - x["s"])
+    return F.filter(spans, lambda x: word(x).rlike("[0-9]") & word(x).rlike("[A-Z]") & word(x).rlike("[a-z]"))
+
+
+def _nearest(parts: Column, backwards: bool) -> Column:
+    """For each part in sweep order: does a part of role 0 (identifier), 1 (secret)
+    lie in its scope on the side the sweep comes from?  Blank lines (k = -1) reset."""
+    sees = lambda last, x: (x["s"] - last <= SCOPE) if not backwards else (last - x["e"] <= SCOPE)
+    none = F.lit(FAR if backwards else -FAR)
+    edge = lambda x: x["s"] if backwards else x["e"]
+    closer = F.least if backwards else F.greatest
+    step = lambda acc, x, field, roles: (
+        F.when(x["k"] == -1, none).when(x["k"].isin(roles), closer(acc[field], edge(x))).otherwise(acc[field]).alias(field))
+    return F.aggregate(
+        F.reverse(parts) if backwards else parts,
+        F.struct(none.alias("i"), none.alias("z"),
+                 F.array().cast("array<struct<s:int,e:int,k:int,i:boolean,z:boolean>>").alias("out")),
+        lambda acc, x: F.struct(
+            step(acc, x, "i", [1, 3]), step(acc, x, "z", [0, 2, 4]),
+            F.concat(acc["out"], F.array(F.struct(
+                x["s"].alias("s"), x["e"].alias("e"), x["k"].alias("k"),
+                sees(acc["i"], x).alias("i"), sees(acc["z"], x).alias("z")))).alias("out")),
+        lambda acc: acc["out"])
+
+
+def linked_spans(text: Column, base: Column) -> Column:
+    """Weak parts whose complementary parts co-occur in their scope."""
+    free = lambda spans: F.filter(spans, lambda x: ~F.exists(  # noqa: E731  a base span is not reported twice
+        base, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
+    weak = F.concat(free(find(text, IDENT, 3)), free(_mixed(text, find(text, KEY, 4))), find(text, ENDPOINT, 5))
+    parts = F.array_sort(F.concat(base, weak, find(text, BLANK_LINE, -1)))
+    both = F.zip_with(_nearest(parts, False), F.reverse(_nearest(parts, True)), lambda a, b: F.struct(
+        a["s"].alias("s"), a["e"].alias("e"), a["k"].alias("k"), (a["i"] | b["i"]).alias("i"), (a["z"] | b["z"]).alias("z")))
+    kept = F.filter(both, lambda x: ((x["k"] == 3) & x["z"]) | ((x["k"] == 4) & x["i"])
+                    | ((x["k"] == 5) & x["i"] & x["z"]))
+    found = F.transform(kept, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["k"].alias("k")))
+    return F.when(text.rlike(f"{IDENT}|{KEY}"), found).otherwise(F.array().cast(f"array<{SPAN}>"))
+
+
+def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``base_spans`` and ``linked_spans`` (array<struct<s, e, k>>, k indexes ``KINDS``)."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return (docs.withColumn("base_spans", base_spans(text))
+                .withColumn("linked_spans", linked_spans(text, F.col("base_spans"))))
+
+
+def _listed(spans: Column) -> Column:
+    kinds = F.array(*map(F.lit, KINDS))
+    return F.concat_ws(",", F.transform(spans, lambda x: F.concat_ws(
+        ":", F.element_at(kinds, x["k"] + 1), x["s"].cast("string"), x["e"].cast("string"))))
+
+
+def digest(docs: DataFrame) -> DataFrame:
+    """doc_id, counts, base_sha256 and the listed spans of every document."""
+    order = lambda a, b: F.when(a["s"] != b["s"], a["s"] - b["s"]).otherwise(a["k"] - b["k"])
+    n = lambda k: F.size(F.filter("base_spans", lambda x: x["k"] == k)).cast("long")
+    return scan(docs.select("doc_id", "text")).select(
+        "doc_id", n(0).alias("n_assign"), n(1).alias("n_access"), n(2).alias("n_hex"),
+        F.sha2(_listed(F.col("base_spans")).cast("binary"), 256).alias("base_sha256"),
+        _listed(F.array_sort(F.concat("base_spans", "linked_spans"), order)).alias("spans"))
+
+
+def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` with every reported span replaced by ``PLACEHOLDER`` (overlapping
+    spans by one); ``n_chars``, where it exists, follows.  Same columns as ``docs``."""
+    text = F.col(text_col)
+    spans = F.array_sort(F.concat("base_spans", "linked_spans"))
+    cut = F.aggregate(
+        spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
+        lambda acc, x: F.struct(
+            F.greatest(acc["at"], x["e"]).alias("at"),
+            F.when(x["s"] >= acc["at"], F.concat(acc["out"], F.substring(text, acc["at"] + 1, x["s"] - acc["at"]), F.lit(PLACEHOLDER)))
+            .otherwise(acc["out"]).alias("out")),
+        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.lit(FAR))))
+    found = scan(docs, text_col)
+    out = found.withColumn(text_col, F.when(F.size(spans) > 0, cut).otherwise(text))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.size(spans) > 0, F.length(text_col).cast(docs.schema["n_chars"].dataType))
+                             .otherwise(F.col("n_chars")))
+    return out.select(*docs.columns)
