@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,6 +16,27 @@ from editsurge.session import ensure_checkpoint_dir
 from editsurge.sources.tables import read_table
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's sources to the executors, once for each application, so
+    that functions of its modules can be imported there."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="editsurge-src-"), "editsurge_src.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(top):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """The whole documents table, only the named columns."""
     return read_table(spark, sf_dir, "documents", *columns)
@@ -48,6 +72,7 @@ def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[list[list]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, type=f.type) for c, f in zip(cols, out)], schema=out)
 
+    ship(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

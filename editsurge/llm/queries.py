@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from editsurge.llm import bpe, secrets, sharding
+from editsurge.llm import bpe, langid, secret_scan, sharding, toxicity
 from editsurge.llm.common import documents
+from editsurge.sources.tables import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -30,9 +31,21 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op4_secret_scan")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.digest(documents(spark, sf_dir, "doc_id", "text"))
+    return secret_scan.digest(documents(spark, sf_dir, "doc_id", "text"))
 
 
 @register("op6_sharding")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@register("op5_language_id")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text", "lang")
+    return langid.digest(docs, langid.fit(docs))
+
+
+@register("op7_toxicity")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    return toxicity.digest(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels", "doc_id", "toxic")))
