@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from editsurge.llm import bpe, langid, secret_scan, sharding, toxicity
+from editsurge.llm import bpe, langid, minhash, secret_scan, sharding, toxicity
 from editsurge.llm.common import documents
 from editsurge.sources.tables import read_table
 
@@ -49,3 +49,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text")
     return toxicity.digest(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels", "doc_id", "toxic")))
+
+
+@register("op3_minhash_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.group(documents(spark, sf_dir, "doc_id", "text"))
