@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from editsurge.llm import bpe, langid, minhash, secret_scan, sharding, toxicity
+from editsurge.llm import ann, bpe, langid, minhash, secret_scan, sharding, toxicity
 from editsurge.llm.common import documents
 from editsurge.sources.tables import read_table
 
@@ -54,3 +54,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op3_minhash_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.group(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@register("op10_ann_search")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
