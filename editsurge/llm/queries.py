@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from editsurge.llm import ann, bpe, langid, minhash, secret_scan, sharding, toxicity
+from editsurge.llm import ann, bpe, langid, minhash, secret_scan, sharding, toxicity, wrappers
 from editsurge.llm.common import documents
 from editsurge.sources.tables import read_table
 
@@ -59,3 +59,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_ann_search")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+@register("op8_html_extraction")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
