@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from editsurge.llm import ann, bpe, langid, minhash, secret_scan, sharding, toxicity, wrappers
+from editsurge.llm import ann, bpe, decontaminate, langid, minhash, secret_scan, sharding, toxicity, wrappers
 from editsurge.llm.common import documents
 from editsurge.sources.tables import read_table
 
@@ -64,3 +64,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_html_extraction")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.extract(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+@register("op2_decontamination")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(documents(spark, sf_dir, "doc_id", "text"),
+                                    read_table(spark, sf_dir, "benchmark", "item_id", "text"))

@@ -189,19 +189,19 @@ def _term_rows(sample: DataFrame) -> DataFrame:
         terms = Terms()
 
         def run(cols):
-            return [cols[0], cols[2], [terms.of(t) for t in cols[1]]]
+            return [cols[0], cols[2], [np.asarray(terms.of(t), dtype=np.int32).tobytes() for t in cols[1]]]
         return run
 
-    return map_rows(sample, f"doc_id {sample.schema['doc_id'].dataType.simpleString()}, toxic int, terms array<int>", make)
+    return map_rows(sample, f"doc_id {sample.schema['doc_id'].dataType.simpleString()}, toxic int, terms binary", make)
 
 
 def fit(docs: DataFrame, labels: DataFrame, size: int = TRAIN_DOCS) -> Machine:
     """The machine, from a sample of about ``size`` labelled documents; only their
     hashed terms come to the driver."""
     rows = _term_rows(training_sample(docs, labels.withColumn("toxic", F.col("toxic").cast("int")), size)).toPandas()
-    rows["h"] = [zlib.crc32(t.tobytes()) if len(t) else 0 for t in rows["terms"]]
-    rows = rows.sort_values(["doc_id", "h"])  # the same order whatever the partitions
-    return fit_machine([np.asarray(t, dtype=np.int64) for t in rows["terms"]], rows["toxic"].to_numpy(dtype=float))
+    rows["terms"] = [bytes(t) for t in rows["terms"]]
+    rows = rows.sort_values(["doc_id", "terms"])  # the same order whatever the partitions
+    return fit_machine([np.frombuffer(t, np.int32).astype(np.int64) for t in rows["terms"]], rows["toxic"].to_numpy(dtype=float))
 
 
 def score(docs: DataFrame, machine: Machine) -> DataFrame:
