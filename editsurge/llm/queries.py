@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from editsurge.llm import ann, bpe, decontaminate, langid, minhash, secret_scan, sharding, toxicity, wrappers
+from editsurge.llm import (ann, bpe, decontaminate, langid, minhash, secret_scan, sharding, suffix_dedup, toxicity,
+                           wrappers)
 from editsurge.llm.common import documents
 from editsurge.sources.tables import read_table
 
@@ -70,3 +71,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(documents(spark, sf_dir, "doc_id", "text"),
                                     read_table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+@register("op1_suffix_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(documents(spark, sf_dir, "doc_id", "text"))
