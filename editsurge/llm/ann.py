@@ -29,14 +29,15 @@ SHARD_ROWS = 4096
 QUERY_BLOCK = 256
 SEARCH_WIDTH = 128
 INDEX = "shard long, dim int, n int, vectors binary, links binary, entry int, top int, starts binary, ids binary, uids binary"
-NO_ID = np.iinfo(np.int64).max
+NO_ID = (1 << 63) - 1  # stands for a null vec_id
 
 
 def usable(vectors: DataFrame) -> DataFrame:
     """(uid, vec_id, dim, embedding) of the rows that take part; uid tells rows apart."""
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     some = F.exists("embedding", lambda x: x != 0)
-    rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    rows = vectors.select(F.coalesce(F.col("vec_id").cast("long"), F.lit(NO_ID)).alias("vec_id"),
+                          F.col("embedding").cast("array<double>").alias("embedding"))
     return cut(rows.filter(F.col("embedding").isNotNull() & (F.size("embedding") > 0)).filter(~bad & some)
                    .select(F.monotonically_increasing_id().alias("uid"), "vec_id", F.size("embedding").alias("dim"), "embedding"))
 
@@ -48,7 +49,7 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 def _build(rows: pd.DataFrame) -> pd.DataFrame:
     """One shard's index row: distinct vectors, their rows' ids in ascending order, the graph."""
-    ids = rows["vec_id"].fillna(NO_ID).astype(np.int64).to_numpy()
+    ids = rows["vec_id"].to_numpy()
     order = np.lexsort((rows["uid"].to_numpy(), ids))
     x = np.stack(rows["embedding"].to_numpy()[order]).astype(np.float64)
     ids, uids = ids[order], rows["uid"].to_numpy()[order].astype(np.int64)
@@ -144,7 +145,7 @@ def search(rows: DataFrame, index: DataFrame, shards: list[tuple[int, int]], que
     finds = (sent.join(index, "shard").mapInPandas(run, "query_uid long, query_id long, vec_id long, uid long, score double"))
     best = Window.partitionBy("query_uid").orderBy(F.desc("score"), "vec_id", "uid")
     return (finds.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-                 .select("query_id", "rank", F.when(F.col("vec_id") != int(NO_ID), F.col("vec_id")).alias("vec_id"), "score"))
+                 .select("query_id", "rank", F.when(F.col("vec_id") != NO_ID, F.col("vec_id")).alias("vec_id"), "score"))
 
 
 def nearest(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:

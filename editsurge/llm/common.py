@@ -76,6 +76,14 @@ def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[list[list]
     return df.mapInArrow(run, schema)
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 MIX_A = np.uint64(0x9E3779B97F4A7C15)
 MIX_B = np.uint64(0xBF58476D1CE4E5B9)
 MIX_C = np.uint64(0x94D049BB133111EB)

@@ -42,7 +42,7 @@ ORDER = 4
 #: Expected number of training documents taken of each language (all, if there are fewer).
 TRAIN_DOCS = 600
 REJECT_Z = 8.0
-LEAST_SPREAD = 0.15
+LEAST_SPREAD = 0.25
 #: Characters scored at a time.
 SLICE = 1 << 20
 #: Code points are packed in 16 bits; higher ones count as one character.

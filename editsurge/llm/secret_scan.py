@@ -14,8 +14,8 @@ shuffled, and the work is linear in the text.
 
 Defined cases: a null or empty text has no spans; offsets are code points, end
 exclusive; repeated rows are scanned each; ties at one start are ordered by
-kind as in ``KINDS``; extra columns are kept by ``scan`` and ``redact``, and an
-input column that is named like an added one is replaced.
+kind as in ``KINDS``; extra columns are kept by ``scan`` and ``redact``, and ``scan``
+replaces an input column that is named like one it adds.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from editsurge.llm.common import fresh_name
+
 KINDS = ["assign", "access", "hex", "ident", "key", "endpoint"]
 # The three base patterns.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -113,11 +115,10 @@ def linked_spans(text: Column, base: Column) -> Column:
     return F.when(text.rlike(f"{IDENT}|{KEY}"), found).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
-def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``base_spans`` and ``linked_spans`` (array<struct<s, e, k>>, k indexes ``KINDS``)."""
+def scan(docs: DataFrame, text_col: str = "text", base: str = "base_spans", linked: str = "linked_spans") -> DataFrame:
+    """``docs`` with two columns of spans (array<struct<s, e, k>>, k indexes ``KINDS``)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return (docs.withColumn("base_spans", base_spans(text))
-                .withColumn("linked_spans", linked_spans(text, F.col("base_spans"))))
+    return docs.withColumn(base, base_spans(text)).withColumn(linked, linked_spans(text, F.col(base)))
 
 
 def _listed(spans: Column) -> Column:
@@ -140,7 +141,8 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with every reported span replaced by ``PLACEHOLDER`` (overlapping
     spans by one); ``n_chars``, where it exists, follows.  Same columns as ``docs``."""
     text = F.col(text_col)
-    spans = F.array_sort(F.concat("base_spans", "linked_spans"))
+    base, linked = fresh_name(docs, "base_spans"), fresh_name(docs, "linked_spans")
+    spans = F.array_sort(F.concat(base, linked))
     cut = F.aggregate(
         spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         lambda acc, x: F.struct(
@@ -148,7 +150,7 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
             F.when(x["s"] >= acc["at"], F.concat(acc["out"], F.substring(text, acc["at"] + 1, x["s"] - acc["at"]), F.lit(PLACEHOLDER)))
             .otherwise(acc["out"]).alias("out")),
         lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.lit(FAR))))
-    found = scan(docs, text_col)
+    found = scan(docs, text_col, base, linked)
     out = found.withColumn(text_col, F.when(F.size(spans) > 0, cut).otherwise(text))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.size(spans) > 0, F.length(text_col).cast(docs.schema["n_chars"].dataType))

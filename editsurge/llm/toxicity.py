@@ -37,12 +37,12 @@ TRAIN_DOCS = 12_000
 TRAIN_CHARS = 40_000
 PREFIXES = (4, 5)
 #: Sampled documents a term must occur in to have a weight.
-LEAST_DOCS = 5
+LEAST_DOCS = 4
 #: Deviations by which a term's share of toxic documents must differ from the whole sample's.
 LEAST_Z = 4.0
 #: One in so many sampled documents is kept aside for calibration.
 ASIDE = 4
-EPOCHS = 10
+EPOCHS = 25
 BATCH = 64
 RATE = 0.1
 DECAY = 1e-5
