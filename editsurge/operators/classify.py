@@ -3,8 +3,9 @@
 The reference resolves one article at a time (database lookups, an HTTP
 graph query, label lookups).  Here a batch of articles is resolved by a
 chain of equi-joins, and the graph query becomes a transitive closure of the
-subclass relation computed once per graph (semi-naive iteration with a
-checkpoint per round), then joined with the articles' start classes.
+subclass relation, started at the batch's distinct start classes (semi-naive
+iteration with a checkpoint per round).  Only the classes it keeps, ranked per
+start class, are joined with the articles.
 """
 
 from __future__ import annotations
@@ -45,11 +46,9 @@ def max_confidence_topic(article_topics: DataFrame, topics: DataFrame) -> DataFr
     to topics that do not exist are ignored (inner join).  Ties go to the
     lower topic id."""
     j = article_topics.join(topics.select("topic_id", "name", "path"), "topic_id")
-    best = (j.groupBy("article_id")
-             .agg(F.max(F.struct(F.col("confidence"), (-F.col("topic_id")).alias("neg_id"))).alias("k")))
-    return (j.join(best, "article_id")
-             .filter((F.col("confidence") == F.col("k.confidence")) & (-F.col("topic_id") == F.col("k.neg_id")))
-             .select("article_id", "topic_id", "name", "path", "confidence"))
+    best = F.max_by(F.struct("topic_id", "name", "path", "confidence"),
+                    F.struct(F.col("confidence"), -F.col("topic_id")))
+    return j.groupBy("article_id").agg(best.alias("b")).select("article_id", "b.*")
 
 
 def lookup_qid(articles: DataFrame, mapping: DataFrame, as_of: str,
@@ -82,9 +81,10 @@ def start_nodes(items: DataFrame, edges: DataFrame) -> DataFrame:
     return human_starts.unionByName(other).distinct()
 
 
-def class_closure(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
-    """J-13 core: (cls, anc) for every class and every ancestor reachable by
-    zero or more P279 steps.
+def class_closure(edges: DataFrame, starts: DataFrame | None = None) -> DataFrame:
+    """J-13 core: (cls, anc) for every start class (column ``cls``; all
+    classes of the graph if none are given) and every ancestor reachable by
+    zero or more P279 steps, however many.
 
     Semi-naive: each round joins only the pairs found in the previous round
     with the edges and keeps pairs not seen before (anti-join against the
@@ -97,12 +97,12 @@ def class_closure(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
     sub = edges.filter(F.col("prop") == "P279").select("child", "parent").distinct()
-    classes = (sub.select(F.col("child").alias("c")).union(sub.select(F.col("parent").alias("c")))
-                  .union(edges.filter(F.col("prop").isin("P31", "P106")).select(F.col("parent").alias("c")))
-                  .distinct())
-    delta = classes.select(F.col("c").alias("cls"), F.col("c").alias("anc")).checkpoint()
+    if starts is None:
+        starts = (sub.select(F.col("child").alias("cls")).union(sub.select(F.col("parent").alias("cls")))
+                     .union(edges.filter(F.col("prop").isin("P31", "P106")).select(F.col("parent").alias("cls"))))
+    delta = starts.select("cls", F.col("cls").alias("anc")).distinct().checkpoint()
     parts = [delta]
-    for _ in range(max_rounds):
+    while True:
         seen = parts[0]
         for p in parts[1:]:
             seen = seen.unionByName(p)
@@ -110,31 +110,46 @@ def class_closure(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
                      .select("cls", F.col("parent").alias("anc")).distinct())
         new = step.join(seen, ["cls", "anc"], "left_anti").checkpoint()
         if new.isEmpty():
-            break
+            return seen
         parts.append(new)
         delta = new
-    closure = parts[0]
-    for p in parts[1:]:
-        closure = closure.unionByName(p)
-    return closure
 
 
 def class_hierarchy(items: DataFrame, edges: DataFrame, nodes: DataFrame,
                     min_sitelinks: int = ROOT_SITELINKS, limit: int = GRAPH_LIMIT,
-                    closure: DataFrame | None = None) -> DataFrame:
+                    closure: DataFrame | None = None, labels: DataFrame | None = None) -> DataFrame:
     """J-13: per item the classes reached from its start nodes with
     sitelinks >= min_sitelinks, ordered by sitelinks ascending (qid breaks
     ties), first ``limit``.  No DISTINCT across start nodes: a class reached
-    from two start nodes appears twice.  Columns: qid, pos, class, label,
-    sitelinks."""
-    closure = closure if closure is not None else class_closure(edges)
-    s = start_nodes(items, edges)
-    reach = s.join(closure, s.start == closure.cls).select("qid", "start", F.col("anc").alias("class"))
-    n = nodes.select(F.col("qid").alias("class"), "label", "sitelinks")
-    r = reach.join(n, "class").filter(F.col("sitelinks") >= min_sitelinks)
-    w = Window.partitionBy("qid").orderBy("sitelinks", "class", "start")
-    return (r.withColumn("pos", F.row_number().over(w)).filter(F.col("pos") <= limit)
-             .select("qid", "pos", "class", "label", "sitelinks"))
+    from two start nodes appears twice.  With ``labels`` (id, lang, label)
+    and a ``lang`` column of the items a class is named in the item's
+    language, or by its id where it has no label there.  Columns: qid
+    (, lang), pos, class, label, sitelinks.
+
+    The closure starts at the batch's distinct start classes; its classes
+    are filtered and cut to ``limit`` for each start class before an item
+    meets them, one row per start class.  So a class that most items start
+    at or reach costs one row there, and the items' side of the join is the
+    one that AQE can split."""
+    ensure_checkpoint_dir(items.sparkSession)
+    s = start_nodes(items, edges).checkpoint()
+    closure = closure if closure is not None else class_closure(edges, s.select(F.col("start").alias("cls")))
+    n = nodes.filter(F.col("sitelinks") >= min_sitelinks).select(F.col("qid").alias("anc"), "label", "sitelinks")
+    w = Window.partitionBy("cls").orderBy("sitelinks", "anc")
+    ranked = closure.join(n, "anc").withColumn("pos", F.row_number().over(w)).filter(F.col("pos") <= limit)
+    lists = ranked.groupBy(F.col("cls").alias("start")).agg(      # at most ``limit`` classes
+        F.collect_list(F.struct("sitelinks", F.col("anc").alias("class"), "label")).alias("xs"))
+    keys = ["qid"]
+    if labels is not None:
+        s, keys = s.join(items.select("qid", "lang").distinct(), "qid"), ["qid", "lang"]
+    reach = s.join(lists, "start").select(*keys, "start", F.explode("xs").alias("x")).select(*keys, "start", "x.*")
+    wi = Window.partitionBy(*keys).orderBy("sitelinks", "class", "start")
+    out = reach.withColumn("pos", F.row_number().over(wi)).filter(F.col("pos") <= limit)
+    if labels is not None:
+        named = labels.filter(~blank("label")).select(F.col("id").alias("class"), "lang", F.col("label").alias("_named"))
+        used = named.join(out.select("class").distinct(), "class", "left_semi")
+        out = out.join(used, ["class", "lang"], "left").withColumn("label", F.coalesce("_named", "class"))
+    return out.select(*keys, "pos", "class", "label", "sitelinks")
 
 
 def pick_root_topic(hierarchy: DataFrame, threshold: int = ROOT_SITELINKS) -> DataFrame:
@@ -143,12 +158,13 @@ def pick_root_topic(hierarchy: DataFrame, threshold: int = ROOT_SITELINKS) -> Da
     root, reversed, joined with ' > '.  The per-item list is bounded by the
     graph limit (250)."""
     h = hierarchy.filter(~blank("label"))
-    lists = h.groupBy("qid").agg(F.sort_array(F.collect_list(F.struct("pos", "label", "sitelinks"))).alias("xs"))
+    keys = [c for c in ("qid", "lang") if c in hierarchy.columns]
+    lists = h.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("pos", "label", "sitelinks"))).alias("xs"))
     idx = F.array_position(F.transform("xs", lambda x: x["sitelinks"] >= threshold), F.lit(True))
     root = F.when(idx > 0, idx).otherwise(F.size("xs"))
     upto = F.slice("xs", 1, root)
     return lists.select(
-        "qid",
+        *keys,
         F.element_at("xs", root.cast("int"))["label"].alias("name"),
         F.array_join(F.reverse(F.transform(upto, lambda x: x["label"])), " > ").alias("path"))
 
@@ -163,16 +179,17 @@ def label_lookup(ids: DataFrame, labels: DataFrame, lang: str | Column) -> DataF
 
 
 def instance_of_topics(items: DataFrame, edges: DataFrame, labels: DataFrame, lang: str = "en") -> DataFrame:
-    """J-15: per item its instance-of ids, distinct case-insensitively (first
-    position kept), confidence max(0.3, 0.8 - 0.05 i), name = label or the id,
+    """J-15: per item its instance-of ids in claim order, distinct case-insensitively
+    (the first claim kept), confidence max(0.3, 0.8 - 0.05 i), name = label or the id,
     path Wikidata/P31/{id}; sorted by confidence desc.  Columns: qid, rank,
     class, name, path, confidence."""
     p31 = (edges.filter(F.col("prop") == "P31")
                 .join(items.select("qid").distinct(), edges.child == F.col("qid"), "left_semi")
-                .select(F.col("child").alias("qid"), F.col("parent").alias("class"))
+                .select(F.col("child").alias("qid"), F.col("parent").alias("class"), "pos")
                 .filter(~blank("class")))
-    first = p31.groupBy("qid", F.lower("class").alias("k")).agg(F.min("class").alias("class"))
-    w = Window.partitionBy("qid").orderBy("class")
+    first = (p31.groupBy("qid", F.lower("class").alias("k")).agg(F.min(F.struct("pos", "class")).alias("c"))
+                .select("qid", "c.pos", "c.class"))
+    w = Window.partitionBy("qid").orderBy("pos", "class")
     ranked = first.withColumn("rank", F.row_number().over(w) - 1)
     lb = labels.filter(F.col("lang") == lang).select(F.col("id").alias("class"), "label")
     j = ranked.join(lb, "class", "left")
@@ -187,19 +204,55 @@ def api_label_topic(items: DataFrame, edges: DataFrame, labels: DataFrame) -> Da
     """Label path of the resolver: the entity's instance-of ids -> labels in
     the article language -> the first non-blank label (lowest claim
     position) as topic name and path.  Columns: qid, lang, name."""
-    p31 = (edges.filter(F.col("prop") == "P31").select(F.col("child").alias("qid"), F.col("parent").alias("class")))
-    q = items.select("qid", "lang").distinct()
-    j = q.join(p31, "qid").join(labels.select(F.col("id").alias("class"), "lang", "label"), ["class", "lang"])
-    j = j.filter(~blank("label"))
-    return j.groupBy("qid", "lang").agg(F.min(F.struct("class", "label"))["label"].alias("name"))
+    p31 = edges.filter(F.col("prop") == "P31").select(F.col("child").alias("qid"), F.col("parent").alias("class"), "pos")
+    claims = items.select("qid", "lang").distinct().join(p31, "qid")
+    named = labels.filter(~blank("label")).select(F.col("id").alias("class"), "lang", "label")
+    used = named.join(claims.select("class").distinct(), "class", "left_semi")
+    return (claims.join(used, ["class", "lang"]).groupBy("qid", "lang")
+                  .agg(F.min(F.struct("pos", "class", "label"))["label"].alias("name")))
+
+
+def checked_qids(articles: DataFrame, mapping: DataFrame, as_of: str, responses: DataFrame | None = None) -> DataFrame:
+    """J-12 with the re-check of J-11: articles without a mapping, or with an
+    expired negative one, take the qid of their captured response (wiki, title,
+    body; X-19).  Adds ``found_qid`` and ``qid_error`` for the checked ones; ``qid`` is
+    the mapping's or the found one."""
+    q = lookup_qid(articles, mapping, as_of)
+    q = q.withColumn("wiki", F.concat(F.lower(F.trim("lang")), F.lit("wiki"))).withColumn("_title", F.trim("title"))
+    checked = F.col("qid_state").isin("missing", "expired")
+    if responses is None:
+        return q.withColumns({"found_qid": F.lit(None).cast("string"),
+                              "qid_error": F.when(checked, F.lit("no response"))}).drop("_title")
+    from editsurge.sources.responses import parse_qid_response
+    r = parse_qid_response(responses.withColumnRenamed("title", "_title")).select(
+        "wiki", "_title", F.col("qid").alias("found_qid"), F.col("error").alias("_error"), F.lit(True).alias("_answered"))
+    again = q.filter(checked).join(r, ["wiki", "_title"], "left").withColumn(
+        "qid_error", F.when(F.col("_answered").isNull(), F.lit("no response")).otherwise(F.col("_error")))
+    rest = q.filter(~checked).withColumns({"found_qid": F.lit(None).cast("string"), "qid_error": F.lit(None).cast("string")})
+    out = rest.unionByName(again.drop("_error", "_answered"))
+    return out.withColumn("qid", F.coalesce("qid", "found_qid")).drop("_title")
+
+
+def new_mappings(checked: DataFrame, as_of: str) -> DataFrame:
+    """J-08 input (wiki, title, qid, cached_at): the found qids, and a null for each
+    article whose error says that there is none (X-16).  Other errors write nothing."""
+    from editsurge.functions.scalar import is_negative_lookup_error
+    wrote = F.col("found_qid").isNotNull() | is_negative_lookup_error("qid_error")
+    return (checked.filter(F.col("qid_state").isin("missing", "expired") & wrote)
+                   .select("wiki", F.trim("title").alias("title"), F.col("found_qid").alias("qid"),
+                           ts_lit(as_of).alias("cached_at")).distinct())
 
 
 def resolve_topics(articles: DataFrame, article_topics: DataFrame, topics: DataFrame, mapping: DataFrame,
                    edges: DataFrame, nodes: DataFrame, labels: DataFrame, as_of: str,
-                   closure: DataFrame | None = None) -> DataFrame:
+                   closure: DataFrame | None = None, responses: DataFrame | None = None,
+                   entities: DataFrame | None = None) -> DataFrame:
     """J-11: topic per article by priority:
       stored (max confidence) -> negative cache (young) -> Uncategorized ->
       class hierarchy (1.0) -> instance-of label (0.5) -> Uncategorized (0.1).
+    Articles without a live mapping are checked against the captured QID
+    ``responses``; the label path takes the entity of the page (``entities``:
+    wiki, title, qid), or the article's qid where no entity table is given.
     Input articles: article_id, title, lang.  Output: article_id, name,
     path, confidence, resolution_source."""
     stored = max_confidence_topic(article_topics, topics).select(
@@ -207,17 +260,28 @@ def resolve_topics(articles: DataFrame, article_topics: DataFrame, topics: DataF
     # The lookup feeds three branches (hierarchy, label path, cascade):
     # computed once per batch and kept as a reliable checkpoint.
     ensure_checkpoint_dir(articles.sparkSession)
-    q = lookup_qid(articles, mapping, as_of).checkpoint()
-    items = q.filter(F.col("qid").isNotNull()).select("qid", F.lower(F.trim("lang")).alias("lang"))
-    roots = pick_root_topic(class_hierarchy(items, edges, nodes, closure=closure))
-    api = api_label_topic(q.filter(F.col("qid_state") != "negative")
-                           .select("qid", F.lower(F.trim("lang")).alias("lang")).filter(F.col("qid").isNotNull()),
-                          edges, labels)
-    q = q.withColumn("_lang", F.lower(F.trim("lang")))
-    j = (q.join(stored, "article_id", "left")
-          .join(roots.select("qid", F.struct("name", "path").alias("root")), "qid", "left")
-          .join(api.select("qid", F.col("lang").alias("_lang"), F.col("name").alias("api_name")),
-                ["qid", "_lang"], "left"))
+    q = checked_qids(articles, mapping, as_of, responses).withColumn("_lang", F.lower(F.trim("lang")))
+    if entities is not None:
+        pages = entities.select("wiki", F.col("title").alias("_t"), F.col("qid").alias("_entity"))
+        q = q.withColumn("_t", F.trim("title")).join(pages, ["wiki", "_t"], "left").drop("_t")
+    else:
+        q = q.withColumn("_entity", F.col("qid"))
+    q = q.checkpoint()
+    live = F.col("qid_state") != "negative"
+    items = q.filter(live & F.col("qid").isNotNull()).select("qid", F.col("_lang").alias("lang")).distinct()
+    roots = pick_root_topic(class_hierarchy(items, edges, nodes, closure=closure, labels=labels)).select(
+        "qid", F.col("lang").alias("_lang"), F.struct("name", "path").alias("root"))
+    entity = q.filter(live & F.col("_entity").isNotNull()).select(F.col("_entity").alias("qid"), F.col("_lang").alias("lang"))
+    api = api_label_topic(entity, edges, labels).select(
+        F.col("qid").alias("_entity"), F.col("lang").alias("_lang"), F.col("name").alias("api_name"))
+
+    # Rows without a key have nothing to look up and do not meet on one task.
+    def looked_up(df: DataFrame, side: DataFrame, key: str, value: str) -> DataFrame:
+        kind = side.schema[value].dataType
+        return (df.filter(F.col(key).isNotNull()).join(side, [key, "_lang"], "left")
+                  .unionByName(df.filter(F.col(key).isNull()).withColumn(value, F.lit(None).cast(kind))))
+
+    j = looked_up(looked_up(q, roots, "qid", "root"), api, "_entity", "api_name").join(stored, "article_id", "left")
     fb = F.struct(F.lit(FALLBACK_TOPIC).alias("name"), F.lit(FALLBACK_TOPIC).alias("path"),
                   F.lit(FALLBACK_CONFIDENCE).cast("double").alias("confidence"), F.lit("fallback").alias("source"))
     chosen = (F.when(F.col("stored").isNotNull(),

@@ -12,8 +12,8 @@ from editsurge.plans.registry import register
 from editsurge.sources import adapters as ad
 from editsurge.sources.tables import read_table
 
-G50 = GRAPH.format(min_sitelinks=50)
-G0 = GRAPH.format(min_sitelinks=0)
+G50 = GRAPH.format(min_sitelinks=50, source="checked")
+G0 = GRAPH.format(min_sitelinks=0, source="checked")
 TF = TOPIC_FIX.format()
 
 
@@ -33,12 +33,25 @@ def _qids(spark, sf_dir):
     return q, cust, edges, nodes, as_of
 
 
+def _checked(spark, sf_dir):
+    """Articles with the qid of their mapping or, where it is missing or expired, of their response."""
+    cust, edges, nodes, as_of = _graph(spark, sf_dir)
+    q = cl.checked_qids(ad.items_from_customers(cust), ad.qid_mapping_from_customers(cust, as_of), as_of,
+                        ad.qid_responses_from_customers(cust))
+    return q, cust, edges, nodes, as_of
+
+
+def _items(q):
+    return q.filter(F.col("qid").isNotNull() & (F.col("qid_state") != "negative")).select("qid", "lang")
+
+
 def _resolved(spark, sf_dir):
-    q, cust, edges, nodes, as_of = _qids(spark, sf_dir)
+    cust, edges, nodes, as_of = _graph(spark, sf_dir)
     topics = ad.topics_fixture(spark)
     res = cl.resolve_topics(ad.items_from_customers(cust), ad.article_topics_from_customers(cust), topics,
                             ad.qid_mapping_from_customers(cust, as_of), edges, nodes,
-                            ad.labels_from_nodes(nodes), as_of)
+                            ad.labels_from_nodes(nodes), as_of, responses=ad.qid_responses_from_customers(cust),
+                            entities=ad.entities_from_customers(cust))
     return res, topics, cust, as_of
 
 
@@ -54,8 +67,8 @@ def q_qid_lookup(spark, sf_dir):
 SELECT qid, start FROM starts""")
 def q_start_nodes_union(spark, sf_dir):
     """U-03: human branch (occupations or Q5) union the P31 branch."""
-    q, _, edges, _, _ = _qids(spark, sf_dir)
-    return cl.start_nodes(q.filter(F.col("qid").isNotNull()).select("qid"), edges).select("qid", "start")
+    q, _, edges, _, _ = _checked(spark, sf_dir)
+    return cl.start_nodes(_items(q), edges).select("qid", "start")
 
 
 @register("class_hierarchy_closure", with_recursive(G50) + """
@@ -63,9 +76,9 @@ SELECT qid, pos, class, label, sitelinks FROM hier""")
 def q_class_hierarchy_closure(spark, sf_dir):
     """J-13: classes reached by P279* from the start nodes, sitelinks >= 50,
     ordered by sitelinks, first 250 per item."""
-    q, _, edges, nodes, _ = _qids(spark, sf_dir)
-    items = q.filter(F.col("qid").isNotNull()).select("qid")
-    return cl.class_hierarchy(items, edges, nodes)
+    q, _, edges, nodes, _ = _checked(spark, sf_dir)
+    h = cl.class_hierarchy(_items(q), edges, nodes, labels=ad.labels_from_nodes(nodes))
+    return h.select("qid", "pos", "class", "label", "sitelinks")
 
 
 @register("pick_root_topic", with_recursive(G0) + """
@@ -73,9 +86,9 @@ SELECT qid, name, path FROM roots""")
 def q_pick_root_topic(spark, sf_dir):
     """J-14 on the unfiltered hierarchy: first class with sitelinks >= 50,
     else the last; path = labels up to it, reversed."""
-    q, _, edges, nodes, _ = _qids(spark, sf_dir)
-    items = q.filter(F.col("qid").isNotNull()).select("qid")
-    return cl.pick_root_topic(cl.class_hierarchy(items, edges, nodes, min_sitelinks=0))
+    q, _, edges, nodes, _ = _checked(spark, sf_dir)
+    h = cl.class_hierarchy(_items(q), edges, nodes, min_sitelinks=0, labels=ad.labels_from_nodes(nodes))
+    return cl.pick_root_topic(h).select("qid", "name", "path")
 
 
 @register("max_confidence_topic", with_recursive(G50, TF) + """
@@ -143,34 +156,31 @@ def q_replace_article_topics(spark, sf_dir):
 
 
 @register("upsert_qid_mapping", with_recursive(G50, """
-newm AS (SELECT 'enwiki' AS wiki, trim(title) AS title, CAST(NULL AS VARCHAR) AS qid, (SELECT as_of FROM clock) AS cached_at
-         FROM q WHERE qid_state IN ('expired', 'missing'))""") + """
+newm AS (SELECT DISTINCT wiki, trim(title) AS title, found_qid AS qid, (SELECT as_of FROM clock) AS cached_at
+         FROM checked WHERE qid_state IN ('expired', 'missing') AND (found_qid IS NOT NULL OR error = 'none'))""") + """
 SELECT wiki, title, qid, strftime(cached_at, '%Y-%m-%d %H:%M:%S') AS cached_at FROM (
   SELECT * FROM mapping m WHERE NOT EXISTS (SELECT 1 FROM newm n WHERE n.wiki = m.wiki AND n.title = m.title)
   UNION ALL SELECT * FROM newm)""")
 def q_upsert_qid_mapping(spark, sf_dir):
-    """J-08: re-checked negative entries are written back with a new time."""
-    q, cust, _, _, as_of = _qids(spark, sf_dir)
-    new = (q.filter(F.col("qid_state").isin("expired", "missing"))
-            .select(F.lit("enwiki").alias("wiki"), F.trim("title").alias("title"), F.lit(None).cast("string").alias("qid"),
-                    ad.ts_lit(as_of).alias("cached_at")))
-    out = cl.upsert_mapping(ad.qid_mapping_from_customers(cust, as_of), new)
+    """J-08: re-checked articles are written back: found qids, and nulls where the
+    response says that there is none; other errors leave the mapping as it is."""
+    q, cust, _, _, as_of = _checked(spark, sf_dir)
+    out = cl.upsert_mapping(ad.qid_mapping_from_customers(cust, as_of), cl.new_mappings(q, as_of))
     return out.select("wiki", "title", "qid", F.date_format("cached_at", "yyyy-MM-dd HH:mm:ss").alias("cached_at"))
 
 
 @register("instance_of_topics", with_recursive(G50, """
-p31 AS (SELECT child AS qid, parent AS class FROM edges WHERE prop = 'P31' AND child IN (SELECT qid FROM items)
+p31 AS (SELECT child AS qid, parent AS class, pos FROM edges WHERE prop = 'P31' AND child IN (SELECT qid FROM items)
         AND parent IS NOT NULL AND trim(parent) <> ''),
-firsts AS (SELECT qid, min(class) AS class FROM p31 GROUP BY qid, lower(class)),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY class) - 1 AS rank FROM firsts)""") + """
+firsts AS (SELECT qid, min({'pos': pos, 'class': class}) AS c FROM p31 GROUP BY qid, lower(class)),
+ranked AS (SELECT qid, c.class AS class, row_number() OVER (PARTITION BY qid ORDER BY c.pos, c.class) - 1 AS rank FROM firsts)""") + """
 SELECT r.qid, r.rank, r.class, CASE WHEN l.label IS NULL OR trim(l.label) = '' THEN r.class ELSE l.label END AS name,
   'Wikidata/P31/' || r.class AS path, round(greatest(0.3, 0.8 - r.rank * 0.05), 4) AS confidence
 FROM ranked r LEFT JOIN labels l ON l.id = r.class AND l.lang = 'en'""")
 def q_instance_of_topics(spark, sf_dir):
     """J-15: ranked instance-of topics (0.8, 0.75, ... floor 0.3)."""
-    q, _, edges, nodes, _ = _qids(spark, sf_dir)
-    items = q.filter(F.col("qid").isNotNull()).select("qid")
-    t = cl.instance_of_topics(items, edges, ad.labels_from_nodes(nodes))
+    q, _, edges, nodes, _ = _checked(spark, sf_dir)
+    t = cl.instance_of_topics(_items(q), edges, ad.labels_from_nodes(nodes))
     return t.select("qid", "rank", "class", "name", "path", F.round(F.col("confidence").cast("double"), 4).alias("confidence"))
 
 
@@ -194,14 +204,20 @@ def q_distinct_entities(spark, sf_dir):
 
 
 @register("seed_topics", """
-WITH topics AS (SELECT * FROM (VALUES ('Root/Science'), ('Root/Technology'), ('Root/Politics'), ('Root/Business'), ('Root/Sports')) t(path)),
+WITH topics AS (SELECT DISTINCT 'Root/' || upper(substring(event_type, 1, 1)) || substring(event_type, 2) AS path FROM events
+  UNION SELECT 'Root/' || n FROM (VALUES ('Science'), ('Sports')) t(n) WHERE EXISTS (SELECT 1 FROM events)),
 seeds AS (SELECT * FROM (VALUES ('Root/Science'), ('Root/Technology'), ('Root/Politics'), ('Root/Business'), ('Root/Sports'),
   ('Root/Culture'), ('Root/History')) s(path))
 SELECT count(*) FILTER (WHERE path NOT IN (SELECT path FROM topics)) AS added,
        count(*) FILTER (WHERE path IN (SELECT path FROM topics)) AS updated FROM seeds""")
 def q_seed_topics(spark, sf_dir):
-    """S-10: default topics added vs refreshed against the stored topics."""
-    return cl.seed_report(ad.topics_fixture(spark), cl.seed_topics(spark))
+    """S-10: default topics added vs refreshed against the topics stored for the
+    event table (one per event type, and two of the defaults)."""
+    kinds = read_table(spark, sf_dir, "events", "event_type")
+    own = kinds.select(F.concat(F.lit("Root/"), F.upper(F.substring("event_type", 1, 1)),
+                                F.expr("substring(event_type, 2)")).alias("path"))
+    two = kinds.select(F.explode(F.array(F.lit("Root/Science"), F.lit("Root/Sports"))).alias("path"))
+    return cl.seed_report(own.union(two).distinct(), cl.seed_topics(spark))
 
 
 @register("entity_id_from_uri", with_recursive(G50) + """

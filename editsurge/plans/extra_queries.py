@@ -48,7 +48,7 @@ enr AS (SELECT r.event_id, ups.article_id, ups.title, ups.wiki, r."timestamp" FR
 """
 
 
-@register("to_classified_edits", with_recursive(RECENT, DIMS, REFRESH, GRAPH_NO_CLOCK.format(min_sitelinks=50),
+@register("to_classified_edits", with_recursive(RECENT, DIMS, REFRESH, GRAPH_NO_CLOCK.format(min_sitelinks=50, source="checked"),
                                                 TOPIC_FIX.format(), _UPT) + """
 SELECT enr.event_id, enr.article_id, enr.title, enr.wiki, coalesce(rt.topic_id, 0) AS topic_id,
   coalesce(rt.name, 'Uncategorized') AS topic_name, coalesce(rt.path, 'Uncategorized') AS topic_path,

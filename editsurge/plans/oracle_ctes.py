@@ -219,14 +219,14 @@ new_cats AS (
 GRAPH = r"""
 cust AS (SELECT c_custkey AS k, c_nationkey AS nk, c_name FROM customer),
 edges AS (
-  SELECT 'C' || CAST(k AS VARCHAR) AS child, 'P31' AS prop, 'Q5' AS parent FROM cust WHERE k % 7 = 0
-  UNION ALL SELECT 'C' || CAST(k AS VARCHAR), 'P106', 'N' || CAST(nk AS VARCHAR) FROM cust WHERE k % 7 = 0 AND k % 14 <> 0
-  UNION ALL SELECT 'C' || CAST(k AS VARCHAR), 'P31', 'N' || CAST(nk AS VARCHAR) FROM cust WHERE k % 7 <> 0
-  UNION ALL SELECT 'C' || CAST(k AS VARCHAR), 'P31', 'n' || CAST(nk AS VARCHAR) FROM cust WHERE k % 11 = 0
-  UNION ALL SELECT 'C' || CAST(k AS VARCHAR), 'P31', 'Q' || CAST(k % 4 + 100 AS VARCHAR) FROM cust WHERE k % 11 = 0
-  UNION ALL SELECT 'N' || CAST(n_nationkey AS VARCHAR), 'P279', 'R' || CAST(n_regionkey AS VARCHAR) FROM nation
-  UNION ALL SELECT 'R' || CAST(r_regionkey AS VARCHAR), 'P279', 'ROOT' FROM region
-  UNION ALL SELECT 'ROOT', 'P279', 'R0'
+  SELECT 'C' || CAST(k AS VARCHAR) AS child, 'P31' AS prop, 'Q5' AS parent, 1 AS pos FROM cust WHERE k % 7 = 0
+  UNION ALL SELECT 'C' || CAST(k AS VARCHAR), 'P106', 'N' || CAST(nk AS VARCHAR), 1 FROM cust WHERE k % 7 = 0 AND k % 14 <> 0
+  UNION ALL SELECT 'C' || CAST(k AS VARCHAR), 'P31', 'N' || CAST(nk AS VARCHAR), 1 FROM cust WHERE k % 7 <> 0
+  UNION ALL SELECT 'C' || CAST(k AS VARCHAR), 'P31', 'n' || CAST(nk AS VARCHAR), 2 FROM cust WHERE k % 11 = 0
+  UNION ALL SELECT 'C' || CAST(k AS VARCHAR), 'P31', 'Q' || CAST(k % 4 + 100 AS VARCHAR), CASE WHEN k % 22 = 0 THEN 0 ELSE 3 END FROM cust WHERE k % 11 = 0
+  UNION ALL SELECT 'N' || CAST(n_nationkey AS VARCHAR), 'P279', 'R' || CAST(n_regionkey AS VARCHAR), 1 FROM nation
+  UNION ALL SELECT 'R' || CAST(r_regionkey AS VARCHAR), 'P279', 'ROOT', 1 FROM region
+  UNION ALL SELECT 'ROOT', 'P279', 'R0', 1
 ),
 nat AS (SELECT n.n_nationkey, n.n_name, n.n_regionkey, coalesce(c.k, 0) AS k
         FROM nation n LEFT JOIN (SELECT nk, count(*) AS k FROM cust GROUP BY nk) c ON n.n_nationkey = c.nk),
@@ -237,20 +237,29 @@ nodes AS (
   UNION ALL SELECT 'ROOT', 'World', CAST(count(*) AS INTEGER) FROM cust
   UNION ALL SELECT 'Q5', 'human', CAST(count(*) FILTER (WHERE k % 7 = 0) AS INTEGER) FROM cust
 ),
-labels AS (SELECT qid AS id, 'en' AS lang, label FROM nodes),
+labels AS (SELECT qid AS id, 'en' AS lang, label FROM nodes
+  UNION ALL SELECT qid, 'de', '(de) ' || label FROM nodes WHERE regexp_matches(qid, '^[NR][0-9]')),
 sub AS (SELECT DISTINCT child, parent FROM edges WHERE prop = 'P279'),
 classes AS (SELECT child AS c FROM sub UNION SELECT parent FROM sub UNION SELECT parent FROM edges WHERE prop IN ('P31', 'P106')),
 closure(cls, anc) AS (SELECT c, c FROM classes UNION SELECT closure.cls, sub.parent FROM closure JOIN sub ON closure.anc = sub.child),
 clock AS (SELECT max(date_trunc('second', ts)) AS as_of FROM events),
-mapping AS (SELECT 'enwiki' AS wiki, c_name AS title, CASE WHEN k % 10 = 0 THEN NULL ELSE 'C' || CAST(k AS VARCHAR) END AS qid,
-                   clock.as_of - to_minutes(CAST(k % 120 AS BIGINT)) AS cached_at FROM cust, clock),
-arts AS (SELECT k AS article_id, c_name AS title, 'en' AS lang FROM cust),
+pages_of AS (SELECT k, c_name, CASE WHEN k % 9 = 0 THEN 'de' ELSE 'en' END AS lang FROM cust),
+mapping AS (SELECT lang || 'wiki' AS wiki, c_name AS title, CASE WHEN k % 10 = 0 THEN NULL ELSE 'C' || CAST(k AS VARCHAR) END AS qid,
+                   clock.as_of - to_minutes(CAST(k % 120 AS BIGINT)) AS cached_at FROM pages_of, clock WHERE k % 19 <> 0),
+arts AS (SELECT k AS article_id, c_name AS title, lang FROM pages_of),
+answers AS (SELECT lang || 'wiki' AS wiki, c_name AS title, CASE WHEN k % 3 = 0 THEN 'C' || CAST(k AS VARCHAR) END AS qid,
+  CASE k % 3 WHEN 1 THEN 'none' WHEN 2 THEN 'broken' END AS error FROM pages_of),
+entities AS (SELECT lang || 'wiki' AS wiki, c_name AS title, 'C' || CAST(k AS VARCHAR) AS qid FROM pages_of WHERE k % 5 <> 0),
 q AS (
   SELECT arts.*, m.qid, m.cached_at, CASE WHEN m.wiki IS NULL THEN 'missing' WHEN m.qid IS NOT NULL THEN 'hit'
     WHEN m.cached_at >= (SELECT as_of FROM clock) - to_hours(1) THEN 'negative' ELSE 'expired' END AS qid_state
   FROM arts LEFT JOIN mapping m ON lower(trim(arts.lang)) || 'wiki' = m.wiki AND trim(arts.title) = m.title
 ),
-items AS (SELECT DISTINCT qid FROM q WHERE qid IS NOT NULL),
+checked AS (
+  SELECT q.article_id, q.title, q.lang, q.lang || 'wiki' AS wiki, coalesce(q.qid, a.qid) AS qid, q.qid_state, a.qid AS found_qid, a.error
+  FROM q LEFT JOIN answers a ON q.qid_state IN ('missing', 'expired') AND q.lang || 'wiki' = a.wiki AND trim(q.title) = a.title
+),
+items AS (SELECT DISTINCT qid, lang FROM {source} WHERE qid IS NOT NULL AND qid_state <> 'negative'),
 humans AS (SELECT DISTINCT child AS qid FROM edges WHERE prop = 'P31' AND parent = 'Q5' AND child IN (SELECT qid FROM items)),
 starts AS (
   SELECT DISTINCT h.qid, coalesce(p.parent, 'Q5') AS start FROM humans h LEFT JOIN edges p ON p.child = h.qid AND p.prop = 'P106'
@@ -259,9 +268,10 @@ starts AS (
 ),
 reach AS (SELECT s.qid, s.start, c.anc AS class FROM starts s JOIN closure c ON s.start = c.cls),
 hier AS (
-  SELECT * FROM (SELECT r.qid, r.start, r.class, n.label, n.sitelinks,
+  SELECT * FROM (SELECT r.qid, r.start, r.class, coalesce(l.label, r.class) AS label, n.sitelinks,
     row_number() OVER (PARTITION BY r.qid ORDER BY n.sitelinks, r.class, r.start) AS pos
-    FROM reach r JOIN nodes n ON r.class = n.qid WHERE n.sitelinks >= {min_sitelinks}) WHERE pos <= 250
+    FROM reach r JOIN nodes n ON r.class = n.qid JOIN items i ON i.qid = r.qid
+    LEFT JOIN labels l ON l.id = r.class AND l.lang = i.lang WHERE n.sitelinks >= {min_sitelinks}) WHERE pos <= 250
 ),
 hl AS (SELECT qid, list({{'pos': pos, 'label': label, 'sitelinks': sitelinks}} ORDER BY pos) AS xs
        FROM hier WHERE label IS NOT NULL AND trim(label) <> '' GROUP BY qid),
@@ -274,9 +284,9 @@ TOPIC_FIX = r"""
 topics AS (SELECT * FROM (VALUES (1, 'Science', 'Root/Science'), (2, 'Technology', 'Root/Technology'),
   (3, 'Politics', 'Root/Politics'), (4, 'Business', 'Root/Business'), (5, 'Sports', 'Root/Sports')) t(topic_id, name, path)),
 atl AS (
-  SELECT k AS article_id, CAST(k % 7 + 1 AS INTEGER) AS topic_id, CAST(0.9 AS FLOAT) AS confidence FROM cust WHERE k % 13 = 0
-  UNION ALL SELECT k, CAST(k % 5 + 1 AS INTEGER), CAST(0.4 AS FLOAT) FROM cust WHERE k % 13 = 0
-  UNION ALL SELECT k, 99, CAST(0.95 AS FLOAT) FROM cust WHERE k % 13 <> 0 AND k % 17 = 0
+  SELECT k AS article_id, CAST(k % 7 + 1 AS INTEGER) AS topic_id, CAST(0.9 AS FLOAT) AS confidence FROM cust WHERE k % 3 <> 0 AND k % 2 = 0
+  UNION ALL SELECT k, CAST(k % 5 + 1 AS INTEGER), CAST(0.4 AS FLOAT) FROM cust WHERE k % 3 <> 0 AND k % 2 = 0
+  UNION ALL SELECT k, 99, CAST(0.95 AS FLOAT) FROM cust WHERE k % 3 <> 0 AND k % 2 <> 0
 ),
 stored AS (
   SELECT article_id, topic_id, name, path, confidence FROM (
@@ -284,9 +294,10 @@ stored AS (
       row_number() OVER (PARTITION BY atl.article_id ORDER BY atl.confidence DESC, atl.topic_id) AS rk
     FROM atl JOIN topics t ON atl.topic_id = t.topic_id) WHERE rk = 1
 ),
+looked AS (SELECT c.*, e.qid AS entity FROM checked c LEFT JOIN entities e ON c.wiki = e.wiki AND trim(c.title) = e.title),
 api AS (
-  SELECT q2.qid, q2.lang, min({{'class': e.parent, 'label': l.label}}).label AS name
-  FROM (SELECT DISTINCT qid, lower(trim(lang)) AS lang FROM q WHERE qid_state <> 'negative' AND qid IS NOT NULL) q2
+  SELECT q2.qid, q2.lang, min({{'pos': e.pos, 'class': e.parent, 'label': l.label}}).label AS name
+  FROM (SELECT DISTINCT entity AS qid, lang FROM looked WHERE qid_state <> 'negative' AND entity IS NOT NULL) q2
   JOIN edges e ON e.child = q2.qid AND e.prop = 'P31'
   JOIN labels l ON l.id = e.parent AND l.lang = q2.lang
   WHERE l.label IS NOT NULL AND trim(l.label) <> '' GROUP BY 1, 2
@@ -301,9 +312,9 @@ resolved AS (
          WHEN roots.qid IS NOT NULL THEN 1.0 WHEN api.name IS NOT NULL THEN 0.5 ELSE 0.1 END AS confidence,
     CASE WHEN s.article_id IS NOT NULL THEN 'stored' WHEN q.qid_state = 'negative' THEN 'fallback'
          WHEN roots.qid IS NOT NULL THEN 'hierarchy' WHEN api.name IS NOT NULL THEN 'label' ELSE 'fallback' END AS resolution_source
-  FROM q LEFT JOIN stored s ON q.article_id = s.article_id
+  FROM looked q LEFT JOIN stored s ON q.article_id = s.article_id
   LEFT JOIN roots ON q.qid = roots.qid
-  LEFT JOIN api ON q.qid = api.qid AND lower(trim(q.lang)) = api.lang
+  LEFT JOIN api ON q.entity = api.qid AND q.lang = api.lang
 )
 """
 

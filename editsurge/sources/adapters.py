@@ -252,13 +252,14 @@ def links_from_pages(pages: DataFrame) -> DataFrame:
 
 
 def class_graph(customer: DataFrame, nation: DataFrame, region: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Class graph edges (child, prop, parent) and nodes (qid, label, sitelinks).
+    """Class graph edges (child, prop, parent, pos) and nodes (qid, label, sitelinks);
+    ``pos`` is the position of the claim.
 
     Customers are items: C{key} -P31-> N{nation}; every 7th customer is a
     human (P31 Q5) with occupation N{nation}, except every 14th, which has
     none.  Every 11th customer also has two extra P31 claims: 'n{nation}'
     (the same class in another case) and Q{100 + key mod 4} (a class with
-    no label).  Nations are subclasses of regions, regions of ROOT, ROOT of
+    no label), which comes first for every 22nd.  Nations are subclasses of regions, regions of ROOT, ROOT of
     R0, which closes a cycle.  sitelinks = customers below the class.
     """
     spark = customer.sparkSession
@@ -268,26 +269,28 @@ def class_graph(customer: DataFrame, nation: DataFrame, region: DataFrame) -> tu
     cq = F.concat(F.lit("C"), k.cast("string"))
     nq = F.concat(F.lit("N"), F.col("c_nationkey").cast("string"))
 
-    def e(prop, parent):
-        return F.struct(F.lit(prop).alias("prop"), parent.alias("parent"))
+    def e(prop, parent, pos=1):
+        at = pos if not isinstance(pos, int) else F.lit(pos)
+        return F.struct(F.lit(prop).alias("prop"), parent.alias("parent"), at.cast("int").alias("pos"))
 
     base = (F.when(human & (k % 14 == 0), F.array(e("P31", F.lit("Q5"))))
              .when(human, F.array(e("P31", F.lit("Q5")), e("P106", nq)))
              .otherwise(F.array(e("P31", nq))))
-    extra = F.when(k % 11 == 0, F.array(e("P31", F.concat(F.lit("n"), F.col("c_nationkey").cast("string"))),
-                                        e("P31", F.concat(F.lit("Q"), (k % 4 + 100).cast("string"))))) \
-             .otherwise(F.array().cast("array<struct<prop:string,parent:string>>"))
+    extra = F.when(k % 11 == 0, F.array(e("P31", F.concat(F.lit("n"), F.col("c_nationkey").cast("string")), 2),
+                                        e("P31", F.concat(F.lit("Q"), (k % 4 + 100).cast("string")),
+                                          F.when(k % 22 == 0, 0).otherwise(3)))) \
+             .otherwise(F.array().cast("array<struct<prop:string,parent:string,pos:int>>"))
     item_edges = c.select(cq.alias("child"), F.explode(F.concat(base, extra)).alias("e")) \
-                  .select("child", "e.prop", "e.parent")
+                  .select("child", "e.prop", "e.parent", "e.pos")
     n = nation.select("n_nationkey", "n_name", "n_regionkey")
     nation_edges = n.select(F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("child"),
                             F.lit("P279").alias("prop"),
-                            F.concat(F.lit("R"), F.col("n_regionkey").cast("string")).alias("parent"))
+                            F.concat(F.lit("R"), F.col("n_regionkey").cast("string")).alias("parent"), F.lit(1).alias("pos"))
     r = region.select("r_regionkey", "r_name")
     region_edges = r.select(F.concat(F.lit("R"), F.col("r_regionkey").cast("string")).alias("child"),
-                            F.lit("P279").alias("prop"), F.lit("ROOT").alias("parent"))
+                            F.lit("P279").alias("prop"), F.lit("ROOT").alias("parent"), F.lit(1).alias("pos"))
     root_edge = spark.range(1).select(F.lit("ROOT").alias("child"), F.lit("P279").alias("prop"),
-                                      F.lit("R0").alias("parent"))
+                                      F.lit("R0").alias("parent"), F.lit(1).alias("pos"))
     edges = item_edges.unionByName(nation_edges).unionByName(region_edges).unionByName(root_edge)
 
     per_nation = c.groupBy("c_nationkey").agg(F.count("*").alias("k"))
@@ -310,14 +313,23 @@ def class_graph(customer: DataFrame, nation: DataFrame, region: DataFrame) -> tu
 
 
 def labels_from_nodes(nodes: DataFrame) -> DataFrame:
-    """Entity labels (id, lang, label): the node labels in English."""
-    return nodes.select(F.col("qid").alias("id"), F.lit("en").alias("lang"), "label")
+    """Entity labels (id, lang, label): the node labels in English, and in German
+    those of nations and regions."""
+    en = nodes.select(F.col("qid").alias("id"), F.lit("en").alias("lang"), "label")
+    de = nodes.filter(F.col("qid").rlike("^[NR][0-9]")).select(
+        F.col("qid").alias("id"), F.lit("de").alias("lang"), F.concat(F.lit("(de) "), "label").alias("label"))
+    return en.unionByName(de)
+
+
+def _customer_lang() -> Column:
+    """Every 9th customer is a German article, the others are English."""
+    return F.when(F.col("c_custkey") % 9 == 0, "de").otherwise("en")
 
 
 def items_from_customers(customer: DataFrame) -> DataFrame:
-    """Articles to classify: one per customer, English."""
+    """Articles to classify: one per customer."""
     return customer.select(F.col("c_custkey").alias("article_id"), F.col("c_name").alias("title"),
-                           F.lit("en").alias("lang"))
+                           _customer_lang().alias("lang"))
 
 
 def topics_fixture(spark: SparkSession) -> DataFrame:
@@ -328,30 +340,51 @@ def topics_fixture(spark: SparkSession) -> DataFrame:
 
 
 def article_topics_from_customers(customer: DataFrame) -> DataFrame:
-    """Stored article-topic links: every 13th customer has two (ids key mod 7
-    + 1 at 0.9 and key mod 5 + 1 at 0.4), every 17th one to a missing topic."""
+    """Stored article-topic links of every customer but each third: two for every
+    other one (ids key mod 7 + 1 at 0.9 and key mod 5 + 1 at 0.4; ids 6 and 7 are
+    not stored), else one to a missing topic."""
     k = F.col("c_custkey")
 
     def link(tid, conf):
         return F.struct(tid.cast("int").alias("topic_id"), F.lit(conf).cast("float").alias("confidence"))
 
-    links = (F.when(k % 13 == 0, F.array(link(k % 7 + 1, 0.9), link(k % 5 + 1, 0.4)))
-              .when(k % 17 == 0, F.array(link(F.lit(99), 0.95))))
-    return customer.filter(links.isNotNull()).select(k.alias("article_id"), F.explode(links).alias("l")) \
+    links = (F.when(k % 3 == 0, None)
+              .when(k % 2 == 0, F.array(link(k % 7 + 1, 0.9), link(k % 5 + 1, 0.4)))
+              .otherwise(F.array(link(F.lit(99), 0.95))))
+    return customer.select(k.alias("article_id"), F.explode(links).alias("l")) \
                    .select("article_id", "l.topic_id", "l.confidence")
 
 
 def qid_mapping_from_customers(customer: DataFrame, as_of: str) -> DataFrame:
-    """(wiki, title) -> qid cache rows; every 10th is a negative entry."""
+    """(wiki, title) -> qid cache rows; every 10th is a negative entry, every 19th has none."""
     k = F.col("c_custkey")
-    return customer.select(
-        F.lit("enwiki").alias("wiki"),
+    return customer.filter(k % 19 != 0).select(
+        F.concat(_customer_lang(), F.lit("wiki")).alias("wiki"),
         F.col("c_name").alias("title"),
         F.when(k % 10 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("C"), k.cast("string"))).alias("qid"),
         F.timestamp_add("MINUTE", -(k % 120), ts_lit(as_of)).alias("cached_at"),
     )
 
 
+def qid_responses_from_customers(customer: DataFrame) -> DataFrame:
+    """Captured QID responses (wiki, title, body): of the keys modulo 3, 0 names the
+    item, 1 has no item and 2 is not JSON."""
+    k = F.col("c_custkey")
+    item = F.concat(F.lit('{"query":{"pages":{"1":{"title":"t","pageprops":{"wikibase_item":"C'), k.cast("string"), F.lit('"}}}}}'))
+    return customer.select(
+        F.concat(_customer_lang(), F.lit("wiki")).alias("wiki"), F.col("c_name").alias("title"),
+        F.when(k % 3 == 0, item).when(k % 3 == 1, F.lit('{"query":{"pages":{"1":{"title":"t","pageprops":{}}}}}'))
+         .otherwise(F.lit("503")).alias("body"))
+
+
+def entities_from_customers(customer: DataFrame) -> DataFrame:
+    """Entities by page (wiki, title, qid): all but every fifth customer have one."""
+    k = F.col("c_custkey")
+    return customer.filter(k % 5 != 0).select(
+        F.concat(_customer_lang(), F.lit("wiki")).alias("wiki"), F.col("c_name").alias("title"),
+        F.concat(F.lit("C"), k.cast("string")).alias("qid"))
+
+
 def processing_log_from_events(events: DataFrame) -> DataFrame:
     """Consumer processing log: one record per event, duration from value."""
     return events.select(
