@@ -1,29 +1,46 @@
-"""Join helpers for lookups whose left side may carry hot keys."""
+"""Join and ranking helpers for keys that may be hot."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Salt buckets for hot-key lookups: a key holding a third of a batch is
-# spread over this many tasks.
-LOOKUP_SALT = 8
-
-
-def skew_safe_lookup(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left",
-                     salt: int = LOOKUP_SALT) -> DataFrame:
-    """Many-to-one lookup of ``right`` (unique on ``keys``) for every ``left``
-    row, robust to hot keys.
-
-    1. ``right`` is cut to the keys ``left`` asks for (semi-join), so a large
-       dimension is scanned, not shuffled whole.
-    2. Left rows get a deterministic salt (hash of the row) in [0, salt),
-       and each remaining right row is replicated once per salt value, so
-       the rows of one hot key hash to ``salt`` different tasks.
-    Deterministic, so a retried task sees the same salts."""
-    wanted = right.join(left.select(*keys).distinct(), keys, "left_semi")
-    if salt <= 1:
-        return left.join(wanted, keys, how)
-    lk = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salt)).cast("int"))
-    rk = wanted.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    return lk.join(rk, keys + ["_salt"], how).drop("_salt")
+#: Pieces over which rows without a key are spread.
+NULL_PIECES = 64
+#: Spark limits groups before the exchange up to this n (spark.sql.optimizer.windowGroupLimitThreshold).
+RANK_LIMIT = 1000
+#: Pieces a large group is ranked in before its leaders are ranked together.
+RANK_PIECES = 32
+
+
+def skew_safe_lookup(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Many-to-one lookup of ``right`` (unique on ``keys``) for every ``left`` row.
+
+    One pass over either side.  Both are exchanged for the join itself, so AQE
+    measures the partitions and splits those that a hot key makes large
+    (``spark.sql.adaptive.skewJoin``), copying only the matching ``right`` rows; a small
+    ``right`` is broadcast by its measured size.  Rows with a null key match
+    nothing; they are dealt by a hash of the row instead of meeting on one task."""
+    unknown = F.lit(False)
+    for k in keys:
+        unknown = unknown | F.col(k).isNull()
+    piece = F.pmod(F.xxhash64(*left.columns), F.lit(NULL_PIECES)).cast("int")
+    dealt = left.withColumn("_piece", F.when(unknown, piece).otherwise(0))
+    return dealt.join(right.withColumn("_piece", F.lit(0)), [*keys, "_piece"], how).drop("_piece")
+
+
+def first_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int, name: str) -> DataFrame:
+    """The first max(1, n) rows of each group with their position ``name``.
+
+    Up to ``RANK_LIMIT`` Spark keeps n rows of a group and task before the exchange
+    (WindowGroupLimit).  For a larger n it does not; then groups are ranked in
+    pieces first, so that no task holds a whole hot group, and the pieces'
+    leaders together.  The rows are the same."""
+    n = max(1, n)
+    piece = Window.partitionBy(*keys, "_piece").orderBy(*order)
+    group = Window.partitionBy(*keys).orderBy(*order)
+    if n > RANK_LIMIT:
+        pieces = df.withColumn("_piece", F.pmod(F.xxhash64(*[c for c in df.columns if c not in keys]), F.lit(RANK_PIECES)))
+        df = pieces.withColumn(name, F.row_number().over(piece)).filter(F.col(name) <= n).drop("_piece", name)
+    return df.withColumn(name, F.row_number().over(group)).filter(F.col(name) <= n)
+

@@ -76,7 +76,7 @@ def trends_response(edits: DataFrame, as_of: str, period: str = "Last24Hours", l
                            F.round(F.col("anomaly_score").cast("double"), 4).alias("anomaly_score"),
                            F.round(F.col("change_percent").cast("double"), 4).alias("change_percent"),
                            direction("change_percent").alias("direction"))
-    arts = tr.top_articles(tr.article_counts(edits, as_of, periods=[period]), articles_n)
+    arts = tr.top_articles(tr.article_counts(edits, as_of, topics=scored.select("period", "topic_id"), periods=[period]), articles_n)
     return scored.join(_article_rows(arts), ["period", "topic_id"], "left")
 
 
@@ -123,10 +123,11 @@ def cluster_articles(edits: DataFrame, as_of: str, period: str = "Last24Hours",
     m = cluster_members(edits, as_of, period, label_state)
     wt = Window.partitionBy("label").orderBy(F.desc("edit_count"), F.asc("topic_id"))
     lead = (m.withColumn("r", F.row_number().over(wt))
-             .filter(F.col("r") <= CLUSTER_TOPICS_WITH_ARTICLES).select("topic_id", "label"))
-    arts = tr.top_articles(tr.article_counts(edits, as_of, periods=[period]), CLUSTER_ARTICLES_PER_TOPIC)
+             .filter(F.col("r") <= CLUSTER_TOPICS_WITH_ARTICLES).select("period", "topic_id", "label"))
+    arts = tr.top_articles(tr.article_counts(edits, as_of, topics=lead.select("period", "topic_id"), periods=[period]),
+                           CLUSTER_ARTICLES_PER_TOPIC)
     # lead holds at most 50 rows (top topics), a proven bound for broadcast.
-    a = arts.join(F.broadcast(lead), "topic_id")
+    a = arts.join(F.broadcast(lead.select("topic_id", "label")), "topic_id")
     best = (a.groupBy("label", "article_id")
              .agg(F.max("edits").alias("edit_count"), F.min("title").alias("title")))
     wa = Window.partitionBy("label").orderBy(F.desc("edit_count"), F.asc("article_id"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from editsurge.functions.scalar import PERIODS, direction, topic_snapshot_key, trends_snapshot_key
+from editsurge.operators.joins import first_per_group
 from editsurge.sources.adapters import ts_lit
 
 # Snapshot TTLs (seconds) and the notification settings.
@@ -107,19 +108,21 @@ def page_of(df: DataFrame, order_cols, page: int = 1, page_size: int = 50, parti
     ceil(total / size), has_next and has_previous.  Page and size are
     clamped to >= 1.  ``partition_cols`` pages each group separately.
 
-    Totals come from an aggregate (partial per task), and the ranking
-    keeps only ``row_number <= page * size`` rows per group, which Spark
-    plans as a WindowGroupLimit before the shuffle, so a large group never
-    moves more than one page-end of rows per task."""
+    Totals come from an aggregate (partial per task).  Without groups the page
+    is the top-K of a sort with an offset, merged from each task's own top-K;
+    with groups see ``first_per_group``.  No task holds a whole list."""
     page, size = max(1, int(page)), max(1, int(page_size))
     parts = list(partition_cols or [])
     lo, hi = (page - 1) * size, page * size
-    w = Window.partitionBy(*parts).orderBy(*order_cols)
-    ranked = df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= hi).filter(F.col("_rn") > lo)
     if parts:
+        ranked = first_per_group(df, parts, order_cols, hi, "_rn").filter(F.col("_rn") > lo)
         totals = df.groupBy(*parts).agg(F.count("*").alias("total_count"))
         x = ranked.join(totals, parts)
     else:
+        # at most ``size`` rows are left to be numbered
+        w = Window.orderBy(*order_cols)
+        rows = df.orderBy(*order_cols).offset(lo).limit(size)
+        ranked = rows.withColumn("_rn", F.row_number().over(w) + lo)
         x = ranked.withColumn("total_count", F.lit(df.count()))  # one scalar
     total_pages = F.ceil(F.col("total_count") / F.lit(float(size))).cast("int")
     return x.select(*[c for c in df.columns], F.col("_rn").alias("row_number"), "total_count",

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from editsurge.functions.scalar import (PERIOD_HOURS, PERIODS, SCORE_EPSILON, blank,
                                         display_name, effective_time, is_placeholder_name,
                                         is_placeholder_path, to_day)
+from editsurge.operators.joins import first_per_group
 from editsurge.sources.adapters import ts_lit
 
 # Report defaults of the trend cycle.
@@ -111,10 +112,10 @@ def recalculate_baselines(edits: DataFrame, as_of: str, days: int = BASELINE_LOO
 
 
 def latest_baseline(baselines: DataFrame) -> DataFrame:
-    """W-02: latest row per topic by calculated_at (ReplacingMergeTree read)."""
+    """W-02: latest row per topic by calculated_at (of rows with one time the larger baseline)."""
     return (baselines.groupBy("topic_id")
-                     .agg(F.max_by("baseline_daily", "calculated_at").alias("baseline_daily"),
-                          F.max("calculated_at").alias("calculated_at")))
+                     .agg(F.max(F.struct("calculated_at", "baseline_daily")).alias("b"))
+                     .select("topic_id", "b.baseline_daily", "b.calculated_at"))
 
 
 def with_baseline(trends: DataFrame, baselines: DataFrame) -> DataFrame:
@@ -159,12 +160,9 @@ def reportable(df: DataFrame, min_score: float = MIN_SCORE_TO_REPORT,
 def top_topics(counts: DataFrame, n: int = TOP_TOPICS) -> DataFrame:
     """W-03: per period, the first max(1, n) topics by count (id breaks ties).
 
-    Plans as a WindowGroupLimit: each task keeps n rows per period before
-    the shuffle, so the result is bounded by 3 * n rows.
+    The result is bounded by 3 * n rows; see ``first_per_group`` for the plan.
     """
-    w = Window.partitionBy("period").orderBy(F.desc("edit_count"), F.asc("topic_id"))
-    return (counts.withColumn("topic_rank", F.row_number().over(w))
-                  .filter(F.col("topic_rank") <= max(1, n)))
+    return first_per_group(counts, ["period"], [F.desc("edit_count"), F.asc("topic_id")], n, "topic_rank")
 
 
 def article_counts(edits: DataFrame, as_of: str, topics: DataFrame | None = None,
@@ -172,8 +170,9 @@ def article_counts(edits: DataFrame, as_of: str, topics: DataFrame | None = None
     """A-05 (batch form): edits per (period, topic, article) with ts (only ts,
     not the effective time) in the window.  An edit counts once per topic
     even when the topic is listed twice.  ``topics`` (period, topic_id), if
-    given, restricts the work to those pairs; it must be small (the report
-    passes at most 3 * 50 rows)."""
+    given, restricts the work to those pairs before the counts are made; the
+    report passes the topics it reports.  Broadcast or not is left to the
+    measured size of that side."""
     periods = periods or PERIODS
     widest = max(periods, key=lambda p: PERIOD_HOURS[p])
     start = window_start(as_of, widest)
@@ -181,7 +180,7 @@ def article_counts(edits: DataFrame, as_of: str, topics: DataFrame | None = None
               .select("article_id", "title", "ts",
                       F.explode(F.array_distinct(F.col("topics.topic_id"))).alias("topic_id")))
     if topics is not None:
-        e = e.join(F.broadcast(topics.select("topic_id").distinct()), "topic_id", "left_semi")
+        e = e.join(topics.select("topic_id").distinct(), "topic_id", "left_semi")
     aggs = [F.count_if(F.col("ts") >= window_start(as_of, p)).alias(f"c{PERIODS.index(p)}")
             for p in PERIODS if p in periods]
     # Hash pre-aggregate with the title in the key (fixed-width buffers, map
@@ -195,7 +194,7 @@ def article_counts(edits: DataFrame, as_of: str, topics: DataFrame | None = None
             agg = agg.withColumn(f"c{i}", F.lit(0))
     out = _unpivot(agg, ["topic_id", "article_id", "title"], "c", "edits")
     if topics is not None:
-        out = out.join(F.broadcast(topics.select("period", "topic_id")), ["period", "topic_id"], "left_semi")
+        out = out.join(topics.select("period", "topic_id"), ["period", "topic_id"], "left_semi")
     return out.select("period", F.col("topic_id").cast("int").alias("topic_id"),
                       F.col("article_id").cast("long").alias("article_id"), "title",
                       F.col("edits").cast("int").alias("edits"))
@@ -203,9 +202,7 @@ def article_counts(edits: DataFrame, as_of: str, topics: DataFrame | None = None
 
 def top_articles(counts: DataFrame, n: int = TOP_ARTICLES_REPORT) -> DataFrame:
     """W-01: per (period, topic) top max(1, n) articles by edits, id breaks ties."""
-    w = Window.partitionBy("period", "topic_id").orderBy(F.desc("edits"), F.asc("article_id"))
-    return (counts.withColumn("article_rank", F.row_number().over(w))
-                  .filter(F.col("article_rank") <= max(1, n)))
+    return first_per_group(counts, ["period", "topic_id"], [F.desc("edits"), F.asc("article_id")], n, "article_rank")
 
 
 def topic_label_state(edits: DataFrame, topic_ids: DataFrame | None = None) -> DataFrame:
@@ -330,7 +327,7 @@ def trends_report(edits: DataFrame, as_of: str, baselines: DataFrame | None = No
     The article side is top-N per topic (bounded by topics x 3 x N rows).
     """
     scored = scored_topics(edits, as_of, baselines, top_n, lookback_days=lookback_days, label_state=label_state)
-    arts = top_articles(article_counts(edits, as_of), articles_n)
+    arts = top_articles(article_counts(edits, as_of, topics=scored.select("period", "topic_id")), articles_n)
     w = Window.partitionBy("period").orderBy(F.desc("anomaly_score"), F.asc("topic_id"))
     topics = scored.withColumn("score_rank", F.row_number().over(w))
     out = topics.join(arts, ["period", "topic_id"], "left")

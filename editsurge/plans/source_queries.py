@@ -50,11 +50,12 @@ SELECT CAST(src_n AS VARCHAR) AS event_id, id, title, wiki FROM rc WHERE src_n %
 def q_source_sse_capture(spark, sf_dir):
     """S-02: captured event-stream text: frames split by a blank line, JSON
     split over two data: lines, event:/comment lines and empty frames mixed
-    in, every 200th frame broken."""
+    in, every 200th frame broken.  Every third frame is in a second capture
+    with CRLF line ends."""
     d = _scratch(spark, "sse")
     j = _rc_json(spark, sf_dir)
     cut = F.locate(",", "json")
-    d1 = F.when(cut > 0, F.substring("json", 1, 10 ** 6).substr(F.lit(1), cut)).otherwise(F.col("json"))
+    d1 = F.when(cut > 0, F.expr("substring(json, 1, locate(',', json))")).otherwise(F.col("json"))
     d2 = F.when(cut > 0, F.expr("substring(json, locate(',', json) + 1)")).otherwise(F.lit(""))
     frame = F.concat_ws("\n",
                         F.lit("event: message"),
@@ -64,8 +65,11 @@ def q_source_sse_capture(spark, sf_dir):
                         F.when(d2 != "", F.concat(F.lit("data: "), d2)))
     empty = F.when(F.col("src_n") % 50 == 0, F.lit(": keep-alive\n"))
     text = F.concat(F.coalesce(F.concat(empty, F.lit("\n")), F.lit("")), frame, F.lit("\n"))
-    j.select(text.alias("value")).repartition(4).write.text(os.path.join(d, "sse"))
-    frames = spark.read.option("lineSep", "\n\n").text(os.path.join(d, "sse"))
+    third = F.col("src_n") % 3 == 0
+    j.filter(~third).select(text.alias("value")).repartition(4).write.text(os.path.join(d, "lf"))
+    crlf = F.replace(text, F.lit("\n"), F.lit("\r\n"))
+    j.filter(third).select(crlf.alias("value")).repartition(4).write.option("lineSep", "\r\n").text(os.path.join(d, "crlf"))
+    frames = fd.read_sse(spark, os.path.join(d, "lf")).unionByName(fd.read_sse(spark, os.path.join(d, "crlf"), "\r\n"))
     decoded = fd.decode_sse(frames)
     parsed = decoded.select("event_id", F.from_json("data", S.RECENT_CHANGE).alias("r"))
     return (parsed.filter(F.col("r.id").isNotNull() | F.col("r.title").isNotNull())
@@ -74,7 +78,9 @@ def q_source_sse_capture(spark, sf_dir):
 
 @register("source_event_topic", with_ctes(EDITS) + """
 SELECT CAST(article_id AS VARCHAR) AS key, event_id, article_id, wiki, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts,
-  (SELECT count(*) FROM et WHERE et.event_id = e.event_id) AS n_topics FROM e""")
+  (SELECT count(*) FROM et WHERE et.event_id = e.event_id) AS n_topics,
+  coalesce((SELECT string_agg(CAST(topic_id AS VARCHAR) || '=' || name || '=' || path, '|' ORDER BY pos) FROM et WHERE et.event_id = e.event_id), '') AS topics
+FROM e""")
 def q_source_event_topic(spark, sf_dir):
     """S-03 + X-17: keyed camelCase JSON records read back with the typed
     schema (field names matched in any case)."""
@@ -84,20 +90,27 @@ def q_source_event_topic(spark, sf_dir):
     t = fd.read_topic(spark, os.path.join(d, "t"), S.EDIT_EVENTS)
     return t.select("key", "record.event_id", "record.article_id", "record.wiki",
                     F.date_format("record.ts", "yyyy-MM-dd HH:mm:ss").alias("ts"),
-                    F.size("record.topics").alias("n_topics"))
+                    F.size("record.topics").alias("n_topics"),
+                    F.array_join(F.transform("record.topics", lambda x: F.concat_ws(
+                        "=", x["topic_id"].cast("string"), x["name"], x["path"])), "|").alias("topics"))
 
 
 @register("json_event_codec", with_ctes(EDITS) + """
-SELECT event_id, to_json({'eventId': event_id, 'wikiEditId': wiki_edit_id, 'title': title}) AS json,
-  wiki_edit_id AS parsed_wiki_edit_id FROM e""")
+SELECT e.event_id, to_json({'eventId': e.event_id, 'wikiEditId': e.wiki_edit_id, 'title': e.title,
+    'topics': [{'topicId': et.topic_id, 'topicName': et.name, 'topicPath': et.path}]}) AS json,
+  e.wiki_edit_id AS parsed_wiki_edit_id, et.path AS parsed_path FROM e JOIN et ON e.event_id = et.event_id AND et.pos = 1""")
 def q_json_event_codec(spark, sf_dir):
     """X-17: camelCase JSON without nulls, read back case-insensitively."""
     edits, _ = ad.load_edits(spark, sf_dir)
-    rec = to_topic_records(edits.select("event_id", "wiki_edit_id", "title"), "event_id")
-    upper = rec.select("key", F.replace("value", F.lit("wikiEditId"), F.lit("WikiEditID")).alias("v2"), "value")
+    first = F.transform(F.slice("topics", 1, 1), lambda x: F.struct(
+        x["topic_id"].alias("topic_id"), x["name"].alias("name"), x["path"].alias("path"), F.lit(None).cast("float").alias("confidence")))
+    rec = to_topic_records(edits.filter(F.size("topics") > 0).select("event_id", "wiki_edit_id", "title", first.alias("topics")), "event_id")
+    odd = F.replace(F.replace("value", F.lit("wikiEditId"), F.lit("WikiEditID")), F.lit("topicPath"), F.lit("TOPICpath"))
+    upper = rec.select("key", odd.alias("v2"), "value")
     schema = S.EDIT_EVENTS
     back = upper.select(F.col("key").alias("event_id"), F.col("value").alias("json"),
-                        fd.parse_record("v2", schema)["wiki_edit_id"].alias("parsed_wiki_edit_id"))
+                        fd.parse_record("v2", schema).alias("r")).select(
+        "event_id", "json", F.col("r.wiki_edit_id").alias("parsed_wiki_edit_id"), F.col("r.topics")[0]["path"].alias("parsed_path"))
     return back
 
 

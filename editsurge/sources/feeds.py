@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from editsurge import schemas as S
+from editsurge.sources.json_codec import parse_record
 
 
 def read_recent_changes(spark: SparkSession, path: str, streaming: bool = False,
@@ -28,21 +29,29 @@ def read_recent_changes(spark: SparkSession, path: str, streaming: bool = False,
     return reader.schema(S.RECENT_CHANGE).option("mode", "DROPMALFORMED").json(path)
 
 
+def read_sse(spark: SparkSession, path: str, line_end: str = "\n") -> DataFrame:
+    """S-02 input: a captured event stream, split at blank lines while it is read.
+    ``line_end`` is the capture's line end; a capture with the other one is
+    still decoded right, but its files are not split among tasks."""
+    return spark.read.option("lineSep", line_end * 2).text(path)
+
+
 def decode_sse(text: DataFrame, col: str = "value") -> DataFrame:
     """S-02: server-sent-event frames -> (event_id, data) rows.
 
-    Input: one row per frame (read with ``spark.read.text(path,
-    lineSep='\\n\\n')``).  data: lines of a frame are joined by a newline,
-    ``id:`` gives the resume id, ``event:`` and ``:`` comment lines are
+    Input: text with one or more frames a row (``read_sse``).  Frames end at a
+    blank line, lines at LF or CRLF.  data: lines of a frame are joined by a
+    newline, ``id:`` gives the resume id, ``event:`` and ``:`` comment lines are
     ignored, frames without data are skipped."""
-    lines = F.split(F.regexp_replace(F.col(col), "\r", ""), "\n")
+    frames = text.select(F.explode(F.split(F.col(col), "\r?\n\r?\n")).alias("_frame"))
+    lines = F.split("_frame", "\r?\n")
     data = F.transform(F.filter(lines, lambda x: x.startswith("data:")),
                        lambda x: F.regexp_replace(x, "^data: ?", ""))
     ids = F.transform(F.filter(lines, lambda x: x.startswith("id:")),
                       lambda x: F.trim(F.regexp_replace(x, "^id:", "")))
-    return (text.select(F.element_at(ids, -1).alias("event_id"),
-                        F.array_join(data, "\n").alias("data"), F.size(data).alias("n"))
-                .filter(F.col("n") > 0).drop("n"))
+    return (frames.select(F.element_at(ids, -1).alias("event_id"),
+                          F.array_join(data, "\n").alias("data"), F.size(data).alias("n"))
+                  .filter(F.col("n") > 0).drop("n"))
 
 
 def parse_changes(frames: DataFrame, col: str = "data") -> DataFrame:
@@ -65,26 +74,3 @@ def read_topic(spark: SparkSession, path: str, schema: T.StructType, streaming:
     rec = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])
     raw = (spark.readStream if streaming else spark.read).schema(rec).json(path)
     return raw.select("key", parse_record("value", schema).alias("record"))
-
-
-def parse_record(col: str, schema: T.StructType):
-    """X-17 read side: JSON text -> struct of ``schema``, keys in any case."""
-    m = F.from_json(F.col(col), T.MapType(T.StringType(), T.StringType()))
-    low = F.map_from_entries(F.transform(F.map_entries(m), lambda e: F.struct(F.lower(e["key"]), e["value"])))
-    fields = []
-    for f in schema.fields:
-        v = low[_camel(f.name).lower()]
-        if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
-            fields.append(F.from_json(v, f.dataType).alias(f.name))
-        else:
-            fields.append(v.try_cast(f.dataType).alias(f.name))
-    return F.when(F.length(F.trim(F.col(col))) > 0, F.struct(*fields))
-
-
-def _camel(name: str) -> str:
-    head, *rest = name.split("_")
-    return head + "".join(w[:1].upper() + w[1:] for w in rest)
-
-
-def _camel_schema(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(_camel(f.name), f.dataType) for f in schema.fields])

@@ -9,8 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from editsurge.functions.scalar import effective_time
+from editsurge.sources.json_codec import json_names, renamed
 
 
 def valid_edits(df: DataFrame) -> DataFrame:
@@ -81,20 +83,17 @@ def write_trend_snapshot(updates: DataFrame, path: str) -> None:
             .partitionBy("period").parquet(path))
 
 
-def _camel(name: str) -> str:
-    head, *rest = name.split("_")
-    return head + "".join(w[:1].upper() + w[1:] for w in rest)
-
-
-def _camel_struct(df: DataFrame, cols: list[str]) -> Column:
-    return F.struct(*[F.col(c).alias(_camel(c)) for c in cols])
+def _json_struct(df: DataFrame, cols: list[str]) -> Column:
+    kinds = T.StructType([df.schema[c] for c in cols])
+    names = json_names(kinds)
+    return F.struct(*[renamed(F.col(c), kinds[c].dataType).alias(names[c]) for c in cols])
 
 
 def to_topic_records(df: DataFrame, key: Column | str, value_cols: list[str] | None = None) -> DataFrame:
-    """S-04: (key, value) records, value = camelCase JSON without nulls."""
+    """S-04: (key, value) records, value = JSON without nulls, camelCase at every level."""
     key = F.col(key) if isinstance(key, str) else key
     value_cols = value_cols or df.columns
-    return df.select(key.cast("string").alias("key"), F.to_json(_camel_struct(df, value_cols)).alias("value"))
+    return df.select(key.cast("string").alias("key"), F.to_json(_json_struct(df, value_cols)).alias("value"))
 
 
 def write_topic(df: DataFrame, path: str, key: Column | str, value_cols: list[str] | None = None,

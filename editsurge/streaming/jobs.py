@@ -23,7 +23,7 @@ from editsurge.operators import metrics as mt
 from editsurge.operators import snapshots as sn
 from editsurge.operators import trends as tr
 from editsurge.session import ensure_checkpoint_dir
-from editsurge.sources.feeds import parse_record
+from editsurge.sources.json_codec import parse_record
 from editsurge.sources.sinks import invalid_edits, valid_edits
 
 TOPIC_RECORD = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])

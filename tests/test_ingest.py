@@ -80,3 +80,26 @@ def test_field_presence(spark):
                                    ('{"id":2,"title":"t","user":"u","wiki":"w","type":null}',)], "value string")
     got = ig.field_presence(lines).collect()
     assert [(r.id, r.has_page_id, r.has_type) for r in got] == [(2, False, False)]
+
+
+def test_codec_at_every_level(spark):
+    from editsurge import schemas as S
+    from editsurge.sources import feeds as fd
+    from editsurge.sources.sinks import to_topic_records
+    text = '{"eventId":"e","ArticleID":5,"TOPICS":[{"topicId":3,"TopicName":"n","topicPath":"a/b","confidence":0.5},null],"embedding":[0.5]}'
+    df = spark.createDataFrame([(text,), ("",), (None,), ("not json",)], "value string")
+    rows = [r.r for r in df.select(fd.parse_record("value", S.EDIT_EVENTS).alias("r")).collect()]
+    assert rows[1] is None and rows[2] is None
+    assert (rows[0].event_id, rows[0].article_id, rows[0].embedding) == ("e", 5, [0.5])
+    t = rows[0].topics[0]
+    assert (t.topic_id, t.name, t.path, t.confidence) == (3, "n", "a/b", 0.5)
+    back = df.limit(1).select(fd.parse_record("value", S.EDIT_EVENTS).alias("r")).select("r.event_id", "r.topics")
+    json = to_topic_records(back, "event_id").collect()[0].value
+    assert '"topicId":3' in json and '"topicName":"n"' in json and '"topicPath":"a/b"' in json and "topic_id" not in json
+
+
+def test_crlf_and_lf_frames(spark):
+    from editsurge.sources import feeds as fd
+    text = "id: 1\r\ndata: a\r\ndata: b\r\n\r\n: note\r\n\r\nid: 2\r\ndata: c\r\n\r\n"
+    df = spark.createDataFrame([(text,), (text.replace("\r", ""),)], "value string")
+    assert sorted((r.event_id, r.data) for r in fd.decode_sse(df).collect()) == [("1", "a\nb")] * 2 + [("2", "c")] * 2

@@ -52,3 +52,14 @@ def test_interval_stats_and_slow(spark):
     assert [(r.processed, r.max_ms, r.slow_count) for r in s] == [(2, 2500, 1), (1, 5, 0)]
     assert s[0].events_per_sec == 0.2
     assert mt.slow_records(log).count() == 1 and mt.slow_records(log, 0).count() == 0
+
+
+def test_pages_beyond_the_group_limit(spark):
+    df = spark.range(4000).selectExpr("id % 2 AS g", "id AS v")
+    p = sn.page_of(df, [F.col("v")], page=30, page_size=50)
+    assert [r.v for r in p.orderBy("v").collect()] == list(range(1450, 1500))
+    assert "TakeOrderedAndProject" in p._jdf.queryExecution().executedPlan().toString()
+    g = sn.page_of(df, [F.col("v")], page=30, page_size=50, partition_cols=["g"])
+    rows = [(r.g, r.v, r.row_number) for r in g.collect()]
+    assert sorted(rows) == sorted((k, 2 * i + k, i + 1) for k in (0, 1) for i in range(1450, 1500))
+    assert "_piece" in g._jdf.queryExecution().executedPlan().toString()
