@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from editsurge.llm import minhash_kernel as K
-from editsurge.llm.common import cut, map_rows, mix64, ship
+from editsurge.llm.common import cut, fresh_name, map_rows, mix64, ship
 from editsurge.llm.shingles import shingle_set
 
 LINK_PERCENT = 85
@@ -70,49 +70,64 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(-1, K.BUCKETS)
 
 
-def bands(classes: DataFrame, digests: bool) -> DataFrame:
-    """(key, node) of every band that has a register; with ``digests`` also n and the low bits."""
+def bands(classes: DataFrame) -> DataFrame:
+    """(key, node) of every band that has a register."""
     kind = classes.schema["node"].dataType.simpleString()
-    schema = f"key long, node {kind}" + (", n long, l0 long, l1 long, l2 long, l3 long" if digests else "")
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
-                regs = _matrix(part.column(2))
-                keys, some = K.band_keys(regs)
+                keys, some = K.band_keys(_matrix(part.column(1)))
                 row, _ = np.nonzero(some)
-                cols = [pa.array(keys[some].view(np.int64)), part.column(0).take(pa.array(row))]
-                if digests:
-                    cols += [part.column(1).take(pa.array(row))]
-                    cols += [pa.array(c[row].view(np.int64)) for c in np.ascontiguousarray(K.low_bits(regs).T)]
-                names = ["key", "node", "n", "l0", "l1", "l2", "l3"][:len(cols)]
-                yield pa.RecordBatch.from_arrays(cols, names=names)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[some].view(np.int64)), part.column(0).take(pa.array(row))], names=["key", "node"])
 
     ship(classes.sparkSession)
-    return classes.select("node", "n", "regs").mapInArrow(run, schema)
+    return classes.select("node", "regs").mapInArrow(run, f"key long, node {kind}")
 
 
-def star_pairs(classes: DataFrame) -> DataFrame:
-    """(a, b): for each class b the smallest class of a key, of the key's that b shares most keys with."""
-    rows = bands(classes, digests=False)
+def shared_keys(classes: DataFrame) -> DataFrame:
+    """(key, node, a): the bands that several classes share; a is the key's smallest class.
+    Most bands belong to one class, so what follows is small."""
+    rows = bands(classes)
     centers = rows.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("size")).filter("size > 1")
-    shared = rows.join(centers, "key").filter(F.col("a") < F.col("node")).groupBy(F.col("node").alias("b"), "a").count()
-    best = shared.groupBy("b").agg(F.max(F.struct("count", "a")).alias("best"))
+    return cut(rows.join(centers.select("key", "a"), "key"))
+
+
+def star_pairs(shared: DataFrame) -> DataFrame:
+    """(a, b): for each class b the smallest class of a key, of the key's that b shares most keys with."""
+    met = shared.filter(F.col("a") < F.col("node")).groupBy(F.col("node").alias("b"), "a").count()
+    best = met.groupBy("b").agg(F.max(F.struct("count", "a")).alias("best"))
     return best.select(F.col("best.a").alias("a"), "b")
 
 
-def cross_pairs(classes: DataFrame, labels: DataFrame) -> DataFrame:
+def low_bits(classes: DataFrame) -> DataFrame:
+    """(node, n, l0 .. l3): two bits of every register."""
+    kind = classes.schema["node"].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            words = np.ascontiguousarray(K.low_bits(_matrix(batch.column(2))).T) if batch.num_rows else np.zeros((4, 0), np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(w.view(np.int64)) for w in words)],
+                                             names=["node", "n", "l0", "l1", "l2", "l3"])
+
+    ship(classes.sparkSession)
+    return classes.select("node", "n", "regs").mapInArrow(run, f"node {kind}, n long, l0 long, l1 long, l2 long, l3 long")
+
+
+def cross_pairs(shared: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
     """(a, b): pairs of one key that lie in different components and whose sizes and
     low bits allow a link.  Sizes are cut in steps of a little over 1/0.85, so that a
     link's larger set is in the same step or the next; the join is on key and step."""
-    rows = (bands(classes, digests=True).join(labels, "node", "left")
-            .withColumn("label", F.coalesce("label", "node")))
+    rows = shared.select("key", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = rows.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("key")
-    open_rows = rows.join(mixed, "key").withColumn("step", F.floor(F.log("n") / float(np.log(1 / 0.845))).cast("int"))
-    small = open_rows.select("key", "step", *[F.col(c).alias(f"a_{c}") for c in ("node", "n", "label", "l0", "l1", "l2", "l3")])
-    large = open_rows.select("key", F.explode(F.array("step", F.col("step") - 1)).alias("step"),
-                             *[F.col(c).alias(f"b_{c}") for c in ("node", "n", "label", "l0", "l1", "l2", "l3")])
+    open_rows = cut(rows.join(mixed, "key"))
+    facts_of = low_bits(classes.join(open_rows.select("node").distinct(), "node", "left_semi"))
+    known = open_rows.join(facts_of, "node").withColumn("step", F.floor(F.log("n") / float(np.log(1 / 0.845))).cast("int"))
+    named = lambda x: [F.col(c).alias(f"{x}_{c}") for c in ("node", "n", "label", "l0", "l1", "l2", "l3")]
+    small = known.select("key", "step", *named("a"))
+    large = known.select("key", F.explode(F.array("step", F.col("step") - 1)).alias("step"), *named("b"))
     differing = sum((F.bit_count(F.col(f"a_l{i}").bitwiseXOR(F.col(f"b_l{i}"))) for i in range(1, 4)),
                     F.bit_count(F.col("a_l0").bitwiseXOR(F.col("b_l0"))))
     ordered = (F.col("a_n") < F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a_node") < F.col("b_node")))
@@ -197,9 +212,10 @@ def group(docs: DataFrame) -> DataFrame:
     own = (members.join(repeated, "doc_id", "left_semi").distinct()
                   .join(classes.select("sig_a", "sig_b", "node"), ["sig_a", "sig_b"])
                   .filter("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b")))
-    star = cut(own.union(verified(cut(estimated(star_pairs(classes), classes)), docs)))
+    shared = shared_keys(classes)
+    star = cut(own.union(verified(cut(estimated(star_pairs(shared), classes)), docs)))
     first = components(star)
-    crossing = cut(estimated(cross_pairs(classes, first), classes))
+    crossing = cut(estimated(cross_pairs(shared, classes, first), classes))
     labels = first if crossing.isEmpty() else components(star.union(verified(crossing, docs)))
     of_class = (classes.select("sig_a", "sig_b", "n", "node").join(labels, "node", "left")
                        .select("sig_a", "sig_b", "n", F.coalesce("label", "node").alias("component")))
@@ -213,8 +229,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """One row of each group of ``docs``, all columns: the one whose doc_id names the
     group (of repeated rows with that id, one).  Rows without a doc_id that have no
     group stay."""
-    kept = group(docs).filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("_copies"))
+    copies = fresh_name(docs, "_copies")
+    kept = group(docs).filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias(copies))
     joined = docs.join(kept, "doc_id")
-    once = joined.filter("_copies = 1").select(*docs.columns)
-    many = joined.filter("_copies > 1").select(*docs.columns).dropDuplicates(["doc_id"])
+    once = joined.filter(F.col(copies) == 1).select(*docs.columns)
+    many = joined.filter(F.col(copies) > 1).select(*docs.columns).dropDuplicates(["doc_id"])
     return once.unionByName(many).unionByName(docs.filter("doc_id IS NULL").select(*docs.columns))
