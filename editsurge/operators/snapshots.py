@@ -74,16 +74,28 @@ def snapshot_topic_detail(snap: DataFrame, topic_id: int, period: str) -> DataFr
              F.col("a.edit_count").alias("article_edits")).drop("a")
 
 
-def apply_invalidations(snap: DataFrame, commands: DataFrame) -> DataFrame:
-    """J-20: drop snapshots named by an invalidate command issued at or
-    after the snapshot was cached; a recalculate command drops all three
-    trend keys.  Commands are folded to the latest time per key first
-    (partial aggregation), then anti-joined."""
+def invalidation_times(commands: DataFrame) -> DataFrame:
+    """J-20 log rows (cache_key, requested_at): the latest time each snapshot key was
+    invalidated; a recalculate command names all three trend keys.  The maximum
+    merges, so the logs of separate batches can be read together."""
     keys = F.array(*[trends_snapshot_key(F.lit(p)) for p in PERIODS])
     c = commands.select(
         F.explode(F.when(F.col("kind") == "recalculate", keys)
                    .otherwise(F.array(F.col("cache_key")))).alias("cache_key"), "requested_at")
-    latest = c.groupBy("cache_key").agg(F.max("requested_at").alias("requested_at"))
+    return c.groupBy("cache_key").agg(F.max("requested_at").alias("requested_at"))
+
+
+def apply_invalidations(snap: DataFrame, commands: DataFrame) -> DataFrame:
+    """J-20: drop snapshots named by an invalidate command issued at or
+    after the snapshot was cached; a recalculate command drops all three
+    trend keys."""
+    return hide_invalidated(snap, invalidation_times(commands))
+
+
+def hide_invalidated(snap: DataFrame, log: DataFrame) -> DataFrame:
+    """Snapshots that no row of an invalidation log (cache_key, requested_at) hides;
+    one cached after the last invalidation of its key is visible again."""
+    latest = log.groupBy("cache_key").agg(F.max("requested_at").alias("requested_at"))
     gone = snap.join(latest, "cache_key").filter(F.col("requested_at") >= F.col("cached_at")).select("cache_key")
     return snap.join(gone, "cache_key", "left_anti")
 

@@ -14,42 +14,36 @@ from editsurge.operators import ingest as ig
 from editsurge.operators import serving as sv
 from editsurge.operators import snapshots as sn
 from editsurge.operators import trends as tr
-from editsurge.plans.oracle_ctes import (DIMS, EDITS, GRAPH_NO_CLOCK, RECENT, REFRESH, TOPIC_FIX,
+from editsurge.plans.oracle_ctes import (CLASSIFIED, DIMS, EDITS, GRAPH_NO_CLOCK, RECENT, REFRESH, TOPIC_FIX,
                                          with_ctes, with_recursive)
 from editsurge.plans.registry import register
 from editsurge.plans.serving_queries import _MEMBERS
+from editsurge.plans.trend_queries import TRENDS_REPORT_SQL
 from editsurge.plans.stream_queries import AVAILABLE_NOW, _run, _scratch, _stored_edits
 from editsurge.sources import adapters as ad
-from editsurge.sources.sinks import write_edit_events
+from editsurge.sources.sinks import nest_topic_columns, write_edit_events
 from editsurge.sources.tables import read_table
 from editsurge.streaming import jobs as J
 
 
 @register("sink_edit_events", with_ctes(EDITS) + """
-SELECT CAST(greatest(ts, classified_at) AS DATE) AS eff_date, count(*) AS edits, count(DISTINCT event_id) AS events FROM e GROUP BY 1""")
+SELECT CAST(greatest(e.ts, e.classified_at) AS DATE) AS eff_date, count(*) AS edits, count(DISTINCT e.event_id) AS events,
+  CAST(sum(coalesce(t.s, 0)) AS BIGINT) AS topic_ids
+FROM e LEFT JOIN (SELECT event_id, sum(topic_id) AS s FROM et GROUP BY 1) t ON e.event_id = t.event_id GROUP BY 1""")
 def q_sink_edit_events(spark, sf_dir):
-    """S-05 (batch): validated edits appended to the fact table,
+    """S-05 (batch): validated edits written to the fact table with flattened topics,
     partitioned by the day of the effective time, read back per partition."""
     d = _scratch(spark, "facts")
     edits, _ = ad.load_edits(spark, sf_dir)
-    write_edit_events(edits, os.path.join(d, "t"), partition_by_day=True)
-    t = spark.read.parquet(os.path.join(d, "t"))
-    return t.groupBy("eff_date").agg(F.count("*").alias("edits"), F.countDistinct("event_id").alias("events"))
-
-
-_UPT = """
-inc2 AS (SELECT path, max(name) AS new_name FROM resolved GROUP BY path),
-mt AS (SELECT t.topic_id, t.name, coalesce(t.path, inc2.path) AS path, inc2.new_name FROM topics t FULL OUTER JOIN inc2 ON t.path = inc2.path),
-upt AS (SELECT topic_id, coalesce(new_name, name) AS name, path FROM mt WHERE topic_id IS NOT NULL
-  UNION ALL SELECT (SELECT max(topic_id) FROM topics) + row_number() OVER (ORDER BY path), new_name, path FROM mt WHERE topic_id IS NULL),
-rt AS (SELECT resolved.article_id, upt.topic_id, resolved.name, resolved.path, resolved.confidence FROM resolved JOIN upt ON resolved.path = upt.path),
-enr AS (SELECT r.event_id, ups.article_id, ups.title, ups.wiki, r."timestamp" FROM r JOIN ups ON r.wiki = ups.wiki AND r.resolved_page_id = ups.page_id
-        WHERE r.error IS NULL)
-"""
+    for _ in range(2):      # a replayed batch leaves one copy
+        write_edit_events(edits, os.path.join(d, "t"), partition_by_day=True, batch_id=0, flatten=True)
+    t = nest_topic_columns(spark.read.parquet(os.path.join(d, "t")))
+    return t.groupBy("eff_date").agg(F.count("*").alias("edits"), F.countDistinct("event_id").alias("events"),
+                                     F.sum(F.aggregate("topics", F.lit(0), lambda a, x: a + x["topic_id"])).alias("topic_ids"))
 
 
 @register("to_classified_edits", with_recursive(RECENT, DIMS, REFRESH, GRAPH_NO_CLOCK.format(min_sitelinks=50, source="checked"),
-                                                TOPIC_FIX.format(), _UPT) + """
+                                                TOPIC_FIX.format(), CLASSIFIED) + """
 SELECT enr.event_id, enr.article_id, enr.title, enr.wiki, coalesce(rt.topic_id, 0) AS topic_id,
   coalesce(rt.name, 'Uncategorized') AS topic_name, coalesce(rt.path, 'Uncategorized') AS topic_path,
   round(coalesce(rt.confidence, 0.1), 4) AS confidence, 1 AS n_topics, 0 AS embedding_size,
@@ -124,7 +118,9 @@ def q_audit_columns(spark, sf_dir):
                     F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss").alias("updated_at"))
 
 
-@register("stream_snapshot_cache")
+@register("stream_snapshot_cache", with_ctes(EDITS) + """
+SELECT DISTINCT 'v3:trends:' || lower(p.period) AS cache_key, p.period, true AS live_now, false AS live_later, false AS live_fallback
+FROM et, clock, periods p WHERE et.eff >= clock.as_of - to_hours(p.hours)""")
 def q_stream_snapshot_cache(spark, sf_dir):
     """T-06: snapshots written by the trend cycle, with their liveness at
     as_of (30 s TTL) and 40 s later (expired), and under the 5 s fallback
@@ -144,7 +140,10 @@ def q_stream_snapshot_cache(spark, sf_dir):
                 .select("cache_key", "period", *[F.coalesce(c, F.lit(False)).alias(c) for c in ("live_now", "live_later", "live_fallback")]))
 
 
-@register("stream_snapshot_warmup")
+@register("stream_snapshot_warmup", with_ctes(EDITS) + ", report AS (" + TRENDS_REPORT_SQL + ")" + """
+SELECT period, 'v3:trends:' || lower(period) AS cache_key,
+  strftime(CASE WHEN period = 'Last24Hours' THEN max(as_of) ELSE max(as_of) + to_seconds(10) END, '%Y-%m-%d %H:%M:%S') AS cached_at,
+  count(DISTINCT topic_id) AS topics FROM report, clock GROUP BY period""")
 def q_stream_snapshot_warmup(spark, sf_dir):
     """T-12: a warm-up tick rebuilds only expired period snapshots: the
     24 h snapshot is fresh and kept, the other two are rebuilt."""
@@ -166,9 +165,6 @@ def q_stream_snapshot_warmup(spark, sf_dir):
                     F.size("topics").alias("topics"))
 
 
-from editsurge.plans.trend_queries import TRENDS_REPORT_SQL  # noqa: E402
-
-
 @register("trends_report_maintained", TRENDS_REPORT_SQL)
 def q_trends_report_maintained(spark, sf_dir):
     """A-10 in production mode: baselines from the stored baseline table

@@ -325,3 +325,14 @@ def with_recursive(*parts: str) -> str:
 
 # GRAPH without its own clock, for plans that already define one.
 GRAPH_NO_CLOCK = GRAPH.replace("clock AS (SELECT max(date_trunc('second', ts)) AS as_of FROM events),\n", "")
+
+# enriched edits (enr) and the resolved topics with their upserted ids (rt).
+CLASSIFIED = """
+inc2 AS (SELECT path, max(name) AS new_name FROM resolved GROUP BY path),
+mt AS (SELECT t.topic_id, t.name, coalesce(t.path, inc2.path) AS path, inc2.new_name FROM topics t FULL OUTER JOIN inc2 ON t.path = inc2.path),
+upt AS (SELECT topic_id, coalesce(new_name, name) AS name, path FROM mt WHERE topic_id IS NOT NULL
+  UNION ALL SELECT (SELECT max(topic_id) FROM topics) + row_number() OVER (ORDER BY path), new_name, path FROM mt WHERE topic_id IS NULL),
+rt AS (SELECT resolved.article_id, upt.topic_id, resolved.name, resolved.path, resolved.confidence FROM resolved JOIN upt ON resolved.path = upt.path),
+enr AS (SELECT r.event_id, ups.article_id, ups.title, ups.wiki, r."timestamp" FROM r JOIN ups ON r.wiki = ups.wiki AND r.resolved_page_id = ups.page_id
+        WHERE r.error IS NULL)
+"""

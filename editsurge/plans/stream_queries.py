@@ -3,8 +3,7 @@
 Each query writes its input stream files from the driver tables into a
 fresh folder under the shared checkpoint directory, runs the streaming job
 with ``availableNow`` (one or more micro-batches, then stop) and returns the
-job's output table.  Where the output is deterministic a DuckDB oracle is
-given; window emission that depends on watermarks is checked by rows only.
+job's output table, with a DuckDB oracle wherever SQL states it.
 """
 
 from __future__ import annotations
@@ -14,8 +13,10 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from editsurge.plans.oracle_ctes import EDITS, INFO, with_ctes
+from editsurge.plans.oracle_ctes import (CLASSIFIED, DIMS, EDITS, GRAPH_NO_CLOCK, INFO, RECENT, REFRESH, TOPIC_FIX,
+                                         with_ctes, with_recursive)
 from editsurge.plans.registry import register
+from editsurge.plans.trend_queries import TRENDS_REPORT_SQL
 from editsurge.sources import adapters as ad
 from editsurge.sources.sinks import to_topic_records
 from editsurge.sources.tables import read_table
@@ -78,41 +79,56 @@ def q_stream_topic_labels(spark, sf_dir):
 @register("stream_dedup", with_ctes(EDITS) + """
 SELECT wiki, count(*) AS edits FROM e GROUP BY wiki""")
 def q_stream_dedup(spark, sf_dir):
-    """T-09: every record delivered twice; dropDuplicatesWithinWatermark
-    keeps one per event id."""
+    """T-09: every record delivered twice; one per event id is stored, and no
+    event is late because all arrive in one batch."""
     d = _scratch(spark, "dedup")
     _edit_topic(spark, sf_dir, os.path.join(d, "topic"), copies=2)
     _run(J.start_dedup_ingest(spark, os.path.join(d, "topic"), os.path.join(d, "table"), os.path.join(d, "ckpt"),
-                              delay="30 days", trigger=AVAILABLE_NOW))
-    return spark.read.parquet(os.path.join(d, "table")).groupBy("wiki").agg(F.count("*").alias("edits"))
+                              os.path.join(d, "late"), trigger=AVAILABLE_NOW))
+    late = spark.read.parquet(os.path.join(d, "late")).select("wiki")
+    return spark.read.parquet(os.path.join(d, "table")).select("wiki").unionByName(late).groupBy("wiki").agg(F.count("*").alias("edits"))
 
 
 @register("stream_sliding_trend", with_ctes(EDITS) + """
 SELECT p.period, et.topic_id, count(*) AS edit_count FROM et, clock, periods p
-WHERE date_trunc('minute', et.eff) >= date_trunc('minute', clock.as_of - to_hours(p.hours))
+WHERE et.eff >= clock.as_of - to_hours(p.hours)
 GROUP BY 1, 2""")
 def q_stream_sliding_trend(spark, sf_dir):
     """T-11: per-minute streaming rollup, trailing windows summed at read
-    time (exact at minute grain)."""
+    time; the minute a window starts in comes from the edits, so the counts
+    equal A-01."""
     d = _scratch(spark, "rollup")
-    _, as_of = _edit_topic(spark, sf_dir, os.path.join(d, "topic"))
+    edits, as_of = _edit_topic(spark, sf_dir, os.path.join(d, "topic"))
     _run(J.start_minute_rollup(spark, os.path.join(d, "topic"), os.path.join(d, "rollup"), os.path.join(d, "ckpt"),
                                AVAILABLE_NOW))
     r = spark.read.parquet(os.path.join(d, "rollup"))
-    return J.trailing_from_rollup(r.select("topic_id", "minute", "edits"), as_of) \
+    return J.trailing_from_rollup(r.select("topic_id", "minute", "edits"), as_of, edits) \
             .select("period", F.col("topic_id").cast("int").alias("topic_id"), "edit_count")
 
 
-@register("stream_interval_metrics")
+LOG_SQL = """
+plog AS (SELECT 'classified-edits' AS topic, 'group-' || event_type AS group_id, event_id AS "offset", ts AS processed_at,
+                CAST(floor(value * 10) AS BIGINT) AS elapsed_ms FROM events)
+"""
+
+
+@register("stream_interval_metrics", with_ctes(LOG_SQL) + """
+SELECT strftime(time_bucket(INTERVAL 10 SECONDS, processed_at), '%Y-%m-%d %H:%M:%S') AS interval_start, topic, group_id,
+  count(*) AS processed, round(avg(elapsed_ms), 4) AS avg_ms, max(elapsed_ms) AS max_ms,
+  count(*) FILTER (WHERE elapsed_ms >= 2000) AS slow_count
+FROM plog GROUP BY 1, 2, 3""")
 def q_stream_interval_metrics(spark, sf_dir):
-    """T-08: watermarked 10-second consumer stats over the processing log
-    (append mode; the last open intervals are not emitted)."""
+    """T-08: watermarked 10-second consumer stats over the processing log, written
+    as intervals close, and the final flush of those still open."""
     d = _scratch(spark, "metrics")
     log = ad.processing_log_from_events(read_table(spark, sf_dir, "events", "event_id", "ts", "event_type", "value"))
     log.repartition(RECORD_FILES).write.parquet(os.path.join(d, "log"))
     _run(J.start_interval_metrics(spark, os.path.join(d, "log"), os.path.join(d, "out"), os.path.join(d, "ckpt"),
                                   trigger=AVAILABLE_NOW))
-    return spark.read.parquet(os.path.join(d, "out"))
+    closed = spark.read.parquet(os.path.join(d, "out"))
+    s = closed.unionByName(J.open_intervals(spark, os.path.join(d, "log"), os.path.join(d, "out")))
+    return s.select(F.date_format("interval_start", "yyyy-MM-dd HH:mm:ss").alias("interval_start"), "topic", "group_id",
+                    "processed", F.round("avg_ms", 4).alias("avg_ms"), "max_ms", "slow_count")
 
 
 def _stored_edits(spark, sf_dir, d):
@@ -122,7 +138,8 @@ def _stored_edits(spark, sf_dir, d):
     return as_of
 
 
-@register("stream_trend_cycle")
+@register("stream_trend_cycle", with_ctes(EDITS) + ", report AS (" + TRENDS_REPORT_SQL + ")" + """
+SELECT DISTINCT period, topic_id, topic_name, edit_count, anomaly_score FROM report""")
 def q_stream_trend_cycle(spark, sf_dir):
     """T-04 + T-06 + T-12: one trend cycle over the stored edit table
     replaces the per-period snapshots; read back through the TTL filter."""
@@ -136,10 +153,18 @@ def q_stream_trend_cycle(spark, sf_dir):
         "period", "t.topic_id", "t.topic_name", "t.edit_count", "t.anomaly_score")
 
 
-@register("stream_commands")
+@register("stream_commands", with_ctes(EDITS, """
+counts0 AS (SELECT p.period FROM et, clock, periods p WHERE et.eff >= clock.as_of - to_hours(p.hours) GROUP BY 1),
+snap AS (SELECT 'v3:trends:' || lower(p.period) AS cache_key, p.period,
+                CASE WHEN p.period = 'Last24Hours' THEN clock.as_of - to_hours(24) ELSE clock.as_of END AS cached_at
+         FROM periods p, clock WHERE p.period IN (SELECT DISTINCT period FROM counts0)),
+ck AS (SELECT unnest(CASE WHEN event_type = 'signup' THEN ['v3:trends:lasthour', 'v3:trends:last24hours', 'v3:trends:last7days']
+                          ELSE ['v3:trends:' || ['lasthour', 'last24hours', 'last7days'][event_id % 3 + 1]] END) AS cache_key,
+              date_trunc('second', ts) AS requested_at FROM events WHERE event_type IN ('error', 'signup'))""") + """
+SELECT cache_key, period FROM snap WHERE NOT EXISTS (SELECT 1 FROM ck WHERE ck.cache_key = snap.cache_key AND ck.requested_at >= snap.cached_at)""")
 def q_stream_commands(spark, sf_dir):
-    """T-07 + J-20: recalculate and invalidate command topics unioned; each
-    batch writes the snapshot keys that survive."""
+    """T-07 + J-20: recalculate and invalidate command topics unioned, in several
+    batches; the snapshot table is read through their invalidation log."""
     d = _scratch(spark, "commands")
     edits, as_of = ad.load_edits(spark, sf_dir)
     from editsurge.operators import snapshots as sn
@@ -153,9 +178,9 @@ def q_stream_commands(spark, sf_dir):
         c = cmds.filter(F.col("kind") == kind).select("topic_id", "cache_key", "requested_at")
         to_topic_records(c, F.coalesce(F.col("cache_key"), F.col("topic_id").cast("string"), F.lit("all"))) \
             .repartition(2).write.json(os.path.join(d, sub))
-    _run(J.start_command_stream(spark, os.path.join(d, "recalc"), os.path.join(d, "inval"), os.path.join(d, "snap"),
-                                os.path.join(d, "out"), os.path.join(d, "ckpt"), AVAILABLE_NOW))
-    return spark.read.parquet(os.path.join(d, "out")).select("cache_key", "period")
+    _run(J.start_command_stream(spark, os.path.join(d, "recalc"), os.path.join(d, "inval"), os.path.join(d, "log"),
+                                os.path.join(d, "ckpt"), AVAILABLE_NOW, max_files_per_trigger=1))
+    return J.visible_snapshots(spark, os.path.join(d, "snap"), os.path.join(d, "log")).select("cache_key", "period")
 
 
 @register("stream_baseline_refresh", with_ctes(EDITS, """
@@ -199,7 +224,9 @@ def _enrich_inputs(spark, sf_dir, d):
     return as_of
 
 
-@register("stream_raw_to_enriched")
+@register("stream_raw_to_enriched", with_ctes(RECENT, DIMS, REFRESH) + """
+SELECT r.event_id, ups.article_id, ups.page_id, ups.title, ups.wiki, coalesce(len(r.linked_articles), 0) AS n_links
+FROM r JOIN ups ON r.wiki = ups.wiki AND r.resolved_page_id = ups.page_id WHERE r.error IS NULL""")
 def q_stream_raw_to_enriched(spark, sf_dir):
     """T-02: raw-edit topic -> enrichment (stream-static joins with the
     article, category and response tables) -> enriched records; all input
@@ -213,7 +240,11 @@ def q_stream_raw_to_enriched(spark, sf_dir):
     return e.select("event_id", "article_id", "page_id", "title", "wiki", F.size("linked_articles").alias("n_links"))
 
 
-@register("stream_enriched_to_classified")
+@register("stream_enriched_to_classified", with_recursive(RECENT, DIMS, REFRESH, GRAPH_NO_CLOCK.format(min_sitelinks=50, source="checked"),
+                                                          TOPIC_FIX.format(), CLASSIFIED) + """
+SELECT enr.event_id, enr.article_id, coalesce(rt.topic_id, (SELECT topic_id FROM upt WHERE path = 'Uncategorized')) AS topic_id,
+  coalesce(rt.name, 'Uncategorized') AS topic_name, round(coalesce(rt.confidence, 0.1), 4) AS confidence, 0 AS embedding_size
+FROM enr LEFT JOIN rt ON enr.article_id = rt.article_id""")
 def q_stream_enriched_to_classified(spark, sf_dir):
     """T-03: enriched-edit topic -> classified edits with one resolved topic
     each (stream-static join with the resolved-topic table)."""
@@ -229,8 +260,11 @@ def q_stream_enriched_to_classified(spark, sf_dir):
     # document ids, the resolver's are customer keys, so key them by value.
     res.join(up.select("topic_id", "path"), "path").select("article_id", "topic_id", "name", "path", "confidence") \
        .write.parquet(os.path.join(d, "resolved"))
+    up.select("topic_id", "name", "path").write.parquet(os.path.join(d, "topics"))
     _run(J.start_classify_stream(spark, os.path.join(d, "enriched_topic"), os.path.join(d, "resolved"),
-                                 os.path.join(d, "out"), os.path.join(d, "ckpt"), AVAILABLE_NOW))
+                                 os.path.join(d, "out"), os.path.join(d, "ckpt"), AVAILABLE_NOW,
+                                 topics_path=os.path.join(d, "topics")))
     c = spark.read.parquet(os.path.join(d, "out"))
-    return c.select("event_id", "article_id", F.col("topics")[0]["name"].alias("topic_name"),
-                    F.col("topics")[0]["confidence"].alias("confidence"), F.size("embedding").alias("embedding_size"))
+    return c.select("event_id", "article_id", F.col("topics")[0]["topic_id"].alias("topic_id"),
+                    F.col("topics")[0]["name"].alias("topic_name"),
+                    F.round(F.col("topics")[0]["confidence"].cast("double"), 4).alias("confidence"), F.size("embedding").alias("embedding_size"))

@@ -7,6 +7,8 @@ double-count.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,14 +42,30 @@ def flatten_topic_columns(df: DataFrame) -> DataFrame:
         F.coalesce(F.col("embedding"), F.array().cast("array<float>")).alias("embedding"))
 
 
+def nest_topic_columns(df: DataFrame) -> DataFrame:
+    """Rows of a flattened fact table with ``topics`` as structs again."""
+    arrays = F.arrays_zip("topic_ids", "topic_names", "topic_paths", "topic_confidences")
+    topics = F.transform(arrays, lambda x: F.struct(
+        x["topic_ids"].alias("topic_id"), x["topic_names"].alias("name"), x["topic_paths"].alias("path"),
+        x["topic_confidences"].alias("confidence")))
+    flat = ("topic_ids", "topic_names", "topic_paths", "topic_confidences")
+    return df.select(*[c for c in df.columns if c not in flat], topics.alias("topics"))
+
+
 def with_eff_date(df: DataFrame) -> DataFrame:
     """Partition column: day of greatest(ts, classified_at)."""
     return df.withColumn("eff_date", F.to_date(effective_time()))
 
 
 def write_edit_events(df: DataFrame, path: str, partition_by_day: bool = False,
-                      mode: str = "append", num_files: int | None = None) -> None:
-    """S-05 (batch part): validate and append classified edits to Parquet.
+                      mode: str = "append", num_files: int | None = None, batch_id: int | None = None,
+                      flatten: bool = False) -> None:
+    """S-05: validate and write classified edits to Parquet.
+
+    With ``batch_id`` the rows replace the folder ``batch_id=N`` of the table, so a
+    replayed batch or a repeated call leaves one copy; without it they are
+    appended.  ``flatten`` stores the topics as parallel arrays (F-18);
+    ``nest_topic_columns`` reads them back.
 
     Rows are range-partitioned by effective time (``num_files`` ranges,
     default ``spark.sql.shuffle.partitions``): the write runs in parallel
@@ -59,21 +77,29 @@ def write_edit_events(df: DataFrame, path: str, partition_by_day: bool = False,
     """
     out = valid_edits(df)
     spark = df.sparkSession
+    if batch_id is not None:
+        path, mode = os.path.join(path, f"batch_id={batch_id}"), "overwrite"
     n = num_files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     eff = effective_time()
     if partition_by_day:
         out = with_eff_date(out).repartitionByRange(n, "eff_date", eff).sortWithinPartitions("eff_date", eff)
+        out = flatten_topic_columns(out) if flatten else out
         out.write.mode(mode).partitionBy("eff_date").parquet(path)
     else:
-        out.repartitionByRange(n, eff).sortWithinPartitions(eff).write.mode(mode).parquet(path)
-
-
-def write_baselines(df: DataFrame, path: str) -> None:
-    """S-07: append baseline rows (topic_id, baseline_daily, calculated_at);
-    the read side keeps the newest per topic (W-02).  Empty input writes
-    nothing."""
+        out = out.repartitionByRange(n, eff).sortWithinPartitions(eff)
+        out = flatten_topic_columns(out) if flatten else out
+        out.write.mode(mode).parquet(path)
+
+
+def write_baselines(df: DataFrame, path: str, batch_id: int | None = None) -> None:
+    """S-07: add baseline rows (topic_id, baseline_daily, calculated_at);
+    the read side keeps the newest per topic (W-02), so a repeated append
+    changes no result.  With ``batch_id`` the rows replace that batch's folder."""
+    mode = "append"
+    if batch_id is not None:
+        path, mode = os.path.join(path, f"batch_id={batch_id}"), "overwrite"
     df.select(F.col("topic_id").cast("int"), F.col("baseline_daily").cast("float"),
-              F.col("calculated_at").cast("timestamp_ntz")).write.mode("append").parquet(path)
+              F.col("calculated_at").cast("timestamp_ntz")).write.mode(mode).parquet(path)
 
 
 def write_trend_snapshot(updates: DataFrame, path: str) -> None:

@@ -24,7 +24,7 @@ from editsurge.operators import snapshots as sn
 from editsurge.operators import trends as tr
 from editsurge.session import ensure_checkpoint_dir
 from editsurge.sources.json_codec import parse_record
-from editsurge.sources.sinks import invalid_edits, valid_edits
+from editsurge.sources.sinks import invalid_edits, valid_edits, write_baselines, write_edit_events
 
 TOPIC_RECORD = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])
 
@@ -58,6 +58,27 @@ def read_topic_stream(spark: SparkSession, path: str, schema: T.StructType,
     return raw.select("key", "value", parse_record("value", schema).alias("r"))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table has been written (asked of the file system, so that a failing
+    read is never taken for a missing table)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def read_batches(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
+    """The rows of a per-batch table, or of its batches below ``before``; None if
+    there are none yet.  A batch that reads its own table this way finds the same
+    rows when it is replayed."""
+    if not path_exists(spark, path):
+        return None
+    df = spark.read.parquet(path)
+    if before is None:
+        return df
+    earlier = df.filter(F.col("batch_id") < before)
+    return None if earlier.isEmpty() else earlier
+
+
 def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     # Overwrite this batch's own directory: a replayed batch replaces its
     # earlier partial output instead of appending a second copy.
@@ -67,8 +88,9 @@ def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
 def start_ingest(spark: SparkSession, topic_path: str, table_path: str, quarantine_path: str,
                  checkpoint: str, trigger: dict | None = None, max_files_per_trigger: int | None = None,
                  label_state_path: str | None = None):
-    """T-01 + S-05: classified-edit records -> validate -> append to the
-    edit table; records that fail validation (or do not parse) go to a
+    """T-01 + S-05: classified-edit records -> validate -> edit table, each batch in
+    its own folder, partitioned by ``eff_date`` and in order of the effective time;
+    records that fail validation (or do not parse) go to a
     quarantine table instead of being lost (Q6).  With
     ``label_state_path`` each batch also appends its topic label state
     (A-06 partial), so trend cycles read names from the small merged state
@@ -79,10 +101,10 @@ def start_ingest(spark: SparkSession, topic_path: str, table_path: str, quaranti
         recs = batch.select("value", "r.*").withColumnRenamed("value", "_raw")
         good = valid_edits(recs.filter(F.col("event_id").isNotNull())).drop("_raw")
         bad = invalid_edits(recs).select("_raw")
-        _write_batch(good, table_path, batch_id)
+        write_edit_events(good, table_path, partition_by_day=True, batch_id=batch_id)
         _write_batch(bad, quarantine_path, batch_id)
         if label_state_path:
-            stored = spark.read.parquet(os.path.join(table_path, f"batch_id={batch_id}"))
+            stored = spark.read.schema(S.EDIT_EVENTS).parquet(os.path.join(table_path, f"batch_id={batch_id}"))
             _write_batch(tr.topic_label_state(stored), label_state_path, batch_id)
 
     w = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
@@ -90,19 +112,36 @@ def start_ingest(spark: SparkSession, topic_path: str, table_path: str, quaranti
 
 
 def start_dedup_ingest(spark: SparkSession, topic_path: str, table_path: str, checkpoint: str,
-                       delay: str = "1 hour", trigger: dict | None = None):
-    """T-09 (optional): as T-01, but a redelivered event id within the
-    watermark delay is dropped (state bounded by the watermark)."""
-    stream = read_topic_stream(spark, topic_path, S.EDIT_EVENTS).select("r.*")
-    # Watermarks need a TIMESTAMP (not _NTZ) event-time column.
-    dedup = (stream.filter(F.col("event_id").isNotNull())
-                   .withColumn("_event_time", F.col("classified_at").cast("timestamp"))
-                   .withWatermark("_event_time", delay)
-                   .dropDuplicatesWithinWatermark(["event_id"])
-                   .drop("_event_time"))
-    return (dedup.writeStream.option("checkpointLocation", checkpoint).format("parquet")
-                 .option("path", table_path).outputMode("append")
-                 .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
+                       late_path: str, delay: str = "1 hour", trigger: dict | None = None,
+                       max_files_per_trigger: int | None = None):
+    """T-09 (optional): as T-01, but each event id is stored once within ``delay``.
+
+    A batch keeps one row per id and drops the ids that earlier batches stored not
+    longer than ``delay`` before the newest event they had seen.  Events older than
+    that cannot be compared any more; they are not dropped but go to ``late_path``.
+    The only state is the table itself and one row per batch with its newest
+    event time, and only earlier batches are read, so a replay gives the same."""
+    stream = read_topic_stream(spark, topic_path, S.EDIT_EVENTS, max_files_per_trigger).select("r.*")
+    high_path = table_path.rstrip("/") + "_high"
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.filter(F.col("event_id").isNotNull()).persist()
+        highs = read_batches(spark, high_path, batch_id)
+        high = highs.agg(F.max("high").cast("string")).first()[0] if highs is not None else None
+        edge = F.lit(high).cast("timestamp_ntz") - F.expr(f"INTERVAL {delay}") if high is not None else None
+        late = batch.filter(F.col("classified_at") < edge) if high is not None else batch.limit(0)
+        fresh = (batch.filter(~(F.col("classified_at") < edge)) if high is not None else batch).dropDuplicates(["event_id"])
+        stored = read_batches(spark, table_path, batch_id)
+        if stored is not None and high is not None:
+            known = stored.filter(F.col("classified_at") >= edge).select("event_id")
+            fresh = fresh.join(known, "event_id", "left_anti").select(*batch.columns)
+        _write_batch(fresh, table_path, batch_id)
+        _write_batch(late, late_path, batch_id)
+        _write_batch(batch.agg(F.max("classified_at").alias("high")), high_path, batch_id)
+        batch.unpersist()
+
+    return (stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
+                  .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
 
 
 def start_interval_metrics(spark: SparkSession, log_path: str, out_path: str, checkpoint: str,
@@ -126,6 +165,17 @@ def start_interval_metrics(spark: SparkSession, log_path: str, out_path: str, ch
                  .trigger(**(trigger or {"processingTime": "10 seconds"})).start())
 
 
+def open_intervals(spark: SparkSession, log_path: str, out_path: str,
+                   seconds: int = mt.STATS_INTERVAL_SECONDS) -> DataFrame:
+    """T-08 final flush: the intervals of the stored log that the stream has not written,
+    because no later event closed them."""
+    stats = mt.consumer_interval_stats(spark.read.parquet(log_path), seconds)
+    if not path_exists(spark, out_path):
+        return stats
+    return stats.join(spark.read.parquet(out_path).select("interval_start", "topic", "group_id"),
+                      ["interval_start", "topic", "group_id"], "left_anti").select(*stats.columns)
+
+
 def trunc_minute(ts):
     """Start of the minute of a TIMESTAMP_NTZ (no time-zone round trip)."""
     from editsurge.sources.adapters import epoch_micros
@@ -154,19 +204,30 @@ def start_minute_rollup(spark: SparkSession, topic_path: str, out_path: str, che
                   .trigger(**(trigger or {"processingTime": "60 seconds"})).start())
 
 
-def trailing_from_rollup(rollup: DataFrame, as_of: str) -> DataFrame:
-    """T-11 read: trailing-window counts per (period, topic) from minute
-    buckets whose minute is at or after the window start's minute."""
+def trailing_from_rollup(rollup: DataFrame, as_of: str, edits: DataFrame) -> DataFrame:
+    """T-11 read: trailing-window counts per (period, topic), equal to A-01.
+
+    Whole minutes come from the rollup.  A window that starts inside a minute takes
+    that minute's edits from the fact table: three scans of less than a minute
+    each, pruned by the effective time."""
     from editsurge.functions.scalar import PERIODS
-    from editsurge.sources.adapters import ts_lit
+    minute = F.expr("INTERVAL 1 MINUTE")
     r = rollup.groupBy("topic_id", "minute").agg(F.sum("edits").alias("edits"))
-    aggs = [F.sum(F.when(F.col("minute") >= trunc_minute(tr.window_start(as_of, p)),
-                         F.col("edits")).otherwise(0)).alias(f"c{i}") for i, p in enumerate(PERIODS)]
-    lo = trunc_minute(ts_lit(as_of) - F.expr("INTERVAL 168 HOURS"))
-    per = r.filter(F.col("minute") >= lo).groupBy("topic_id").agg(*aggs)
+    whole, edges = [], None
+    for i, p in enumerate(PERIODS):
+        start = tr.window_start(as_of, p)
+        first = F.when(trunc_minute(start) == start, start).otherwise(trunc_minute(start) + minute)
+        whole.append(F.sum(F.when(F.col("minute") >= first, F.col("edits")).otherwise(0)).alias(f"c{i}"))
+        eff = tr.effective_time()
+        part = (tr.prune_from(edits, start).filter((eff >= start) & (eff < first))
+                  .select(F.lit(p).alias("period"), F.explode("topics.topic_id").alias("topic_id"), F.lit(1).cast("long").alias("edit_count")))
+        edges = part if edges is None else edges.unionByName(part)
     pairs = ", ".join(f"'{p}', CAST(c{i} AS BIGINT)" for i, p in enumerate(PERIODS))
-    return (per.select("topic_id", F.expr(f"stack(3, {pairs}) AS (period, edit_count)"))
-               .filter(F.col("edit_count") > 0))
+    lo = trunc_minute(tr.window_start(as_of, PERIODS[-1]))
+    per = r.filter(F.col("minute") >= lo).groupBy("topic_id").agg(*whole)
+    counts = per.select(F.expr(f"stack(3, {pairs}) AS (period, edit_count)"), "topic_id")
+    return (counts.unionByName(edges.select("edit_count", "period", "topic_id"))
+                  .groupBy("period", "topic_id").agg(F.sum("edit_count").alias("edit_count")).filter(F.col("edit_count") > 0))
 
 
 def start_trend_cycle(spark: SparkSession, tick_path: str, table_path: str, snapshot_path: str,
@@ -197,25 +258,28 @@ def start_trend_cycle(spark: SparkSession, tick_path: str, table_path: str, snap
 
 def start_snapshot_warmup(spark: SparkSession, tick_path: str, table_path: str, snapshot_path: str,
                           checkpoint: str, as_of_fn, ttl_seconds: int = sn.SNAPSHOT_TTL_SECONDS,
-                          trigger: dict | None = None):
+                          trigger: dict | None = None, baselines_path: str | None = None,
+                          label_state_path: str | None = None):
     """T-12: on every tick rebuild only the periods whose snapshot is
-    missing or older than the TTL at the tick time; fresh ones stay."""
+    missing or older than the TTL at the tick time; fresh ones stay.  With the
+    stored baselines and label state only the trailing windows are read."""
     from editsurge.functions.scalar import PERIODS
     from editsurge.sources.sinks import write_trend_snapshot
     ticks = spark.readStream.schema(TOPIC_RECORD).json(tick_path)
 
     def warm(batch: DataFrame, batch_id: int) -> None:
         now = as_of_fn()
-        try:
+        fresh = set()
+        if path_exists(spark, snapshot_path):
             live = sn.live_snapshots(spark.read.parquet(snapshot_path), now, ttl_seconds)
             fresh = {r.period for r in live.select("period").distinct().collect()}  # at most 3 rows
-        except Exception:  # noqa: BLE001 - no snapshot table yet
-            fresh = set()
         expired = [p for p in PERIODS if p not in fresh]
         if not expired:
             return
         edits = spark.read.parquet(table_path)
-        upd = tr.trend_updates(edits, tr_as_of(edits)).filter(F.col("period").isin(expired))
+        base = spark.read.parquet(baselines_path) if baselines_path else None
+        labels = spark.read.parquet(label_state_path) if label_state_path else None
+        upd = tr.trend_updates(edits, tr_as_of(edits), base, label_state=labels).filter(F.col("period").isin(expired))
         write_trend_snapshot(sn.snapshot_rows(upd, cached_at=sn_ts(now)), snapshot_path)
 
     return (ticks.writeStream.option("checkpointLocation", checkpoint).foreachBatch(warm)
@@ -232,24 +296,30 @@ def tr_as_of(edits: DataFrame) -> str:
     return max_ts(edits)
 
 
-def start_command_stream(spark: SparkSession, recalc_path: str, invalidate_path: str, snapshot_path: str,
-                         out_path: str, checkpoint: str, trigger: dict | None = None):
-    """T-07 + J-20: the two command topics unioned with a kind column; each
-    batch drops the snapshots its commands invalidate and writes the
-    surviving snapshot set for this batch id."""
+def start_command_stream(spark: SparkSession, recalc_path: str, invalidate_path: str, log_path: str,
+                         checkpoint: str, trigger: dict | None = None, max_files_per_trigger: int | None = None):
+    """T-07 + J-20: the two command topics unioned with a kind column; each batch
+    adds its invalidation times to a log.  ``visible_snapshots`` reads the snapshot
+    table of T-04 through that log, so what a batch invalidates stays hidden until
+    the snapshot is cached anew, and both jobs share one table."""
     cmd = T.StructType([T.StructField("topic_id", T.IntegerType()), T.StructField("cache_key", T.StringType()),
                         T.StructField("requested_at", T.TimestampNTZType())])
-    a = read_topic_stream(spark, recalc_path, cmd).select(F.lit("recalculate").alias("kind"), "r.*")
-    b = read_topic_stream(spark, invalidate_path, cmd).select(F.lit("invalidate").alias("kind"), "r.*")
+    a = read_topic_stream(spark, recalc_path, cmd, max_files_per_trigger).select(F.lit("recalculate").alias("kind"), "r.*")
+    b = read_topic_stream(spark, invalidate_path, cmd, max_files_per_trigger).select(F.lit("invalidate").alias("kind"), "r.*")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        snap = spark.read.parquet(snapshot_path)
-        _write_batch(sn.apply_invalidations(snap, batch), out_path, batch_id)
+        _write_batch(sn.invalidation_times(batch), log_path, batch_id)
 
     return (a.unionByName(b).writeStream.option("checkpointLocation", checkpoint).foreachBatch(apply)
              .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
 
 
+def visible_snapshots(spark: SparkSession, snapshot_path: str, log_path: str) -> DataFrame:
+    """The snapshot table without what the command stream has invalidated."""
+    snap, log = spark.read.parquet(snapshot_path), read_batches(spark, log_path)
+    return snap if log is None else sn.hide_invalidated(snap, log.select("cache_key", "requested_at"))
+
+
 def start_baseline_refresh(spark: SparkSession, command_path: str, table_path: str, baselines_path: str,
                            checkpoint: str, days: int = tr.BASELINE_LOOKBACK_DAYS, trigger: dict | None = None):
     """T-05: every recalculate command batch recomputes the baselines over
@@ -262,16 +332,18 @@ def start_baseline_refresh(spark: SparkSession, command_path: str, table_path: s
             return
         edits = spark.read.parquet(table_path)
         b = tr.recalculate_baselines(edits, tr_as_of(edits), days)
-        b.write.mode("overwrite").parquet(os.path.join(baselines_path, f"batch_id={batch_id}"))
+        write_baselines(b, baselines_path, batch_id)
 
     return (s.writeStream.option("checkpointLocation", checkpoint).foreachBatch(recalc)
              .trigger(**(trigger or {"availableNow": True})).start())
 
 
 def start_notifications(spark: SparkSession, tick_path: str, table_path: str, out_path: str, checkpoint: str,
-                        trigger: dict | None = None):
+                        trigger: dict | None = None, baselines_path: str | None = None,
+                        label_state_path: str | None = None):
     """T-13: every 15 s take the 24 h list (limit 10), emit the first five
-    as notifications fanned out to their audiences (W-08 + J-21 + S-04)."""
+    as notifications fanned out to their audiences (W-08 + J-21 + S-04).  With the
+    stored baselines and label state only the trailing window is read."""
     from editsurge.operators import serving as sv
     from editsurge.sources.sinks import to_topic_records
     ticks = spark.readStream.schema(TOPIC_RECORD).json(tick_path)
@@ -279,7 +351,10 @@ def start_notifications(spark: SparkSession, tick_path: str, table_path: str, ou
     def emit(batch: DataFrame, batch_id: int) -> None:
         edits = spark.read.parquet(table_path)
         as_of = tr_as_of(edits)
-        lst = sv.trends_response(edits, as_of, "Last24Hours", limit=sn.NOTIFY_LIMIT, min_anomaly_score=0.0)
+        base = spark.read.parquet(baselines_path) if baselines_path else None
+        labels = spark.read.parquet(label_state_path) if label_state_path else None
+        lst = sv.trends_response(edits, as_of, "Last24Hours", limit=sn.NOTIFY_LIMIT, min_anomaly_score=0.0,
+                                 baselines=base, label_state=labels)
         notes = sn.notification_fanout(sn.notifications(lst, as_of))
         recs = to_topic_records(notes, "audience")
         recs.write.mode("overwrite").json(os.path.join(out_path, f"batch_id={batch_id}"))
@@ -294,24 +369,20 @@ def start_enrich_stream(spark: SparkSession, raw_topic: str, dims: dict, out_pat
     records and errors.  The dimension tables are read per micro-batch
     (stream-static joins) as base table + the change logs this job appends
     (``dims['article_log']``, ``dims['category_log']``), newest version per
-    key, so an article refreshed in one batch is fresh for the next."""
+    key, so an article refreshed in one batch is fresh for the next.  A batch
+    reads the logs of earlier batches only: replayed, it finds the state of its
+    first run and replaces its outputs with the same rows."""
     from editsurge.operators import enrich as en
     s = read_topic_stream(spark, raw_topic, S.RAW_EDIT).select("r.*")
     art_log = dims.get("article_log") or os.path.join(out_path + "_article_log")
     cat_log = dims.get("category_log") or os.path.join(out_path + "_category_log")
 
-    def _read_opt(path):
-        try:
-            return spark.read.parquet(path)
-        except Exception:  # noqa: BLE001 - the log does not exist before the first batch
-            return None
-
     def run(batch: DataFrame, batch_id: int) -> None:
         # Five outputs come from this batch: keep its rows instead of
         # re-reading the source for each (recomputed if an executor is lost).
         batch = batch.persist()
-        arts = en.latest_articles(spark.read.parquet(dims["articles"]), _read_opt(art_log))
-        cats = en.latest_categories(spark.read.parquet(dims["categories"]), _read_opt(cat_log))
+        arts = en.latest_articles(spark.read.parquet(dims["articles"]), read_batches(spark, art_log, batch_id))
+        cats = en.latest_categories(spark.read.parquet(dims["categories"]), read_batches(spark, cat_log, batch_id))
         resp = spark.read.parquet(dims["responses"])
         as_of = as_of_fn() if as_of_fn else tr_as_of(batch.withColumnRenamed("timestamp", "ts"))
         out = en.enrich(batch, arts, cats, resp, as_of)
@@ -326,19 +397,23 @@ def start_enrich_stream(spark: SparkSession, raw_topic: str, dims: dict, out_pat
 
 
 def start_classify_stream(spark: SparkSession, enriched_topic: str, resolved_path: str, out_path: str,
-                          checkpoint: str, trigger: dict | None = None):
-    """T-03: enriched edits -> classified edits by a stream-static join with
+                          checkpoint: str, trigger: dict | None = None, topics_path: str | None = None):
+    """T-03: valid enriched edits (F-06) -> classified edits by a stream-static join with
     the resolved-topic table (article_id -> topic), one topic per edit and
     an empty embedding; articles without a resolved topic get the fallback
-    topic."""
+    topic with its stored id (``topics_path``: topic_id, name, path)."""
     from editsurge.operators import ingest as ig
     from editsurge.operators.classify import FALLBACK_CONFIDENCE, FALLBACK_TOPIC
+    from editsurge.operators.joins import skew_safe_lookup
     s = read_topic_stream(spark, enriched_topic, S.ENRICHED_EDIT).select("r.*")
 
     def run(batch: DataFrame, batch_id: int) -> None:
         res = spark.read.parquet(resolved_path)
-        j = batch.join(res, "article_id", "left").select(
-            "*", F.coalesce("topic_id", F.lit(0)).alias("_tid"))
+        stored = None
+        if topics_path:
+            stored = spark.read.parquet(topics_path).filter(F.col("path") == FALLBACK_TOPIC).agg(F.min("topic_id")).first()[0]
+        j = skew_safe_lookup(ig.split_errors(batch, ig.classify_input_error())[0], res, ["article_id"]).select(
+            "*", F.coalesce("topic_id", F.lit(stored or 0)).alias("_tid"))
         j = (j.withColumn("topic_name", F.coalesce("name", F.lit(FALLBACK_TOPIC)))
               .withColumn("topic_path", F.coalesce("path", F.lit(FALLBACK_TOPIC)))
               .withColumn("confidence", F.coalesce("confidence", F.lit(FALLBACK_CONFIDENCE)))
