@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from editsurge.llm import minhash_kernel as K
@@ -37,9 +37,8 @@ from editsurge.llm.shingles import shingle_set
 
 LINK_PERCENT = 85
 LEAST_ESTIMATE = 0.62
-#: Of the 256 low bits of two sketches at most so many differ in a link: 15 % of 128
-#: registers with one bit each, plus more than six deviations.
-MOST_BITS = 52
+#: Deviations allowed for the number of low bits in which the sketches of a link differ.
+BIT_DEVIATIONS = 6
 
 
 def _kind(docs: DataFrame) -> str:
@@ -116,6 +115,16 @@ def low_bits(classes: DataFrame) -> DataFrame:
     return classes.select("node", "n", "regs").mapInArrow(run, f"node {kind}, n long, l0 long, l1 long, l2 long, l3 long")
 
 
+def most_bits(total: Column) -> Column:
+    """How many of the 256 low bits may differ in a link of sets whose sizes add up to
+    ``total``.  A link's sets differ in at most 0.15 / 1.85 of ``total`` elements, each of which
+    changes one register or none and so two bits or fewer: that bound is certain.  For large
+    sets the expected number is smaller: 15 % of the registers in use, one bit each."""
+    certain = 2 * 0.15 / 1.85 * total
+    changed = 0.15 * K.BUCKETS * (1 - F.exp(-total / 1.85 / K.BUCKETS))
+    return F.least(certain, changed + BIT_DEVIATIONS * F.sqrt(1.5 * changed) + 2)
+
+
 def cross_pairs(shared: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
     """(a, b): pairs of one key that lie in different components and whose sizes and
     low bits allow a link.  Sizes are cut in steps of a little over 1/0.85, so that a
@@ -133,7 +142,7 @@ def cross_pairs(shared: DataFrame, classes: DataFrame, labels: DataFrame) -> Dat
     ordered = (F.col("a_n") < F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a_node") < F.col("b_node")))
     met = small.join(large, (small["key"] == large["key"]) & (small["step"] == large["step"]) & ordered
                      & (F.col("a_label") != F.col("b_label"))
-                     & (100 * F.col("a_n") >= LINK_PERCENT * F.col("b_n")) & (differing <= MOST_BITS))
+                     & (100 * F.col("a_n") >= LINK_PERCENT * F.col("b_n")) & (differing <= most_bits(F.col("a_n") + F.col("b_n"))))
     return met.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
 
 
