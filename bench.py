@@ -93,6 +93,12 @@ def main() -> None:
                                    label_state=spark.read.parquet(state_path), **kw)
     cold["trend_cycle_maintained"] = _time(lambda: _run(cyc()))
     warm["trend_cycle_maintained"] = _median_time(lambda: _run(cyc()))
+    # Enrichment of a batch and the topic cascade with its class closure, over the
+    # driver tables of the same scale.
+    from editsurge.plans import registry
+    for name in ("refresh_articles", "resolve_topic_cascade"):
+        cold[name] = _time(lambda: _run(registry.queries()[name](spark, sf_dir)))
+        warm[name] = _time(lambda: _run(registry.queries()[name](spark, sf_dir)))
     rows = edits.count()
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(warm.values()), 3), "unit": "sec",
                       "queries": {k: round(v, 3) for k, v in warm.items()},

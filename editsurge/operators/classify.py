@@ -132,6 +132,7 @@ def class_hierarchy(items: DataFrame, edges: DataFrame, nodes: DataFrame,
     at or reach costs one row there, and the items' side of the join is the
     one that AQE can split."""
     ensure_checkpoint_dir(items.sparkSession)
+    items = items.distinct().checkpoint()       # used for the start nodes and their languages
     s = start_nodes(items, edges).checkpoint()
     closure = closure if closure is not None else class_closure(edges, s.select(F.col("start").alias("cls")))
     n = nodes.filter(F.col("sitelinks") >= min_sitelinks).select(F.col("qid").alias("anc"), "label", "sitelinks")
@@ -147,8 +148,7 @@ def class_hierarchy(items: DataFrame, edges: DataFrame, nodes: DataFrame,
     out = reach.withColumn("pos", F.row_number().over(wi)).filter(F.col("pos") <= limit)
     if labels is not None:
         named = labels.filter(~blank("label")).select(F.col("id").alias("class"), "lang", F.col("label").alias("_named"))
-        used = named.join(out.select("class").distinct(), "class", "left_semi")
-        out = out.join(used, ["class", "lang"], "left").withColumn("label", F.coalesce("_named", "class"))
+        out = out.join(named, ["class", "lang"], "left").withColumn("label", F.coalesce("_named", "class"))
     return out.select(*keys, "pos", "class", "label", "sitelinks")
 
 
@@ -207,8 +207,7 @@ def api_label_topic(items: DataFrame, edges: DataFrame, labels: DataFrame) -> Da
     p31 = edges.filter(F.col("prop") == "P31").select(F.col("child").alias("qid"), F.col("parent").alias("class"), "pos")
     claims = items.select("qid", "lang").distinct().join(p31, "qid")
     named = labels.filter(~blank("label")).select(F.col("id").alias("class"), "lang", "label")
-    used = named.join(claims.select("class").distinct(), "class", "left_semi")
-    return (claims.join(used, ["class", "lang"]).groupBy("qid", "lang")
+    return (claims.join(named, ["class", "lang"]).groupBy("qid", "lang")
                   .agg(F.min(F.struct("pos", "class", "label"))["label"].alias("name")))
 
 

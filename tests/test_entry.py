@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry_mod
+from editsurge.plans import registry
 from tests.oracle_harness import compare
 
 FAST = ["trends_report", "trend_aggregation", "top_articles", "cluster_topics", "topic_detail",
@@ -25,7 +26,7 @@ def test_every_oracle_has_a_query():
     assert len(qs) >= 100
 
 
-@pytest.mark.parametrize("name", FAST if not os.environ.get("EDITSURGE_FULL_ORACLE") else sorted(entry_mod.queries()))
+@pytest.mark.parametrize("name", FAST if not os.environ.get("EDITSURGE_FULL_ORACLE") else sorted(registry.queries()))
 def test_oracle_agrees(spark, name):
     res = compare(spark, "/root/testdata/sf0.01", [name], verbose=False)[name]
     assert res[0] in ("ok", "rows-only"), res
