@@ -185,15 +185,15 @@ class Codec:
         return b"".join([token[i] for i in np.frombuffer(packed, dtype="<u4").tolist()]).decode("utf-8", errors="replace")
 
 
-_CODECS: dict[int, Codec] = {}
+_CODECS: dict[bytes, Codec] = {}
 
 
-def codec(broadcast) -> Codec:
-    """The worker's codec for a broadcast vocabulary (built once per worker)."""
-    key = broadcast._jbroadcast_id if hasattr(broadcast, "_jbroadcast_id") else id(broadcast.value)
+def codec(raw: bytes) -> Codec:
+    """The worker's codec for a vocabulary (built once per worker)."""
+    key = hashlib.sha256(raw).digest()
     if key not in _CODECS:
         _CODECS.clear()
-        _CODECS[key] = Codec(broadcast.value)
+        _CODECS[key] = Codec(raw)
     return _CODECS[key]
 
 
@@ -205,7 +205,7 @@ def encode_documents(docs: DataFrame, vocabulary: str | None = None, id_col: str
         raw = docs.sparkSession.sparkContext.broadcast(f.read())  # a vocabulary file: fixed size
 
     def make():
-        c = codec(raw)
+        c = codec(raw.value)
 
         def run(cols):
             ids = [c.encode(t or "") for t in cols[1]]
@@ -223,7 +223,7 @@ def digest(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
         raw = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def make():
-        c = codec(raw)
+        c = codec(raw.value)
 
         def run(cols):
             n, a, b = [], [], []

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from editsurge.llm import (ann, bpe, decontaminate, langid, minhash, secret_scan, sharding, suffix_dedup, toxicity,
+from editsurge.llm import (ann, bpe, decontaminate, langid, minhash, oracles, secret_scan, sharding, suffix_dedup, toxicity,
                            wrappers)
 from editsurge.llm.common import documents
 from editsurge.sources.tables import read_table
@@ -30,12 +30,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(documents(spark, sf_dir, "doc_id", "text"))
 
 
-@register("op4_secret_scan")
+@register("op4_secret_scan", oracles.secret_scan_sql())
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(documents(spark, sf_dir, "doc_id", "text"))
 
 
-@register("op6_sharding")
+@register("op6_sharding", oracles.sharding_sql())
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(documents(spark, sf_dir, "doc_id", "text"))
 
