@@ -10,12 +10,17 @@ Groups are the connected components of all links.
 3. Bands: 32 keys of four registers a class.  In each key every class is paired
    with the key's smallest class; a class keeps the partner it shares most keys with.
    These pairs (one a class) are estimated, verified and joined into components.
-4. Keys that still hold more than one component give all pairs across components
-   whose sizes and low register bits allow a link.  Estimate, verify, join again.
-   So every banded pair is either inside a component already or is looked at.
-
-Step 3 keeps the pairs of a large group linear in its size; step 4 makes the result
-the same as checking all pairs.  An estimate is collision-corrected; a pair goes on
+4. Classes that still share a key with a plausible partner of another component are
+   looked at closely: how many of a class's shingles does no other such class have?
+   None of them can be in an intersection, which bounds every link exactly.  The
+   class with the fewest of its own is what a group's copies were made from; each
+   class is paired with that of its keys, as in step 3.
+5. Keys that hold several components even then give all pairs across components
+   that sizes, own shingles and low register bits allow.  Estimate, verify, join.
+   So every banded pair is inside a component, excluded by a bound, or looked at.
+
+Steps 3 and 4 keep the pairs of a large group linear in its size; step 5 makes the
+result the same as checking all pairs.  An estimate is collision-corrected; a pair goes on
 to verification if it is above ``LEAST_ESTIMATE``, over five deviations below 0.85.
 
 Defined cases: null, empty and wordless texts have size 0 and are alone; fewer
@@ -125,24 +130,82 @@ def most_bits(total: Column) -> Column:
     return F.least(certain, changed + BIT_DEVIATIONS * F.sqrt(1.5 * changed) + 2)
 
 
-def cross_pairs(shared: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
-    """(a, b): pairs of one key that lie in different components and whose sizes and
-    low bits allow a link.  Sizes are cut in steps of a little over 1/0.85, so that a
-    link's larger set is in the same step or the next; the join is on key and step."""
+def open_keys(shared: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, node, label, n, step, l0 .. l3): the rows of keys that hold several components.
+    Sizes are cut in steps of a little over 1/0.85, so that a link's larger set is in
+    the same step or the next."""
     rows = shared.select("key", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = rows.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("key")
-    open_rows = cut(rows.join(mixed, "key"))
-    facts_of = low_bits(classes.join(open_rows.select("node").distinct(), "node", "left_semi"))
-    known = open_rows.join(facts_of, "node").withColumn("step", F.floor(F.log("n") / float(np.log(1 / 0.845))).cast("int"))
-    named = lambda x: [F.col(c).alias(f"{x}_{c}") for c in ("node", "n", "label", "l0", "l1", "l2", "l3")]
-    small = known.select("key", "step", *named("a"))
-    large = known.select("key", F.explode(F.array("step", F.col("step") - 1)).alias("step"), *named("b"))
+    kept = cut(rows.join(mixed, "key"))
+    facts_of = low_bits(classes.join(kept.select("node").distinct(), "node", "left_semi"))
+    return cut(kept.join(facts_of, "node").withColumn("step", F.floor(F.log("n") / float(np.log(1 / 0.845))).cast("int")))
+
+
+def _sides(rows: DataFrame, steps: list[int]) -> tuple[DataFrame, DataFrame]:
+    """The rows as the smaller set (a_) and, at their step minus each of ``steps``, as the other (b_)."""
+    kept = [c for c in ("node", "n", "label", "own", "l0", "l1", "l2", "l3") if c in rows.columns]
+    named = lambda x: [F.col(c).alias(f"{x}_{c}") for c in kept]
+    other = rows.select("key", F.explode(F.array(*[F.col("step") - k for k in steps])).alias("step"), *named("b"))
+    return rows.select("key", "step", *named("a")), other
+
+
+def _plausible() -> Column:
+    """Whether two classes of different components may be linked, by sizes and low bits."""
     differing = sum((F.bit_count(F.col(f"a_l{i}").bitwiseXOR(F.col(f"b_l{i}"))) for i in range(1, 4)),
                     F.bit_count(F.col("a_l0").bitwiseXOR(F.col("b_l0"))))
+    return ((F.col("a_label") != F.col("b_label"))
+            & (100 * F.least("a_n", "b_n") >= LINK_PERCENT * F.greatest("a_n", "b_n"))
+            & (differing <= most_bits(F.col("a_n") + F.col("b_n"))))
+
+
+def live_keys(rows: DataFrame) -> DataFrame:
+    """The rows of ``open_keys`` that have a plausible partner in their key (a semi-join: no pairs are made)."""
+    a, b = _sides(rows, [0, 1, -1])
+    found = a.join(b, (a["key"] == b["key"]) & (a["step"] == b["step"]) & _plausible(), "left_semi")
+    nodes = found.select(F.col("a_node").alias("node")).distinct()
+    return cut(rows.join(nodes, "node", "left_semi"))
+
+
+def own_shingles(rows: DataFrame, docs: DataFrame, repeated: DataFrame) -> DataFrame:
+    """(node, own): how many of a class's shingles no other class of ``rows`` has; 0 for a
+    doc_id with several texts."""
+    kind = _kind(docs)
+    nodes = rows.select(F.col("node").alias("doc_id")).distinct().join(repeated, "doc_id", "left_anti")
+
+    def run(batches):
+        for batch in batches:
+            for doc, text in zip(*(c.to_pylist() for c in batch.columns)):
+                items = shingle_set(text)
+                yield pa.RecordBatch.from_arrays([pa.array([doc] * len(items), batch.schema.field(0).type),
+                                                  pa.array(items.view(np.int64))], names=["node", "shingle"])
+
+    ship(docs.sparkSession)
+    items = docs.select("doc_id", "text").join(nodes, "doc_id", "left_semi").mapInArrow(run, f"node {kind}, shingle long")
+    single = items.groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node")).filter("n = 1")
+    return single.groupBy("node").agg(F.count("*").alias("own"))
+
+
+def hub_pairs(rows: DataFrame) -> DataFrame:
+    """(a, b): each class with the class of a key that has the fewest shingles of its own,
+    of its keys' the one that it shares most keys with."""
+    hubs = rows.groupBy("key").agg(F.min(F.struct("own", "node")).alias("hub"))
+    met = (rows.join(hubs, "key").filter(F.col("node") != F.col("hub.node"))
+               .groupBy("node", F.col("hub.own").alias("own"), F.col("hub.node").alias("hub")).count())
+    best = met.groupBy("node").agg(F.max(F.struct("count", -F.col("own"), "hub")).alias("best"))
+    return best.select(F.least("node", "best.hub").alias("a"), F.greatest("node", "best.hub").alias("b")).distinct()
+
+
+def cross_pairs(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """(a, b): pairs of one key that lie in different components and may be linked.  An
+    intersection holds no shingle that a class has for itself, so it is at most the
+    smaller of the rests, and the union at least both sizes less that."""
+    now = (rows.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
+    mixed = now.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("key")
+    small, large = _sides(now.join(mixed, "key"), [0, 1])
+    most = F.least(F.col("a_n") - F.col("a_own"), F.col("b_n") - F.col("b_own"))
     ordered = (F.col("a_n") < F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a_node") < F.col("b_node")))
-    met = small.join(large, (small["key"] == large["key"]) & (small["step"] == large["step"]) & ordered
-                     & (F.col("a_label") != F.col("b_label"))
-                     & (100 * F.col("a_n") >= LINK_PERCENT * F.col("b_n")) & (differing <= most_bits(F.col("a_n") + F.col("b_n"))))
+    met = small.join(large, (small["key"] == large["key"]) & (small["step"] == large["step"]) & ordered & _plausible()
+                     & (100 * most >= LINK_PERCENT * (F.col("a_n") + F.col("b_n") - most)))
     return met.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
 
 
@@ -223,9 +286,15 @@ def group(docs: DataFrame) -> DataFrame:
                   .filter("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b")))
     shared = shared_keys(classes)
     star = cut(own.union(verified(cut(estimated(star_pairs(shared), classes)), docs)))
-    first = components(star)
-    crossing = cut(estimated(cross_pairs(shared, classes, first), classes))
-    labels = first if crossing.isEmpty() else components(star.union(verified(crossing, docs)))
+    labels = components(star)
+    live = live_keys(open_keys(shared, classes, labels))
+    if not live.isEmpty():
+        live = cut(live.join(own_shingles(live, docs, repeated), "node", "left").withColumn("own", F.coalesce("own", F.lit(0))))
+        star = cut(star.union(verified(cut(estimated(hub_pairs(live), classes)), docs)))
+        labels = components(star)
+        crossing = cut(estimated(cross_pairs(live, labels), classes))
+        if not crossing.isEmpty():
+            labels = components(star.union(verified(crossing, docs)))
     of_class = (classes.select("sig_a", "sig_b", "n", "node").join(labels, "node", "left")
                        .select("sig_a", "sig_b", "n", F.coalesce("label", "node").alias("component")))
     return (rows.select("doc_id", "n", "sig_a", "sig_b").join(of_class, ["sig_a", "sig_b", "n"], "left")
