@@ -136,7 +136,9 @@ def number_rows(df: DataFrame, order: list[str], start: int, name: str) -> DataF
     partition, which bounds both its window and its broadcast.  No single
     task sees all rows and no row goes through Python."""
     from pyspark.sql import Window
-    o = (df.orderBy(*order).withColumn("_m", F.monotonically_increasing_id())
+    ensure_checkpoint_dir(df.sparkSession)
+    # written once: both uses below must see one partition layout
+    o = (df.orderBy(*order).withColumn("_m", F.monotonically_increasing_id()).checkpoint()
            .withColumn("_p", F.shiftright("_m", 33))
            .withColumn("_i", F.col("_m").bitwiseAND(F.lit((1 << 33) - 1))))
     sizes = o.groupBy("_p").agg(F.count("*").alias("_n"))

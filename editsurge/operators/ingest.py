@@ -117,8 +117,3 @@ def to_classified(df: DataFrame, classified_at: str) -> DataFrame:
     return df.select("event_id", "wiki_edit_id", "article_id", "title", "wiki",
                      F.array(topic).alias("topics"), F.array().cast(S.EMBEDDING).alias("embedding"),
                      F.col("timestamp").alias("ts"), ts_lit(classified_at).alias("classified_at"))
-
-
-def with_diff_size(df: DataFrame) -> DataFrame:
-    """X-05 on raw edits."""
-    return df.withColumn("diff_size", diff_size("new_length", "old_length"))

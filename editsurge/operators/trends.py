@@ -218,7 +218,7 @@ def topic_label_state(edits: DataFrame, topic_ids: DataFrame | None = None) -> D
     """
     t = explode_topics(edits.select(effective_time().alias("eff"), "topics"), "eff")
     if topic_ids is not None:
-        t = t.join(F.broadcast(known_topic_ids(topic_ids)), "topic_id", "left_semi")
+        t = t.join(known_topic_ids(topic_ids), "topic_id", "left_semi")
     name_ok = (F.col("name") != "") & ~is_placeholder_name("name")
     path_ok = (F.col("path") != "") & ~is_placeholder_path("path")
     labels = (t.groupBy("topic_id", "name", "path")

@@ -201,20 +201,6 @@ def recent_changes_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-def load_recent_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
-    return recent_changes_from_events(events)
-
-
-# --------------------------------------------------------------------------
-# dimensions (FIXTURES 3.3)
-# --------------------------------------------------------------------------
-
-# Fixed values of the fixture: category prefix per document language.
-CATEGORY_PREFIX_BY_LANG = {"de": "Kategorie:", "fr": "Catégorie:"}
-DEFAULT_CATEGORY_PREFIX = "Category:"
-
-
 def articles_from_documents(documents: DataFrame, as_of: str) -> DataFrame:
     """Article rows: one per document, enriched 0..8 hours before as_of."""
     d = F.col("doc_id")
@@ -235,15 +221,6 @@ def _category_prefix(lang: Column) -> Column:
     return expr
 
 
-def categories_from_documents(documents: DataFrame) -> DataFrame:
-    """Raw category titles: one per source and one per language."""
-    pre = _category_prefix(F.col("lang"))
-    return documents.select(
-        F.col("doc_id").alias("article_id"),
-        F.explode(F.array(F.concat(pre, F.col("source")),
-                          F.concat(pre, F.lit(" Lang "), F.upper("lang")))).alias("raw_name"))
-
-
 def links_from_pages(pages: DataFrame) -> DataFrame:
     """Local link targets (href="/...") of every page."""
     return pages.select(
