@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from editsurge import schemas as S
-from editsurge.functions.scalar import blank, diff_size, language_of_wiki, parse_epoch
+from editsurge.functions.scalar import blank, language_of_wiki, parse_epoch
 from editsurge.sources.adapters import ts_lit
 
 # Default feed filter (wikis, namespaces, change types).
