@@ -13,8 +13,8 @@ Groups are the connected components of all links.
 4. Classes that still share a key with a plausible partner of another component are
    looked at closely: how many of a class's shingles does no other such class have?
    None of them can be in an intersection, which bounds every link exactly.  The
-   class with the fewest of its own is what a group's copies were made from; each
-   class is paired with that of its keys, as in step 3.
+   class with the fewest of its own is what a group's copies were made from, its hub;
+   each class is compared with that of its keys, which links it or bounds it further.
 5. Keys that hold several components even then give all pairs across components
    that sizes, own shingles and low register bits allow.  Estimate, verify, join.
    So every banded pair is inside a component, excluded by a bound, or looked at.
@@ -143,7 +143,7 @@ def open_keys(shared: DataFrame, classes: DataFrame, labels: DataFrame) -> DataF
 
 def _sides(rows: DataFrame, steps: list[int]) -> tuple[DataFrame, DataFrame]:
     """The rows as the smaller set (a_) and, at their step minus each of ``steps``, as the other (b_)."""
-    kept = [c for c in ("node", "n", "label", "own", "l0", "l1", "l2", "l3") if c in rows.columns]
+    kept = [c for c in ("node", "n", "label", "own", "hub", "in_hub", "rest", "l0", "l1", "l2", "l3") if c in rows.columns]
     named = lambda x: [F.col(c).alias(f"{x}_{c}") for c in kept]
     other = rows.select("key", F.explode(F.array(*[F.col("step") - k for k in steps])).alias("step"), *named("b"))
     return rows.select("key", "step", *named("a")), other
@@ -185,24 +185,38 @@ def own_shingles(rows: DataFrame, docs: DataFrame, repeated: DataFrame) -> DataF
     return single.groupBy("node").agg(F.count("*").alias("own"))
 
 
-def hub_pairs(rows: DataFrame) -> DataFrame:
-    """(a, b): each class with the class of a key that has the fewest shingles of its own,
-    of its keys' the one that it shares most keys with."""
+def nearest_hubs(rows: DataFrame) -> DataFrame:
+    """(node, hub): the class of a key that has the fewest shingles of its own, of a
+    class's keys the one that it shares most keys with.  A hub may be its own."""
     hubs = rows.groupBy("key").agg(F.min(F.struct("own", "node")).alias("hub"))
-    met = (rows.join(hubs, "key").filter(F.col("node") != F.col("hub.node"))
+    met = (rows.join(hubs, "key")
                .groupBy("node", F.col("hub.own").alias("own"), F.col("hub.node").alias("hub")).count())
     best = met.groupBy("node").agg(F.max(F.struct("count", -F.col("own"), "hub")).alias("best"))
-    return best.select(F.least("node", "best.hub").alias("a"), F.greatest("node", "best.hub").alias("b")).distinct()
+    return best.select("node", F.col("best.hub").alias("hub"))
+
+
+def with_hub_overlap(rows: DataFrame, hubs: DataFrame, sizes: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``rows`` with ``hub``, ``in_hub`` (shingles that a class shares with its hub) and ``rest`` (those
+    that it shares neither with the hub nor has for itself); null for a doc_id with several texts."""
+    known = (hubs.filter("node <> hub").withColumn("a", F.least("node", "hub")).withColumn("b", F.greatest("node", "hub"))
+                 .join(sizes.select("a", "b", "both"), ["a", "b"]).select("node", "hub", F.col("both").alias("in_hub")))
+    for side in ("node", "hub"):
+        known = known.join(repeated.select(F.col("doc_id").alias(side)), side, "left_anti")
+    return (rows.join(known, "node", "left")
+                .withColumn("rest", F.col("n") - F.col("in_hub") - F.col("own")))
 
 
 def cross_pairs(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """(a, b): pairs of one key that lie in different components and may be linked.  An
     intersection holds no shingle that a class has for itself, so it is at most the
-    smaller of the rests, and the union at least both sizes less that."""
+    smaller number of others.  Where both have one hub, it is at most the smaller
+    part in the hub plus the smaller part that is neither in it nor own."""
     now = (rows.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
     mixed = now.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("key")
     small, large = _sides(now.join(mixed, "key"), [0, 1])
-    most = F.least(F.col("a_n") - F.col("a_own"), F.col("b_n") - F.col("b_own"))
+    others = F.least(F.col("a_n") - F.col("a_own"), F.col("b_n") - F.col("b_own"))
+    through = F.least("a_in_hub", "b_in_hub") + F.least("a_rest", "b_rest")
+    most = F.when(F.col("a_hub") == F.col("b_hub"), F.least(others, through)).otherwise(others)
     ordered = (F.col("a_n") < F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a_node") < F.col("b_node")))
     met = small.join(large, (small["key"] == large["key"]) & (small["step"] == large["step"]) & ordered & _plausible()
                      & (100 * most >= LINK_PERCENT * (F.col("a_n") + F.col("b_n") - most)))
@@ -228,8 +242,9 @@ def estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"a {kind}, b {kind}, estimate double").select("a", "b").distinct()
 
 
-def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs whose full sets are linked.  Only texts of documents in a pair are read again."""
+def overlaps(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """(a, b, both, n_a, n_b): the intersection and the sizes of the full sets of each pair.
+    Only texts of documents in a pair are read again."""
     kind = _kind(docs)
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
 
@@ -243,17 +258,26 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
     def check():
         def run(cols):
-            keep_a, keep_b = [], []
-            for a, b, x, y in zip(*cols):
+            both, n_a, n_b = [], [], []
+            for x, y in zip(cols[2], cols[3]):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * both >= LINK_PERCENT * (len(x) + len(y) - both):
-                    keep_a.append(a)
-                    keep_b.append(b)
-            return [keep_a, keep_b]
+                both.append(len(np.intersect1d(x, y, assume_unique=True)))
+                n_a.append(len(x))
+                n_b.append(len(y))
+            return [cols[0], cols[1], both, n_a, n_b]
         return run
 
-    return map_rows(rows.select("a", "b", "items_a", "items_b"), f"a {kind}, b {kind}", check).distinct()
+    return map_rows(rows.select("a", "b", "items_a", "items_b"), f"a {kind}, b {kind}, both long, n_a long, n_b long", check)
+
+
+def linked(sizes: DataFrame) -> DataFrame:
+    """(a, b) of the ``overlaps`` that are links."""
+    return sizes.filter(100 * F.col("both") >= LINK_PERCENT * (F.col("n_a") + F.col("n_b") - F.col("both"))).select("a", "b").distinct()
+
+
+def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs whose full sets are linked."""
+    return linked(overlaps(pairs, docs))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -290,9 +314,12 @@ def group(docs: DataFrame) -> DataFrame:
     live = live_keys(open_keys(shared, classes, labels))
     if not live.isEmpty():
         live = cut(live.join(own_shingles(live, docs, repeated), "node", "left").withColumn("own", F.coalesce("own", F.lit(0))))
-        star = cut(star.union(verified(cut(estimated(hub_pairs(live), classes)), docs)))
+        hubs = cut(nearest_hubs(live))
+        to_hub = hubs.filter("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+        sizes = cut(overlaps(to_hub, docs))
+        star = cut(star.union(linked(sizes)))
         labels = components(star)
-        crossing = cut(estimated(cross_pairs(live, labels), classes))
+        crossing = cut(estimated(cross_pairs(cut(with_hub_overlap(live, hubs, sizes, repeated)), labels), classes))
         if not crossing.isEmpty():
             labels = components(star.union(verified(crossing, docs)))
     of_class = (classes.select("sig_a", "sig_b", "n", "node").join(labels, "node", "left")
