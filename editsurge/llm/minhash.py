@@ -42,6 +42,8 @@ from editsurge.llm.shingles import shingle_set
 
 LINK_PERCENT = 85
 LEAST_ESTIMATE = 0.62
+#: Documents up to whose number a list of ids is broadcast to the scan of the texts.
+BROADCAST_IDS = 500_000
 #: Deviations allowed for the number of low bits in which the sketches of a link differ.
 BIT_DEVIATIONS = 6
 
@@ -170,7 +172,7 @@ def own_shingles(rows: DataFrame, docs: DataFrame, repeated: DataFrame) -> DataF
     """(node, own): how many of a class's shingles no other class of ``rows`` has; 0 for a
     doc_id with several texts."""
     kind = _kind(docs)
-    nodes = rows.select(F.col("node").alias("doc_id")).distinct().join(repeated, "doc_id", "left_anti")
+    nodes = rows.select(F.col("node").alias("doc_id")).join(repeated, "doc_id", "left_anti")
 
     def run(batches):
         for batch in batches:
@@ -180,7 +182,7 @@ def own_shingles(rows: DataFrame, docs: DataFrame, repeated: DataFrame) -> DataF
                                                   pa.array(items.view(np.int64))], names=["node", "shingle"])
 
     ship(docs.sparkSession)
-    items = docs.select("doc_id", "text").join(nodes, "doc_id", "left_semi").mapInArrow(run, f"node {kind}, shingle long")
+    items = texts_of(nodes, docs).mapInArrow(run, f"node {kind}, shingle long")
     single = items.groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node")).filter("n = 1")
     return single.groupBy("node").agg(F.count("*").alias("own"))
 
@@ -242,17 +244,24 @@ def estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"a {kind}, b {kind}, estimate double").select("a", "b").distinct()
 
 
+def texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """(doc_id, text) of the wanted ids.  A counted list of at most BROADCAST_IDS goes to the
+    scan, so that no text is exchanged for it; a longer one is joined by id."""
+    wanted = cut(ids.select("doc_id").distinct())
+    side = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+    return docs.select("doc_id", "text").join(side, "doc_id", "left_semi")
+
+
 def overlaps(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """(a, b, both, n_a, n_b): the intersection and the sizes of the full sets of each pair.
     Only texts of documents in a pair are read again."""
     kind = _kind(docs)
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b"))
 
     def make():
         return lambda cols: [cols[0], [shingle_set(t).tobytes() for t in cols[1]]]
 
-    sets = cut(map_rows(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"),
-                        f"node {kind}, items binary", make).filter(F.length("items") > 0))
+    sets = cut(map_rows(texts_of(wanted, docs), f"node {kind}, items binary", make).filter(F.length("items") > 0))
     rows = (pairs.join(sets.select(F.col("node").alias("b"), F.col("items").alias("items_b")), "b")
                  .join(sets.select(F.col("node").alias("a"), F.col("items").alias("items_a")), "a"))
 
