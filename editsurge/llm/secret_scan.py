@@ -112,7 +112,8 @@ def linked_spans(text: Column, base: Column) -> Column:
     kept = F.filter(both, lambda x: ((x["k"] == 3) & x["z"]) | ((x["k"] == 4) & x["i"])
                     | ((x["k"] == 5) & x["i"] & x["z"]))
     found = F.transform(kept, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["k"].alias("k")))
-    return F.when(text.rlike(f"{IDENT}|{KEY}"), found).otherwise(F.array().cast(f"array<{SPAN}>"))
+    # without a weak part nothing can be linked; base spans alone can complete an address
+    return F.when(text.rlike(f"{IDENT}|{KEY}|{ENDPOINT}"), found).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
 def scan(docs: DataFrame, text_col: str = "text", base: str = "base_spans", linked: str = "linked_spans") -> DataFrame:
