@@ -119,6 +119,7 @@ def start_dedup_ingest(spark: SparkSession, topic_path: str, table_path: str, ch
     A batch keeps one row per id and drops the ids that earlier batches stored not
     longer than ``delay`` before the newest event they had seen.  Events older than
     that cannot be compared any more; they are not dropped but go to ``late_path``.
+    Events without a time are never late: they are stored once, like those in the delay.
     The only state is the table itself and one row per batch with its newest
     event time, and only earlier batches are read, so a replay gives the same."""
     stream = read_topic_stream(spark, topic_path, S.EDIT_EVENTS, max_files_per_trigger).select("r.*")
@@ -129,11 +130,13 @@ def start_dedup_ingest(spark: SparkSession, topic_path: str, table_path: str, ch
         highs = read_batches(spark, high_path, batch_id)
         high = highs.agg(F.max("high").cast("string")).first()[0] if highs is not None else None
         edge = F.lit(high).cast("timestamp_ntz") - F.expr(f"INTERVAL {delay}") if high is not None else None
-        late = batch.filter(F.col("classified_at") < edge) if high is not None else batch.limit(0)
-        fresh = (batch.filter(~(F.col("classified_at") < edge)) if high is not None else batch).dropDuplicates(["event_id"])
+        is_late = F.coalesce(F.col("classified_at") < edge, F.lit(False)) if high is not None else F.lit(False)
+        late = batch.filter(is_late)
+        fresh = batch.filter(~is_late).dropDuplicates(["event_id"])
         stored = read_batches(spark, table_path, batch_id)
-        if stored is not None and high is not None:
-            known = stored.filter(F.col("classified_at") >= edge).select("event_id")
+        if stored is not None:
+            recent = F.col("classified_at") >= edge if high is not None else F.lit(False)
+            known = stored.filter(F.col("classified_at").isNull() | recent).select("event_id")
             fresh = fresh.join(known, "event_id", "left_anti").select(*batch.columns)
         _write_batch(fresh, table_path, batch_id)
         _write_batch(late, late_path, batch_id)

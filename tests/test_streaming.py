@@ -54,6 +54,19 @@ def test_dedup_within_watermark(spark):
     assert t.count() == edits.count() == t.select("event_id").distinct().count()
 
 
+def test_dedup_keeps_events_without_a_time(spark):
+    d, edits = topic_dir(spark)
+    args = (os.path.join(d, "topic"), os.path.join(d, "t"), os.path.join(d, "ck"), os.path.join(d, "late"))
+    timeless = edits.limit(3).withColumn("event_id", F.concat(F.lit("no-time-"), "event_id")).withColumn(
+        "classified_at", F.lit(None).cast("timestamp_ntz"))
+    for k in range(3):
+        if k:
+            to_topic_records(timeless, "article_id").coalesce(1).write.mode("append").json(args[0])
+        J.start_dedup_ingest(spark, *args, delay="60 days", trigger={"availableNow": True}).awaitTermination()
+    assert spark.read.parquet(args[1]).filter("classified_at IS NULL AND event_id LIKE 'no-time-%'").count() == 3
+    assert spark.read.parquet(args[3]).count() == 0
+
+
 def test_minute_rollup_matches_batch_counts(spark):
     d, edits = topic_dir(spark)
     q = J.start_minute_rollup(spark, os.path.join(d, "topic"), os.path.join(d, "r"), os.path.join(d, "ck"),
