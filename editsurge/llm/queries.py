@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from editsurge.llm import (ann, bpe, decontaminate, langid, minhash, oracles, secret_scan, sharding, suffix_dedup, toxicity,
-                           wrappers)
+from editsurge.llm import (ann, bpe, corpus_oracles, decontaminate, imatch, infill, langid, minhash, oracles, resampling, secret_scan,
+                           sharding, suffix_dedup, toxicity, wrappers)
 from editsurge.llm.common import documents
 from editsurge.sources.tables import read_table
 
@@ -76,3 +76,18 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op1_suffix_dedup")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@register("op11_importance_resampling", corpus_oracles.resampling_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.digest(documents(spark, sf_dir, "doc_id", "text"), read_table(spark, sf_dir, "benchmark", "text"))
+
+
+@register("op12_imatch_fingerprint", corpus_oracles.imatch_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.digest(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@register("op13_fill_in_middle", corpus_oracles.infill_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.digest(documents(spark, sf_dir, "doc_id", "text"))
