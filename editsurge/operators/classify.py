@@ -245,13 +245,14 @@ def new_mappings(checked: DataFrame, as_of: str) -> DataFrame:
 def resolve_topics(articles: DataFrame, article_topics: DataFrame, topics: DataFrame, mapping: DataFrame,
                    edges: DataFrame, nodes: DataFrame, labels: DataFrame, as_of: str,
                    closure: DataFrame | None = None, responses: DataFrame | None = None,
-                   entities: DataFrame | None = None) -> DataFrame:
+                   entities: DataFrame | None = None, checked: DataFrame | None = None) -> DataFrame:
     """J-11: topic per article by priority:
       stored (max confidence) -> negative cache (young) -> Uncategorized ->
       class hierarchy (1.0) -> instance-of label (0.5) -> Uncategorized (0.1).
     Articles without a live mapping are checked against the captured QID
     ``responses``; the label path takes the entity of the page (``entities``:
     wiki, title, qid), or the article's qid where no entity table is given.
+    ``checked`` is the result of ``checked_qids`` where a caller has it already.
     Input articles: article_id, title, lang.  Output: article_id, name,
     path, confidence, resolution_source."""
     stored = max_confidence_topic(article_topics, topics).select(
@@ -259,7 +260,9 @@ def resolve_topics(articles: DataFrame, article_topics: DataFrame, topics: DataF
     # The lookup feeds three branches (hierarchy, label path, cascade):
     # computed once per batch and kept as a reliable checkpoint.
     ensure_checkpoint_dir(articles.sparkSession)
-    q = checked_qids(articles, mapping, as_of, responses).withColumn("_lang", F.lower(F.trim("lang")))
+    if checked is None:
+        checked = checked_qids(articles, mapping, as_of, responses)
+    q = checked.withColumn("_lang", F.lower(F.trim("lang")))
     if entities is not None:
         pages = entities.select("wiki", F.col("title").alias("_t"), F.col("qid").alias("_entity"))
         q = q.withColumn("_t", F.trim("title")).join(pages, ["wiki", "_t"], "left").drop("_t")

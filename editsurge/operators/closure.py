@@ -108,22 +108,22 @@ class ClassClosure:
         def up(pairs: DataFrame, edges: DataFrame) -> DataFrame:
             return pairs.join(edges, pairs.anc == edges.child).select("cls", F.col("parent").alias("anc"))
 
-        def old_step(delta: DataFrame) -> DataFrame:
-            return up(delta, self._edges(batch_id, delta.select(F.col("anc").alias("child")))).filter("cls <> anc")
+        # The edges are folded and written once; each round joins them with its few pairs.
+        edges = _cut(self._edges(batch_id))
+        after = edges if kinds == {"start"} else _cut(edges.join(del_, EDGE, "left_anti").unionByName(ins))
 
-        def now(only: DataFrame) -> DataFrame:
-            return self._edges(batch_id, only).join(del_, EDGE, "left_anti").unionByName(ins.join(only, only.columns, "left_semi"))
+        def old_step(delta: DataFrame) -> DataFrame:
+            return up(delta, edges).filter("cls <> anc")
 
         def new_step(delta: DataFrame) -> DataFrame:
-            return up(delta, now(delta.select(F.col("anc").alias("child")).distinct()))
+            return up(delta, after)
 
         rounds, over, kept, seeds = 0, self._empty(PAIR), before, [new, up(before, ins)]
         if "remove" in kinds:
             over, rounds = _follow(up(before, del_).filter("cls <> anc"), old_step, self._empty(PAIR))
             over = _cut(over)
             kept = _cut(before.join(over, PAIR, "left_anti"))
-            into = now(over.select(F.col("anc").alias("parent")).distinct())
-            other = over.join(into, over.anc == into.parent).select("cls", "anc", "child")
+            other = over.join(after, over.anc == after.parent).select("cls", "anc", "child")
             again = other.join(kept.select("cls", F.col("anc").alias("child")), ["cls", "child"], "left_semi").select(*PAIR)
             seeds = [new, up(kept, ins), again]
         found, more = _follow(_union(seeds), new_step, kept)

@@ -251,3 +251,25 @@ def q_negative_lookup_error(spark, sf_dir):
     extra = spark.createDataFrame([("Wikipedia page does not have wikibase_item.",), ("Wikipedia pageprops not found.",),
                                    ("Network error while calling Wikipedia API.",), (None,)], "err string")
     return e.unionByName(extra).select("err", X.is_negative_lookup_error("err").alias("negative"))
+
+
+@register("class_closure_maintained", with_recursive(G50) + """
+SELECT DISTINCT cls, anc FROM closure WHERE cls IN (SELECT start FROM starts)""")
+def q_class_closure_maintained(spark, sf_dir):
+    """J-13 maintained: start classes and subclass edges come in batches, among them wrong
+    edges (regions below their nations) that a later batch removes; the pairs equal the closure
+    of the final graph."""
+    import uuid
+
+    from editsurge.operators.closure import ClassClosure
+    from editsurge.streaming.jobs import state_dir
+    q, _, edges, _, _ = _checked(spark, sf_dir)
+    starts = cl.start_nodes(_items(q), edges).select(F.col("start").alias("cls")).distinct().checkpoint()
+    right = edges.filter(F.col("prop") == "P279").select("child", "parent")
+    wrong = right.filter(F.col("child").startswith("N")).select(F.col("parent").alias("child"), F.col("child").alias("parent"))
+    late = F.pmod(F.xxhash64("child"), F.lit(3)) == 0
+    c = ClassClosure(spark, state_dir(spark, "closure", uuid.uuid4().hex))
+    c.update(0, starts=starts.filter(F.pmod(F.xxhash64("cls"), F.lit(2)) == 0), added=right.filter(~late).unionByName(wrong))
+    c.update(1, starts=starts, added=right.filter(late))
+    c.update(2, removed=wrong)
+    return c.read()

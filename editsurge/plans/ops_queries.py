@@ -149,10 +149,10 @@ def q_invalidate_snapshots(spark, sf_dir):
     return sn.apply_invalidations(snap, cmds).select("cache_key", "period")
 
 
-_NOTES_SQL = "api AS (" + _api_sql("Last24Hours", 10, 0.0, 10) + ")"
+NOTES_SQL = "api AS (" + _api_sql("Last24Hours", 10, 0.0, 10) + ")"
 
 
-@register("first_notifications", with_ctes(EDITS) + ", " + _NOTES_SQL + """
+@register("first_notifications", with_ctes(EDITS) + ", " + NOTES_SQL + """
 SELECT DISTINCT topic_rank, topic_id, topic_name, 'TrendUpdate' AS type, anomaly_score, 'Trend updated' AS message
 FROM api WHERE topic_rank <= 5""")
 def q_first_notifications(spark, sf_dir):
@@ -162,7 +162,7 @@ def q_first_notifications(spark, sf_dir):
     return sn.notifications(lst, as_of).drop("timestamp")
 
 
-@register("notification_fanout", with_ctes(EDITS) + ", " + _NOTES_SQL + """
+@register("notification_fanout", with_ctes(EDITS) + ", " + NOTES_SQL + """
 SELECT topic_id, topic_name, unnest(['topic:' || CAST(topic_id AS VARCHAR), 'all']) AS audience
 FROM (SELECT DISTINCT topic_rank, topic_id, topic_name FROM api WHERE topic_rank <= 5)""")
 def q_notification_fanout(spark, sf_dir):

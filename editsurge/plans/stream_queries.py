@@ -13,9 +13,10 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from editsurge.plans.oracle_ctes import (CLASSIFIED, DIMS, EDITS, GRAPH_NO_CLOCK, INFO, RECENT, REFRESH, TOPIC_FIX,
+from editsurge.plans.oracle_ctes import (CLASSIFIED, DIMS, EDITS, GRAPH, GRAPH_NO_CLOCK, INFO, RECENT, REFRESH, TOPIC_FIX,
                                          with_ctes, with_recursive)
 from editsurge.plans.registry import register
+from editsurge.plans.ops_queries import NOTES_SQL
 from editsurge.plans.trend_queries import TRENDS_REPORT_SQL
 from editsurge.sources import adapters as ad
 from editsurge.sources.sinks import to_topic_records
@@ -202,15 +203,63 @@ def q_stream_baseline_refresh(spark, sf_dir):
     return b.select("topic_id", F.round(F.col("baseline_daily").cast("double"), 4).alias("baseline_daily"))
 
 
-@register("stream_notifications")
+
+
+
+@register("stream_notifications", with_ctes(EDITS) + ", " + NOTES_SQL + """
+SELECT audience AS key, topic_rank, topic_id, topic_name, type, anomaly_score, message, audience, strftime(as_of, '%Y-%m-%d %H:%M:%S') AS sent_at
+FROM (SELECT DISTINCT topic_rank, topic_id, topic_name, 'TrendUpdate' AS type, anomaly_score, 'Trend updated' AS message,
+             unnest(['topic:' || CAST(topic_id AS VARCHAR), 'all']) AS audience FROM api WHERE topic_rank <= 5), clock""")
 def q_stream_notifications(spark, sf_dir):
     """T-13: one broadcast tick: first five topics of the 24 h list, fanned
-    out to 'all' and 'topic:{id}' as keyed JSON records."""
+    out to 'all' and 'topic:{id}' as keyed JSON records, read back from their values."""
     d = _scratch(spark, "notify")
     _stored_edits(spark, sf_dir, d)
     _run(J.start_notifications(spark, os.path.join(d, "ticks"), os.path.join(d, "table"), os.path.join(d, "out"),
                                os.path.join(d, "ckpt"), AVAILABLE_NOW))
-    return spark.read.schema("key string, value string").json(os.path.join(d, "out"))
+    value = ("topicRank int, topicId int, topicName string, type string, anomalyScore double, message string, timestamp timestamp_ntz, "
+             "audience string")
+    out = spark.read.schema("key string, value string").json(os.path.join(d, "out"))
+    return out.select("key", F.from_json("value", value).alias("v")).select(
+        "key", F.col("v.topicRank").alias("topic_rank"), F.col("v.topicId").alias("topic_id"), F.col("v.topicName").alias("topic_name"),
+        "v.type", F.col("v.anomalyScore").alias("anomaly_score"), "v.message", "v.audience",
+        F.date_format("v.timestamp", "yyyy-MM-dd HH:mm:ss").alias("sent_at"))
+
+
+@register("stream_daily_baselines", with_ctes(EDITS, """
+daily AS (SELECT topic_id, CAST(ts AS DATE) AS day, count(*) AS daily_count FROM et, clock
+          WHERE eff >= date_trunc('hour', as_of) - to_days(9) GROUP BY 1, 2)""") + """
+SELECT topic_id, round(CAST(CAST(avg(daily_count) AS FLOAT) AS DOUBLE), 4) AS baseline_daily FROM daily GROUP BY topic_id""")
+def q_stream_daily_baselines(spark, sf_dir):
+    """A-02 + A-03 maintained: (topic, day, hour) counts kept over four micro-batches give
+    the hourly baselines alone; the edits are not read again."""
+    from editsurge.operators.rollups import DailyCounts
+    d = _scratch(spark, "daily")
+    _, as_of = _edit_topic(spark, sf_dir, os.path.join(d, "topic"))
+    _run(J.start_counts(spark, os.path.join(d, "topic"), os.path.join(d, "ckpt"), daily_path=os.path.join(d, "daily"),
+                        trigger=AVAILABLE_NOW, max_files_per_trigger=1))
+    hour = as_of[:13] + ":00:00"
+    b = DailyCounts(spark, os.path.join(d, "daily")).baselines(hour, 9)
+    return b.select("topic_id", F.round(F.col("baseline_daily").cast("double"), 4).alias("baseline_daily"))
+
+
+@register("stream_trailing_levels", with_ctes(EDITS) + """
+SELECT p.period, et.topic_id, count(*) AS edit_count FROM et, clock, periods p
+WHERE et.eff >= clock.as_of - INTERVAL 2231 SECONDS - to_hours(p.hours)
+GROUP BY 1, 2""")
+def q_stream_trailing_levels(spark, sf_dir):
+    """T-11 in levels: minute, hour and day counts kept over four micro-batches; each trailing
+    window of a time inside a minute (37 min 11 s before the newest edit) is covered by the fewest of them."""
+    import datetime as dt
+
+    from editsurge.operators.rollups import TrailingCounts
+    d = _scratch(spark, "levels")
+    edits, as_of = _edit_topic(spark, sf_dir, os.path.join(d, "topic"))
+    _run(J.start_counts(spark, os.path.join(d, "topic"), os.path.join(d, "ckpt"), trailing_path=os.path.join(d, "levels"),
+                        trigger=AVAILABLE_NOW, max_files_per_trigger=1))
+    odd = str(dt.datetime.fromisoformat(as_of) - dt.timedelta(seconds=2231))
+    return TrailingCounts(spark, os.path.join(d, "levels")).counts(odd, edits).select(
+        "period", F.col("topic_id").cast("int").alias("topic_id"), "edit_count")
 
 
 def _enrich_inputs(spark, sf_dir, d):
@@ -268,3 +317,60 @@ def q_stream_enriched_to_classified(spark, sf_dir):
     return c.select("event_id", "article_id", F.col("topics")[0]["topic_id"].alias("topic_id"),
                     F.col("topics")[0]["name"].alias("topic_name"),
                     F.round(F.col("topics")[0]["confidence"].cast("double"), 4).alias("confidence"), F.size("embedding").alias("embedding_size"))
+
+
+def _customer_edits(cust, copies: int):
+    """Enriched edits of the customers' articles, ``copies`` of each, and the file (of
+    ``RECORD_FILES``) each goes to: the copies of an article are in different files."""
+    from editsurge import schemas as S
+    arts = ad.items_from_customers(cust)
+    e = arts.select("*", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("j"))
+    made = e.select(F.concat_ws("-", F.lit("c"), "article_id", "j").alias("event_id"), F.col("article_id").alias("wiki_edit_id"),
+                    "article_id", F.col("article_id").alias("page_id"), "title", F.concat("lang", F.lit("wiki")).alias("wiki"),
+                    F.lit("").alias("extract"), F.array().cast("array<string>").alias("categories"),
+                    F.array().cast("array<string>").alias("linked_articles"), F.lit(1).alias("diff_size"), F.lit(False).alias("is_bot"),
+                    F.timestamp_add("SECOND", F.col("article_id"), F.lit("2024-01-01").cast("timestamp_ntz")).alias("timestamp"),
+                    F.lit("2024-02-01").cast("timestamp_ntz").alias("enriched_at"),
+                    ((F.col("article_id") + F.col("j")) % RECORD_FILES).alias("file"))
+    return made.select(*S.ENRICHED_EDIT.names, "file")
+
+
+def _cascade_tables(spark, sf_dir, d):
+    """The cascade's tables written to a folder; (paths, customers, as_of)."""
+    from editsurge.plans.classify_queries import _graph
+    cust, edges, nodes, as_of = _graph(spark, sf_dir)
+    # Links to topics that are not stored stay so: new topics get the ids after the stored ones.
+    links = ad.article_topics_from_customers(cust).withColumn(
+        "topic_id", F.when(F.col("topic_id") > 5, F.col("topic_id") + 1_000_000).otherwise(F.col("topic_id")))
+    made = {"topics": ad.topics_fixture(spark), "article_topics": links,
+            "mapping": ad.qid_mapping_from_customers(cust, as_of), "edges": edges, "nodes": nodes,
+            "labels": ad.labels_from_nodes(nodes), "responses": ad.qid_responses_from_customers(cust),
+            "entities": ad.entities_from_customers(cust)}
+    paths = {k: os.path.join(d, "tables", k) for k in made}
+    for k, df in made.items():
+        df.write.parquet(paths[k])
+    return paths, cust, as_of
+
+
+@register("stream_resolve_cascade", with_recursive(GRAPH.format(min_sitelinks=50, source="checked"), TOPIC_FIX.format()) + """
+SELECT resolved.article_id, name, path, round(confidence, 4) AS confidence, resolution_source, 2 AS edits
+FROM resolved WHERE resolved.article_id > 0""")
+def q_stream_resolve_cascade(spark, sf_dir):
+    """T-03 with the cascade in the stream: two edits of every article in four micro-batches,
+    unseen articles resolved over the maintained closure; the source of each article's
+    first resolution and the topic its edits got."""
+    d = _scratch(spark, "cascade")
+    tables, cust, as_of = _cascade_tables(spark, sf_dir, d)
+    edits = _customer_edits(cust, 2)
+    for k in range(RECORD_FILES):
+        to_topic_records(edits.filter(F.col("file") == k).drop("file"), "page_id").coalesce(1).write.mode("append").json(os.path.join(d, "topic"))
+    _run(J.start_resolving_classify_stream(
+        spark, os.path.join(d, "topic"), tables, os.path.join(d, "state"), os.path.join(d, "out"), os.path.join(d, "resolutions"),
+        os.path.join(d, "ckpt"), as_of_fn=lambda: as_of, trigger=AVAILABLE_NOW, max_files_per_trigger=1))
+    first = spark.read.parquet(os.path.join(d, "resolutions")).groupBy("article_id").agg(
+        F.min_by("resolution_source", "batch_id").alias("resolution_source"))
+    t = F.col("topics")[0]
+    got = spark.read.parquet(os.path.join(d, "out")).select("article_id", t["name"].alias("name"), t["path"].alias("path"),
+                                                            F.round(t["confidence"].cast("double"), 4).alias("confidence"))
+    each = got.groupBy("article_id", "name", "path", "confidence").agg(F.count("*").cast("int").alias("edits"))
+    return each.join(first, "article_id").select("article_id", "name", "path", "confidence", "resolution_source", "edits")

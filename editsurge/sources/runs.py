@@ -34,12 +34,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 class RunTable:
-    def __init__(self, spark: SparkSession, path: str, keys: list[str], fold: str = "latest", fan: int = 8, depth: int = 2):
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], fold: str = "latest", fan: int = 8, depth: int = 2,
+                 horizon: tuple[str, str] | None = None):
         if fold not in ("latest", "sum"):
             raise ValueError(f"unknown fold {fold}")
         if fan < 2 or depth < 1:
             raise ValueError("fan must be 2 or more and depth 1 or more")
         self.spark, self.path, self.keys, self.fold, self.fan, self.depth = spark, path.rstrip("/"), keys, fold, fan, depth
+        self.horizon = horizon
 
     def _run(self, level: int, last: int) -> str:
         return os.path.join(self.path, f"level={level}", f"batch_id={last}")
@@ -123,6 +125,10 @@ class RunTable:
         out = self._folded(self._load(paths))
         if level == self.depth and GONE in out.columns:  # nothing older is left to be deleted
             out = out.filter(~F.col(GONE))
+        if level == self.depth and self.horizon:
+            column, reach = self.horizon
+            newest = out.agg(F.max(column).alias("_newest"))  # one row
+            out = out.join(F.broadcast(newest), F.col(column) >= F.col("_newest") - F.expr(f"INTERVAL {reach}")).drop("_newest")
         out.sortWithinPartitions(*self.keys).write.mode("overwrite").parquet(self._run(level, n - 1))
 
     def _forget(self, base: int) -> None:

@@ -24,6 +24,7 @@ from editsurge.operators import snapshots as sn
 from editsurge.operators import trends as tr
 from editsurge.session import ensure_checkpoint_dir
 from editsurge.sources.json_codec import parse_record
+from editsurge.sources.runs import RunTable
 from editsurge.sources.sinks import invalid_edits, valid_edits, write_baselines, write_edit_events
 
 TOPIC_RECORD = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])
@@ -111,40 +112,44 @@ def start_ingest(spark: SparkSession, topic_path: str, table_path: str, quaranti
     return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
 
 
+def batch_watermark(spark: SparkSession, checkpoint: str, batch_id: int) -> int:
+    """The watermark (epoch milliseconds) that a batch runs with, from the offset log that the
+    engine writes before the batch starts."""
+    lines = spark.read.text(os.path.join(checkpoint, "offsets", str(batch_id)))
+    found = lines.select(F.get_json_object("value", "$.batchWatermarkMs").cast("long").alias("ms")).filter("ms IS NOT NULL")
+    row = found.first()
+    return row.ms if row else 0
+
+
 def start_dedup_ingest(spark: SparkSession, topic_path: str, table_path: str, checkpoint: str,
                        late_path: str, delay: str = "1 hour", trigger: dict | None = None,
                        max_files_per_trigger: int | None = None):
     """T-09 (optional): as T-01, but each event id is stored once within ``delay``.
 
-    A batch keeps one row per id and drops the ids that earlier batches stored not
-    longer than ``delay`` before the newest event they had seen.  Events older than
-    that cannot be compared any more; they are not dropped but go to ``late_path``.
-    Events without a time are never late: they are stored once, like those in the delay.
-    The only state is the table itself and one row per batch with its newest
-    event time, and only earlier batches are read, so a replay gives the same."""
-    stream = read_topic_stream(spark, topic_path, S.EDIT_EVENTS, max_files_per_trigger).select("r.*")
-    high_path = table_path.rstrip("/") + "_high"
+    The ids seen are keyed state of the stream (``dropDuplicatesWithinWatermark``), which
+    forgets an id ``delay`` after its time; no batch reads the stored table.  Events not newer
+    than the watermark (the newest event of earlier batches less ``delay``) cannot be
+    compared any more; the state operator drops them, so the batch carries its input
+    a second time and writes those to ``late_path``, told by the same watermark.
+    Events without a time are never late: their ids are kept for good, apart from
+    the others.  State and batches come from the checkpoint, so a replay gives the same."""
+    # Watermarks need a TIMESTAMP (not _NTZ) column.
+    stream = read_topic_stream(spark, topic_path, S.EDIT_EVENTS, max_files_per_trigger).select("r.*").filter(
+        F.col("event_id").isNotNull()).withColumn("_time", F.col("classified_at").cast("timestamp"))
+    timed = stream.filter(F.col("_time").isNotNull())
+    marked = timed.withWatermark("_time", delay)
+    fresh = marked.dropDuplicatesWithinWatermark(["event_id"])
+    timeless = stream.filter(F.col("_time").isNull()).dropDuplicates(["event_id"])
+    plain = lambda df, part: df.withColumn("_time", F.unix_micros("_time")).withColumn("_part", F.lit(part))
+    both = plain(fresh, "fresh").unionByName(plain(timeless, "fresh")).unionByName(plain(timed, "input"))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.filter(F.col("event_id").isNotNull()).persist()
-        highs = read_batches(spark, high_path, batch_id)
-        high = highs.agg(F.max("high").cast("string")).first()[0] if highs is not None else None
-        edge = F.lit(high).cast("timestamp_ntz") - F.expr(f"INTERVAL {delay}") if high is not None else None
-        is_late = F.coalesce(F.col("classified_at") < edge, F.lit(False)) if high is not None else F.lit(False)
-        late = batch.filter(is_late)
-        fresh = batch.filter(~is_late).dropDuplicates(["event_id"])
-        stored = read_batches(spark, table_path, batch_id)
-        if stored is not None:
-            recent = F.col("classified_at") >= edge if high is not None else F.lit(False)
-            known = stored.filter(F.col("classified_at").isNull() | recent).select("event_id")
-            fresh = fresh.join(known, "event_id", "left_anti").select(*batch.columns)
-        _write_batch(fresh, table_path, batch_id)
-        _write_batch(late, late_path, batch_id)
-        _write_batch(batch.agg(F.max("classified_at").alias("high")), high_path, batch_id)
-        batch.unpersist()
+        late = (F.col("_part") == "input") & (F.col("_time") <= 1000 * batch_watermark(spark, checkpoint, batch_id))
+        _write_batch(batch.filter(F.col("_part") == "fresh").drop("_part", "_time"), table_path, batch_id)
+        _write_batch(batch.filter(late).drop("_part", "_time"), late_path, batch_id)
 
-    return (stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
-                  .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
+    return (both.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
+                .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
 
 
 def start_interval_metrics(spark: SparkSession, log_path: str, out_path: str, checkpoint: str,
@@ -233,6 +238,22 @@ def trailing_from_rollup(rollup: DataFrame, as_of: str, edits: DataFrame) -> Dat
                   .groupBy("period", "topic_id").agg(F.sum("edit_count").alias("edit_count")).filter(F.col("edit_count") > 0))
 
 
+def start_counts(spark: SparkSession, topic_path: str, checkpoint: str, daily_path: str | None = None,
+                 trailing_path: str | None = None, trigger: dict | None = None, max_files_per_trigger: int | None = None):
+    """A-02 + T-11 maintained: each batch of edits adds its counts to ``DailyCounts`` and
+    ``TrailingCounts``; the stream itself keeps no state."""
+    from editsurge.operators.rollups import DailyCounts, TrailingCounts
+    stream = read_topic_stream(spark, topic_path, S.EDIT_EVENTS, max_files_per_trigger).select("r.*")
+    kept = ([DailyCounts(spark, daily_path)] if daily_path else []) + ([TrailingCounts(spark, trailing_path)] if trailing_path else [])
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        for counts in kept:
+            counts.update(batch.filter(F.col("event_id").isNotNull()), batch_id)
+
+    return (stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
+                  .trigger(**(trigger or {"processingTime": "60 seconds"})).start())
+
+
 def start_trend_cycle(spark: SparkSession, tick_path: str, table_path: str, snapshot_path: str,
                       checkpoint: str, trigger: dict | None = None, baselines_path: str | None = None,
                       label_state_path: str | None = None):
@@ -324,9 +345,12 @@ def visible_snapshots(spark: SparkSession, snapshot_path: str, log_path: str) ->
 
 
 def start_baseline_refresh(spark: SparkSession, command_path: str, table_path: str, baselines_path: str,
-                           checkpoint: str, days: int = tr.BASELINE_LOOKBACK_DAYS, trigger: dict | None = None):
+                           checkpoint: str, days: int = tr.BASELINE_LOOKBACK_DAYS, trigger: dict | None = None,
+                           daily_path: str | None = None):
     """T-05: every recalculate command batch recomputes the baselines over
-    the stored edits and appends them (S-07); readers keep the newest."""
+    the stored edits and appends them (S-07); readers keep the newest.  With the
+    maintained ``DailyCounts`` (``daily_path``) only the edits of the hour in which the
+    lookback starts are read."""
     cmd = T.StructType([T.StructField("topic_id", T.IntegerType()), T.StructField("requested_at", T.TimestampNTZType())])
     s = read_topic_stream(spark, command_path, cmd)
 
@@ -334,7 +358,11 @@ def start_baseline_refresh(spark: SparkSession, command_path: str, table_path: s
         if batch.isEmpty():
             return
         edits = spark.read.parquet(table_path)
-        b = tr.recalculate_baselines(edits, tr_as_of(edits), days)
+        if daily_path:
+            from editsurge.operators.rollups import DailyCounts
+            b = DailyCounts(spark, daily_path).baselines(tr_as_of(edits), days, edits)
+        else:
+            b = tr.recalculate_baselines(edits, tr_as_of(edits), days)
         write_baselines(b, baselines_path, batch_id)
 
     return (s.writeStream.option("checkpointLocation", checkpoint).foreachBatch(recalc)
@@ -370,29 +398,30 @@ def start_enrich_stream(spark: SparkSession, raw_topic: str, dims: dict, out_pat
                         checkpoint: str, as_of_fn=None, trigger: dict | None = None):
     """T-02: raw edits -> enrichment against the article table -> enriched
     records and errors.  The dimension tables are read per micro-batch
-    (stream-static joins) as base table + the change logs this job appends
+    (stream-static joins) as base table + the changes this job keeps
     (``dims['article_log']``, ``dims['category_log']``), newest version per
-    key, so an article refreshed in one batch is fresh for the next.  A batch
-    reads the logs of earlier batches only: replayed, it finds the state of its
-    first run and replaces its outputs with the same rows."""
+    key, so an article refreshed in one batch is fresh for the next.  The changes are
+    run tables: a batch reads a bounded number of merged runs, however many batches
+    came before it.  It reads those of earlier batches only: replayed, it finds the
+    state of its first run and replaces its outputs with the same rows."""
     from editsurge.operators import enrich as en
     s = read_topic_stream(spark, raw_topic, S.RAW_EDIT).select("r.*")
-    art_log = dims.get("article_log") or os.path.join(out_path + "_article_log")
-    cat_log = dims.get("category_log") or os.path.join(out_path + "_category_log")
+    art_log = RunTable(spark, dims.get("article_log") or out_path + "_article_log", ["wiki", "page_id"])
+    cat_log = RunTable(spark, dims.get("category_log") or out_path + "_category_log", ["article_id"])
 
     def run(batch: DataFrame, batch_id: int) -> None:
         # Five outputs come from this batch: keep its rows instead of
         # re-reading the source for each (recomputed if an executor is lost).
         batch = batch.persist()
-        arts = en.latest_articles(spark.read.parquet(dims["articles"]), read_batches(spark, art_log, batch_id))
-        cats = en.latest_categories(spark.read.parquet(dims["categories"]), read_batches(spark, cat_log, batch_id))
+        arts = en.latest_articles(spark.read.parquet(dims["articles"]), art_log.read(batch_id))
+        cats = en.latest_categories(spark.read.parquet(dims["categories"]), cat_log.read(batch_id))
         resp = spark.read.parquet(dims["responses"])
         as_of = as_of_fn() if as_of_fn else tr_as_of(batch.withColumnRenamed("timestamp", "ts"))
         out = en.enrich(batch, arts, cats, resp, as_of)
         _write_batch(out["enriched"], out_path, batch_id)
         _write_batch(out["errors"], error_path, batch_id)
-        _write_batch(out["article_changes"], art_log, batch_id)
-        _write_batch(out["category_sets"].withColumn("version", F.lit(batch_id + 1).cast("long")), cat_log, batch_id)
+        art_log.write(out["article_changes"], batch_id)
+        cat_log.write(out["category_sets"].withColumn("version", F.lit(batch_id + 1).cast("long")), batch_id)
         batch.unpersist()
 
     return (s.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
@@ -426,3 +455,102 @@ def start_classify_stream(spark: SparkSession, enriched_topic: str, resolved_pat
 
     return (s.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
              .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
+
+
+def start_resolving_classify_stream(spark: SparkSession, enriched_topic: str, tables: dict, state_path: str, out_path: str,
+                                    resolution_path: str, checkpoint: str, as_of_fn=None, trigger: dict | None = None,
+                                    max_files_per_trigger: int | None = None, graph_change_path: str | None = None):
+    """T-03 with the cascade inside: valid enriched edits (F-06) -> topics of unseen articles
+    resolved, stored and attached -> classified edits.
+
+    ``tables``: folders of ``topics``, ``article_topics``, ``mapping``, ``edges``, ``nodes``,
+    ``labels`` and, where there are any, ``responses`` and ``entities``.  What the job learns is kept
+    under ``state_path`` as run tables over them: topics by path (J-07), links by article
+    (J-10), QID mappings (J-08) and the class closure (J-13).  An article is resolved when a
+    batch first brings it; from then on its stored topic is taken and the batch costs it
+    one join.  The closure follows only start classes it has not seen; changed subclass
+    edges (``graph_change_path``: child, parent, gone; one ``batch_id=N`` folder for each batch
+    that brings any) are taken in by the batch.
+
+    Every batch reads the state of earlier batches only and writes its outputs and runs
+    over those of a failed attempt.  ``resolution_path`` gets one row for each article a
+    batch resolved or found stored, with its source."""
+    from editsurge.functions.scalar import language_of_wiki
+    from editsurge.operators import classify as cl
+    from editsurge.operators import ingest as ig
+    from editsurge.operators.closure import ClassClosure
+    from editsurge.operators.joins import skew_safe_lookup
+    s = read_topic_stream(spark, enriched_topic, S.ENRICHED_EDIT, max_files_per_trigger).select("r.*")
+    part = lambda name: os.path.join(state_path, name)
+    topic_runs = RunTable(spark, part("topics"), ["path"])
+    link_runs = RunTable(spark, part("article_topics"), ["article_id"])
+    mapping_runs = RunTable(spark, part("mapping"), ["wiki", "title"])
+    closure = ClassClosure(spark, part("closure"))
+
+    def table(name: str) -> DataFrame | None:
+        return spark.read.parquet(tables[name]) if name in tables else None
+
+    def subclass(edges: DataFrame) -> DataFrame:
+        return edges.filter(F.col("prop") == "P279").select("child", "parent")
+
+    if not closure.edges.runs(1):          # batch 0 of the closure is the stored graph
+        closure.update(0, added=subclass(table("edges")))
+
+    def changed(base: DataFrame, runs: RunTable, batch_id: int, columns: list[str]) -> DataFrame:
+        """A base table with what earlier batches replaced in it."""
+        new = runs.read(batch_id)
+        if new is None:
+            return base.select(*columns)
+        return base.join(new.select(*runs.keys), runs.keys, "left_anti").select(*columns).unionByName(new.select(*columns))
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        good = ig.split_errors(batch, ig.classify_input_error())[0].checkpoint()
+        as_of = as_of_fn() if as_of_fn else tr_as_of(good.withColumnRenamed("timestamp", "ts"))
+        arts = good.groupBy("article_id").agg(F.min(F.struct("timestamp", "event_id", "title", "wiki")).alias("a")).select(
+            "article_id", "a.title", F.lower(F.trim(language_of_wiki("a.wiki"))).alias("lang"))
+        topics = changed(table("topics"), topic_runs, batch_id, ["topic_id", "name", "path"]).checkpoint()
+        ids = arts.select("article_id")
+        mine = table("article_topics").join(ids, "article_id", "left_semi").groupBy("article_id").agg(
+            F.collect_list(F.struct("topic_id", "confidence")).alias("links"))
+        links = changed(mine, link_runs, batch_id, ["article_id", "links"]).join(ids, "article_id", "left_semi")
+        links = links.select("article_id", F.explode("links").alias("l")).select("article_id", "l.*")
+        stored = cl.max_confidence_topic(links, topics).checkpoint()
+        unseen = arts.join(stored, "article_id", "left_anti").checkpoint()
+
+        edges, added, removed = table("edges"), None, None
+        if graph_change_path and path_exists(spark, os.path.join(graph_change_path, f"batch_id={batch_id}")):
+            change = spark.read.parquet(os.path.join(graph_change_path, f"batch_id={batch_id}"))
+            added, removed = change.filter("NOT gone"), change.filter("gone")
+        if unseen.isEmpty():
+            if added is None:
+                closure.update(batch_id + 1)
+            else:
+                closure.update(batch_id + 1, added=added, removed=removed)
+            for runs in (topic_runs, link_runs, mapping_runs):
+                runs.write(None, batch_id)
+            found = None
+        else:
+            mapping = changed(table("mapping"), mapping_runs, batch_id, ["wiki", "title", "qid", "cached_at"])
+            checked = cl.checked_qids(unseen, mapping, as_of, table("responses")).checkpoint()
+            items = checked.filter((F.col("qid_state") != "negative") & F.col("qid").isNotNull()).select("qid")
+            starts = cl.start_nodes(items, edges).select(F.col("start").alias("cls"))
+            closure.update(batch_id + 1, starts=starts, added=added, removed=removed)
+            found = cl.resolve_topics(unseen, links, topics, mapping, edges, table("nodes"), table("labels"), as_of,
+                                      closure=closure.read(batch_id + 2), entities=table("entities"), checked=checked).checkpoint()
+            upserted = cl.upsert_topics(topics, found.select("name", "path")).join(
+                found.select("path").distinct(), "path", "left_semi").checkpoint()
+            topic_runs.write(upserted.select("path", "topic_id", "name"), batch_id)
+            found = found.join(upserted.select("path", "topic_id"), "path")
+            link_runs.write(found.select("article_id", F.array(F.struct("topic_id", "confidence")).alias("links")), batch_id)
+            mapping_runs.write(cl.new_mappings(checked, as_of).groupBy("wiki", "title").agg(
+                F.max("qid").alias("qid"), F.max("cached_at").alias("cached_at")), batch_id)
+        columns = ["article_id", "topic_id", "name", "path", "confidence", "resolution_source"]
+        all_found = stored.withColumn("resolution_source", F.lit("stored")).select(*columns)
+        if found is not None:
+            all_found = all_found.unionByName(found.select(*columns))
+        _write_batch(all_found, resolution_path, batch_id)
+        named = all_found.select("article_id", "topic_id", F.col("name").alias("topic_name"), F.col("path").alias("topic_path"), "confidence")
+        _write_batch(ig.to_classified(skew_safe_lookup(good, named, ["article_id"]), as_of), out_path, batch_id)
+
+    return (s.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
+             .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
