@@ -101,3 +101,17 @@ def mix64(x: np.ndarray) -> np.ndarray:
 def utf8_crc32_mod3(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 3 (the fold of a document)."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 3
+
+
+#: Hash values from 0 up to this one; so fine that a share of any table is not rounded to none.
+HASH_RANGE = 1 << 62
+
+
+def hash_part(*columns: Column | str) -> Column:
+    """A hash of the columns from 0 to ``HASH_RANGE``, alike at every run."""
+    return F.shiftrightunsigned(F.xxhash64(*columns), 2)
+
+
+def hash_bound(size: int, n: int) -> int:
+    """Rows whose ``hash_part`` is below this are about ``size`` of ``n`` (all, if there are fewer)."""
+    return HASH_RANGE if n <= size else HASH_RANGE * size // n

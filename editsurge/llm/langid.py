@@ -8,7 +8,7 @@ language, already interpolated), and the sorted hashes of the contexts with
 their back-off weights.  A text's score per language is its cross-entropy
 divided by its length; the lowest wins.
 
-Rejection is calibrated on the training sample: for each language the mean of
+Rejection is calibrated on sampled documents that the models were not fitted on: for each language the mean of
 the cross-entropy per character, its spread between documents and its spread
 between characters are kept.  A text is rejected if it has no letters, or if its
 cross-entropy lies more than ``REJECT_Z`` spreads above the mean, where the spread
@@ -36,11 +36,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from editsurge.llm.common import map_rows, mix64, ship, utf8_crc32_mod3
+from editsurge.llm.common import hash_bound, hash_part, map_rows, mix64, ship, utf8_crc32_mod3
 
 ORDER = 4
 #: Expected number of training documents taken of each language (all, if there are fewer).
 TRAIN_DOCS = 600
+#: For so many documents to fit on there is one to calibrate with, in languages of LEAST_ASIDE or more.
+ASIDE, LEAST_ASIDE = 4, 25
 REJECT_Z = 8.0
 LEAST_SPREAD = 0.25
 #: Characters scored at a time.
@@ -229,21 +231,24 @@ def kneser_ney(counts: pd.DataFrame) -> Model:
 
 
 def training_sample(docs: DataFrame, per_lang: int = TRAIN_DOCS) -> DataFrame:
-    """(lang, text) of the fold that may be learned from: of each language a share,
-    by a hash of the id, that makes about ``per_lang`` documents."""
+    """(lang, text, fits, measures) of the fold that may be learned from: of each language a
+    share, by a hash of the id, that makes about ``per_lang`` documents to fit the model on and a
+    quarter as many to calibrate it.  A language with few documents uses them for both."""
     fold = docs.filter((utf8_crc32_mod3(F.col("doc_id")) != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = {r["lang"]: r["n"] for r in fold.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row per language
-    part = F.abs(F.xxhash64("doc_id")) % 1_000_000
-    chosen = F.lit(False)
+    part, chosen = hash_part("doc_id"), F.lit(False)
     for lang, n in sizes.items():
-        chosen = chosen | ((F.col("lang") == lang) & (part < int(min(1.0, per_lang / n) * 1_000_000)))
-    return fold.filter(chosen).select("lang", "text")
+        chosen = chosen | ((F.col("lang") == lang) & (part < hash_bound(per_lang + per_lang // ASIDE, n)))
+    few = F.col("lang").isin([lang for lang, n in sizes.items() if n < LEAST_ASIDE])
+    aside = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(ASIDE + 1)) == 0
+    return fold.filter(chosen).select("lang", "text", (few | ~aside).alias("fits"), (few | aside).alias("measures"))
 
 
 def fit(docs: DataFrame, per_lang: int = TRAIN_DOCS) -> Model:
-    """The models and their calibration, from a sample of about ``per_lang`` labelled documents a language."""
+    """The models, from a sample of about ``per_lang`` labelled documents a language, and their
+    calibration, from documents beside them."""
     sample = training_sample(docs, per_lang)
-    model = kneser_ney(count_grams(sample))
+    model = kneser_ney(count_grams(sample.filter("fits")))
     k = len(model.langs)
     model.mean, model.doc_sd, model.char_sd = np.zeros(k), np.zeros(k), np.ones(k)
     if not k:
@@ -260,7 +265,8 @@ def fit(docs: DataFrame, per_lang: int = TRAIN_DOCS) -> Model:
             return [list(c) for c in zip(*rows)] or [[], [], []]
         return run
 
-    facts = map_rows(sample.select("lang", "text"), "lang string, e double, q double", make, rows=64)
+    learned = sample.filter("measures").filter(F.col("lang").isin(model.langs))
+    facts = map_rows(learned.select("lang", "text"), "lang string, e double, q double", make, rows=64)
     for r in facts.groupBy("lang").agg(F.avg("e").alias("mean"), F.stddev_pop("e").alias("sd"),
                                        F.avg(F.col("q") - F.col("e") * F.col("e")).alias("var")).collect():
         i = model.langs.index(r["lang"])
@@ -303,6 +309,6 @@ def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> Da
 
 
 def digest(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, held_out, lang_pred, score of every document."""
+    """doc_id, held_out, lang_pred, score, rejected of every document."""
     return predict(docs, model).select(
-        "doc_id", F.coalesce(utf8_crc32_mod3(F.col("doc_id")) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
+        "doc_id", F.coalesce(utf8_crc32_mod3(F.col("doc_id")) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")

@@ -7,8 +7,10 @@ A text's terms are its lower-cased words and their leading letters, hashed into
 
 so a pair of terms (an insult with the mention of a group) can weigh what neither
 does alone.  The pair sum takes one pass: half of |sum v|^2 - sum |v|^2.  Only terms
-that tell the labels of the sample apart (``LEAST_DOCS``, ``LEAST_Z``) have weights, so
-long texts do not add up noise.  Fitted by Adagrad on log-loss over a bounded sample
+that tell the labels of the sample apart have weights, so long texts do not add up noise:
+those whose own share of toxic documents differs (``LEAST_DOCS``, ``LEAST_Z``), and those of pairs whose
+documents are toxic more or less often than the two terms' weights would add up to
+(``PAIR_SHARE``, ``LEAST_PAIR_Z``); each term of such a pair may tell nothing alone.  Fitted by Adagrad on log-loss over a bounded sample
 of labelled rows; one part of the sample is kept aside to calibrate the logits.
 
 Defined cases: null and empty texts get the bias alone; repeated rows score alike;
@@ -27,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from editsurge.llm.common import map_rows, utf8_crc32_mod3
+from editsurge.llm.common import hash_bound, hash_part, map_rows, utf8_crc32_mod3
 
 BUCKETS = 1 << 18
 FACTORS = 4
@@ -40,6 +42,10 @@ PREFIXES = (4, 5)
 LEAST_DOCS = 4
 #: Deviations by which a term's share of toxic documents must differ from the whole sample's.
 LEAST_Z = 4.0
+#: Of the sampled documents a term of a pair must occur in this share, and a pair in so many.
+PAIR_SHARE, LEAST_PAIR_DOCS = 0.01, 12
+#: Deviations by which a pair's share of toxic documents must differ from what its terms add up to.
+LEAST_PAIR_Z = 8.0
 #: One in so many sampled documents is kept aside for calibration.
 ASIDE = 4
 EPOCHS = 25
@@ -117,6 +123,40 @@ def telling_terms(terms: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     return (seen >= LEAST_DOCS) & (np.abs(z) >= LEAST_Z)
 
 
+def telling_pairs(terms: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
+    """Whether each place belongs to a pair whose documents are toxic more or less often than the
+    two terms' log-odds add up to.  Counted term by term over the documents that
+    hold it, so the work is the sum of the squared numbers of terms, and memory one row."""
+    out = np.zeros(BUCKETS, dtype=bool)
+    seen = np.bincount(np.concatenate(terms), minlength=BUCKETS)
+    places = np.flatnonzero(seen >= max(LEAST_PAIR_DOCS, PAIR_SHARE * len(terms)))
+    at = np.full(BUCKETS, -1)
+    at[places] = np.arange(len(places))
+    kept = [k[k >= 0] for k in (at[t] for t in terms)]
+    size = np.array([len(k) for k in kept])
+    flat, docs = np.concatenate(kept), np.repeat(np.arange(len(kept)), size)
+    by_term = docs[np.argsort(flat, kind="stable")]
+    ends = np.cumsum(np.bincount(flat, minlength=len(places)))
+    odds = lambda hit, n: np.log((hit + 0.5) / (n - hit + 0.5))
+    own = odds(np.bincount(flat, weights=labels[docs], minlength=len(places)), seen[places])
+    base = odds(labels.sum(), len(labels))
+    for a in range(len(places)):
+        holders = by_term[ends[a - 1] if a else 0:ends[a]]
+        both = np.bincount(np.concatenate([kept[d] for d in holders]), minlength=len(places))
+        toxic = holders[labels[holders] > 0]
+        hit = np.bincount(np.concatenate([kept[d] for d in toxic]), minlength=len(places)) if len(toxic) else np.zeros(len(places))
+        p = 1 / (1 + np.exp(-np.clip(own[a] + own - base, -8, 8)))
+        z = np.abs(hit - both * p) / np.sqrt(np.maximum(both * p * (1 - p), 1e-9))
+        z[a] = 0
+        found = (both >= LEAST_PAIR_DOCS) & (z >= LEAST_PAIR_Z)
+        # what occurs in (nearly) the same documents, as a word and its beginning, is one term, not a pair
+        found &= both < 0.9 * np.minimum(seen[places], seen[places[a]])
+        if found.any():
+            out[places[a]] = True
+            out[places[found]] = True
+    return out
+
+
 def fit_machine(terms: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
     """Adagrad over shuffled batches; the same result for the same sample."""
     weight, factor = np.zeros(BUCKETS), np.zeros((BUCKETS, FACTORS))
@@ -129,7 +169,8 @@ def fit_machine(terms: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> M
     aside, rows = order[::ASIDE], order[np.arange(len(order)) % ASIDE > 0]
     if not len(rows) or labels[rows].min() == labels[rows].max() or not sum(len(terms[i]) for i in rows):
         return machine
-    known = telling_terms([terms[i] for i in rows], labels[rows])
+    fitted = [terms[i] for i in rows]
+    known = telling_terms(fitted, labels[rows]) | telling_pairs(fitted, labels[rows])
     kept = [t[known[t]] for t in terms]
     factor[:] = rng.normal(0, 0.05, factor.shape) * known[:, None]
     bias = machine.bias
@@ -166,11 +207,20 @@ def calibration(logits: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     ones, zeros = labels.sum(), (1 - labels).sum()
     target = np.where(labels > 0, (ones + 1) / (ones + 2), 1 / (zeros + 2))
     x = np.stack([np.clip(logits, -30, 30), np.ones(len(logits))], axis=1)
-    w = np.array([1.0, 0.0])
-    for _ in range(30):
+    start = np.array([1.0, 0.0])
+
+    def loss(w):
+        m = np.clip(x @ w, -40, 40)
+        return float((np.logaddexp(0, m) - target * m).sum() + 5e-4 * ((w - start) ** 2).sum())
+
+    w = start
+    for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -40, 40)))
         hessian = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
-        w = w - np.clip(np.linalg.solve(hessian, x.T @ (p - target) + 1e-3 * (w - [1, 0])), -2, 2)
+        step = np.clip(np.linalg.solve(hessian, x.T @ (p - target) + 1e-3 * (w - start)), -2, 2)
+        while np.abs(step).max() > 1e-9 and loss(w - step) > loss(w):  # a full step can overshoot
+            step = step / 2
+        w = w - step
     return (float(w[0]), float(w[1])) if w[0] > 0 else (1.0, 0.0)
 
 
@@ -179,7 +229,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, size: int = TRAIN_DOCS)
     fold = labels.filter(F.col("toxic").isNotNull() & (utf8_crc32_mod3(F.col("doc_id")) != 1))
     marked = fold.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     n = marked.count()
-    chosen = marked.filter(F.abs(F.xxhash64("doc_id")) % 1_000_000 < int(min(1.0, size / max(n, 1)) * 1_000_000))
+    chosen = marked.filter(hash_part("doc_id") < hash_bound(size, n))
     texts = docs.filter(F.length("text") <= TRAIN_CHARS).select("doc_id", "text")
     return texts.join(chosen, "doc_id").select("doc_id", "text", "toxic")
 
