@@ -77,7 +77,7 @@ texts AS (SELECT text FROM pairs UNION SELECT edited FROM pairs),
 runs AS (SELECT text, code[1:2] AS subset, string_agg(code, '' ORDER BY code) AS codes
   FROM (SELECT text, unnest({terms("text")}) AS w FROM texts) JOIN lexicon USING (w) GROUP BY text, subset),
 lists AS (SELECT text, list(subset || md5(codes)[1:{imatch.HASH_DIGITS}] ORDER BY subset) AS entries FROM runs GROUP BY text),
-marks AS (SELECT text, entries, coalesce(array_to_string(entries, ''), '=' || sha256(text)) AS mark FROM texts LEFT JOIN lists USING (text))
+marks AS (SELECT text, entries, coalesce(array_to_string(entries, '{imatch.MARK}'), '=' || sha256(text)) AS mark FROM texts LEFT JOIN lists USING (text))
 SELECT d.doc_id, CAST(length(d.text) AS BIGINT) AS n_chars, sha256(p.edited) AS edited_sha256, x.mark AS fingerprint, y.mark AS edited_fingerprint,
   {near("x", "y")} AS near_edited, {near("x", "z")} AS near_next
 FROM d JOIN pairs p ON d.doc_id IS NOT DISTINCT FROM p.doc_id AND d.text = p.text

@@ -38,18 +38,20 @@ from pyspark.sql import functions as F
 from editsurge.llm.common import cut
 from editsurge.llm.sharding import number_rows
 
-WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What lies between words: ASCII other than digits and (lower-cased) letters.
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: The band: terms in at least one of RARE and at most one of COMMON documents.
 RARE, COMMON = 500, 10
 SALT = "1:"
 CODE_DIGITS, HASH_DIGITS = 16, 6
+MARK = "."
 BROADCAST_TERMS = 400_000
 
 
 def words(text: Column) -> Column:
     """The distinct words of a text, A-Z lower-cased."""
-    return F.array_distinct(F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(WORDS), F.lit(0)))
+    return F.array_remove(F.array_distinct(F.split(F.translate(text, UPPER, LOWER), BETWEEN)), "")
 
 
 def build_lexicon(docs: DataFrame, rare: int = RARE, common: int = COMMON) -> DataFrame:
@@ -76,21 +78,20 @@ def fingerprint_of(codes: Column, text: Column) -> Column:
     tail = CODE_DIGITS - 2
     runs = F.regexp_extract_all(F.array_join(F.array_sort(codes), ""), F.lit(f"(..).{{{tail}}}(?:\\1.{{{tail}}})*+"), F.lit(0))
     entries = F.transform(runs, lambda r: F.concat(F.substring(r, 1, 2), F.substring(F.md5(r.cast("binary")), 1, HASH_DIGITS)))
-    return F.when(F.size(codes) == 0, F.concat(F.lit("="), F.sha2(text, 256))).otherwise(F.array_join(entries, ""))
+    return F.when(F.size(codes) == 0, F.concat(F.lit("="), F.sha2(text, 256))).otherwise(F.array_join(entries, MARK))
 
 
-def _entries(fingerprint: Column) -> Column:
+def entries_of(fingerprint: Column) -> Column:
     """The subset hashes of a fingerprint (none of a digest)."""
-    listed = F.regexp_extract_all(fingerprint, F.lit(f"[0-9a-f]{{{2 + HASH_DIGITS}}}"), F.lit(0))
-    return F.when(fingerprint.startswith("="), F.array().cast("array<string>")).otherwise(listed)
+    return F.when(fingerprint.startswith("="), F.array().cast("array<string>")).otherwise(F.split(fingerprint, "[.]"))
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """0 to 1 for two fingerprints."""
-    x, y = _entries(a), _entries(b)
+def likeness(a: Column, b: Column, x: Column | None = None, y: Column | None = None) -> Column:
+    """0 to 1 for two fingerprints (``x``, ``y``: their entries, where they are columns already)."""
+    x, y = entries_of(a) if x is None else x, entries_of(b) if y is None else y
     subsets = lambda e: F.transform(e, lambda s: F.substring(s, 1, 2))
     either = F.size(F.array_union(subsets(x), subsets(y)))
-    return (F.when(a == b, F.lit(1.0)).when(either == 0, F.lit(0.0))
+    return (F.when(a == b, F.lit(1.0)).when(F.size(x) + F.size(y) == 0, F.lit(0.0))
              .otherwise(F.size(F.array_intersect(x, y)).cast("double") / either))
 
 
@@ -138,7 +139,9 @@ def fingerprints(docs: DataFrame, lexicon: DataFrame, broadcast_terms: int = BRO
 
 def digest(docs: DataFrame, rare: int = RARE, common: int = COMMON, broadcast_terms: int = BROADCAST_TERMS) -> DataFrame:
     rows = fingerprints(docs, cut(build_lexicon(docs, rare, common)), broadcast_terms)
+    own, edit, after = (F.col(f"{n}fingerprint") for n in ("", "edited_", "next_"))
+    rows = rows.withColumns({"_x": entries_of(own), "_y": entries_of(edit), "_z": entries_of(after)})
     return rows.select(
         "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited_text", 256).alias("edited_sha256"),
-        "fingerprint", "edited_fingerprint", likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
+        "fingerprint", "edited_fingerprint", likeness(own, edit, F.col("_x"), F.col("_y")).alias("near_edited"),
+        likeness(own, after, F.col("_x"), F.col("_z")).alias("near_next"))

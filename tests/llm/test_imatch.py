@@ -27,7 +27,7 @@ def brute(rows, rare, common):
         return [k + md5(v)[:6] for k, v in sorted(subsets.items())]
 
     def mark(text):
-        return "".join(entries(text)) or "=" + hashlib.sha256(text.encode()).hexdigest()
+        return ".".join(entries(text)) or "=" + hashlib.sha256(text.encode()).hexdigest()
 
     def near(a, b):
         x, y = set(entries(a)), set(entries(b))
