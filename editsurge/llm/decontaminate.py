@@ -16,8 +16,11 @@ sentence is halved) and its answer at least ``PART`` of the words do.
 
 Windows are twice as long as the longest item of a block's length class and overlap by
 half, so every occurrence of an item lies inside one.  The index is built by Spark with
-counts over all items and cut into parts of about ``PART_ITEMS`` items, each small enough
-to broadcast; texts are run against each part.
+counts over all items and cut into parts of about ``PART_ITEMS`` items and ``PART_WORDS`` words, each
+small enough to broadcast; texts are run against each part.
+
+Words are runs of word characters; in scripts that put no spaces between words (Chinese,
+Japanese, Thai and their like) each character is one.
 
 Defined cases: null and empty texts and items match nothing; items under five words
 are no evidence and are left out; repeated items and rows are reported each once a row;
@@ -35,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from editsurge.llm.common import map_rows, ship
+from editsurge.llm.common import cut, map_rows, ship
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.5
@@ -43,9 +46,11 @@ COMMON_MASS = 0.2
 BLOCK = 4
 CONTAINED, PART = 0.8, 0.8
 SHINGLE = 5
-PART_ITEMS = 20_000
-WORDS = re.compile(r"\w+").findall
-_SENTENCE = re.compile(r"(?<=[.!?:;])\s+|\n+")
+PART_ITEMS, PART_WORDS = 20_000, 4_000_000
+#: Thai and Lao, Myanmar, Khmer, kana, and the Han blocks.
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+WORDS = re.compile(f"[^\\W{UNSPACED}]+|[{UNSPACED}]").findall
+_SENTENCE = re.compile(r"(?<=[.!?:;])\s+|(?<=[。！？：；])\s*|\n+")
 
 
 def words(text: str | None) -> list[str]:
@@ -207,16 +212,15 @@ def build_index(rows: list) -> Index:
                  np.array(blocks, np.int64), np.array(maxima))
 
 
-def indexes(benchmark: DataFrame, part_items: int = PART_ITEMS) -> list:
-    """Broadcast index parts of about ``part_items`` items each."""
+def indexes(benchmark: DataFrame, part_items: int = PART_ITEMS, part_words: int = PART_WORDS) -> list:
+    """Broadcast index parts of about ``part_items`` items and ``part_words`` words each."""
     facts = item_facts(benchmark)
-    n = benchmark.count()
-    parts = max(1, -(-n // part_items))
+    size = benchmark.select(F.count("*").alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()
+    parts = max(1, -(-size.n // part_items), -(-size.chars // (2 * part_words)))
     sc = benchmark.sparkSession.sparkContext
     if parts > 1:
-        facts = facts.persist()
-    out = [sc.broadcast(build_index(facts.filter(F.pmod("key", F.lit(parts)) == k).collect())) for k in range(parts)]
-    return out
+        facts = cut(facts)
+    return [sc.broadcast(build_index(facts.filter(F.pmod("key", F.lit(parts)) == k).collect())) for k in range(parts)]
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
