@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from editsurge.session import ensure_checkpoint_dir
+
 #: Pieces over which rows without a key are spread.
 NULL_PIECES = 64
 #: Spark limits groups before the exchange up to this n (spark.sql.optimizer.windowGroupLimitThreshold).
@@ -44,3 +46,17 @@ def first_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int,
         df = pieces.withColumn(name, F.row_number().over(piece)).filter(F.col(name) <= n).drop("_piece", name)
     return df.withColumn(name, F.row_number().over(group)).filter(F.col(name) <= n)
 
+
+
+#: Rows of a report's list that may come to the driver.
+LIST_ROWS = 5000
+
+
+def limited(df: DataFrame, most: int) -> DataFrame:
+    """A list of at most ``most`` rows whose plan ends here, so that what uses it several times
+    does not compute it again.  Up to ``LIST_ROWS`` rows become a local relation, which the
+    planner broadcasts without an exchange; a longer list is checkpointed."""
+    if most > LIST_ROWS:
+        ensure_checkpoint_dir(df.sparkSession)
+        return df.checkpoint()
+    return df.sparkSession.createDataFrame(df.toArrow(), schema=df.schema)

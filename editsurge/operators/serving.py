@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from editsurge.functions.scalar import (PERIOD_HOURS, PERIODS, TOPIC_NAME_PREFIX, article_url, blank, cluster_id,
                                         direction, display_name, display_path, path_head)
 from editsurge.operators import trends as tr
+from editsurge.operators.joins import limited
 
 # API defaults (limit 20, 10 articles; clusters take 50 topics,
 # 5 topics x 3 articles each, keep 10 articles and 20 clusters; topic detail
@@ -68,8 +69,10 @@ def trends_response(edits: DataFrame, as_of: str, period: str = "Last24Hours", l
     period = norm_period(period)
     top = tr.top_topics(period_counts(edits, as_of, period, baselines, lookback_days), max(1, limit))
     scored = tr.anomaly(top)
-    scored = scored.filter(~(F.col("anomaly_score") < F.lit(min_anomaly_score).cast("float")))
-    scored = scored.join(_info(edits, label_state), "topic_id", "left")
+    # The plan of the list ends here: names and articles are looked for its topics only.
+    scored = limited(scored.filter(~(F.col("anomaly_score") < F.lit(min_anomaly_score).cast("float"))), max(1, limit))
+    info = tr.topic_info(edits, scored) if label_state is None else _info(edits, label_state)
+    scored = scored.join(info, "topic_id", "left")
     name = display_name(F.coalesce("name", F.lit("")), "topic_id")
     scored = scored.select("period", "topic_rank", "topic_id", name.alias("topic_name"),
                            display_path(F.col("path"), name).alias("topic_path"), "edit_count",
@@ -122,8 +125,8 @@ def cluster_articles(edits: DataFrame, as_of: str, period: str = "Last24Hours",
     period = norm_period(period)
     m = cluster_members(edits, as_of, period, label_state)
     wt = Window.partitionBy("label").orderBy(F.desc("edit_count"), F.asc("topic_id"))
-    lead = (m.withColumn("r", F.row_number().over(wt))
-             .filter(F.col("r") <= CLUSTER_TOPICS_WITH_ARTICLES).select("period", "topic_id", "label"))
+    lead = limited(m.withColumn("r", F.row_number().over(wt))
+                    .filter(F.col("r") <= CLUSTER_TOPICS_WITH_ARTICLES).select("period", "topic_id", "label"), CLUSTER_TOPICS)
     arts = tr.top_articles(tr.article_counts(edits, as_of, topics=lead.select("period", "topic_id"), periods=[period]),
                            CLUSTER_ARTICLES_PER_TOPIC)
     # lead holds at most 50 rows (top topics), a proven bound for broadcast.

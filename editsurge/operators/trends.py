@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from editsurge.functions.scalar import (PERIOD_HOURS, PERIODS, SCORE_EPSILON, blank,
                                         display_name, effective_time, is_placeholder_name,
                                         is_placeholder_path, to_day)
-from editsurge.operators.joins import first_per_group
+from editsurge.operators.joins import first_per_group, limited
 from editsurge.sources.adapters import ts_lit
 
 # Report defaults of the trend cycle.
@@ -180,7 +180,7 @@ def article_counts(edits: DataFrame, as_of: str, topics: DataFrame | None = None
               .select("article_id", "title", "ts",
                       F.explode(F.array_distinct(F.col("topics.topic_id"))).alias("topic_id")))
     if topics is not None:
-        e = e.join(topics.select("topic_id").distinct(), "topic_id", "left_semi")
+        e = e.join(topics.select("topic_id"), "topic_id", "left_semi")
     aggs = [F.count_if(F.col("ts") >= window_start(as_of, p)).alias(f"c{PERIODS.index(p)}")
             for p in PERIODS if p in periods]
     # Hash pre-aggregate with the title in the key (fixed-width buffers, map
@@ -302,14 +302,15 @@ def scored_topics(edits: DataFrame, as_of: str, baselines: DataFrame | None = No
     With no stored ``baselines`` the baseline comes from the same scan as
     the counts (trend_rollup).  Topic names come from one more scan of the
     edit history, or from a maintained ``label_state`` (no history scan).
-    The result holds at most 3 * top_n rows.
+    The top topics are a list of at most 3 * top_n rows; its plan ends there, and names
+    are looked for those topics only.
     """
     if baselines is None:
         counts = trend_rollup(edits, as_of, lookback_days)
     else:
         counts = with_baseline(trend_counts(edits, as_of), baselines)
-    top = top_topics(counts, top_n)
-    info = topic_info(edits) if label_state is None else topic_info_from_state(merge_label_states(label_state))
+    top = limited(top_topics(counts, top_n), len(PERIODS) * max(1, top_n))
+    info = topic_info(edits, top) if label_state is None else topic_info_from_state(merge_label_states(label_state))
     scored = anomaly(top.join(info, "topic_id", "left"))
     scored = scored.withColumn("topic_name", display_name(F.coalesce("name", F.lit("")), "topic_id"))
     return reportable(scored, min_score, min_change)
@@ -323,10 +324,11 @@ def trends_report(edits: DataFrame, as_of: str, baselines: DataFrame | None = No
 
     A reported topic with no article in the window keeps one row with null
     article fields (quirk Q1).  score_rank orders topics by score desc.
-    Every input scan runs once: counts+baselines, topic names, articles.
-    The article side is top-N per topic (bounded by topics x 3 x N rows).
+    Every input scan runs once: counts+baselines, topic names, articles; the lists of topics
+    between them end the plans before (``limited``).  The article side is top-N per topic (bounded by topics x 3 x N rows).
     """
     scored = scored_topics(edits, as_of, baselines, top_n, lookback_days=lookback_days, label_state=label_state)
+    scored = limited(scored, len(PERIODS) * max(1, top_n))
     arts = top_articles(article_counts(edits, as_of, topics=scored.select("period", "topic_id")), articles_n)
     w = Window.partitionBy("period").orderBy(F.desc("anomaly_score"), F.asc("topic_id"))
     topics = scored.withColumn("score_rank", F.row_number().over(w))

@@ -45,3 +45,21 @@ def test_cascade_plan_has_few_scans(spark):
     # the closure, the start nodes and the kept classes are checkpointed, so the plan
     # reads each of them once instead of unfolding the graph for every branch
     assert text.split("== Physical Plan ==")[1].split("\n\n")[0].count("Scan ") <= 12
+
+
+def executed(df):
+    """The final adaptive plan of a query that has run."""
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return text.split("+- == Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize("name, scans, exchanges", [("trends_report", 1, 5), ("trends_api", 2, 6), ("cluster_articles", 1, 6)])
+def test_reports_read_their_inputs_once(spark, name, scans, exchanges):
+    """Lists of topics end the plans of what they come from (counts and baselines; in the report
+    names too); what is left reads names and articles once each."""
+    final = executed(entry_mod.queries()[name](spark, SF))
+    assert final.count("FileScan") == scans, final
+    shuffles = [x for x in final.splitlines() if "Exchange " in x and "Broadcast" not in x and "Reused" not in x]
+    assert len(shuffles) <= exchanges, final
