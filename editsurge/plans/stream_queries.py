@@ -77,6 +77,29 @@ def q_stream_topic_labels(spark, sf_dir):
     return tr.topic_info_from_state(tr.merge_label_states(state))
 
 
+@register("stream_topic_offsets", with_ctes(EDITS) + """
+SELECT CAST(article_id AS VARCHAR) AS key, CAST(article_id % 4 AS INTEGER) AS partition,
+  row_number() OVER (PARTITION BY article_id % 4 ORDER BY n % 3 = 0, event_id) - 1 AS "offset", event_id, wiki FROM e""")
+def q_stream_topic_offsets(spark, sf_dir):
+    """S-03 with partition and offset: two thirds of the edits are appended to the topic and read by
+    a stream; the rest follows, and the restarted stream goes on behind what it had committed."""
+    from editsurge.sources import topic_log as tl
+    from editsurge.sources.json_codec import parse_record
+    from editsurge import schemas as S
+    d = _scratch(spark, "offsets")
+    topic = os.path.join(d, "topic")
+    edits, _ = ad.load_edits(spark, sf_dir)
+    late = F.col("wiki_edit_id") % 3 == 0
+    for part in (edits.filter(~late), edits.filter(late)):
+        event = F.get_json_object("value", "$.eventId")
+        tl.append(to_topic_records(part, "article_id"), topic, partition=F.pmod(F.col("key").cast("long"), F.lit(4)), order=[event])
+        q = (tl.read_stream(spark, topic).writeStream.option("checkpointLocation", os.path.join(d, "ckpt")).format("parquet")
+             .option("path", os.path.join(d, "out")).trigger(**AVAILABLE_NOW).start())
+        _run(q)
+    r = spark.read.parquet(os.path.join(d, "out")).withColumn("r", parse_record("value", S.EDIT_EVENTS))
+    return r.select("key", "partition", "offset", "r.event_id", "r.wiki")
+
+
 @register("stream_dedup", with_ctes(EDITS) + """
 SELECT wiki, count(*) AS edits FROM e GROUP BY wiki""")
 def q_stream_dedup(spark, sf_dir):
