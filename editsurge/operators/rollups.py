@@ -10,7 +10,11 @@ trailing window is covered by the fewest buckets: days, then the hours before th
 whole day, then the minutes before the first whole hour, and the edits of the minute it starts
 in.  Minutes and hours that no window can need any more are dropped.
 
-Both are run tables that add up: a batch writes its own counts, a replay writes them again,
+``ActivitySketches`` (A-12): edits, newest edit and a distinct-count sketch of the editors by topic
+and day.  Sketches of days merge, so the editors of any run of days are known within the
+sketch's error (about 1.6 %) without reading edits; ``topic_stats`` stays the exact way.
+
+All are run tables that merge: a batch writes its own counts, a replay writes them again,
 and a reader finds a bounded number of runs.
 """
 
@@ -121,3 +125,32 @@ class TrailingCounts:
         for p in parts[1:]:
             out = out.unionByName(p)
         return out.groupBy("period", "topic_id").agg(F.sum("edits").alias("edit_count"))
+
+
+#: log2 of a sketch's registers: a relative error of about 1.04 / sqrt(2 ** 12).
+SKETCH_K = 12
+
+
+class ActivitySketches:
+    def __init__(self, spark: SparkSession, path: str, **levels):
+        self.table = RunTable(spark, path, ["topic_id", "day"], fold={
+            "edits": F.sum, "last_edit_at": F.max, "editors": F.hll_union_agg}, **levels)
+
+    def update(self, edits: DataFrame, batch_id: int) -> None:
+        e = edits.select("user", "ts", to_day("ts").alias("day"), F.explode("topics.topic_id").alias("topic_id"))
+        self.table.write(e.groupBy("topic_id", "day").agg(
+            F.count("*").alias("edits"), F.max("ts").alias("last_edit_at"),
+            F.hll_sketch_agg(F.coalesce("user", F.lit("")), SKETCH_K).alias("editors")), batch_id)
+
+    def stats(self, first_day: str | None = None, last_day: str | None = None) -> DataFrame | None:
+        """topic_id, edit_count, unique_editors (estimated), last_edit_at over the days from first to last."""
+        kept = self.table.read()
+        if kept is None:
+            return None
+        if first_day is not None:
+            kept = kept.filter(F.col("day") >= F.to_date(F.lit(first_day)))
+        if last_day is not None:
+            kept = kept.filter(F.col("day") <= F.to_date(F.lit(last_day)))
+        return kept.groupBy("topic_id").agg(
+            F.sum("edits").alias("edit_count"), F.hll_sketch_estimate(F.hll_union_agg("editors")).alias("unique_editors"),
+            F.max("last_edit_at").alias("last_edit_at"))

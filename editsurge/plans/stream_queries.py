@@ -17,6 +17,7 @@ from editsurge.plans.oracle_ctes import (CLASSIFIED, DIMS, EDITS, GRAPH, GRAPH_N
                                          with_ctes, with_recursive)
 from editsurge.plans.registry import register
 from editsurge.plans.ops_queries import NOTES_SQL
+from editsurge.plans.serving_queries import _detail_sql
 from editsurge.plans.trend_queries import TRENDS_REPORT_SQL
 from editsurge.sources import adapters as ad
 from editsurge.sources.sinks import to_topic_records
@@ -100,6 +101,43 @@ def q_stream_topic_offsets(spark, sf_dir):
     return r.select("key", "partition", "offset", "r.event_id", "r.wiki")
 
 
+@register("stream_indexed_topic_detail", _detail_sql(3, "Last7Days", 50))
+def q_stream_indexed_topic_detail(spark, sf_dir):
+    """S-06 + F-10 + A-09: the ingest notes the topics of the files it writes; the detail of topic 3
+    reads the files that hold it."""
+    from editsurge.operators import serving as sv
+    from editsurge.sources import topic_index as ti
+    d = _scratch(spark, "indexed")
+    _, as_of = _edit_topic(spark, sf_dir, os.path.join(d, "topic"))
+    _run(J.start_ingest(spark, os.path.join(d, "topic"), os.path.join(d, "table"), os.path.join(d, "bad"), os.path.join(d, "ckpt"),
+                        AVAILABLE_NOW, max_files_per_trigger=1, topic_index_path=os.path.join(d, "index")))
+    edits = ti.edits_of_topics(spark, os.path.join(d, "table"), os.path.join(d, "index"), [3])
+    return sv.topic_detail(edits, as_of, 3, "Last7Days")
+
+
+@register("stream_activity_sketches", with_ctes(EDITS) + """
+SELECT topic_id, count(*) AS edit_count, true AS editors_within_bound, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_edit_at
+FROM et, clock WHERE CAST(ts AS DATE) >= CAST(as_of AS DATE) - 6 GROUP BY topic_id""")
+def q_stream_activity_sketches(spark, sf_dir):
+    """A-12 for a window of days: counts and merged editor sketches kept over four batches; the
+    estimate is held against the exact count of the same days (within five standard errors)."""
+    from editsurge.operators import serving as sv
+    from editsurge.operators.rollups import SKETCH_K, ActivitySketches
+    d = _scratch(spark, "sketches")
+    edits, as_of = ad.load_edits(spark, sf_dir)
+    kept = ActivitySketches(spark, os.path.join(d, "kept"))
+    for k in range(RECORD_FILES):
+        kept.update(edits.filter(F.pmod(F.xxhash64("event_id"), F.lit(RECORD_FILES)) == k), k)
+    first = F.date_sub(F.to_date(ad.ts_lit(as_of)), 6)
+    exact = sv.topic_stats(edits.filter(F.to_date("ts") >= first)).select("topic_id", F.col("unique_editors").alias("exact"))
+    first_day = spark.range(1).select(F.date_format(first, "yyyy-MM-dd").alias("d")).first().d
+    got = kept.stats(first_day).join(exact, "topic_id")
+    bound = F.greatest(F.lit(1.0), F.col("exact") * (5 * 1.04 / 2 ** (SKETCH_K / 2)))
+    return got.select(F.col("topic_id").cast("int").alias("topic_id"), "edit_count",
+                      (F.abs(F.col("unique_editors") - F.col("exact")) <= bound).alias("editors_within_bound"),
+                      F.date_format("last_edit_at", "yyyy-MM-dd HH:mm:ss").alias("last_edit_at"))
+
+
 @register("stream_dedup", with_ctes(EDITS) + """
 SELECT wiki, count(*) AS edits FROM e GROUP BY wiki""")
 def q_stream_dedup(spark, sf_dir):

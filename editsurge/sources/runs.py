@@ -21,8 +21,9 @@ row for each key and batch; a true ``gone`` column deletes), ``sum`` adds all ot
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 GONE = "gone"
@@ -34,9 +35,9 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 class RunTable:
-    def __init__(self, spark: SparkSession, path: str, keys: list[str], fold: str = "latest", fan: int = 8, depth: int = 2,
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], fold: str | dict[str, Callable[[str], Column]] = "latest", fan: int = 8, depth: int = 2,
                  horizon: tuple[str, str] | None = None):
-        if fold not in ("latest", "sum"):
+        if not isinstance(fold, dict) and fold not in ("latest", "sum"):
             raise ValueError(f"unknown fold {fold}")
         if fan < 2 or depth < 1:
             raise ValueError("fan must be 2 or more and depth 1 or more")
@@ -81,6 +82,8 @@ class RunTable:
 
     def _folded(self, df: DataFrame) -> DataFrame:
         rest = [c for c in df.columns if c not in self.keys and c != "batch_id"]
+        if isinstance(self.fold, dict):
+            return df.groupBy(*self.keys).agg(*[agg(c).alias(c) for c, agg in self.fold.items()])
         if self.fold == "sum":
             return df.groupBy(*self.keys).agg(*[F.sum(c).alias(c) for c in rest])
         if not rest:

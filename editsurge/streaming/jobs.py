@@ -88,14 +88,15 @@ def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
 
 def start_ingest(spark: SparkSession, topic_path: str, table_path: str, quarantine_path: str,
                  checkpoint: str, trigger: dict | None = None, max_files_per_trigger: int | None = None,
-                 label_state_path: str | None = None):
+                 label_state_path: str | None = None, topic_index_path: str | None = None):
     """T-01 + S-05: classified-edit records -> validate -> edit table, each batch in
     its own folder, partitioned by ``eff_date`` and in order of the effective time;
     records that fail validation (or do not parse) go to a
     quarantine table instead of being lost (Q6).  With
     ``label_state_path`` each batch also appends its topic label state
     (A-06 partial), so trend cycles read names from the small merged state
-    instead of rescanning the whole edit history."""
+    instead of rescanning the whole edit history.  With ``topic_index_path`` each batch
+    notes which of its files hold which topics (F-10)."""
     stream = read_topic_stream(spark, topic_path, S.EDIT_EVENTS, max_files_per_trigger)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
@@ -107,6 +108,9 @@ def start_ingest(spark: SparkSession, topic_path: str, table_path: str, quaranti
         if label_state_path:
             stored = spark.read.schema(S.EDIT_EVENTS).parquet(os.path.join(table_path, f"batch_id={batch_id}"))
             _write_batch(tr.topic_label_state(stored), label_state_path, batch_id)
+        if topic_index_path:
+            from editsurge.sources.topic_index import index_batch
+            index_batch(spark, table_path, topic_index_path, batch_id)
 
     w = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
     return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
