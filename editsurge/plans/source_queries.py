@@ -45,6 +45,29 @@ def q_source_recent_changes(spark, sf_dir):
     return rc.select("id", "title", "wiki", "type", "page_id", "timestamp")
 
 
+@register("stream_collector", with_ctes(RECENT) + """
+SELECT count(*) AS processed, count(*) FILTER (WHERE reason IS NULL) AS published, count(*) FILTER (WHERE reason IS NOT NULL) AS skipped,
+  strftime(max(CASE WHEN "timestamp" > 10000000000 THEN TIMESTAMP '1970-01-01' + to_milliseconds("timestamp")
+      ELSE TIMESTAMP '1970-01-01' + to_seconds("timestamp") END) FILTER (WHERE reason IS NULL), '%Y-%m-%d %H:%M:%S.%f') AS last_event_at,
+  count(*) FILTER (WHERE reason IS NULL) AS raw_edits
+FROM rcr WHERE src_n % 200 <> 0""")
+def q_stream_collector(spark, sf_dir):
+    """S-01 + F-01 + F-02 + A-14: the feed is collected into the raw-edit topic in four micro-batches; the
+    counters observed while they are written, added up, and the records of the topic."""
+    from editsurge.streaming import jobs as J
+    d = _scratch(spark, "collector")
+    _rc_json(spark, sf_dir).select("json").repartition(4).write.text(os.path.join(d, "feed"))
+    q = J.start_collector(spark, os.path.join(d, "feed"), os.path.join(d, "raw"), os.path.join(d, "stats"), os.path.join(d, "ckpt"),
+                          "2024-02-01 00:00:00", {"availableNow": True}, max_files_per_trigger=1)
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    raw = spark.read.schema("key string, value string").json(os.path.join(d, "raw")).count()
+    return J.collector_totals(spark, os.path.join(d, "stats")).select(
+        "processed", "published", "skipped", F.date_format("last_event_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("last_event_at"),
+        F.lit(raw).cast("long").alias("raw_edits"))
+
+
 @register("source_sse_capture", with_ctes(RECENT) + """
 SELECT CAST(src_n AS VARCHAR) AS event_id, id, title, wiki FROM rc WHERE src_n % 200 <> 0""")
 def q_source_sse_capture(spark, sf_dir):

@@ -86,6 +86,45 @@ def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(os.path.join(path, f"batch_id={batch_id}"))
 
 
+COLLECTOR_STATS = "processed long, published long, skipped long, last_event_at timestamp_ntz"
+
+
+def start_collector(spark: SparkSession, feed_path: str, raw_topic: str, stats_path: str, checkpoint: str, collected_at: str,
+                    trigger: dict | None = None, max_files_per_trigger: int | None = None):
+    """S-01 + F-01 + F-02 + A-14: change feed -> raw-edit topic, with live counters.
+
+    The counters are observed on the rows of the batch as they are written (``observe``), so
+    they cost no second pass; each batch stores one row of them in its own folder, which a
+    replay overwrites.  ``collector_totals`` adds them up."""
+    from pyspark.sql import Observation
+
+    from editsurge.functions.scalar import parse_epoch
+    from editsurge.operators import ingest as ig
+    from editsurge.sources.sinks import to_topic_records
+    reader = spark.readStream.schema(S.RECENT_CHANGE).option("mode", "DROPMALFORMED")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        seen, kept = Observation(), ig.reject_reason().isNull()
+        counted = batch.observe(seen, F.count(F.lit(1)).alias("processed"), F.count_if(kept).alias("published"),
+                                F.max(F.when(kept, parse_epoch("timestamp"))).alias("last_event_at"))
+        raw = ig.to_raw_edits(counted.filter(kept), collected_at)
+        to_topic_records(raw, "page_id").write.mode("overwrite").json(os.path.join(raw_topic, f"batch_id={batch_id}"))
+        m = seen.get
+        row = (m["processed"], m["published"], m["processed"] - m["published"], m["last_event_at"])
+        _write_batch(spark.createDataFrame([row], COLLECTOR_STATS), stats_path, batch_id)
+
+    return (reader.json(feed_path).writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
+                  .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
+
+
+def collector_totals(spark: SparkSession, stats_path: str) -> DataFrame:
+    """A-14 over all batches so far."""
+    return read_batches(spark, stats_path).agg(*[F.sum(c).alias(c) for c in ("processed", "published", "skipped")],
+                                               F.max("last_event_at").alias("last_event_at"))
+
+
 def start_ingest(spark: SparkSession, topic_path: str, table_path: str, quarantine_path: str,
                  checkpoint: str, trigger: dict | None = None, max_files_per_trigger: int | None = None,
                  label_state_path: str | None = None, topic_index_path: str | None = None):
