@@ -50,19 +50,21 @@ BLOCK_BYTES = 1 << 20
 SPAN = "doc long, span long"
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """(doc, doc_id, text): doc is a long that orders the documents.  That is the doc_id
-    itself if it is a non-null integer of its own for each row, else a row number."""
+def numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(doc, text) and, where doc is not the doc_id, the names (doc, doc_id).  doc is a long that
+    orders the documents: the doc_id itself if it is a non-null integer of its own for each row,
+    else a row number."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     ids = docs.select("doc_id", "text")
     if kind in ("bigint", "int", "smallint", "tinyint"):
         counts = ids.groupBy("doc_id").agg(F.count("*").alias("n"))
         if counts.filter("doc_id IS NULL OR n > 1").isEmpty():
-            return ids.select(F.col("doc_id").cast("long").alias("doc"), "doc_id", "text")
+            return ids.select(F.col("doc_id").cast("long").alias("doc"), "text"), None
     rows = ids.withColumn("h", F.xxhash64("text"))
     order = number_rows(rows.select(F.col("doc_id").isNull().alias("last"), "doc_id", "h").distinct(), ["last", "doc_id", "h"], "doc")
     order = order.select("doc", F.col("doc_id").alias("o_id"), F.col("h").alias("o_h"))
-    return rows.join(order, rows["doc_id"].eqNullSafe(order["o_id"]) & (rows["h"] == order["o_h"])).select("doc", "doc_id", "text")
+    named = rows.join(order, rows["doc_id"].eqNullSafe(order["o_id"]) & (rows["h"] == order["o_h"])).select("doc", "text")
+    return named, order.select("doc", F.col("o_id").alias("doc_id"))
 
 
 def _encode(text: str | None) -> bytes:
@@ -183,7 +185,7 @@ def compare_records(records: DataFrame, hot: int = HOT_CONTEXTS) -> DataFrame:
 def _gather(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """(doc, text, items) of the texts that have wanted records."""
     lists = wanted.groupBy("doc").agg(F.collect_list(F.struct("key", "span")).alias("items"))   # bounded by the text
-    return rows.select("doc", "text").join(lists, "doc")
+    return rows.join(lists, "doc")
 
 
 def fetch_contexts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -321,17 +323,18 @@ def hot_windows(rows: DataFrame, wanted: DataFrame) -> DataFrame:
                    .select("doc", F.shiftleft("start", 32).bitwiseOR(F.lit(W)).alias("span")))
 
 
-def repeated_spans(rows: DataFrame, hot: int = HOT_CONTEXTS, block: int = BLOCK_BYTES) -> DataFrame:
-    """(doc, span): what is to go, packed as start << 32 | length; spans may overlap."""
+def repeated_spans(rows: DataFrame, laid: DataFrame, hot: int = HOT_CONTEXTS, block: int = BLOCK_BYTES) -> DataFrame:
+    """(doc, span): what is to go, packed as start << 32 | length; spans may overlap.  ``laid`` are
+    the rows dealt by doc, from which contexts are fetched."""
     parts = shuffle_partitions(rows.sparkSession)
     dealt = (batch_records(rows).repartition(parts, "key")
                                 .sortWithinPartitions("key", "context", "doc", "span"))
     compared = cut(compare_records(dealt, hot))
     wanted = compared.filter("kind = 1").select("doc", "key", "span")
-    contexts = fetch_contexts(rows, wanted).repartition(parts, "key").sortWithinPartitions("key", "doc", "first")
+    contexts = fetch_contexts(laid, wanted).repartition(parts, "key").sortWithinPartitions("key", "doc", "first")
     spans = compared.filter("kind = 0").select("doc", "span").unionByName(compare_contexts(contexts, block))
     crowded = compared.filter("kind = 2").select("doc", "key", "span")
-    return spans if crowded.isEmpty() else spans.unionByName(hot_windows(rows, crowded))
+    return spans if crowded.isEmpty() else spans.unionByName(hot_windows(laid, crowded))
 
 
 def cut_out(data: bytes, spans: list[int]) -> tuple[bytes, int]:
@@ -370,10 +373,15 @@ def dedup(docs: DataFrame, hot: int = HOT_CONTEXTS, block: int = BLOCK_BYTES) ->
 
 
 def _with_spans(docs: DataFrame, hot: int, block: int) -> DataFrame:
-    """(doc_id, text, spans): each text with its packed spans."""
-    rows = numbered(docs)
-    of_doc = repeated_spans(rows, hot, block).groupBy("doc").agg(F.collect_list("span").alias("spans"))
-    return rows.join(of_doc, "doc", "left").select("doc_id", "text", "spans")
+    """(doc_id, text, spans): each text with its packed spans.  Contexts are fetched from, and spans
+    joined to, one exchange of the texts: both read the same two columns of it."""
+    rows, names = numbered(docs)
+    laid = rows.filter("doc IS NOT NULL").repartition("doc")   # none is null; said here, both joins plan the same exchange
+    of_doc = repeated_spans(rows, laid, hot, block).groupBy("doc").agg(F.collect_list("span").alias("spans"))
+    found = laid.join(of_doc, "doc", "left")
+    if names is None:
+        return found.select(F.col("doc").cast(docs.schema["doc_id"].dataType).alias("doc_id"), "text", "spans")
+    return found.join(names, "doc").select("doc_id", "text", "spans")
 
 
 def digest(docs: DataFrame, hot: int = HOT_CONTEXTS, block: int = BLOCK_BYTES) -> DataFrame:
