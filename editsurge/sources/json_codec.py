@@ -35,19 +35,32 @@ def renamed(value: Column, kind: T.DataType) -> Column:
     return value
 
 
+def _with(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once: Spark evaluates a column again wherever it is
+    used inside conditions and lambdas, so a parsed text is bound to a lambda variable."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def parsed(text: Column, kind: T.DataType) -> Column:
-    """JSON text -> a value of ``kind``; object keys match in any case at every level."""
+    """JSON text -> a value of ``kind``; object keys match in any case at every level.  The text is
+    parsed once for each level it is nested, whatever the number of fields."""
     if isinstance(kind, T.StructType):
-        entries = F.map_entries(F.from_json(text, T.MapType(T.StringType(), T.StringType())))
-        # of keys that differ only in case the last one counts
-        low = F.transform(entries, lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
         names = json_names(kind)
 
-        def field(f: T.StructField) -> Column:
-            found = F.filter(low, lambda e: e["key"] == names[f.name].lower())
-            return parsed(F.get(found, F.size(found) - 1)["value"], f.dataType).alias(f.name)
+        def struct(entries: Column) -> Column:
+            # of keys that differ only in case the last one counts
+            keys = F.transform(F.map_keys(entries), lambda k: F.lower(k))
+            return _with(F.struct(F.reverse(keys).alias("k"), F.reverse(F.map_values(entries)).alias("v")), fields)
+
+        def fields(e: Column) -> Column:
+            return F.struct(*[field(e, f) for f in kind])
+
+        def field(e: Column, f: T.StructField) -> Column:
+            at = F.array_position(e["k"], names[f.name].lower())
+            value = F.get(e["v"], F.when(at > 0, at - 1).cast("int"))
+            return parsed(value, f.dataType).alias(f.name)
 
-        return F.when(entries.isNotNull(), F.struct(*[field(f) for f in kind]))
+        return _with(F.from_json(text, T.MapType(T.StringType(), T.StringType())), lambda m: F.when(m.isNotNull(), struct(m)))
     if isinstance(kind, T.ArrayType):
         if isinstance(kind.elementType, (T.StructType, T.ArrayType)):
             return F.transform(F.from_json(text, T.ArrayType(T.StringType())), lambda x: parsed(x, kind.elementType))

@@ -56,7 +56,9 @@ def read_topic_stream(spark: SparkSession, path: str, schema: T.StructType,
         if max_files_per_trigger:
             r = r.option("maxFilesPerTrigger", max_files_per_trigger)
         raw = r.json(path)
-    return raw.select("key", "value", parse_record("value", schema).alias("r"))
+    # As a generator the parsing is done once a row: filters on its columns are not moved below it,
+    # where each of them would parse the record again.
+    return raw.select("key", "value", F.explode(F.array(parse_record("value", schema))).alias("r"))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -188,8 +190,10 @@ def start_dedup_ingest(spark: SparkSession, topic_path: str, table_path: str, ch
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         late = (F.col("_part") == "input") & (F.col("_time") <= 1000 * batch_watermark(spark, checkpoint, batch_id))
-        _write_batch(batch.filter(F.col("_part") == "fresh").drop("_part", "_time"), table_path, batch_id)
-        _write_batch(batch.filter(late).drop("_part", "_time"), late_path, batch_id)
+        kept = batch.filter((F.col("_part") == "fresh") | late).persist()   # two outputs, one pass through the state
+        _write_batch(kept.filter(F.col("_part") == "fresh").drop("_part", "_time"), table_path, batch_id)
+        _write_batch(kept.filter(F.col("_part") == "input").drop("_part", "_time"), late_path, batch_id)
+        kept.unpersist()
 
     return (both.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
                 .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
