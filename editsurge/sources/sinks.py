@@ -23,10 +23,16 @@ def valid_edits(df: DataFrame) -> DataFrame:
                      & F.col("embedding").isNotNull())
 
 
+def rejected(record: str = "") -> Column:
+    """Whether F-04 rejects a row (``record`` is the prefix of its columns)."""
+    event = F.col(record + "event_id")
+    ok = event.isNotNull() & (F.length(F.trim(event)) > 0) & F.col(record + "embedding").isNotNull()
+    return ~F.coalesce(ok, F.lit(False))
+
+
 def invalid_edits(df: DataFrame) -> DataFrame:
     """Rows F-04 rejects (quarantine output instead of silent loss, Q6)."""
-    ok = (F.col("event_id").isNotNull() & (F.length(F.trim("event_id")) > 0) & F.col("embedding").isNotNull())
-    return df.filter(~F.coalesce(ok, F.lit(False)))
+    return df.filter(rejected())
 
 
 def flatten_topic_columns(df: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from editsurge.operators import trends as tr
 from editsurge.session import ensure_checkpoint_dir
 from editsurge.sources.json_codec import parse_record
 from editsurge.sources.runs import RunTable
-from editsurge.sources.sinks import invalid_edits, valid_edits, write_baselines, write_edit_events
+from editsurge.sources.sinks import invalid_edits, rejected, valid_edits, write_baselines, write_edit_events
 
 TOPIC_RECORD = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])
 
@@ -141,11 +141,14 @@ def start_ingest(spark: SparkSession, topic_path: str, table_path: str, quaranti
     stream = read_topic_stream(spark, topic_path, S.EDIT_EVENTS, max_files_per_trigger)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        recs = batch.select("value", "r.*").withColumnRenamed("value", "_raw")
+        # The two passes of the range partitioning and the quarantine read the parsed rows; the text
+        # of a record is kept for the quarantine only.
+        recs = batch.select(F.when(rejected("r."), F.col("value")).alias("_raw"), "r.*").persist()
         good = valid_edits(recs.filter(F.col("event_id").isNotNull())).drop("_raw")
         bad = invalid_edits(recs).select("_raw")
         write_edit_events(good, table_path, partition_by_day=True, batch_id=batch_id)
         _write_batch(bad, quarantine_path, batch_id)
+        recs.unpersist()
         if label_state_path:
             stored = spark.read.schema(S.EDIT_EVENTS).parquet(os.path.join(table_path, f"batch_id={batch_id}"))
             _write_batch(tr.topic_label_state(stored), label_state_path, batch_id)
