@@ -1,14 +1,15 @@
 """S-03 and S-02 with offsets: a topic kept as numbered records, and a stream source for it.
 
 ``append`` is the writing side of a topic: records go to partitions by their key and get
-consecutive offsets there, behind those stored before.  A segment is one Parquet file for a
+consecutive offsets there, behind those stored before.  A segment is a folder for a
 partition and an append, ``partition=P/range=F-E`` with the offsets F to below E, so
-what a topic holds follows from the names of its folders.
+what a topic holds follows from the names of its folders; its Parquet files hold ranges
+of these offsets.
 
 ``register`` adds the format ``topic_log`` to a session: a stream (or batch) of partition, offset,
 key and value.  The progress that Spark keeps in the query's checkpoint is the next offset of each
 partition, so a restarted query goes on behind the last committed record, with no gap and
-nothing twice.  Segments are read by the executors, as Arrow batches, one task for each.
+nothing twice.  Segments are read by the executors, as Arrow batches, one task for each file.
 
 A captured event stream is appended the same way with the frame's id as key;
 ``last_keys`` then gives the id that a reconnecting capture resumes from.
@@ -19,9 +20,11 @@ from __future__ import annotations
 import os
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from editsurge.session import ensure_checkpoint_dir
+
 SCHEMA = "partition int, offset long, key string, value string"
 FORMAT = "topic_log"
 
@@ -44,22 +47,35 @@ def ends(spark: SparkSession, path: str) -> dict[int, int]:
 
 def append(records: DataFrame, path: str, partitions: int = 4, partition: Column | None = None, order: list | None = None) -> None:
     """Append (key, value) records.  Without ``partition`` a record's partition is a hash of its key, and
-    records without a key are dealt by their value; ``order`` numbers the records of an append
+    records without a key are dealt by their value; ``order`` (columns, ascending) numbers the records of an append
     within a partition (by key and value, if None).  One writer at a time."""
     spark = records.sparkSession
+    ensure_checkpoint_dir(spark)
     if partition is None:
         partition = F.pmod(F.xxhash64(F.coalesce("key", "value")), F.lit(partitions))
-    placed = records.withColumn("partition", partition.cast("int"))
-    sizes = {r["partition"]: r["n"] for r in placed.groupBy("partition").agg(F.count("*").alias("n")).collect()}  # a row a partition
+    by = [c if isinstance(c, Column) else F.col(c) for c in order or ["key", "value"]]
+    keys = [f"_by{i}" for i in range(len(by))]
+    # Dealt in ranges of the order: a partition is sorted and written by many tasks, each of which numbers its
+    # own records behind those of the ranges before.  Stored, so that the ranges are the same for both passes.
+    ranged = (records.select("key", "value", partition.cast("int").alias("partition"), *[c.alias(k) for c, k in zip(by, keys)])
+                     .repartitionByRange("partition", *keys)
+                     .sortWithinPartitions("partition", *keys)
+                     .select("partition", "key", "value", F.monotonically_increasing_id().alias("at")).checkpoint())
+    piece = F.shiftright("at", 33)      # the task that wrote a record
+    sizes = ranged.groupBy("partition", piece.alias("piece")).agg(F.count("*").alias("n"), F.min("at").alias("low")).collect()  # a row a range
     if not sizes:
         return
+    if any(r["partition"] is None for r in sizes):
+        raise ValueError("a record has no partition")
     before = ends(spark, path)
-    starts = {p: before.get(p, 0) for p in sizes}
-    first = F.element_at(F.create_map(*[x for p, s in starts.items() for x in (F.lit(p), F.lit(s).cast("long"))]), F.col("partition"))
-    ranges = F.element_at(F.create_map(*[x for p, s in starts.items() for x in (F.lit(p), F.lit(f"{s}-{s + sizes[p]}"))]), F.col("partition"))
-    # A partition's records are numbered in one task, as its log has one order.
-    w = Window.partitionBy("partition").orderBy(*(order or ["key", "value"]))
-    rows = placed.withColumn("offset", first + F.row_number().over(w) - 1).withColumn("range", ranges)
+    starts, segments = {r["partition"]: before.get(r["partition"], 0) for r in sizes}, []
+    after = dict(starts)
+    for r in sorted(sizes, key=lambda r: (r["partition"], r["piece"])):
+        segments.append((r["partition"], r["piece"], after[r["partition"]] - r["low"]))
+        after[r["partition"]] += r["n"]
+    dealt = spark.createDataFrame([(p, k, shift, f"{starts[p]}-{after[p]}") for p, k, shift in segments],
+                                  "partition int, piece long, shift long, range string")
+    rows = ranged.withColumn("piece", piece).join(F.broadcast(dealt), ["partition", "piece"]).withColumn("offset", F.col("at") + F.col("shift"))
     rows.select("offset", "key", "value", "partition", "range").write.mode("append").partitionBy("partition", "range").parquet(path)
 
 
@@ -102,26 +118,25 @@ def register(spark: SparkSession) -> None:
         import pyarrow as pa
         import pyarrow.compute as pc
         import pyarrow.parquet as pq
-        from pyarrow import fs
         if not isinstance(part, Segment):       # a topic without records has no segment to read
             return
         store, _ = open_fs(path)
-        for info in store.get_file_info(fs.FileSelector(part.path)):
-            if not info.path.endswith(".parquet"):
-                continue
-            with store.open_input_file(info.path) as f:
-                for batch in pq.ParquetFile(f).iter_batches(batch_size=4096, columns=["offset", "key", "value"]):
-                    t = pa.table(batch).filter(pc.and_(pc.greater_equal(batch["offset"], part.low), pc.less(batch["offset"], part.high)))
-                    t = t.add_column(0, pa.field("partition", pa.int32()), pa.array([part.partition] * t.num_rows, pa.int32()))
-                    yield from t.cast(pa.schema([("partition", pa.int32()), ("offset", pa.int64()), ("key", pa.string()),
-                                                 ("value", pa.string())])).to_batches()
+        with store.open_input_file(part.path) as f:
+            for batch in pq.ParquetFile(f).iter_batches(batch_size=4096, columns=["offset", "key", "value"]):
+                t = pa.table(batch).filter(pc.and_(pc.greater_equal(batch["offset"], part.low), pc.less(batch["offset"], part.high)))
+                t = t.add_column(0, pa.field("partition", pa.int32()), pa.array([part.partition] * t.num_rows, pa.int32()))
+                yield from t.cast(pa.schema([("partition", pa.int32()), ("offset", pa.int64()), ("key", pa.string()),
+                                             ("value", pa.string())])).to_batches()
 
     def between(path, start, end):
+        from pyarrow import fs
+        store, _ = open_fs(path)
         out = []
         for p, lo, hi, folder in segments(path):
             low, high = max(lo, start.get(str(p), 0)), min(hi, end.get(str(p), 0))
             if low < high:
-                out.append(Segment(folder, p, low, high))
+                files = (info.path for info in store.get_file_info(fs.FileSelector(folder)))
+                out += [Segment(f, p, low, high) for f in sorted(files) if f.endswith(".parquet")]
         return out
 
     def newest(path):

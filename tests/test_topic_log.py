@@ -62,3 +62,17 @@ def test_empty_append(spark):
     topic = os.path.join(folder(spark), "topic")
     tl.append(records(spark, []), topic)
     assert tl.ends(spark, topic) == {} and tl.read(spark, topic).count() == 0
+
+
+def test_a_partition_is_numbered_by_many_tasks(spark):
+    topic = os.path.join(folder(spark), "topic")
+    for k in range(2):
+        numbers = spark.range(k * 40000, (k + 1) * 40000, 1, 4).select(F.col("id").cast("string").alias("id"))
+        part = numbers.select(
+            F.col("id").alias("key"), F.concat(F.lpad("id", 9, "0"), *[F.sha2(F.concat("id", F.lit(f"-{j}")), 256) for j in range(8)]).alias("value"))
+        tl.append(part, topic, partition=F.lit(0), order=["value"])
+    files = [f for _, _, names in os.walk(os.path.join(topic.removeprefix("file:"), "partition=0")) for f in names if f.endswith(".parquet")]
+    assert len(files) > 4
+    got = tl.read(spark, topic)
+    assert got.rdd.getNumPartitions() == len(files)
+    assert got.count() == 80000 and got.filter(F.col("offset") != F.col("key").cast("long")).isEmpty()
