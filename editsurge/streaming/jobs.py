@@ -490,6 +490,7 @@ def start_classify_stream(spark: SparkSession, enriched_topic: str, resolved_pat
     s = read_topic_stream(spark, enriched_topic, S.ENRICHED_EDIT).select("r.*")
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()             # its newest time and its rows are read from one parsing
         res = spark.read.parquet(resolved_path)
         stored = None
         if topics_path:
@@ -502,6 +503,7 @@ def start_classify_stream(spark: SparkSession, enriched_topic: str, resolved_pat
               .withColumn("topic_id", F.col("_tid")))
         as_of = tr_as_of(batch.withColumnRenamed("timestamp", "ts"))
         _write_batch(ig.to_classified(j, as_of), out_path, batch_id)
+        batch.unpersist()
 
     return (s.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
              .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
